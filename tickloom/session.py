@@ -27,6 +27,7 @@ def build_session(master: str = "local[*]", app: str = "tickloom",
     """
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "8g"))
     for k, v in {**ENGINE_CONF, **(extra or {})}.items():
