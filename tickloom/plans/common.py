@@ -43,3 +43,23 @@ def ntz(c) -> F.Column:
 def tick_out(df: DataFrame) -> DataFrame:
     """The oracle-comparable tick columns (created_at is wall clock: dropped)."""
     return df.select("symbol", "price", ntz("time").alias("time"), "source")
+
+
+def kucoin_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validated Kucoin ticker messages with their event ms and arrival order."""
+    valid = D.validate_kucoin(kucoin_decoded(spark, sf_dir)).valid
+    return valid.select("*", F.col("msg.subject").alias("subject"), F.col("msg.data.time").alias("ms"),
+                        F.lit("kucoin").alias("source"), F.lit(0).alias("pos"))
+
+
+def binance_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    valid = D.validate_binance(binance_decoded(spark, sf_dir)).valid
+    return valid.select("*", F.col("el.symbol").alias("subject"), F.col("el.event_time").alias("ms"),
+                        F.lit("binance").alias("source"))
+
+
+def unified_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keep = ("seq", "pos")
+    k = N.normalize(kucoin_records(spark, sf_dir), N.KUCOIN, keep=keep)
+    b = N.normalize(binance_records(spark, sf_dir), N.BINANCE, keep=keep)
+    return N.split_ticks(N.unify(k, b)).valid

@@ -1,4 +1,10 @@
-"""DuckDB SQL oracles over the driver's tables, one per registered query."""
+"""DuckDB SQL oracles over the driver's tables, one per registered query.
+
+They restate each query's semantics from scratch on ``events``: the fixture
+derivation (FIXTURES 5), then the operator. Timestamps are naive UTC.
+"""
+
+from tickloom.plans import queries as Q
 
 # The fixture derivation of FIXTURES 5, as SQL. ms uses epoch_us // 1000
 # because DuckDB's epoch_ms rounds while Spark's unix_millis floors.
@@ -9,18 +15,45 @@ FX = """fx as (
          epoch_us(ts) // 1000 as ms
   from events)"""
 
-# Kucoin ticker messages (error events play control frames and are dropped).
+# Kucoin ticker messages: error events play control frames and are dropped.
 KU = """ku as (
-  select event_id, replace(base || '-' || quote, '-', '') as symbol, value as price,
-         make_timestamp(ms * 1000) as time, ms
+  select event_id, base || '-' || quote as subject, replace(base || '-' || quote, '-', '') as symbol,
+         value as price, make_timestamp(ms * 1000) as time, ms, ts, 0 as pos, 'kucoin' as source
   from fx where event_type <> 'error')"""
 
+# Binance elements: every event, one element each.
 BI = """bi as (
-  select event_id, base || quote as symbol, value as price,
-         make_timestamp(ms * 1000) as time, ms
+  select event_id, base || quote as subject, base || quote as symbol,
+         value as price, make_timestamp(ms * 1000) as time, ms, ts, 0 as pos, 'binance' as source
   from fx)"""
 
 QUOTED = "(symbol like '%USDT' or symbol like '%USDC')"
+TICKS = f"""ticks as (
+  select * from ku where {QUOTED}
+  union all
+  select * from bi where {QUOTED})"""
+
+
+def fold_sql(src: str, key: str, size: int, timeout: int) -> str:
+    """A1 by recursion: walk each key's rows in (ms, event_id) order carrying
+    (batch start, count, batch id, closed-after-this-row)."""
+    first_close = f"(1 >= {size} or 0 >= {timeout})"
+    return f"""
+with recursive {FX}, {KU}, {BI},
+o as (
+  select {key} as k, event_id, ms,
+         row_number() over (partition by {key} order by ms, event_id) as rn
+  from {src}),
+f as (
+  select k, rn, ms, ms as st, 1 as n, 0::bigint as b, {first_close} as c from o where rn = 1
+  union all
+  select o.k, o.rn, o.ms,
+         case when f.c then o.ms else f.st end,
+         case when f.c then 1 else f.n + 1 end,
+         case when f.c then f.b + 1 else f.b end,
+         case when f.c then {first_close} else (f.n + 1 >= {size} or o.ms - f.st >= {timeout}) end
+  from f join o on o.k = f.k and o.rn = f.rn + 1)"""
+
 
 SQL: dict[str, str] = {}
 
@@ -28,3 +61,136 @@ SQL["kucoin_normalize"] = f"""
 with {FX}, {KU}
 select symbol, price, time, 'kucoin' as source from ku where {QUOTED}
 """
+
+SQL["binance_normalize"] = f"""
+with {FX}, {BI}
+select symbol, price, time, 'binance' as source from bi where {QUOTED}
+"""
+
+SQL["kucoin_price_float32"] = f"""
+with {FX}, {KU}
+select symbol, cast(cast(price as float) as double) as price, time, 'kucoin' as source
+from ku where {QUOTED}
+"""
+
+SQL["unified_feed"] = f"""
+with {FX}, {KU}, {BI}, {TICKS}
+select symbol, price, time, source from ticks
+"""
+
+SQL["control_frame_filter"] = f"""
+with {FX}, {KU}
+select event_id, 'message' as type, subject from ku
+"""
+
+SQL["message_type_filter"] = SQL["control_frame_filter"]
+
+SQL["valid_rejects"] = f"""
+with {FX},
+d as (
+  select event_id, replace(base || '-' || quote, '-', '') as symbol,
+         case when value < 1 then 'empty' when value >= 200 then 'nan'
+              when value >= 100 and value < 101 then 'abc' else null end as bad,
+         value
+  from fx where event_type <> 'error')
+select event_id, symbol,
+       case when bad is null then value end as price,
+       case when bad is null then null else 'bad:price' end as reason
+from d where {QUOTED}
+"""
+
+SQL["flatten_ticker"] = f"""
+with {FX}
+select '/market/ticker:all' as topic, 'message' as type, base || '-' || quote as subject,
+       cast(value as varchar) as bestAsk, cast(user_id as varchar) as bestAskSize,
+       cast(value as varchar) as bestBid, cast(user_id as varchar) as bestBidSize,
+       cast(value as varchar) as price, cast(event_id as varchar) as sequence,
+       cast(user_id as varchar) as size, cast(ms as varchar) as time
+from fx where event_type <> 'error'
+"""
+
+SQL["event_time_by_source"] = f"""
+with {FX}, {KU}, {BI}
+select source, time as event_time from ku
+union all
+select source, time as event_time from bi
+"""
+
+SQL["object_key"] = f"""
+with {FX}, {KU}
+select event_id, 'kucoin/' || strftime(ts, '%Y-%m-%dT%H-%M-%S') || '.json' as object_key from ku
+"""
+
+SQL["hourly_key"] = f"""
+with {FX}, {KU}
+select event_id,
+       'raw/kucoin/' || strftime(time, '%Y/%m/%d/%H') || '/data_' || strftime(time, '%Y%m%dT%H') || '.json.gz'
+       as hour_key
+from ku
+"""
+
+SQL["object_overwrite"] = f"""
+with {FX}, {KU}, {BI}, {TICKS},
+k as (
+  select *, 'raw/' || source || '/' || strftime(time, '%Y/%m/%d/%H') || '/data_' || strftime(time, '%Y%m%dT%H')
+            || '.json.gz' as object_key
+  from ticks)
+select object_key, symbol, price, time from k
+qualify row_number() over (partition by object_key order by ms desc, event_id desc) = 1
+"""
+
+SQL["current_price"] = f"""
+with {FX}, {KU}, {BI}, {TICKS}
+select source, symbol, price, time from ticks
+qualify row_number() over (partition by source, symbol order by ms desc, event_id desc) = 1
+"""
+
+SQL["micro_batch"] = fold_sql("ku", "subject", Q.BATCH_SIZE, Q.BATCH_TIMEOUT_MS) + """
+select k as subject, b as batch_id, count(*) as n, min(ms) as first_ms, max(ms) as last_ms
+from f group by 1, 2
+"""
+
+SQL["micro_batch_source"] = fold_sql(
+    "(select * from ku union all select * from bi)", "source",
+    Q.SOURCE_BATCH_SIZE, Q.SOURCE_BATCH_TIMEOUT_MS) + """
+select k as source, b as batch_id, count(*) as n, min(ms) as first_ms, max(ms) as last_ms
+from f group by 1, 2
+"""
+
+SQL["micro_batch_aligned"] = f"""
+with {FX}, {KU},
+w as (
+  select subject, ms, date_trunc('hour', time) as window_start,
+         (row_number() over (partition by subject, date_trunc('hour', time) order by ms, event_id) - 1)
+           // {Q.ALIGNED_SIZE} as chunk
+  from ku)
+select subject, window_start, chunk, count(*) as n, min(ms) as first_ms, max(ms) as last_ms
+from w group by 1, 2, 3
+"""
+
+SQL["batch_envelope"] = fold_sql("ku", "subject", Q.BATCH_SIZE, Q.BATCH_TIMEOUT_MS) + """,
+g as (select f.k, f.b, o.event_id, f.ms from f join o on o.k = f.k and o.rn = f.rn)
+select g.k as subject, g.b as batch_id, count(*) as n, 'kucoin' as source,
+       arg_min(ku.ts, (g.ms, g.event_id)) as first_ingest_ts, count(*) as n_in_message
+from g join ku on ku.event_id = g.event_id
+group by 1, 2
+"""
+
+SQL["array_roundtrip"] = f"""
+with {FX}, {KU}
+select event_id, subject, price, time from ku
+"""
+
+SQL["replay_ingest_range"] = f"""
+with {FX}, {KU},
+fl as (select *, min(ts) over (partition by date_trunc('minute', ts)) as first_ts from ku)
+select symbol, price, time, 'kucoin' as source from fl
+where {QUOTED}
+  and date_trunc('second', first_ts) between timestamp '{Q.REPLAY_START}' and timestamp '{Q.REPLAY_END}'
+"""
+
+SQL["replay_event_range"] = f"""
+with {FX}, {KU}, {BI}, {TICKS}
+select symbol, price, time, source from ticks
+where time between timestamp '{Q.REPLAY_START}' and timestamp '{Q.REPLAY_END}'
+"""

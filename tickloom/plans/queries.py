@@ -1,24 +1,246 @@
 """Registered queries: each takes ``(spark, sf_dir)`` and returns a DataFrame
-over the driver's tables (or data Spark derives from them)."""
+over the driver's tables (or data Spark derives from them). Every query runs
+over the whole ``events`` table; time ranges appear only where the range is
+the feature (replay)."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tickloom import schemas as SCH
+from tickloom.functions import scalar as S
+from tickloom.operators import batching as B
+from tickloom.operators import decode as D
+from tickloom.operators import envelope as E
+from tickloom.operators import latest as L
+from tickloom.operators import normalize as N
+from tickloom.operators.flatten import flatten_ticker as _flatten
 from tickloom.plans import common as C
+from tickloom.session import scratch_path
+from tickloom.sinks import landing as LZ
+from tickloom.sources import feeds
+from tickloom.sources import landing as RP
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+# Parameters of the registered queries (shared with the SQL oracles).
+BATCH_SIZE, BATCH_TIMEOUT_MS = 10, 4 * 3600 * 1000          # per-symbol batches (A10)
+SOURCE_BATCH_SIZE, SOURCE_BATCH_TIMEOUT_MS = 50, 3600 * 1000  # one key per feed (A2)
+ALIGNED_WINDOW, ALIGNED_SIZE = "1 hour", 10
+FLUSH_WINDOW = "60 seconds"
+REPLAY_START, REPLAY_END = "2024-01-10 06:30:00", "2024-01-14 18:45:30"
+
 
 def register(fn):
     QUERIES[fn.__name__] = fn
     return fn
 
 
+# ---------------------------------------------------------------- decode / normalise
+
 @register
 def kucoin_normalize(spark, sf_dir):
     """Kucoin frames -> decode (F14) -> control-frame filter (P4) -> validate
     -> quote filter, hyphen removal, price/time parse (F1-F6, P1-P9)."""
     return C.tick_out(C.kucoin_ticks(spark, sf_dir))
+
+
+@register
+def binance_normalize(spark, sf_dir):
+    """Binance array frames -> decode + explode (F12, A7) -> rename (P7) -> ticks."""
+    return C.tick_out(C.binance_ticks(spark, sf_dir))
+
+
+@register
+def kucoin_price_float32(spark, sf_dir):
+    """F3 with the reference's float32 rounding of Kucoin prices (H2)."""
+    valid = D.validate_kucoin(C.kucoin_decoded(spark, sf_dir)).valid
+    return C.tick_out(N.normalize(valid, N.KUCOIN, price_type="float"))
+
+
+@register
+def unified_feed(spark, sf_dir):
+    """T4: both feeds in one tick schema."""
+    return C.tick_out(C.unified_ticks(spark, sf_dir))
+
+
+@register
+def control_frame_filter(spark, sf_dir):
+    """Frames without ``subject``/``data`` (welcome, ack) are dropped."""
+    parsed = D.parse_kucoin(feeds.kucoin_frames(C.events(spark, sf_dir)))
+    return D.drop_control_frames(parsed).select(
+        F.col("seq").alias("event_id"), F.col("msg.type").alias("type"), F.col("msg.subject").alias("subject"))
+
+
+@register
+def message_type_filter(spark, sf_dir):
+    """P5: keep ``type == 'message'`` frames that carry a subject."""
+    parsed = D.parse_kucoin(feeds.kucoin_frames(C.events(spark, sf_dir)))
+    return D.keep_messages(parsed).select(
+        F.col("seq").alias("event_id"), F.col("msg.type").alias("type"), F.col("msg.subject").alias("subject"))
+
+
+def _dirty_price(ev: DataFrame):
+    """Bad price texts injected by value band: '' , 'NaN', 'abc'."""
+    v = ev["value"]
+    return (F.when(v < 1, F.lit("")).when(v >= 200, F.lit("NaN"))
+            .when((v >= 100) & (v < 101), F.lit("abc")).otherwise(v.cast("string")))
+
+
+@register
+def valid_rejects(spark, sf_dir):
+    """Permissive validation; bad prices go to rejects with a
+    reason instead of failing the batch."""
+    ev = C.events(spark, sf_dir)
+    frames = feeds.kucoin_frames(ev, price=_dirty_price)
+    parsed = D.drop_control_frames(D.parse_kucoin(frames))
+    checked = D.validate_kucoin(parsed).valid
+    ticks = N.normalize(checked, N.KUCOIN, keep=("seq",))
+    split = N.split_ticks(ticks)
+    cols = [F.col("seq").alias("event_id"), "symbol", "price"]
+    return (split.valid.select(*cols, F.lit(None).cast("string").alias("reason"))
+            .unionByName(split.rejects.select(*cols, "reason")))
+
+
+@register
+def flatten_ticker(spark, sf_dir):
+    """P10/F16: the flat CSV layout of every ticker message (after P5)."""
+    parsed = D.parse_kucoin(feeds.kucoin_frames(C.events(spark, sf_dir)))
+    return _flatten(D.keep_messages(parsed))
+
+
+@register
+def event_time_by_source(spark, sf_dir):
+    """Event time read from each source's own field of the landed record."""
+    k = E.envelope(C.kucoin_records(spark, sf_dir), E.kucoin_record_json(), "kucoin", "ingest_ts")
+    b = E.envelope(C.binance_records(spark, sf_dir), E.binance_record_json(), "binance", "ingest_ts")
+    env = k.unionByName(b)
+    k_ms = F.from_json("data", "data struct<time: bigint>")["data"]["time"]
+    b_ms = F.from_json("data", "E bigint")["E"]
+    return env.select("source", C.ntz(S.event_time(F.col("source"), k_ms, b_ms)).alias("event_time"))
+
+
+# ---------------------------------------------------------------- keys
+
+@register
+def object_key(spark, sf_dir):
+    """landing object name from the ingest time (second resolution)."""
+    r = C.kucoin_records(spark, sf_dir)
+    return r.select(F.col("seq").alias("event_id"), S.object_name(F.lit("kucoin"), F.col("ingest_ts")).alias("object_key"))
+
+
+@register
+def hourly_key(spark, sf_dir):
+    """F8: hourly raw key from the *event* time."""
+    r = C.kucoin_records(spark, sf_dir)
+    return r.select(F.col("seq").alias("event_id"),
+                    S.hourly_key(F.lit("kucoin"), S.millis_to_ts(F.col("ms"))).alias("hour_key"))
+
+
+@register
+def object_overwrite(spark, sf_dir):
+    """The tick that survives per hourly object key when writes overwrite."""
+    t = C.unified_ticks(spark, sf_dir).withColumn("object_key", S.hourly_key(F.col("source"), F.col("time")))
+    won = L.object_overwrite(t, "object_key", ["time", "seq", "pos"], ["symbol", "price", "time"])
+    return won.select("object_key", "symbol", "price", C.ntz("time").alias("time"))
+
+
+# ---------------------------------------------------------------- latest
+
+@register
+def current_price(spark, sf_dir):
+    """Latest price per (source, symbol) by event time, then arrival order."""
+    cur = L.current_price(C.unified_ticks(spark, sf_dir))
+    return cur.select("source", "symbol", "price", C.ntz("time").alias("time"))
+
+
+# ---------------------------------------------------------------- batching
+
+def _symbol_batches(spark, sf_dir):
+    recs = C.kucoin_records(spark, sf_dir).select("subject", "ms", "seq", "ingest_ts", "source", "msg")
+    return B.assign_batches(recs, ["subject"], "ms", ["seq"], size=BATCH_SIZE, timeout_ms=BATCH_TIMEOUT_MS)
+
+
+@register
+def micro_batch(spark, sf_dir):
+    """A1 + A10: count-or-timeout batches per symbol (exact, anchored)."""
+    return B.batch_stats(_symbol_batches(spark, sf_dir), ["subject"], "ms")
+
+
+@register
+def micro_batch_source(spark, sf_dir):
+    """A1 + A2: one batcher per feed; each key holds about half of all rows,
+    which the range-partitioned batcher splits across tasks."""
+    cols = ["source", "ms", "seq", "pos"]
+    recs = C.kucoin_records(spark, sf_dir).select(*cols).unionByName(C.binance_records(spark, sf_dir).select(*cols))
+    tagged = B.assign_batches(recs, ["source"], "ms", ["seq", "pos"], size=SOURCE_BATCH_SIZE,
+                              timeout_ms=SOURCE_BATCH_TIMEOUT_MS)
+    return B.batch_stats(tagged, ["source"], "ms")
+
+
+@register
+def micro_batch_aligned(spark, sf_dir):
+    """A5: epoch-aligned windows per symbol, cut into chunks of ALIGNED_SIZE."""
+    recs = C.kucoin_records(spark, sf_dir).select("subject", "ms", "seq", "ingest_ts")
+    recs = recs.withColumn("event_ts", S.millis_to_ts(F.col("ms")))
+    tagged = B.assign_aligned(recs, ["subject"], "event_ts", "ms", ["seq"], ALIGNED_WINDOW, ALIGNED_SIZE)
+    return (tagged.groupBy("subject", "window_start", "chunk")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("ms").alias("first_ms"), F.max("ms").alias("last_ms"))
+            .select("subject", C.ntz("window_start").alias("window_start"), "chunk", "n", "first_ms", "last_ms"))
+
+
+@register
+def batch_envelope(spark, sf_dir):
+    """One JSON-array message per batch, with the first record's
+    ingest time and source as the batch's attributes."""
+    tagged = _symbol_batches(spark, sf_dir)
+    msgs = B.batch_messages(tagged, ["subject"], ["batch_id"], F.col("msg"), ["ms", "seq"],
+                            {"first_ingest_ts": "ingest_ts", "source": "source"})
+    return msgs.select("subject", "batch_id", "n", "source",
+                       C.ntz("first_ingest_ts").alias("first_ingest_ts"),
+                       F.size(S.decode_array(F.col("message"), SCH.KUCOIN)).cast("long").alias("n_in_message"))
+
+
+@register
+def array_roundtrip(spark, sf_dir):
+    """F13 -> F12 -> A7: batches encoded as JSON arrays, decoded and exploded
+    back to one row per record, in batch order."""
+    tagged = _symbol_batches(spark, sf_dir)
+    msgs = B.batch_messages(tagged, ["subject"], ["batch_id"], F.col("msg"), ["ms", "seq"], {})
+    rows = msgs.select(F.posexplode(S.decode_array(F.col("message"), SCH.KUCOIN)).alias("idx", "m"))
+    return rows.select(F.col("m.data.sequence").cast("long").alias("event_id"),
+                       F.col("m.subject").alias("subject"),
+                       S.parse_price(F.col("m.data.price")).alias("price"),
+                       C.ntz(S.millis_to_ts(F.col("m.data.time"))).alias("time"))
+
+
+# ---------------------------------------------------------------- lake + replay
+
+def _landed(spark, sf_dir) -> str:
+    """Land both feeds' validated records (P15 envelopes, 60 s flushes, K5)."""
+    k = E.envelope(C.kucoin_records(spark, sf_dir), E.kucoin_record_json(), "kucoin", "ingest_ts")
+    b = E.envelope(C.binance_records(spark, sf_dir), E.binance_record_json(), "binance", "ingest_ts")
+    root = scratch_path(spark, "landing")
+    LZ.write_landing(LZ.flush_groups(k.unionByName(b), FLUSH_WINDOW), root)
+    return root
+
+
+@register
+def replay_ingest_range(spark, sf_dir):
+    """Replay Kucoin flushes whose object time is within the
+    range (inclusive), then the usual decode + normalise (T8)."""
+    root = _landed(spark, sf_dir)
+    env = RP.replay_ingest(spark, root, "kucoin", REPLAY_START, REPLAY_END)
+    parsed = D.drop_control_frames(D.parse_kucoin(env.select(F.col("data").alias("value"))))
+    return C.tick_out(N.normalize(D.validate_kucoin(parsed).valid, N.KUCOIN))
+
+
+@register
+def replay_event_range(spark, sf_dir):
+    """H10 event-time replay over the tick lake (K6 layout, pruned by hour)."""
+    root = scratch_path(spark, "ticks")
+    LZ.write_ticks(C.unified_ticks(spark, sf_dir).drop("seq", "pos"), root)
+    return C.tick_out(RP.replay_event(spark, root, REPLAY_START, REPLAY_END))

@@ -36,6 +36,7 @@ def fixture_ticks(events: DataFrame) -> DataFrame:
     return events.select(
         "event_id",
         "event_type",
+        "value",
         _base(events).alias("base"),
         _quote(events).alias("quote"),
         events["value"].cast("string").alias("price_text"),
@@ -46,14 +47,15 @@ def fixture_ticks(events: DataFrame) -> DataFrame:
 
 
 def kucoin_frames(events: DataFrame, control_types=CONTROL_EVENT_TYPES,
-                  price: Column | None = None) -> DataFrame:
+                  price=None) -> DataFrame:
     """One Kucoin text frame per event: a ticker message, or a control frame
     (``welcome``/``ack``) for the event types in ``control_types``.
 
-    ``price`` overrides the price text (used to inject bad prices).
+    ``price`` maps the fixture rows to an overriding price text (used to
+    inject bad prices).
     """
     t = fixture_ticks(events)
-    price_col = t["price_text"] if price is None else price
+    price_col = t["price_text"] if price is None else price(t)
     data = F.struct(
         t["price_text"].alias("bestAsk"),
         t["size_text"].alias("bestAskSize"),
