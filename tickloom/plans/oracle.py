@@ -194,3 +194,7 @@ with {FX}, {KU}, {BI}, {TICKS}
 select symbol, price, time, source from ticks
 where time between timestamp '{Q.REPLAY_START}' and timestamp '{Q.REPLAY_END}'
 """
+
+SQL["stream_normalize"] = SQL["unified_feed"]
+SQL["stream_micro_batch"] = SQL["micro_batch"]
+SQL["stream_current_price"] = SQL["current_price"]

@@ -244,3 +244,26 @@ def replay_event_range(spark, sf_dir):
     root = scratch_path(spark, "ticks")
     LZ.write_ticks(C.unified_ticks(spark, sf_dir).drop("seq", "pos"), root)
     return C.tick_out(RP.replay_event(spark, root, REPLAY_START, REPLAY_END))
+
+
+# ---------------------------------------------------------------- streaming twins
+
+@register
+def stream_normalize(spark, sf_dir):
+    """Structured Streaming: both feeds, file source -> transforms -> Parquet sink."""
+    from tickloom.plans import streams
+    return streams.stream_normalize(spark, sf_dir)
+
+
+@register
+def stream_micro_batch(spark, sf_dir):
+    """Structured Streaming A1: applyInPandasWithState per symbol."""
+    from tickloom.plans import streams
+    return streams.stream_micro_batch(spark, sf_dir, BATCH_SIZE, BATCH_TIMEOUT_MS)
+
+
+@register
+def stream_current_price(spark, sf_dir):
+    """Structured Streaming K7: foreachBatch upsert into the current-price snapshot."""
+    from tickloom.plans import streams
+    return streams.stream_current_price(spark, sf_dir)
