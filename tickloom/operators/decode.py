@@ -13,6 +13,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from tickloom import schemas as S
 from tickloom.functions.scalar import decode_object, present, utf8_decode
@@ -32,14 +33,31 @@ def as_text(frames: DataFrame, value: str = "value") -> DataFrame:
 
 
 def parse_kucoin(frames: DataFrame, value: str = "value", strict: bool = False) -> DataFrame:
-    """one JSON object per frame -> ``msg`` struct; ``raw`` keeps the text.
-
-    Passthrough columns (``ingest_ts``, ``seq`` ...) are kept.
+    """F14 (+ A7): Kucoin frames -> one row per message in ``msg``.
+
+    A WebSocket frame is one JSON object and a Kafka raw message is a JSON
+    array of them (K1); both decode with the array schema (a lone object
+    becomes a one-element array, hazard H14) and are exploded, ``pos`` being
+    the position in the frame. The parse runs once, inside the generator:
+    predicates on ``msg`` stay above it instead of being pushed down with a
+    copy of ``from_json`` each. A frame that is not JSON yields one row with
+    a null ``msg`` (rejected as malformed); ``[]`` yields none.
+    Passthrough columns (``ingest_ts``, ``seq`` ...) are kept; ``raw`` keeps the text.
     """
     frames = as_text(frames, value)
     rest = [c for c in frames.columns if c != value]
-    return frames.select(*rest, F.col(value).alias("raw"),
-                         decode_object(F.col(value), S.KUCOIN, failfast=strict).alias("msg"))
+    opts = {"mode": "FAILFAST"} if strict else {}
+    msgs = F.from_json(F.col(value), ArrayType(S.KUCOIN), opts)
+    return _explode_frames(frames.select(*rest, F.col(value).alias("raw"), msgs.alias("els")), rest, "msg")
+
+
+def _explode_frames(parsed: DataFrame, rest: list[str], name: str) -> DataFrame:
+    # explode_outer also emits a row for an empty array; keep only the null
+    # array case (garbage) so it can be rejected, and drop the empty frames.
+    return (parsed.select(*rest, "raw", F.col("els").isNull().alias("_garbage"),
+                          F.posexplode_outer("els").alias("pos", name))
+            .where(F.col(name).isNotNull() | F.col("_garbage"))
+            .drop("_garbage"))
 
 
 def is_ticker_frame(msg: str = "msg") -> Column:
@@ -110,12 +128,7 @@ def parse_binance(frames: DataFrame, value: str = "value", strict: bool = False)
     zipped = F.zip_with(a, b, lambda x, y: F.struct(
         *[(y["e"] if src == "e" else x[src]).alias(dst) for src, dst in S.BINANCE_RENAMES]))
     parsed = frames.select(*rest, F.col(value).alias("raw"), zipped.alias("els"))
-    # explode_outer also emits a row for an empty array; keep only the null
-    # array case (garbage) so it can be rejected, and drop the empty frames.
-    return (parsed.select(*rest, "raw", F.col("els").isNull().alias("_garbage"),
-                          F.posexplode_outer("els").alias("pos", "el"))
-            .where(F.col("el").isNotNull() | F.col("_garbage"))
-            .drop("_garbage"))
+    return _explode_frames(parsed, rest, "el")
 
 
 def validate_binance(rows: DataFrame, el: str = "el", strict: bool = False) -> Split:

@@ -49,7 +49,7 @@ def kucoin_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Validated Kucoin ticker messages with their event ms and arrival order."""
     valid = D.validate_kucoin(kucoin_decoded(spark, sf_dir)).valid
     return valid.select("*", F.col("msg.subject").alias("subject"), F.col("msg.data.time").alias("ms"),
-                        F.lit("kucoin").alias("source"), F.lit(0).alias("pos"))
+                        F.lit("kucoin").alias("source"))
 
 
 def binance_records(spark: SparkSession, sf_dir: str) -> DataFrame:
