@@ -24,23 +24,23 @@ FRAME_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType()),
 ])
 WEEK_MS = 7 * 86400 * 1000
-
-
-def _slices(frames: DataFrame) -> tuple[DataFrame, list[int]]:
-    """Frames tagged with their event-time week; the list of weeks present is
-    small metadata (one number per week of data)."""
-    tagged = frames.withColumn("_week", F.floor(F.unix_millis("ingest_ts") / WEEK_MS).cast("long"))
-    weeks = sorted(r[0] for r in tagged.select("_week").distinct().collect())
-    return tagged, weeks
+# Back-to-back micro-batches: each slice is processed as soon as it lands.
+TRIGGER = {"processingTime": "0 seconds"}
 
 
 def _feed_in_order(spark: SparkSession, root: str, frames: dict[str, DataFrame], each_slice) -> None:
-    """Append one weekly slice per feed, then let the queries consume it."""
-    tagged = {k: _slices(v) for k, v in frames.items()}
-    weeks = sorted({w for _, ws in tagged.values() for w in ws})
-    for w in weeks:
-        for name, (df, _) in tagged.items():
-            df.where(F.col("_week") == w).drop("_week").write.mode("append").parquet(f"{root}/in/{name}")
+    """Stage every feed once, partitioned by event-time week, then append one
+    weekly slice per feed to the stream inputs and let the queries consume it.
+    The list of weeks is small metadata (one number per week of data)."""
+    weeks: set[int] = set()
+    for name, df in frames.items():
+        (df.withColumn("_week", F.floor(F.unix_millis("ingest_ts") / WEEK_MS).cast("long"))
+         .write.mode("overwrite").partitionBy("_week").parquet(f"{root}/stage/{name}"))
+        weeks |= {r[0] for r in spark.read.parquet(f"{root}/stage/{name}").select("_week").distinct().collect()}
+    for w in sorted(weeks):
+        for name in frames:
+            (spark.read.parquet(f"{root}/stage/{name}").where(F.col("_week") == w).drop("_week")
+             .write.mode("append").parquet(f"{root}/in/{name}"))
         each_slice()
 
 
@@ -53,8 +53,8 @@ def stream_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
         df.limit(0).write.mode("append").parquet(f"{root}/in/{name}")
     k = J.kucoin_ticks(frames_stream(spark, f"{root}/in/kucoin", FRAME_SCHEMA))
     b = J.binance_ticks(frames_stream(spark, f"{root}/in/binance", FRAME_SCHEMA))
-    qs = [J.start(k, f"{root}/ckpt/kucoin", path=f"{root}/out/kucoin"),
-          J.start(b, f"{root}/ckpt/binance", path=f"{root}/out/binance")]
+    qs = [J.start(k, f"{root}/ckpt/kucoin", path=f"{root}/out/kucoin", trigger=TRIGGER),
+          J.start(b, f"{root}/ckpt/binance", path=f"{root}/out/binance", trigger=TRIGGER)]
     try:
         _feed_in_order(spark, root, frames, lambda: [q.processAllAvailable() for q in qs])
     finally:
@@ -73,7 +73,7 @@ def stream_current_price(spark: SparkSession, sf_dir: str) -> DataFrame:
         df.limit(0).write.mode("append").parquet(f"{root}/in/{name}")
     ticks = (J.kucoin_ticks(frames_stream(spark, f"{root}/in/kucoin", FRAME_SCHEMA))
              .unionByName(J.binance_ticks(frames_stream(spark, f"{root}/in/binance", FRAME_SCHEMA))))
-    q = J.start_current_price(ticks, f"{root}/snapshot", f"{root}/ckpt")
+    q = J.start_current_price(ticks, f"{root}/snapshot", f"{root}/ckpt", trigger=TRIGGER)
     try:
         _feed_in_order(spark, root, frames, q.processAllAvailable)
     finally:
@@ -93,7 +93,7 @@ def stream_micro_batch(spark: SparkSession, sf_dir: str, size: int, timeout_ms:
     recs = J.kucoin_records(frames_stream(spark, f"{root}/in/kucoin", FRAME_SCHEMA))
     batches = stream_batches(recs, ["subject"], "ms", ["seq"], "record", size, timeout_ms,
                              idle_ms=None)
-    q = J.start(batches, f"{root}/ckpt", path=f"{root}/out")
+    q = J.start(batches, f"{root}/ckpt", path=f"{root}/out", trigger=TRIGGER)
     try:
         _feed_in_order(spark, root, frames, q.processAllAvailable)
     finally:

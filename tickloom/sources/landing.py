@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,19 +43,41 @@ def hour_bounds(start, end) -> Column:
     return lower & upper
 
 
+def day_glob(root: str, start, end, source: str | None = None) -> str:
+    """Only the day folders of the range are listed: ``dt={d0,d1,...}``."""
+    s, e = _ts(start), _ts(end)
+    days, d = [], s.date()
+    while d <= e.date():
+        days.append(d.isoformat())
+        d += _dt.timedelta(days=1)
+    src = f"source={source}" if source else "source=*"
+    return f"{root.rstrip('/')}/{src}/dt={{{','.join(days)}}}"
+
+
+def _read_range(spark: SparkSession, root: str, start, end, source, reader) -> DataFrame | None:
+    try:
+        return reader(spark.read.option("basePath", root), day_glob(root, start, end, source))
+    except AnalysisException:       # no folder for any day of the range
+        return None
+
+
 def replay_ingest(spark: SparkSession, root: str, source: str, start, end) -> DataFrame:
     """S9 + S10: envelope rows of the flushes whose object time is in range."""
     s, e = _ts(start), _ts(end)
-    df = spark.read.schema(LANDING_SCHEMA).json(root)
+    df = _read_range(spark, root, s, e, source, lambda r, p: r.schema(LANDING_SCHEMA).json(p))
+    if df is None:
+        return spark.createDataFrame([], LANDING_SCHEMA)
     t = key_time(F.col("object_key"))
     return (df.where((F.col("source") == source) & hour_bounds(s, e))
             .where(t.between(F.lit(s), F.lit(e))))
 
 
-def replay_event(spark: SparkSession, root: str, start, end, source: str | None = None) -> DataFrame:
+def replay_event(spark: SparkSession, root: str, start, end, source: str | None = None) -> DataFrame | None:
     """H10 event-time mode over the tick lake (partitioned by event hour)."""
     s, e = _ts(start), _ts(end)
-    df = spark.read.parquet(root)
+    df = _read_range(spark, root, s, e, source, lambda r, p: r.parquet(p))
+    if df is None:
+        return None
     cond = hour_bounds(s, e) & F.col("time").between(F.lit(s), F.lit(e))
     if source:
         cond = (F.col("source") == source) & cond
