@@ -82,3 +82,10 @@ def test_aligned_windows(spark):
     out = assign_aligned(df, ["k"], "ts", "ms", ["id"], "60 seconds", size=1).collect()
     got = sorted((r.id, str(r.window_start), r.chunk) for r in out)
     assert got == [(0, "2024-01-01 00:00:00", 0), (1, "2024-01-01 00:01:00", 0), (2, "2024-01-01 00:01:00", 1)]
+
+
+def test_null_time_rows_are_kept(spark):
+    rows = [("k", 1, 0), ("k", None, 1), ("k", 2, 2)]
+    df = spark.createDataFrame(rows, "k string, ms long, id long")
+    got = {r.id: r.batch_id for r in assign_batches(df, ["k"], "ms", ["id"], size=2, timeout_ms=10, partitions=2).collect()}
+    assert got == {0: 0, 1: None, 2: 0}

@@ -148,3 +148,11 @@ def test_event_time_unknown_source_raises(spark):
         df.select(event_time(F.col("source"), F.col("k"), F.col("b"))).collect()
     ok = spark.createDataFrame([("kucoin", 1743147198992, 0)], "source string, k long, b long")
     assert str(ok.select(event_time(F.col("source"), F.col("k"), F.col("b"))).first()[0]) == "2025-03-28 07:33:18.992000"
+
+
+def test_narrow_schema_tick_path(spark):
+    from tickloom.schemas import KUCOIN_TICK_SOURCE
+    parsed = D.drop_control_frames(D.parse_kucoin(frames(spark, [ku()]), schema=KUCOIN_TICK_SOURCE))
+    assert parsed.schema["msg"].dataType.names == ["subject", "data"]
+    r = N.normalize(parsed, N.KUCOIN).first()
+    assert r.symbol == "CROUSDT" and r.price == 0.10604

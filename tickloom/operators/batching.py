@@ -34,6 +34,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -268,7 +269,8 @@ def assign_batches(df: DataFrame, keys: Sequence[str], ms: str, order: Sequence[
     ``keys``: batching key (e.g. ``source, symbol``); ``ms``: epoch-ms time
     column; ``order``: tie-breakers after time. ``partitions`` sets how many
     contiguous ranges the sorted rows are cut into (default: the session's
-    shuffle partitions); size it so one range fits a Python worker.
+    shuffle partitions); size it so one range fits a Python worker. Rows with
+    a null time are returned with a null ``batch_id``.
     """
     if size < 1:
         raise ValueError("size must be >= 1")
@@ -278,7 +280,13 @@ def assign_batches(df: DataFrame, keys: Sequence[str], ms: str, order: Sequence[
     keys, order = list(keys), list(order)
     n_parts = int(partitions or spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [*keys, ms, *order]
-    ranged = (df.repartitionByRange(n_parts, *sort_cols).sortWithinPartitions(*sort_cols)
+    # The range exchange samples its input in a separate job before the
+    # shuffle reads it again; keep the input so an expensive upstream (decode,
+    # validation) runs once. Blocks lost with an executor are recomputed.
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    timed = src.where(F.col(ms).isNotNull())
+    untimed = src.where(F.col(ms).isNull()).withColumn("batch_id", F.lit(None).cast("long"))
+    ranged = (timed.repartitionByRange(n_parts, *sort_cols).sortWithinPartitions(*sort_cols)
               .withColumn(PID, F.spark_partition_id().cast("long"))
               .withColumn(POS, F.monotonically_increasing_id()))
     ranged = ranged.checkpoint(eager=True)
@@ -302,7 +310,11 @@ def assign_batches(df: DataFrame, keys: Sequence[str], ms: str, order: Sequence[
     schema = T.StructType([*[f for f in ranged.schema.fields],
                            T.StructField("batch_id", T.LongType())])
     joined = joined.select(*[f.name for f in ranged.schema.fields], "_tl_entry", "_tl_base")
-    return joined.mapInArrow(_assign(keys, ms, size, timeout_ms), schema).drop(PID, POS)
+    tagged = joined.mapInArrow(_assign(keys, ms, size, timeout_ms), schema).drop(PID, POS)
+    # rows without a time cannot be ordered: kept, with a null batch id
+    untimed = untimed.checkpoint(eager=True)
+    src.unpersist()
+    return tagged.unionByName(untimed)
 
 
 def batch_stats(tagged: DataFrame, keys: Sequence[str], ms: str) -> DataFrame:

@@ -13,6 +13,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import ArrayType
 
 from tickloom import schemas as S
@@ -32,7 +33,8 @@ def as_text(frames: DataFrame, value: str = "value") -> DataFrame:
     return frames
 
 
-def parse_kucoin(frames: DataFrame, value: str = "value", strict: bool = False) -> DataFrame:
+def parse_kucoin(frames: DataFrame, value: str = "value", strict: bool = False,
+                 schema: T.StructType = S.KUCOIN) -> DataFrame:
     """F14 (+ A7): Kucoin frames -> one row per message in ``msg``.
 
     A WebSocket frame is one JSON object and a Kafka raw message is a JSON
@@ -43,11 +45,13 @@ def parse_kucoin(frames: DataFrame, value: str = "value", strict: bool = False)
     copy of ``from_json`` each. A frame that is not JSON yields one row with
     a null ``msg`` (rejected as malformed); ``[]`` yields none.
     Passthrough columns (``ingest_ts``, ``seq`` ...) are kept; ``raw`` keeps the text.
+    ``schema`` narrows the decode (P1): ``schemas.KUCOIN_TICK_SOURCE`` reads
+    only what the tick transform selects, as the reference's transformer does.
     """
     frames = as_text(frames, value)
     rest = [c for c in frames.columns if c != value]
     opts = {"mode": "FAILFAST"} if strict else {}
-    msgs = F.from_json(F.col(value), ArrayType(S.KUCOIN), opts)
+    msgs = F.from_json(F.col(value), ArrayType(schema), opts)
     return _explode_frames(frames.select(*rest, F.col(value).alias("raw"), msgs.alias("els")), rest, "msg")
 
 
