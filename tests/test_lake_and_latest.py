@@ -126,3 +126,19 @@ def test_flat_csv_and_tee(spark, tmp_dir):
     back = spark.read.option("header", True).csv(f"{tmp_dir}/csv").collect()
     assert seen == [1] and len(back) == 1
     assert back[0].subject == "A-USDT" and back[0].price == "1" and back[0].bestAsk is None or back[0].bestAsk == ""
+
+
+def test_backfill_gap_fill(spark, tmp_dir):
+    from tickloom.sinks.current import backfill, read_snapshot, upsert_batch
+    rows = [("AUSDT", 1.0, dt.datetime(2024, 1, 1, 10), "kucoin", 0, 0),
+            ("AUSDT", 2.0, dt.datetime(2024, 1, 1, 11), "kucoin", 1, 0),
+            ("BUSDT", 3.0, dt.datetime(2024, 1, 2, 11), "kucoin", 2, 0)]
+    ticks = spark.createDataFrame(rows, "symbol string, price double, time timestamp, source string, seq long, pos int") \
+        .withColumn("created_at", F.current_timestamp())
+    LZ.write_ticks(ticks, f"{tmp_dir}/lake")
+    newer = ticks.where("symbol = 'AUSDT' and seq = 1").withColumn("price", F.lit(7.0)) \
+        .withColumn("time", F.lit(dt.datetime(2024, 2, 1)))
+    upsert_batch(newer, 0, f"{tmp_dir}/snap")
+    backfill(spark, f"{tmp_dir}/lake", f"{tmp_dir}/snap", "2024-01-01 00:00:00", "2024-01-03 00:00:00", 1)
+    snap = {r.symbol: r.price for r in read_snapshot(spark, f"{tmp_dir}/snap").collect()}
+    assert snap == {"AUSDT": 7.0, "BUSDT": 3.0}

@@ -115,26 +115,49 @@ def validate_kucoin(parsed: DataFrame, msg: str = "msg", strict: bool = False) -
     return _split(parsed, _first_failure(checks), strict)
 
 
-def parse_binance(frames: DataFrame, value: str = "value", strict: bool = False) -> DataFrame:
-    """F12 + A7: one JSON array per frame -> one row per element.
-
-    ``e`` and ``E`` differ only by case (hazard H1), so the array is parsed
-    twice (with ``E`` and without ``e``, then with ``e`` only) and the two
-    arrays are zipped. ``pos`` is the element position inside its frame. A
-    frame that is not JSON yields one row with a null ``el`` (so it can be
-    rejected); ``[]`` yields no rows.
-    """
-    frames = as_text(frames, value)
-    rest = [c for c in frames.columns if c != value]
+def binance_elements(value: str = "value", strict: bool = False) -> Column:
+    """F12 for Binance: the frame's elements as ARRAY<STRUCT> with friendly
+    names. ``e`` and ``E`` differ only by case (hazard H1), so the array is
+    parsed twice (without ``e``, then ``e`` only) and zipped."""
     opts = {"mode": "FAILFAST"} if strict else {}
     a = F.from_json(F.col(value), S.BINANCE_NO_E, opts)
     b = F.from_json(F.col(value), S.BINANCE_ONLY_E, opts)
-    zipped = F.zip_with(a, b, lambda x, y: F.struct(
+    return F.zip_with(a, b, lambda x, y: F.struct(
         *[(y["e"] if src == "e" else x[src]).alias(dst) for src, dst in S.BINANCE_RENAMES]))
-    parsed = frames.select(*rest, F.col(value).alias("raw"), zipped.alias("els"))
+
+
+def parse_binance(frames: DataFrame, value: str = "value", strict: bool = False) -> DataFrame:
+    """F12 + A7: one JSON array per frame -> one row per element in ``el``;
+    ``pos`` is the element position inside its frame. A frame that is not
+    JSON yields one row with a null ``el`` (so it can be rejected); ``[]``
+    yields no rows."""
+    frames = as_text(frames, value)
+    rest = [c for c in frames.columns if c != value]
+    parsed = frames.select(*rest, F.col(value).alias("raw"), binance_elements(value, strict).alias("els"))
     return _explode_frames(parsed, rest, "el")
 
 
+def binance_valid_frame(frames: DataFrame, value: str = "value") -> DataFrame:
+    """K1 for Binance: a frame is already a batch; keep its valid elements and
+    re-encode them with the wire names, one message per frame (no grouping,
+    no state). Frames with no valid element are dropped."""
+    frames = as_text(frames, value)
+    rest = [c for c in frames.columns if c != value]
+    els = binance_elements(value)
+    ok = F.filter(els, lambda x: _all_present(x, S.BINANCE_REQUIRED))
+    wire = F.transform(ok, lambda x: F.struct(*[x[dst].alias(src) for src, dst in S.BINANCE_RENAMES]))
+    return (frames.select(*rest, wire.alias("_els"))
+            .where(F.size("_els") > 0)
+            .select(*rest, F.to_json("_els").alias("message"), F.size("_els").alias("n")))
+
+
+def _all_present(x: Column, fields) -> Column:
+    cond = F.lit(True)
+    for f in fields:
+        cond = cond & x[f].isNotNull()
+    return cond
+
+
 def validate_binance(rows: DataFrame, el: str = "el", strict: bool = False) -> Split:
     checks: list[tuple[Column, str]] = [(F.col(el).isNotNull(), "malformed")]
     for f in S.BINANCE_REQUIRED:

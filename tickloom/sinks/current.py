@@ -49,6 +49,16 @@ def upsert_batch(ticks: DataFrame, batch_id: int, root: str) -> None:
     latest.write.mode("overwrite").parquet(f"{root.rstrip('/')}/batch={batch_id}")
 
 
+def backfill(spark: SparkSession, lake_root: str, snapshot_root: str, start, end, batch_id: int) -> None:
+    """T8 gap fill: replay a range of the tick lake by event time and fold it
+    into the snapshot; newer prices already there are kept."""
+    from tickloom.sources.landing import replay_event
+    ticks = replay_event(spark, lake_root, start, end)
+    if ticks is not None:
+        upsert_batch(ticks.select(*[c for c in ticks.columns if c not in ("dt", "hour", "hour_key")]),
+                     batch_id, snapshot_root)
+
+
 def jdbc_options(url: str, table: str = "current_price", user: str | None = None,
                  password: str | None = None) -> dict:
     opts = {"url": url, "dbtable": table}

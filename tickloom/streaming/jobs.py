@@ -85,3 +85,53 @@ def start_tee(df: DataFrame, writers: list[Callable[[DataFrame, int], None]], ch
 def run_all(spark: SparkSession, queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
     """Several independent queries; return when any stops (or timeout)."""
     spark.streams.awaitAnyTermination(timeout_s)
+
+
+def start_ingestion(spark: SparkSession, kucoin_frames: DataFrame, binance_frames: DataFrame,
+                    landing_root: str, checkpoint_root: str, kafka: dict | None = None,
+                    text_root: str | None = None, size: int = 50, timeout_ms: int = 1000,
+                    batch_keys=("source",), flush_window: str = "60 seconds",
+                    trigger: dict | None = None, idle_ms: int | None = 1000) -> list[StreamingQuery]:
+    """Entry 1 of the reference (live ingestion), as streaming queries:
+
+    - Kucoin ticker messages -> count-or-timeout batches (A1, default 50 / 1 s
+      over the whole feed; ``batch_keys=("source", "subject")`` for A10) ->
+      one JSON-array message per closed batch to the raw topic (K1).
+    - Binance frames are batches already: each frame's valid elements are
+      re-encoded and produced as one message (K1).
+    - Both feeds' records land in the zone with their ingest envelope,
+      flushed per ``flush_window`` and named after the first item (K5, P15).
+
+    ``kafka`` maps source -> producer options (``sinks.kafka.producer_options``);
+    without a Kafka connector, ``text_root`` receives the same messages as text.
+    ``idle_ms`` flushes an idle key's open batch (the reference's 1 s poll).
+    It makes Spark plan no-data micro-batches forever, so use ``idle_ms=None``
+    with an ``availableNow`` trigger.
+    """
+    from tickloom.operators.envelope import envelope
+    from tickloom.sinks import kafka as KS
+    from tickloom.sinks import landing as LZ
+    from tickloom.streaming.batcher import stream_batches
+
+    trig = trigger or {"processingTime": "1 second"}
+    k_recs = kucoin_records(kucoin_frames).withColumn("source", F.lit("kucoin"))
+    b_recs = binance_records(binance_frames).withColumn("source", F.lit("binance"))
+
+    k_msgs = stream_batches(k_recs, list(batch_keys), "ms", ["seq"], "record", size, timeout_ms, idle_ms)
+    b_msgs = D.binance_valid_frame(binance_frames)
+
+    def sink(msgs: DataFrame, source: str, mode: str) -> StreamingQuery:
+        rows = KS.messages(msgs)
+        ck = f"{checkpoint_root}/{source}-raw"
+        if kafka and source in kafka:
+            return KS.write_stream(rows, kafka[source], ck, trigger=trig)
+        return (rows.writeStream.outputMode(mode).option("checkpointLocation", ck).trigger(**trig)
+                .foreachBatch(lambda d, bid, s=source: d.write.mode("append").text(f"{text_root}/{s}"))
+                .start())
+
+    landed = envelope(k_recs, "record", "source", "ingest_ts").unionByName(
+        envelope(b_recs, "record", "source", "ingest_ts"))
+    land = (landed.writeStream.option("checkpointLocation", f"{checkpoint_root}/landing").trigger(**trig)
+            .foreachBatch(lambda d, bid: LZ.write_landing(LZ.flush_groups(d, flush_window), landing_root))
+            .start())
+    return [sink(k_msgs, "kucoin", "append"), sink(b_msgs, "binance", "append"), land]
