@@ -142,3 +142,28 @@ def test_ingestion_job_tees_batches_and_landing(spark, tmp_dir):
                         "h": "1", "l": "1", "v": "1", "q": "1"}]]
     landed = replay_ingest(spark, f"{tmp_dir}/landing", "kucoin", "2023-11-14 22:00:00", "2023-11-14 23:00:00")
     assert landed.count() == 7
+
+
+def test_normalization_job_raw_to_transformed(spark, tmp_dir):
+    """Entry 2: raw messages (a Kucoin batch array, a Binance frame) -> JSON ticks."""
+    import json as _json
+    import os
+    os.makedirs(f"{tmp_dir}/k")
+    os.makedirs(f"{tmp_dir}/b")
+    with open(f"{tmp_dir}/k/m.txt", "w") as f:
+        f.write("[" + _msg("A-USDT", 1.5, 1000) + "," + _msg("B-BTC", 2.0, 2000) + "]\n")
+    with open(f"{tmp_dir}/b/m.txt", "w") as f:
+        f.write(_json.dumps([{"e": "x", "E": 3000, "s": "CUSDC", "c": "4.25", "o": "1", "h": "1", "l": "1",
+                              "v": "1", "q": "1"}]) + "\n")
+    raw = {"kucoin": text_stream(spark, f"{tmp_dir}/k"), "binance": text_stream(spark, f"{tmp_dir}/b")}
+    qs = J.start_normalization(spark, raw, f"{tmp_dir}/ckpt", text_root=f"{tmp_dir}/out",
+                               trigger={"availableNow": True})
+    try:
+        for q in qs:
+            q.awaitTermination(120)
+    finally:
+        for q in qs:
+            q.stop()
+    got = sorted((_json.loads(r.value)["symbol"], _json.loads(r.value)["price"], _json.loads(r.value)["time"])
+                 for s in ("kucoin", "binance") for r in spark.read.text(f"{tmp_dir}/out/{s}").collect())
+    assert got == [("AUSDT", 1.5, "1970-01-01T00:00:01.000000"), ("CUSDC", 4.25, "1970-01-01T00:00:03.000000")]

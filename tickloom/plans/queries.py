@@ -159,8 +159,10 @@ def current_price(spark, sf_dir):
 
 # ---------------------------------------------------------------- batching
 
-def _symbol_batches(spark, sf_dir):
-    recs = C.kucoin_records(spark, sf_dir).select("subject", "ms", "seq", "ingest_ts", "source", "msg")
+def _symbol_batches(spark, sf_dir, payload=()):
+    """A1 per symbol. The batcher checkpoints its input, which stops column
+    pruning at that point, so callers name the payload they need."""
+    recs = C.kucoin_records(spark, sf_dir).select("subject", "ms", "seq", *payload)
     return B.assign_batches(recs, ["subject"], "ms", ["seq"], size=BATCH_SIZE, timeout_ms=BATCH_TIMEOUT_MS)
 
 
@@ -196,7 +198,7 @@ def micro_batch_aligned(spark, sf_dir):
 def batch_envelope(spark, sf_dir):
     """One JSON-array message per batch, with the first record's
     ingest time and source as the batch's attributes."""
-    tagged = _symbol_batches(spark, sf_dir)
+    tagged = _symbol_batches(spark, sf_dir, ("ingest_ts", "source", "msg"))
     msgs = B.batch_messages(tagged, ["subject"], ["batch_id"], F.col("msg"), ["ms", "seq"],
                             {"first_ingest_ts": "ingest_ts", "source": "source"})
     return msgs.select("subject", "batch_id", "n", "source",
@@ -208,7 +210,7 @@ def batch_envelope(spark, sf_dir):
 def array_roundtrip(spark, sf_dir):
     """F13 -> F12 -> A7: batches encoded as JSON arrays, decoded and exploded
     back to one row per record, in batch order."""
-    tagged = _symbol_batches(spark, sf_dir)
+    tagged = _symbol_batches(spark, sf_dir, ("msg",))
     msgs = B.batch_messages(tagged, ["subject"], ["batch_id"], F.col("msg"), ["ms", "seq"], {})
     rows = msgs.select(F.posexplode(S.decode_array(F.col("message"), SCH.KUCOIN)).alias("idx", "m"))
     return rows.select(F.col("m.data.sequence").cast("long").alias("event_id"),

@@ -135,3 +135,31 @@ def start_ingestion(spark: SparkSession, kucoin_frames: DataFrame, binance_frame
             .foreachBatch(lambda d, bid: LZ.write_landing(LZ.flush_groups(d, flush_window), landing_root))
             .start())
     return [sink(k_msgs, "kucoin", "append"), sink(b_msgs, "binance", "append"), land]
+
+
+def start_normalization(spark: SparkSession, raw: dict[str, DataFrame], checkpoint_root: str,
+                        kafka: dict | None = None, text_root: str | None = None,
+                        trigger: dict | None = None) -> list[StreamingQuery]:
+    """Entry 2 of the reference (normalisation): each raw topic (Kucoin
+    batches as JSON arrays, Binance frames) -> decode, validate, normalise ->
+    one JSON tick per message on the transformed topic (K2, S3 downstream).
+
+    ``raw`` maps source -> streaming DataFrame with a ``value`` column (Kafka
+    rows, or text rows locally). Rejected records stay out of the topic.
+    """
+    from tickloom.sinks import kafka as KS
+
+    trig = trigger or {"processingTime": "1 second"}
+    build = {"kucoin": kucoin_ticks, "binance": binance_ticks}
+    queries = []
+    for source, frames in raw.items():
+        if "seq" not in frames.columns:
+            frames = frames.withColumn("seq", F.lit(None).cast("long"))
+        ticks = build[source](frames).select("symbol", "price", "time", "source", "created_at")
+        rows = KS.ticks_message(ticks)
+        ck = f"{checkpoint_root}/{source}-transformed"
+        if kafka and source in kafka:
+            queries.append(KS.write_stream(rows, kafka[source], ck, trigger=trig))
+        else:
+            queries.append(KS.write_stream(rows, {}, ck, fmt="text", path=f"{text_root}/{source}", trigger=trig))
+    return queries
