@@ -89,3 +89,21 @@ def test_null_time_rows_are_kept(spark):
     df = spark.createDataFrame(rows, "k string, ms long, id long")
     got = {r.id: r.batch_id for r in assign_batches(df, ["k"], "ms", ["id"], size=2, timeout_ms=10, partitions=2).collect()}
     assert got == {0: 0, 1: None, 2: 0}
+
+
+@pytest.mark.parametrize("arrow_rows", [3, 7])
+def test_tiny_arrow_batches_carry_state_across_chunks(spark, arrow_rows):
+    """Both Arrow passes stream over batches; force batch boundaries inside
+    segments so the carried fold state is exercised."""
+    rnd = random.Random(arrow_rows)
+    rows, t = [], 0
+    for i in range(900):
+        t += rnd.choice([0, 1, 3, 40])
+        rows.append((rnd.choice(["HOT", "HOT", "HOT", "x", "y"]), t, i))
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(arrow_rows))
+    try:
+        for size, timeout, parts in [(5, 60, 7), (2, 3, 13), (9, 1000, 3)]:
+            assert run(spark, rows, size, timeout, parts) == brute(rows, size, timeout)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)

@@ -75,40 +75,79 @@ def _walk(nxt: list[int], entry: int, m: int) -> list[int]:
     return starts
 
 
-def _exit_state(t: np.ndarray, nxt: list[int], last_start: int | None, m: int) -> tuple[int, int]:
-    """(open count, open start time) after the segment; (0, 0) if closed."""
-    if last_start is None or nxt[last_start] <= m:
-        return 0, 0
-    return m - last_start, int(t[last_start])
+class _Fold:
+    """One key's fold, fed chunk by chunk in order. ``skip`` rows still belong
+    to a batch opened before this point (the stitch's entry offset); ``n``,
+    ``st`` describe the open batch (n == 0: none); ``cnt`` counts starts."""
+
+    __slots__ = ("skip", "n", "st", "cnt")
+
+    def __init__(self, skip: int = 0, n: int = 0, st: int = 0):
+        self.skip, self.n, self.st, self.cnt = skip, n, st, 0
+
+    def state(self) -> tuple[int, int, int]:
+        return self.skip, self.n, self.st
+
+    def feed(self, t: np.ndarray, size: int, timeout: int) -> np.ndarray:
+        """Consume the next times of the key; return the local batch starts."""
+        m, i = len(t), 0
+        if self.skip:
+            i = min(self.skip, m)
+            self.skip -= i
+            if i == m:
+                return _NONE
+        if self.n:                              # close the carried batch on the first rows
+            lim = min(m - i, size - self.n)
+            hit = np.flatnonzero(((t[i:i + lim] - self.st) >= timeout)
+                                 | (np.arange(self.n + 1, self.n + lim + 1) >= size))
+            if len(hit) == 0:                   # the whole chunk joins it
+                self.n += m - i
+                return _NONE
+            i += int(hit[0]) + 1
+            self.n, self.st = 0, 0
+            if i == m:
+                return _NONE
+        nxt = _next_start(t[i:], size, timeout).tolist()
+        starts = _walk(nxt, 0, m - i)
+        self.cnt += len(starts)
+        last = starts[-1]
+        if nxt[last] > m - i:                   # still open at the end of the chunk
+            self.n, self.st = m - i - last, int(t[i + last])
+        else:
+            self.n, self.st = 0, 0
+        return np.asarray(starts, dtype=np.int64) + i
 
 
-def _transfer_table(t: np.ndarray, size: int, timeout: int):
-    """For entry offsets e in [0, min(size, m)): batches started and the open
-    batch at the end. Orbits that meet share their tail, so each position is
-    walked at most once per distinct orbit."""
-    m = len(t)
-    nxt = _next_start(t, size, timeout).tolist()
-    k = min(size, m)
-    remaining = {}      # position -> starts from here to the end (on its orbit)
-    orbit_exit = {}     # position -> exit state of its orbit
-    cnt, n_open, st_open = [0] * k, [0] * k, [0] * k
-    for e in range(k):
-        path = []
-        s = e
-        while s < m and s not in remaining:
-            path.append(s)
-            s = nxt[s]
-        if s < m:
-            tail, state = remaining[s], orbit_exit[s]
-        else:
-            tail = 0
-            state = _exit_state(t, nxt, path[-1] if path else None, m)
-        for idx, p in enumerate(path):
-            remaining[p] = tail + len(path) - idx
-            orbit_exit[p] = state
-        cnt[e] = len(path) + tail
-        n_open[e], st_open[e] = state
-    return cnt, n_open, st_open
+_NONE = np.zeros(0, dtype=np.int64)
+
+
+class _Candidates:
+    """The transfer table of a segment that may continue a batch: one fold per
+    entry offset e in [0, size). Folds that reach the same state have the same
+    future, so they are merged and only their count offsets are kept."""
+
+    def __init__(self, size: int):
+        self.groups = [(_Fold(skip=e), [(e, 0)]) for e in range(size)]
+
+    def feed(self, t: np.ndarray, size: int, timeout: int) -> None:
+        merged: dict[tuple, tuple[_Fold, list]] = {}
+        for fold, members in self.groups:
+            fold.feed(t, size, timeout)
+            key = fold.state()
+            if key in merged:
+                rep, rep_members = merged[key]
+                rep_members.extend((e, off + fold.cnt - rep.cnt) for e, off in members)
+            else:
+                merged[key] = (fold, members)
+        self.groups = list(merged.values())
+
+    def table(self, k: int) -> tuple[list[int], list[int], list[int]]:
+        cnt, n_open, st_open = [0] * k, [0] * k, [0] * k
+        for fold, members in self.groups:
+            for e, off in members:
+                if e < k:
+                    cnt[e], n_open[e], st_open[e] = fold.cnt + off, fold.n, fold.st
+        return cnt, n_open, st_open
 
 
 def _segments(keys: list[np.ndarray], n: int) -> list[tuple[int, int]]:
@@ -130,17 +169,19 @@ def _differs(a: np.ndarray) -> np.ndarray:
     return x != y
 
 
-def _split_by_pid(table: pa.Table) -> Iterator[tuple[int, pa.Table]]:
-    pid = table.column(PID).to_numpy()
-    if len(pid) == 0:
-        return
-    cuts = np.flatnonzero(pid[1:] != pid[:-1]) + 1
-    bounds = [0, *cuts.tolist(), len(pid)]
-    for a, b in zip(bounds[:-1], bounds[1:]):
-        yield int(pid[a]), table.slice(a, b - a)
+def _chunk_segments(rb: pa.RecordBatch, keys: Sequence[str], ms: str):
+    """Times of one Arrow batch and its runs of equal ``(pid, key)``."""
+    t = rb.column(ms).to_numpy(zero_copy_only=False).astype(np.int64)
+    karr = _key_arrays(rb, [PID, *keys])
+    segs = _segments(karr, rb.num_rows)
+    return t, [(a, b, tuple(_py(arr[a]) for arr in karr)) for a, b in segs]
+
 
+def _py(v):
+    return v.item() if hasattr(v, "item") else v
 
-def _key_arrays(table: pa.Table, keys: Sequence[str]) -> list[np.ndarray]:
+
+def _key_arrays(table, keys: Sequence[str]) -> list[np.ndarray]:
     out = []
     for k in keys:
         col = table.column(k)
@@ -168,35 +209,58 @@ def _summary_schema(key_fields: list[T.StructField]) -> T.StructType:
 
 
 def _summarise(keys, ms, size, timeout, schema: T.StructType):
+    """Arrow pass 1: per partition, the boundary segments' fold summaries.
+    Streams over the partition's Arrow batches; memory is one batch plus at
+    most ``size`` fold states."""
     from pyspark.sql.pandas.types import to_arrow_schema
     arrow_schema = to_arrow_schema(schema)
 
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))
-        if table.num_rows == 0:
-            return
-        rows = []
-        for pid, part in _split_by_pid(table):
-            t_all = part.column(ms).to_numpy().astype(np.int64)
-            karr = _key_arrays(part, keys)
-            segs = _segments(karr, part.num_rows)
-            for idx, (a, b) in enumerate(segs):
-                if idx not in (0, len(segs) - 1):
-                    continue          # keys wholly inside the partition: no stitch needed
-                t = t_all[a:b]
-                kv = {k: (karr[i][a].item() if hasattr(karr[i][a], "item") else karr[i][a])
-                      for i, k in enumerate(keys)}
-                if idx == 0:
-                    cnt, n_open, st_open = _transfer_table(t, size, timeout)
-                    rows.append({**kv, PID: pid, "role": "first", "m": b - a,
-                                 "heads": t[: size - 1].tolist(), "cnt": cnt,
-                                 "n_open": n_open, "st_open": st_open})
-                else:
-                    nxt = _next_start(t, size, timeout).tolist()
-                    starts = _walk(nxt, 0, b - a)
-                    n0, s0 = _exit_state(t, nxt, starts[-1] if starts else None, b - a)
-                    rows.append({**kv, PID: pid, "role": "last", "m": b - a, "heads": [],
-                                 "cnt": [len(starts)], "n_open": [n0], "st_open": [s0]})
+        rows: list[dict] = []
+        cur = None           # (pid, *key) of the open segment
+        st = {}              # its fold state
+        pending = None       # a finished non-first segment: emitted if it ends its partition
+
+        def close():
+            nonlocal pending
+            if cur is None:
+                return
+            kv = dict(zip(keys, cur[1:]))
+            if st["first"]:
+                k = min(size, st["m"])
+                cnt, n_open, st_open = st["fold"].table(k)
+                rows.append({**kv, PID: cur[0], "role": "first", "m": st["m"], "heads": st["heads"],
+                             "cnt": cnt, "n_open": n_open, "st_open": st_open})
+            else:
+                f = st["fold"]
+                pending = {**kv, PID: cur[0], "role": "last", "m": st["m"], "heads": [],
+                           "cnt": [f.cnt], "n_open": [f.n], "st_open": [f.st]}
+
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            t, segs = _chunk_segments(rb, keys, ms)
+            for a, b, kv in segs:
+                if kv != cur:
+                    close()
+                    first = cur is None or kv[0] != cur[0]
+                    if first and pending is not None:
+                        rows.append(pending)     # the previous partition's last segment
+                    pending = None
+                    cur = kv
+                    st = {"first": first, "m": 0, "heads": [],
+                          "fold": _Candidates(size) if first else _Fold()}
+                chunk = t[a:b]
+                st["m"] += b - a
+                if st["first"] and len(st["heads"]) < size - 1:
+                    st["heads"].extend(chunk[: size - 1 - len(st["heads"])].tolist())
+                st["fold"].feed(chunk, size, timeout)
+            if len(rows) >= 1024:
+                yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
+                rows = []
+        close()
+        if pending is not None:
+            rows.append(pending)
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
     return fn
@@ -236,29 +300,37 @@ def _stitch(size, timeout):
     return fn
 
 
-def _assign(keys, ms, size, timeout):
+def _assign(keys, ms, size, timeout, out_schema: T.StructType):
+    """Arrow pass 2: re-fold every partition from its resolved entry and tag
+    each row with its batch id, one output batch per input batch."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    arrow_schema = to_arrow_schema(out_schema)
+    out_names = [f.name for f in out_schema.fields if f.name != "batch_id"]
+
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))
-        if table.num_rows == 0:
-            return
-        for pid, part in _split_by_pid(table):
-            t_all = part.column(ms).to_numpy().astype(np.int64)
-            entry0 = part.column("_tl_entry")[0].as_py()
-            base0 = part.column("_tl_base")[0].as_py()
-            ids = np.empty(part.num_rows, dtype=np.int64)
-            segs = _segments(_key_arrays(part, keys), part.num_rows)
-            for idx, (a, b) in enumerate(segs):
-                t = t_all[a:b]
-                m = b - a
-                entry, base = (int(entry0), int(base0)) if (idx == 0 and entry0 is not None) else (0, 0)
-                flags = np.zeros(m, dtype=np.int64)
-                if entry < m:
-                    nxt = _next_start(t, size, timeout).tolist()
-                    flags[_walk(nxt, entry, m)] = 1
-                ids[a:b] = base - 1 + np.cumsum(flags)
-            out = part.drop_columns(["_tl_entry", "_tl_base"]).append_column(
-                "batch_id", pa.array(ids, pa.int64()))
-            yield from out.to_batches()
+        cur, fold, next_id = None, None, 0
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            t, segs = _chunk_segments(rb, keys, ms)
+            ids = np.empty(rb.num_rows, dtype=np.int64)
+            entry_col = rb.column(rb.schema.get_field_index("_tl_entry"))
+            base_col = rb.column(rb.schema.get_field_index("_tl_base"))
+            for a, b, kv in segs:
+                if kv != cur:
+                    if cur is None or kv[0] != cur[0]:      # first segment of a partition
+                        entry, base = entry_col[a].as_py(), base_col[a].as_py()
+                        fold, next_id = _Fold(skip=int(entry or 0)), int(base or 0)
+                    else:
+                        fold, next_id = _Fold(), 0
+                    cur = kv
+                starts = fold.feed(t[a:b], size, timeout)
+                flags = np.zeros(b - a, dtype=np.int64)
+                flags[starts] = 1
+                ids[a:b] = next_id - 1 + np.cumsum(flags)
+                next_id += len(starts)
+            cols = [rb.column(rb.schema.get_field_index(n)) for n in out_names]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(ids, pa.int64())], schema=arrow_schema)
     return fn
 
 
@@ -310,7 +382,7 @@ def assign_batches(df: DataFrame, keys: Sequence[str], ms: str, order: Sequence[
     schema = T.StructType([*[f for f in ranged.schema.fields],
                            T.StructField("batch_id", T.LongType())])
     joined = joined.select(*[f.name for f in ranged.schema.fields], "_tl_entry", "_tl_base")
-    tagged = joined.mapInArrow(_assign(keys, ms, size, timeout_ms), schema).drop(PID, POS)
+    tagged = joined.mapInArrow(_assign(keys, ms, size, timeout_ms, schema), schema).drop(PID, POS)
     # rows without a time cannot be ordered: kept, with a null batch id
     untimed = untimed.checkpoint(eager=True)
     src.unpersist()
