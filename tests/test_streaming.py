@@ -167,3 +167,15 @@ def test_normalization_job_raw_to_transformed(spark, tmp_dir):
     got = sorted((_json.loads(r.value)["symbol"], _json.loads(r.value)["price"], _json.loads(r.value)["time"])
                  for s in ("kucoin", "binance") for r in spark.read.text(f"{tmp_dir}/out/{s}").collect())
     assert got == [("AUSDT", 1.5, "1970-01-01T00:00:01.000000"), ("CUSDC", 4.25, "1970-01-01T00:00:03.000000")]
+
+
+def test_bounded_poll_max_files_per_trigger(spark, tmp_dir):
+    """At most one file per micro-batch."""
+    src = f"{tmp_dir}/in"
+    for i in range(3):
+        spark.createDataFrame([(_msg("A-USDT", 1.0, 1000 + i), None, i)], SCHEMA).write.mode("append").parquet(src)
+    ticks = J.kucoin_ticks(frames_stream(spark, src, SCHEMA, max_files_per_trigger=1))
+    q = J.start(ticks.drop("created_at"), f"{tmp_dir}/ckpt", path=f"{tmp_dir}/out", trigger={"availableNow": True})
+    q.awaitTermination(120)
+    sizes = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
+    assert sizes == [1, 1, 1]

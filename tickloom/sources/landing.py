@@ -29,6 +29,9 @@ LANDING_SCHEMA = T.StructType([
 
 
 def _ts(x) -> _dt.datetime:
+    """A range bound; ``None`` means now (UTC), evaluated at call time (H8)."""
+    if x is None:
+        return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     return x if isinstance(x, _dt.datetime) else _dt.datetime.fromisoformat(str(x))
 
 
@@ -61,7 +64,7 @@ def _read_range(spark: SparkSession, root: str, start, end, source, reader) -> D
         return None
 
 
-def replay_ingest(spark: SparkSession, root: str, source: str, start, end) -> DataFrame:
+def replay_ingest(spark: SparkSession, root: str, source: str, start, end=None) -> DataFrame:
     """S9 + S10: envelope rows of the flushes whose object time is in range."""
     s, e = _ts(start), _ts(end)
     df = _read_range(spark, root, s, e, source, lambda r, p: r.schema(LANDING_SCHEMA).json(p))
@@ -72,7 +75,7 @@ def replay_ingest(spark: SparkSession, root: str, source: str, start, end) -> Da
             .where(t.between(F.lit(s), F.lit(e))))
 
 
-def replay_event(spark: SparkSession, root: str, start, end, source: str | None = None) -> DataFrame | None:
+def replay_event(spark: SparkSession, root: str, start, end=None, source: str | None = None) -> DataFrame | None:
     """H10 event-time mode over the tick lake (partitioned by event hour)."""
     s, e = _ts(start), _ts(end)
     df = _read_range(spark, root, s, e, source, lambda r, p: r.parquet(p))
@@ -93,8 +96,7 @@ def list_objects(spark: SparkSession, root: str, source: str, start=None, end=No
     files = files.select("path", key_time(F.col("path")).alias("file_time")).where(F.col("file_time").isNotNull())
     if start is not None:
         files = files.where(F.col("file_time") >= F.lit(_ts(start)))
-    if end is not None:
-        files = files.where(F.col("file_time") <= F.lit(_ts(end)))
+    files = files.where(F.col("file_time") <= F.lit(_ts(end)))
     return files
 
 
@@ -111,6 +113,5 @@ def read_objects(spark: SparkSession, root: str, source: str, schema: T.DataType
     cond = t.isNotNull()
     if start is not None:
         cond = cond & (t >= F.lit(_ts(start)))
-    if end is not None:
-        cond = cond & (t <= F.lit(_ts(end)))
+    cond = cond & (t <= F.lit(_ts(end)))
     return df.where(cond).select("*", F.col("_metadata.file_name").alias("object_name"))
