@@ -107,3 +107,13 @@ def test_tiny_arrow_batches_carry_state_across_chunks(spark, arrow_rows):
             assert run(spark, rows, size, timeout, parts) == brute(rows, size, timeout)
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_shuffle_join_fallback_above_broadcast_bound(spark, monkeypatch):
+    """Above the broadcast bound the resolution is shuffle-joined and the
+    rows re-sorted by (partition, position); results must not change."""
+    import tickloom.operators.batching as B
+    monkeypatch.setattr(B, "MAX_BROADCAST_PARTITIONS", 0)
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["HOT", "HOT", "a"]), rnd.randint(0, 400), i) for i in range(500)]
+    assert run(spark, rows, 4, 25, 11) == brute(rows, 4, 25)

@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PID, POS = "_tl_pid", "_tl_pos"
-# Rows of the resolution table are fixed-width (four longs + key), one per
-# partition; above this many partitions the table is joined by shuffle.
+# The resolution table has one row of three longs per range partition; it is
+# broadcast up to this many partitions (~50 MB) and shuffle-joined above.
 MAX_BROADCAST_PARTITIONS = 2_000_000
 
 

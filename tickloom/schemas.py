@@ -57,11 +57,6 @@ KUCOIN_TICK_SOURCE = T.StructType([
         T.StructField("time", T.LongType()),
     ])),
 ])
-BINANCE_TICK_SOURCE = T.ArrayType(T.StructType([
-    T.StructField("s", T.StringType()),
-    T.StructField("c", T.StringType()),
-    T.StructField("E", T.LongType()),
-]))
 
 TICK = T.StructType([
     T.StructField("symbol", T.StringType()),
@@ -70,7 +65,6 @@ TICK = T.StructType([
     T.StructField("source", T.StringType()),
     T.StructField("created_at", T.TimestampType()),
 ])
-TICK_COLUMNS = tuple(f.name for f in TICK.fields)
 
 # Landing-zone envelope (P15): the raw record kept as JSON text.
 ENVELOPE = T.StructType([
@@ -82,5 +76,3 @@ ENVELOPE = T.StructType([
 # Flat CSV layout of a Kucoin message (P10).
 FLAT_TICKER_COLUMNS = ("topic", "type", "subject", "bestAsk", "bestAskSize", "bestBid",
                        "bestBidSize", "price", "sequence", "size", "time")
-
-SOURCES = ("kucoin", "binance")

@@ -15,6 +15,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of collected (unreferenced) DataFrames are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
