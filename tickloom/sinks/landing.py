@@ -20,13 +20,18 @@ def partition_columns(ts: str | Column) -> list[Column]:
     return [F.date_format(t, "yyyy-MM-dd").alias("dt"), F.hour(t).alias("hour")]
 
 
-def flush_groups(env: DataFrame, window: str = "60 seconds") -> DataFrame:
+def flush_groups(env: DataFrame, window: str = "60 seconds", partitions: int | None = None) -> DataFrame:
     """A5 in bounded form: envelope rows -> flushes of ``window`` ingest time
     per source (aligned windows). Each flush is named after its first item
-    (A4 + F7). The min runs per (source, window), a group bounded by the feed
-    rate over one window."""
-    w_start = F.window("ingest_ts", window).start
-    flushed = env.withColumn("_flush", w_start)
+    (A4 + F7).
+
+    One range exchange on ``(source, flush)`` serves both the per-flush min
+    (its clustering is satisfied, so no second shuffle) and the write layout
+    (each task holds contiguous flushes, hence few hour directories). A flush
+    is bounded by the feed rate over one window."""
+    n = partitions or int(env.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    flushed = (env.withColumn("_flush", F.window("ingest_ts", window).start)
+               .repartitionByRange(n, "source", "_flush"))
     first = F.min("ingest_ts").over(Window.partitionBy("source", "_flush"))
     return (flushed.withColumn("object_ts", first)
             .withColumn("object_key", object_name(F.col("source"), F.col("object_ts")))
@@ -35,12 +40,14 @@ def flush_groups(env: DataFrame, window: str = "60 seconds") -> DataFrame:
 
 def write_landing(flushed: DataFrame, root: str, compression: str = "gzip", by_event: str | None = None) -> None:
     """K5: append envelope rows (``data, ingest_ts, source, object_key``) as
-    JSON lines under ``root/source=/dt=/hour=``. Partitions come from the
-    object (ingest) time; pass ``by_event`` (an event-time column) to lay the
-    zone out by event hour instead (K6)."""
+    JSON lines under ``root/source=/dt=/hour=`` of the object (ingest) time;
+    rows from :func:`flush_groups` are already clustered for that layout.
+    Pass ``by_event`` (an event-time column) to lay the zone out by event
+    hour instead (K6); that layout is clustered here."""
     part_ts = by_event or "object_ts"
     out = flushed.select("data", "ingest_ts", "object_key", "source", *partition_columns(part_ts))
-    (_cluster(out, part_ts if by_event else "ingest_ts").write.mode("append").partitionBy("source", "dt", "hour")
+    out = _cluster(out, part_ts) if by_event else out.sortWithinPartitions("source", "dt", "hour", "ingest_ts")
+    (out.write.mode("append").partitionBy("source", "dt", "hour")
      .option("compression", compression).json(root))
 
 
