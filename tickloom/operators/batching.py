@@ -34,6 +34,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -150,46 +151,27 @@ class _Candidates:
         return cnt, n_open, st_open
 
 
-def _segments(keys: list[np.ndarray], n: int) -> list[tuple[int, int]]:
+def _runs(cols: list[pa.Array], n: int) -> list[tuple[int, int]]:
+    """Runs of equal key tuples (nulls equal to nulls), vectorised in Arrow."""
     if n == 0:
         return []
     change = np.zeros(n, dtype=bool)
     change[0] = True
-    for a in keys:
-        if n > 1:
-            change[1:] |= _differs(a)
+    if n > 1:
+        for c in cols:
+            x, y = c.slice(1), c.slice(0, n - 1)
+            xn, yn = pc.is_null(x), pc.is_null(y)
+            diff = pc.or_(pc.fill_null(pc.not_equal(x, y), False), pc.xor(xn, yn))
+            change[1:] |= diff.to_numpy(zero_copy_only=False)
     b = np.flatnonzero(change).tolist() + [n]
     return list(zip(b[:-1], b[1:]))
 
 
-def _differs(a: np.ndarray) -> np.ndarray:
-    x, y = a[1:], a[:-1]
-    if a.dtype == object:
-        return np.array([not (u == v or (u is None and v is None)) for u, v in zip(x, y)], dtype=bool)
-    return x != y
-
-
 def _chunk_segments(rb: pa.RecordBatch, keys: Sequence[str], ms: str):
     """Times of one Arrow batch and its runs of equal ``(pid, key)``."""
-    t = rb.column(ms).to_numpy(zero_copy_only=False).astype(np.int64)
-    karr = _key_arrays(rb, [PID, *keys])
-    segs = _segments(karr, rb.num_rows)
-    return t, [(a, b, tuple(_py(arr[a]) for arr in karr)) for a, b in segs]
-
-
-def _py(v):
-    return v.item() if hasattr(v, "item") else v
-
-
-def _key_arrays(table, keys: Sequence[str]) -> list[np.ndarray]:
-    out = []
-    for k in keys:
-        col = table.column(k)
-        if pa.types.is_integer(col.type) and col.null_count == 0:
-            out.append(col.to_numpy())
-        else:
-            out.append(np.array(col.to_pylist(), dtype=object))
-    return out
+    t = rb.column(rb.schema.get_field_index(ms)).to_numpy(zero_copy_only=False).astype(np.int64)
+    cols = [rb.column(rb.schema.get_field_index(k)) for k in (PID, *keys)]
+    return t, [(a, b, tuple(c[a].as_py() for c in cols)) for a, b in _runs(cols, rb.num_rows)]
 
 
 # --------------------------------------------------------------------------
