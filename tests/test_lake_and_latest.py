@@ -142,3 +142,14 @@ def test_backfill_gap_fill(spark, tmp_dir):
     backfill(spark, f"{tmp_dir}/lake", f"{tmp_dir}/snap", "2024-01-01 00:00:00", "2024-01-03 00:00:00", 1)
     snap = {r.symbol: r.price for r in read_snapshot(spark, f"{tmp_dir}/snap").collect()}
     assert snap == {"AUSDT": 7.0, "BUSDT": 3.0}
+
+
+def test_landing_by_event_hour(spark, tmp_dir):
+    """K6: the raw zone laid out by event hour instead of ingest time."""
+    env = _envelopes(spark, [dt.datetime(2024, 1, 1, 10, 0, 0), dt.datetime(2024, 1, 1, 10, 0, 1)])
+    env = env.withColumn("event_ts", F.when(F.col("data").contains('"0"'), F.lit(dt.datetime(2023, 12, 31, 23, 59)))
+                         .otherwise(F.lit(dt.datetime(2024, 1, 1, 9, 0))))
+    LZ.write_landing(LZ.flush_groups(env, "60 seconds").withColumn("event_ts", F.col("event_ts")), tmp_dir,
+                     by_event="event_ts")
+    got = sorted((r.dt, r.hour) for r in spark.read.json(tmp_dir).select("dt", "hour").collect())
+    assert [(str(d), h) for d, h in got] == [("2023-12-31", 23), ("2024-01-01", 9)]

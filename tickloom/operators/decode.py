@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.types import ArrayType
 
 from tickloom import schemas as S
-from tickloom.functions.scalar import decode_object, present, utf8_decode
+from tickloom.functions.scalar import present, utf8_decode
 
 
 class Split(NamedTuple):
