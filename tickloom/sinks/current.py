@@ -1,10 +1,12 @@
 """Current-price table (K7): a keyed snapshot kept by ``foreachBatch``.
 
-Each micro-batch folds its ticks into the latest snapshot and writes the
-result as a new snapshot folder named after the batch id, then the previous
-ones can be vacuumed. A replayed batch id rewrites the same folder, so the
-sink is idempotent (T6). A JDBC upsert target is supported through options;
-the Postgres driver is not in this container.
+Each micro-batch folds its ticks into the previous snapshot and writes the
+result into one of ``SLOTS`` slot folders (``batch_id % SLOTS``), then records
+the batch id in a small ``_committed`` pointer. Storage and listing stay
+constant however long the stream runs. A replayed batch id reads the previous
+batch's slot, which it never touches, and rewrites its own, so the sink is
+idempotent (T6). A JDBC upsert target is supported through options; the
+Postgres driver is not in this container.
 """
 
 from __future__ import annotations
@@ -16,27 +18,39 @@ from pyspark.sql import functions as F
 from tickloom.operators.latest import current_price, merge_latest
 
 SNAPSHOT_COLUMNS = ("source", "symbol", "price", "time", "created_at")
+SLOTS = 3
 
 
-def _snapshots(spark: SparkSession, root: str) -> DataFrame | None:
-    """All snapshot folders (``batch=N``) by partition discovery, or None."""
+def _slot(root: str, batch_id: int) -> str:
+    return f"{root.rstrip('/')}/slot-{batch_id % SLOTS}"
+
+
+def _pointer(root: str) -> str:
+    return f"{root.rstrip('/')}/_committed"
+
+
+def last_committed(spark: SparkSession, root: str) -> int | None:
+    """The newest batch id whose snapshot is complete (one scalar)."""
     try:
-        return spark.read.parquet(root)
+        return spark.read.json(_pointer(root)).agg(F.max("batch")).first()[0]
     except AnalysisException:
         return None
 
 
 def read_snapshot(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
-    """The newest complete snapshot (optionally older than batch ``before``)."""
-    snaps = _snapshots(spark, root)
-    if snaps is None:
+    """The newest complete snapshot, or the one of the batch just before
+    ``before`` (what batch ``before`` folds into)."""
+    last = last_committed(spark, root)
+    if last is None:
         return None
-    if before is not None:
-        snaps = snaps.where(F.col("batch") < before)
-    newest = snaps.agg(F.max("batch")).first()[0]   # one scalar: which folder to read
-    if newest is None:
+    b = last if before is None or last < before else before - 1
+    if b < 0:
+        return None
+    try:
+        snap = spark.read.parquet(_slot(root, b))
+    except AnalysisException:
         return None
-    return snaps.where(F.col("batch") == newest).drop("batch")
+    return snap.where(F.col("batch") == b).drop("batch")
 
 
 def upsert_batch(ticks: DataFrame, batch_id: int, root: str) -> None:
@@ -46,7 +60,8 @@ def upsert_batch(ticks: DataFrame, batch_id: int, root: str) -> None:
     prev = read_snapshot(spark, root, before=batch_id)
     if prev is not None:
         latest = merge_latest(prev.select(*SNAPSHOT_COLUMNS), latest)
-    latest.write.mode("overwrite").parquet(f"{root.rstrip('/')}/batch={batch_id}")
+    latest.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(_slot(root, batch_id))
+    spark.createDataFrame([(batch_id,)], "batch long").write.mode("overwrite").json(_pointer(root))
 
 
 def source_view(snapshot: DataFrame, source: str) -> DataFrame:
