@@ -16,7 +16,7 @@ from tickloom.session import scratch_path
 from tickloom.sources import feeds
 from tickloom.sources.streams import frames_stream
 from tickloom.streaming import jobs as J
-from tickloom.streaming.batcher import stream_batches
+from tickloom.streaming.batcher import open_batches, stream_batches
 
 FRAME_SCHEMA = T.StructType([
     T.StructField("value", T.StringType()),
@@ -99,8 +99,5 @@ def stream_micro_batch(spark: SparkSession, sf_dir: str, size: int, timeout_ms:
     finally:
         q.stop()
     closed = spark.read.parquet(f"{root}/out").select("subject", "batch_id", "n", "first_ms", "last_ms")
-    state = spark.read.format("statestore").load(f"{root}/ckpt")
-    open_ = state.select(F.col("key.subject").alias("subject"), F.col("value.groupState.batch_id").alias("batch_id"),
-                         F.col("value.groupState.n").alias("n"), F.col("value.groupState.start_ms").alias("first_ms"),
-                         F.col("value.groupState.last_ms").alias("last_ms")).where(F.col("n") > 0)
+    open_ = open_batches(spark, f"{root}/ckpt", ["subject"])
     return closed.unionByName(open_)

@@ -114,3 +114,17 @@ def stream_batches(records: DataFrame, keys: Sequence[str], ms: str, order: Sequ
                                     _output_schema(key_fields), STATE_SCHEMA, "append",
                                     GroupStateTimeout.ProcessingTimeTimeout if idle_ms
                                     else GroupStateTimeout.NoTimeout))
+
+
+def open_batches(spark, checkpoint: str, keys: Sequence[str]) -> DataFrame:
+    """A6 at the end of a bounded stream: the batches still open in the
+    batcher's state, read from the query checkpoint with the ``statestore``
+    source (``keys, batch_id, n, first_ms, last_ms``)."""
+    from pyspark.sql import functions as F
+    state = spark.read.format("statestore").load(checkpoint)
+    return (state.select(*[F.col(f"key.{k}").alias(k) for k in keys],
+                         F.col("value.groupState.batch_id").alias("batch_id"),
+                         F.col("value.groupState.n").alias("n"),
+                         F.col("value.groupState.start_ms").alias("first_ms"),
+                         F.col("value.groupState.last_ms").alias("last_ms"))
+            .where(F.col("n") > 0))
