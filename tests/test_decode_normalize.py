@@ -156,3 +156,19 @@ def test_narrow_schema_tick_path(spark):
     assert parsed.schema["msg"].dataType.names == ["subject", "data"]
     r = N.normalize(parsed, N.KUCOIN).first()
     assert r.symbol == "CROUSDT" and r.price == 0.10604
+
+
+def test_kafka_binary_values_are_decoded(spark):
+    rows = [(bytearray(ku().encode("utf-8")), 0)]
+    df = spark.createDataFrame(rows, "value binary, seq long")
+    t = N.normalize(D.validate_kucoin(D.drop_control_frames(D.parse_kucoin(df))).valid, N.KUCOIN).collect()
+    assert [(r.symbol, r.price) for r in t] == [("CROUSDT", 0.10604)]
+
+
+def test_scalar_helpers(spark):
+    from tickloom.functions import scalar as S
+    df = spark.createDataFrame([("A-B-USDT", None, "x")], "s string, n string, t string")
+    r = df.select(S.strip_hyphens("s").alias("a"), S.default_if_missing("n").alias("b"),
+                  S.present("n").alias("c"), S.has_quote("n").alias("d"),
+                  S.utf8_decode(S.utf8_encode("t")).alias("e")).first()
+    assert (r.a, r.b, r.c, r.d, r.e) == ("ABUSDT", "", False, False, "x")
