@@ -117,3 +117,12 @@ def test_shuffle_join_fallback_above_broadcast_bound(spark, monkeypatch):
     rnd = random.Random(3)
     rows = [(rnd.choice(["HOT", "HOT", "a"]), rnd.randint(0, 400), i) for i in range(500)]
     assert run(spark, rows, 4, 25, 11) == brute(rows, 4, 25)
+
+
+def test_multi_column_keys(spark):
+    rnd = random.Random(11)
+    rows = [(rnd.choice(["kucoin", "binance"]), rnd.randint(0, 3), rnd.randint(0, 300), i) for i in range(700)]
+    df = spark.createDataFrame(rows, "src string, sym long, ms long, id long")
+    tagged = assign_batches(df, ["src", "sym"], "ms", ["id"], size=4, timeout_ms=20, partitions=9)
+    got = {r.id: ((r.src, r.sym), r.batch_id) for r in tagged.collect()}
+    assert got == brute([((s, k), ms, i) for s, k, ms, i in rows], 4, 20)

@@ -157,6 +157,14 @@ select k as source, b as batch_id, count(*) as n, min(ms) as first_ms, max(ms) a
 from f group by 1, 2
 """
 
+SQL["micro_batch_feed_symbol"] = fold_sql(
+    "(select * from ku union all select * from bi)", "source || '|' || subject",
+    Q.BATCH_SIZE, Q.BATCH_TIMEOUT_MS) + """
+select split_part(k, '|', 1) as source, split_part(k, '|', 2) as subject, b as batch_id, count(*) as n,
+       min(ms) as first_ms, max(ms) as last_ms
+from f group by k, b
+"""
+
 SQL["micro_batch_aligned"] = f"""
 with {FX}, {KU},
 w as (

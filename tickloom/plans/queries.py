@@ -183,6 +183,17 @@ def micro_batch_source(spark, sf_dir):
     return B.batch_stats(tagged, ["source"], "ms")
 
 
+@register
+def micro_batch_feed_symbol(spark, sf_dir):
+    """A1 + A2 + A10 over both feeds: one batcher per (source, symbol), the
+    default key (batches never mix sources)."""
+    cols = ["source", "subject", "ms", "seq", "pos"]
+    recs = C.kucoin_records(spark, sf_dir).select(*cols).unionByName(C.binance_records(spark, sf_dir).select(*cols))
+    tagged = B.assign_batches(recs, ["source", "subject"], "ms", ["seq", "pos"], size=BATCH_SIZE,
+                              timeout_ms=BATCH_TIMEOUT_MS)
+    return B.batch_stats(tagged, ["source", "subject"], "ms")
+
+
 @register
 def micro_batch_aligned(spark, sf_dir):
     """A5: epoch-aligned windows per symbol, cut into chunks of ALIGNED_SIZE."""
