@@ -176,3 +176,40 @@ def test_bounded_poll_max_files_per_trigger(spark, tmp_dir):
     q.awaitTermination(120)
     sizes = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
     assert sizes == [1, 1, 1]
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["A-USDT", "B-USDT"]), st.integers(0, 9)), min_size=3, max_size=40),
+       st.integers(1, 5), st.integers(0, 12), st.integers(1, 4))
+def test_property_stream_equals_batch(spark, pairs, size, timeout, n_chunks):
+    """Random data, random trigger splits (time ordered): closed + open
+    batches of the streaming fold equal the reference fold."""
+    import tempfile
+    tmp = tempfile.mkdtemp(prefix="tickloom-prop-")
+    t, rows = 0, []
+    for i, (k, gap) in enumerate(pairs):
+        t += gap
+        rows.append((k, 1_700_000_000_000 + t, i))
+    cut = sorted({0, len(rows), *[len(rows) * j // n_chunks for j in range(1, n_chunks)]})
+    src, out, ckpt = f"{tmp}/in", f"{tmp}/out", f"{tmp}/ckpt"
+    spark.createDataFrame([], SCHEMA).write.parquet(src)
+    recs = J.kucoin_records(frames_stream(spark, src, SCHEMA))
+    b = stream_batches(recs, ["subject"], "ms", ["seq"], "record", size=size, timeout_ms=timeout, idle_ms=None)
+    q = J.start(b, ckpt, path=out, trigger={"processingTime": "0 seconds"})
+    try:
+        for lo, hi in zip(cut[:-1], cut[1:]):
+            _write(spark, src, rows[lo:hi])
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    closed = [(r.subject, r.batch_id, r.n) for r in spark.read.schema(b.schema).parquet(out).collect()]
+    open_ = [(r.subject, r.batch_id, r.n) for r in open_batches(spark, ckpt, ["subject"]).collect()]
+    expected = {}
+    for rid, (k, bb) in brute(rows, size, timeout).items():
+        expected[(k, bb)] = expected.get((k, bb), 0) + 1
+    got = {(k, bb): n for k, bb, n in closed + open_}
+    assert got == expected and len(closed) + len(open_) == len(expected)

@@ -98,6 +98,7 @@ def stream_micro_batch(spark: SparkSession, sf_dir: str, size: int, timeout_ms:
         _feed_in_order(spark, root, frames, q.processAllAvailable)
     finally:
         q.stop()
-    closed = spark.read.parquet(f"{root}/out").select("subject", "batch_id", "n", "first_ms", "last_ms")
+    closed = (spark.read.schema(batches.schema).parquet(f"{root}/out")
+              .select("subject", "batch_id", "n", "first_ms", "last_ms"))
     open_ = open_batches(spark, f"{root}/ckpt", ["subject"])
     return closed.unionByName(open_)

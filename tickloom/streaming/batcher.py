@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tickloom.operators.batching import _next_start, _walk
+from tickloom.operators.batching import _Fold
 
 STATE_SCHEMA = T.StructType([
     T.StructField("batch_id", T.LongType()),
@@ -63,32 +63,28 @@ def _folder(keys: Sequence[str], ms: str, order: Sequence[str], record: str, siz
         m = len(t)
         bid, n, st, last, recs = state.get if state.exists else (0, 0, 0, 0, [])
         recs = list(recs or [])
+        fold = _Fold(n=n, st=st)                # the same fold as the bounded operator
+        starts = fold.feed(t, size, timeout_ms).tolist()
         rows = []
-        entry = 0
-        if n:                                   # finish the carried batch on the new rows
-            entry = None
-            for j in range(m):
-                recs.append(rec[j])
-                last = int(t[j])
-                if n + j + 1 >= size or t[j] - st >= timeout_ms:
-                    rows.append(emit(key, bid, recs, st, last, "size" if n + j + 1 >= size else "time"))
-                    bid, recs, entry, n = bid + 1, [], j + 1, 0
-                    break
-            if entry is None:
-                n, entry = n + m, m
-        if entry < m:
-            nxt = _next_start(t[entry:], size, timeout_ms).tolist()
-            starts = [s + entry for s in _walk(nxt, 0, m - entry)]
-            for s in starts:
-                e = nxt[s - entry] + entry          # one past the closing row
-                if e <= m:
-                    rows.append(emit(key, bid, rec[s:e], int(t[s]), int(t[e - 1]),
-                                     "size" if e - s >= size else "time"))
-                    bid += 1
-                    n, recs = 0, []
-                else:                               # still open at the end of this trigger
-                    n, st, last, recs = m - s, int(t[s]), int(t[m - 1]), rec[s:m]
-        state.update((bid, n, st, last, recs))
+        if n:                                   # the carried batch takes the rows before the first start
+            end = starts[0] if starts else m
+            recs += rec[:end]
+            last = int(t[end - 1]) if end else last
+            if starts or fold.n == 0:
+                rows.append(emit(key, bid, recs, st, last, "size" if len(recs) >= size else "time"))
+                bid, recs = bid + 1, []
+        for i, s0 in enumerate(starts):
+            e = starts[i + 1] if i + 1 < len(starts) else m
+            if i + 1 < len(starts) or fold.n == 0:
+                rows.append(emit(key, bid, rec[s0:e], int(t[s0]), int(t[e - 1]),
+                                 "size" if e - s0 >= size else "time"))
+                bid += 1
+            else:                               # still open at the end of this trigger
+                recs, st, last = rec[s0:e], int(t[s0]), int(t[e - 1])
+        n = fold.n
+        if not n:
+            recs = []
+        state.update((bid, n, fold.st if n else 0, last, recs))
         if n and idle_ms:
             state.setTimeoutDuration(idle_ms)
         if rows:
