@@ -38,12 +38,17 @@ def flush_groups(env: DataFrame, window: str = "60 seconds", partitions: int | N
             .drop("_flush"))
 
 
-def write_landing(flushed: DataFrame, root: str, compression: str = "gzip", by_event: str | None = None) -> None:
+def write_landing(flushed: DataFrame, root: str, compression: str | None = None,
+                  by_event: str | None = None) -> None:
     """K5: append envelope rows (``data, ingest_ts, source, object_key``) as
     JSON lines under ``root/source=/dt=/hour=`` of the object (ingest) time;
     rows from :func:`flush_groups` are already clustered for that layout.
-    Pass ``by_event`` (an event-time column) to lay the zone out by event
-    hour instead (K6); that layout is clustered here."""
+    Plain JSON by default, like the reference's ``.json`` objects, which also
+    keeps the files splittable for replay. Pass ``by_event`` (an event-time
+    column) to lay the zone out by event hour instead (K6); that layout is
+    clustered here and gzip-compressed by default, like ``.json.gz`` keys."""
+    if compression is None:
+        compression = "gzip" if by_event else "none"
     part_ts = by_event or "object_ts"
     out = flushed.select("data", "ingest_ts", "object_key", "source", *partition_columns(part_ts))
     out = _cluster(out, part_ts) if by_event else out.sortWithinPartitions("source", "dt", "hour", "ingest_ts")
