@@ -126,3 +126,17 @@ def test_multi_column_keys(spark):
     tagged = assign_batches(df, ["src", "sym"], "ms", ["id"], size=4, timeout_ms=20, partitions=9)
     got = {r.id: ((r.src, r.sym), r.batch_id) for r in tagged.collect()}
     assert got == brute([((s, k), ms, i) for s, k, ms, i in rows], 4, 20)
+
+
+@pytest.mark.parametrize("block", [2, 3])
+def test_blocked_stitch_matches(spark, monkeypatch, block):
+    """A hot key's boundary chain stitched in blocks of 2-3 partitions."""
+    import tickloom.operators.batching as B
+    monkeypatch.setattr(B, "STITCH_BLOCK", block)
+    rnd = random.Random(block)
+    rows, t = [], 0
+    for i in range(1500):
+        t += rnd.choice([0, 1, 2, 30])
+        rows.append((rnd.choice(["HOT", "HOT", "HOT", "a", "b"]), t, i))
+    for size, timeout, parts in [(6, 40, 29), (3, 5, 61), (1, 1, 17), (40, 10**6, 23), (40, 10**6, 61), (30, 50, 97)]:
+        assert run(spark, rows, size, timeout, parts) == brute(rows, size, timeout)

@@ -248,40 +248,128 @@ def _summarise(keys, ms, size, timeout, schema: T.StructType):
     return fn
 
 
-def _stitch(size, timeout):
-    """Per key: walk its boundary segments in partition order, carrying the
-    open batch (count, start time) and the number of batches started."""
+# Boundary rows of one key handled by one stitch group (a hot key spanning
+# many partitions is stitched block by block, in parallel).
+STITCH_BLOCK = 512
+
+
+def _step(r: dict, state, size: int, timeout: int):
+    """One boundary row given the carried open batch ``state = (n, st)``
+    (None: the key starts here). Returns (entry, batches started, state)."""
+    m = int(r["m"])
+    if r["role"] == "last":                    # the key begins inside this partition
+        return None, int(r["cnt"][0]), (int(r["n_open"][0]), int(r["st_open"][0]))
+    n, st = state if state is not None else (0, 0)
+    entry = 0
+    if n > 0:                                  # close the carried batch on the heads
+        h = np.asarray(r["heads"], dtype=np.int64)
+        hit = np.flatnonzero((n + np.arange(1, len(h) + 1) >= size) | (h - st >= timeout))
+        if len(hit) == 0:                      # the whole segment joins the carried batch
+            return m, 0, (n + m, st)
+        entry = int(hit[0]) + 1
+    if entry >= m:                             # carried batch closed on the last row
+        return entry, 0, (0, 0)
+    return entry, int(r["cnt"][entry]), (int(r["n_open"][entry]), int(r["st_open"][entry]))
+
+
+def _candidates(first: dict):
+    """Incoming states of a block: the previous (cut) row's table states, and
+    'closed on its last row'. Block 0 starts the key: one candidate."""
+    if first["block"] == 0:
+        return [None]
+    return [(int(a), int(b)) for a, b in zip(first["prev_n_open"], first["prev_st_open"])] + [(0, 0)]
+
+
+def _block_maps(keys, size, timeout):
+    """Per (key, block): for every incoming candidate, the index of the state
+    the block hands on (an entry of its last row's table, or 'closed') and
+    the batches it starts."""
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = pdf.sort_values("r").to_dict("records")
+        last = rows[-1]
+        out_idx, counts, memo = [], [], {}
+        for cand in _candidates(rows[0]):
+            if cand not in memo:
+                state, total, entry = cand, 0, None
+                for r in rows:
+                    entry, cnt, state = _step(r, state, size, timeout)
+                    total += cnt
+                k = len(last["cnt"])
+                memo[cand] = (entry if entry is not None and entry < k else k, total)
+            out_idx.append(memo[cand][0])
+            counts.append(memo[cand][1])
+        return pd.DataFrame([{**{k: rows[0][k] for k in keys}, "block": rows[0]["block"],
+                              "out_idx": out_idx, "cnt": counts}])
+    return fn
+
+
+def _block_scan(keys):
+    """Per key: chain the block maps (one row per block, not per partition)."""
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        out, idx, base = [], 0, 0
+        for r in pdf.sort_values("block").to_dict("records"):
+            out.append({**{k: r[k] for k in keys}, "block": r["block"], "in_idx": idx, "in_base": base})
+            base += int(r["cnt"][idx])
+            idx = int(r["out_idx"][idx])
+        return pd.DataFrame(out, columns=[*keys, "block", "in_idx", "in_base"])
+    return fn
+
+
+def _block_resolve(size, timeout):
+    """Per (key, block): walk the block from its resolved incoming state and
+    emit each partition's entry offset and batch-id base."""
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = pdf.sort_values("r").to_dict("records")
+        state = _candidates(rows[0])[int(rows[0]["in_idx"])]
+        base = int(rows[0]["in_base"])
         out = []
-        n, st, base, started = 0, 0, 0, False
-        for r in pdf.sort_values(PID).to_dict("records"):
-            m = int(r["m"])
-            if r["role"] == "last":            # the key begins inside this partition
-                base, n, st = int(r["cnt"][0]), int(r["n_open"][0]), int(r["st_open"][0])
-                started = True
-                continue
-            entry = 0
-            if started and n > 0:              # close the carried batch on the heads
-                entry = None
-                for j, tj in enumerate(r["heads"]):
-                    if n + j + 1 >= size or int(tj) - st >= timeout:
-                        entry = j + 1
-                        break
-            started = True
-            if entry is None:                  # the whole segment joins the carried batch
-                out.append((int(r[PID]), m, base))
-                n += m
-                continue
-            out.append((int(r[PID]), entry, base))
-            if entry >= m:                     # carried batch closed on the last row
-                n, st = 0, 0
-                continue
-            base += int(r["cnt"][entry])
-            n, st = int(r["n_open"][entry]), int(r["st_open"][entry])
+        for r in rows:
+            entry, cnt, state = _step(r, state, size, timeout)
+            if r["role"] == "first":
+                out.append((int(r[PID]), entry, base))
+            base += cnt
         return pd.DataFrame(out, columns=[PID, "entry", "base"])
     return fn
 
 
+def _stitch(summary: DataFrame, keys: list[str], size: int, timeout: int) -> DataFrame:
+    """Entry offset and batch-id base of every partition's first segment.
+
+    The boundary rows of a key are ranked by partition; blocks of about
+    ``STITCH_BLOCK`` rows end on a row of at least ``size - 1`` rows, whose
+    out-state is one of its table states. Each block's map from incoming to
+    outgoing state index is computed in parallel, chained per key (one row per
+    block), then each block is walked once more from its resolved state."""
+    w = Window.partitionBy(*keys).orderBy(PID)
+    cut = ((F.col("m") >= size - 1) & (F.col("r") % STITCH_BLOCK == 0)).cast("int")
+    ranked = (summary.withColumn("r", F.row_number().over(w))
+              .withColumn("prev_n_open", F.lag("n_open").over(w))
+              .withColumn("prev_st_open", F.lag("st_open").over(w))
+              .withColumn("_cut", cut)
+              .withColumn("block", F.coalesce(F.sum("_cut").over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                                              F.lit(0)).cast("long"))
+              .drop("_cut"))
+    ranked = ranked.checkpoint(eager=True)
+    key_fields = [ranked.schema[k] for k in keys]
+    L = T.ArrayType(T.LongType())
+    maps = ranked.groupBy(*keys, "block").applyInPandas(
+        _block_maps(keys, size, timeout),
+        T.StructType([*key_fields, T.StructField("block", T.LongType()),
+                      T.StructField("out_idx", L), T.StructField("cnt", L)]))
+    starts = maps.groupBy(*keys).applyInPandas(
+        _block_scan(keys),
+        T.StructType([*key_fields, T.StructField("block", T.LongType()),
+                      T.StructField("in_idx", T.LongType()), T.StructField("in_base", T.LongType())]))
+    s = starts.select(*[F.col(k).alias(f"_s_{k}") for k in keys], F.col("block").alias("_s_block"),
+                      "in_idx", "in_base")
+    cond = F.col("block") == F.col("_s_block")
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
+    joined = ranked.join(s, cond).drop(*[f"_s_{k}" for k in keys], "_s_block")
+    return joined.groupBy(*keys, "block").applyInPandas(
+        _block_resolve(size, timeout), f"{PID} long, entry long, base long")
+
+
 def _assign(keys, ms, size, timeout, out_schema: T.StructType):
     """Arrow pass 2: re-fold every partition from its resolved entry and tag
     each row with its batch id, one output batch per input batch."""
@@ -350,8 +438,7 @@ def assign_batches(df: DataFrame, keys: Sequence[str], ms: str, order: Sequence[
     summary_schema = _summary_schema(key_fields)
     summary = ranged.select(*keys, ms, PID).mapInArrow(
         _summarise(keys, ms, size, timeout_ms, summary_schema), summary_schema)
-    resolution = (summary.groupBy(*keys)
-                  .applyInPandas(_stitch(size, timeout_ms), f"{PID} long, entry long, base long")
+    resolution = (_stitch(summary, keys, size, timeout_ms)
                   .withColumnRenamed("entry", "_tl_entry").withColumnRenamed("base", "_tl_base"))
     resolution = resolution.checkpoint(eager=True)
 
