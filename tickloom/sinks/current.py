@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.operators.latest import current_price, merge_latest
+from tickloom.operators.latest import latest_by_key
 
 SNAPSHOT_COLUMNS = ("source", "symbol", "price", "time", "created_at")
 SLOTS = 3
@@ -29,6 +29,9 @@ def _pointer(root: str) -> str:
     return f"{root.rstrip('/')}/_committed"
 
 
+SNAPSHOT_SCHEMA = "source string, symbol string, price double, time timestamp, created_at timestamp, batch long"
+
+
 def last_committed(spark: SparkSession, root: str) -> int | None:
     """The newest batch id whose snapshot is complete (one scalar)."""
     try:
@@ -37,30 +40,60 @@ def last_committed(spark: SparkSession, root: str) -> int | None:
         return None
 
 
+def _slots(spark: SparkSession, root: str, skip: int | None = None) -> DataFrame | None:
+    """The snapshot slots that exist (typed read: no schema inference job)."""
+    out = None
+    for i in range(SLOTS):
+        if i == skip:
+            continue
+        try:
+            df = spark.read.schema(SNAPSHOT_SCHEMA).parquet(f"{root.rstrip('/')}/slot-{i}")
+        except AnalysisException:
+            continue
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+def _newest(snaps: DataFrame) -> DataFrame:
+    """Rows of the newest batch present, as a lazy plan (the one-row max is
+    joined back, not collected)."""
+    top = snaps.agg(F.max("batch").alias("_top"))
+    return snaps.join(F.broadcast(top), F.col("batch") == F.col("_top")).drop("_top", "batch")
+
+
 def read_snapshot(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
-    """The newest complete snapshot, or the one of the batch just before
-    ``before`` (what batch ``before`` folds into)."""
+    """The newest complete snapshot (per the committed pointer), or the one
+    batch ``before`` folds into: the newest batch below it in the other slots."""
+    if before is not None:
+        snaps = _slots(spark, root, skip=before % SLOTS)
+        return None if snaps is None else _newest(snaps.where(F.col("batch") < before))
     last = last_committed(spark, root)
     if last is None:
         return None
-    b = last if before is None or last < before else before - 1
-    if b < 0:
-        return None
-    try:
-        snap = spark.read.parquet(_slot(root, b))
-    except AnalysisException:
-        return None
-    return snap.where(F.col("batch") == b).drop("batch")
+    snaps = _slots(spark, root)
+    return None if snaps is None else snaps.where(F.col("batch") == last).drop("batch")
+
 
+def upsert_batch(ticks: DataFrame, batch_id: int, root: str, order: tuple[str, ...] = ("seq", "pos")) -> None:
+    """Fold one micro-batch of ticks into the snapshot (foreachBatch body).
 
-def upsert_batch(ticks: DataFrame, batch_id: int, root: str) -> None:
-    """Fold one micro-batch of ticks into the snapshot (foreachBatch body)."""
+    The previous snapshot and the new ticks go through one ``max_by``
+    aggregate ordered by (event time, new-over-old, arrival order): a late
+    tick never replaces a newer price, a tie keeps the update. One job writes
+    the new slot, a tiny one commits the pointer."""
     spark = ticks.sparkSession
-    latest = current_price(ticks).select(*SNAPSHOT_COLUMNS)
+    arrival = [F.col(c) if c in ticks.columns else F.lit(None).cast("long") for c in order]
+    new = ticks.select("source", "symbol", "price", "time", "created_at", F.lit(1).alias("_new"),
+                       *[a.cast("long").alias(f"_o{i}") for i, a in enumerate(arrival)])
     prev = read_snapshot(spark, root, before=batch_id)
+    rows = new
     if prev is not None:
-        latest = merge_latest(prev.select(*SNAPSHOT_COLUMNS), latest)
-    latest.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(_slot(root, batch_id))
+        rows = prev.select(*SNAPSHOT_COLUMNS, F.lit(0).alias("_new"),
+                           *[F.lit(None).cast("long").alias(f"_o{i}") for i in range(len(order))]).unionByName(new)
+    latest = latest_by_key(rows, ["source", "symbol"], ["time", "_new", *[f"_o{i}" for i in range(len(order))]],
+                           ["price", "time", "created_at"])
+    (latest.select(*SNAPSHOT_COLUMNS).withColumn("batch", F.lit(batch_id).cast("long"))
+     .write.mode("overwrite").parquet(_slot(root, batch_id)))
     spark.createDataFrame([(batch_id,)], "batch long").write.mode("overwrite").json(_pointer(root))
 
 
