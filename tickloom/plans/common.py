@@ -26,13 +26,14 @@ def binance_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kucoin_ticks(spark: SparkSession, sf_dir: str, keep=()) -> DataFrame:
+    """Valid Kucoin ticks: model validation (P12), normalisation, not-null split."""
     valid = D.validate_kucoin(kucoin_decoded(spark, sf_dir)).valid
-    return N.normalize(valid, N.KUCOIN, keep=keep)
+    return N.split_ticks(N.normalize(valid, N.KUCOIN, keep=keep)).valid
 
 
 def binance_ticks(spark: SparkSession, sf_dir: str, keep=()) -> DataFrame:
     valid = D.validate_binance(binance_decoded(spark, sf_dir)).valid
-    return N.normalize(valid, N.BINANCE, keep=keep)
+    return N.split_ticks(N.normalize(valid, N.BINANCE, keep=keep)).valid
 
 
 def ntz(c) -> F.Column:

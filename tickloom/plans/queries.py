@@ -58,7 +58,7 @@ def binance_normalize(spark, sf_dir):
 def kucoin_price_float32(spark, sf_dir):
     """F3 with the reference's float32 rounding of Kucoin prices (H2)."""
     valid = D.validate_kucoin(C.kucoin_decoded(spark, sf_dir)).valid
-    return C.tick_out(N.normalize(valid, N.KUCOIN, price_type="float"))
+    return C.tick_out(N.split_ticks(N.normalize(valid, N.KUCOIN, price_type="float")).valid)
 
 
 @register
@@ -248,7 +248,7 @@ def replay_ingest_range(spark, sf_dir):
     root = _landed(spark, sf_dir)
     env = RP.replay_ingest(spark, root, "kucoin", REPLAY_START, REPLAY_END)
     parsed = D.drop_control_frames(D.parse_kucoin(env.select(F.col("data").alias("value"))))
-    return C.tick_out(N.normalize(D.validate_kucoin(parsed).valid, N.KUCOIN))
+    return C.tick_out(N.split_ticks(N.normalize(D.validate_kucoin(parsed).valid, N.KUCOIN)).valid)
 
 
 @register
