@@ -140,3 +140,11 @@ def test_blocked_stitch_matches(spark, monkeypatch, block):
         rows.append((rnd.choice(["HOT", "HOT", "HOT", "a", "b"]), t, i))
     for size, timeout, parts in [(6, 40, 29), (3, 5, 61), (1, 1, 17), (40, 10**6, 23), (40, 10**6, 61), (30, 50, 97)]:
         assert run(spark, rows, size, timeout, parts) == brute(rows, size, timeout)
+
+
+def test_exact_size_and_exact_timeout_close_inclusively(spark):
+    # size 3: rows 0-2 close by count; then a record exactly `timeout` after
+    # the batch start closes its batch and belongs to it; the residual is emitted.
+    rows = [("k", 0, 0), ("k", 1, 1), ("k", 2, 2), ("k", 10, 3), ("k", 110, 4), ("k", 111, 5)]
+    got = run(spark, rows, 3, 100, 2)
+    assert got == {0: ("k", 0), 1: ("k", 0), 2: ("k", 0), 3: ("k", 1), 4: ("k", 1), 5: ("k", 2)}

@@ -153,3 +153,11 @@ def test_landing_by_event_hour(spark, tmp_dir):
                      by_event="event_ts")
     got = sorted((r.dt, r.hour) for r in spark.read.json(tmp_dir).select("dt", "hour").collect())
     assert [(str(d), h) for d, h in got] == [("2023-12-31", 23), ("2024-01-01", 9)]
+
+
+def test_two_flushes_in_the_same_second_are_both_kept(spark, tmp_dir):
+    t = dt.datetime(2024, 1, 1, 10, 0, 0, 100000)
+    for i in range(2):                                   # two separate flushes, same object key
+        LZ.write_landing(LZ.flush_groups(_envelopes(spark, [t + dt.timedelta(microseconds=i)]), "60 seconds"), tmp_dir)
+    got = RP.replay_ingest(spark, tmp_dir, "kucoin", "2024-01-01 10:00:00", "2024-01-01 10:00:00")
+    assert got.count() == 2 and got.select("object_key").distinct().count() == 1
