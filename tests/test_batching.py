@@ -148,3 +148,9 @@ def test_exact_size_and_exact_timeout_close_inclusively(spark):
     rows = [("k", 0, 0), ("k", 1, 1), ("k", 2, 2), ("k", 10, 3), ("k", 110, 4), ("k", 111, 5)]
     got = run(spark, rows, 3, 100, 2)
     assert got == {0: ("k", 0), 1: ("k", 0), 2: ("k", 0), 3: ("k", 1), 4: ("k", 1), 5: ("k", 2)}
+
+
+def test_time_column_must_be_epoch_millis(spark):
+    df = spark.createDataFrame([("k", 1)], "k string, ms long").withColumn("ts", F.current_timestamp())
+    with pytest.raises(TypeError):
+        assign_batches(df, ["k"], "ts", size=2, timeout_ms=10)

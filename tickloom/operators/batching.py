@@ -416,6 +416,8 @@ def assign_batches(df: DataFrame, keys: Sequence[str], ms: str, order: Sequence[
     """
     if size < 1:
         raise ValueError("size must be >= 1")
+    if not isinstance(df.schema[ms].dataType, (T.LongType, T.IntegerType)):
+        raise TypeError(f"{ms} must hold epoch milliseconds (bigint); use functions.ts_to_millis")
     spark = df.sparkSession
     from tickloom.session import checkpoint_root
     checkpoint_root(spark)
