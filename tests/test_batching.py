@@ -2,7 +2,6 @@
 
 import random
 
-import pandas as pd
 import pytest
 from hypothesis import given, settings, HealthCheck
 from hypothesis import strategies as st

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.sinks.kafka import RAW_TOPICS, TRANSFORMED_TOPICS  # noqa: F401  (re-exported)
 
 
 def kafka_options(bootstrap: str, topic: str, starting: str = "earliest",
