@@ -153,3 +153,24 @@ def test_time_column_must_be_epoch_millis(spark):
     df = spark.createDataFrame([("k", 1)], "k string, ms long").withColumn("ts", F.current_timestamp())
     with pytest.raises(TypeError):
         assign_batches(df, ["k"], "ts", size=2, timeout_ms=10)
+
+
+def test_scale_hot_key_many_chunks_and_blocks(spark, monkeypatch):
+    """200k rows, one key holding ~70% of them, 64 ranges, 1,000-row Arrow
+    batches and stitch blocks of 4 partitions: equal to the reference fold."""
+    import tickloom.operators.batching as B
+    monkeypatch.setattr(B, "STITCH_BLOCK", 4)
+    rnd = random.Random(2024)
+    rows, t = [], 0
+    for i in range(200_000):
+        t += rnd.choice([0, 1, 1, 2, 5, 80])
+        rows.append(("HOT" if rnd.random() < 0.7 else f"k{rnd.randint(0, 40)}", t, i))
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    try:
+        df = spark.createDataFrame(rows, "k string, ms long, id long").repartition(16)
+        tagged = assign_batches(df, ["k"], "ms", ["id"], size=25, timeout_ms=300, partitions=64)
+        got = {r.id: (r.k, r.batch_id) for r in tagged.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert got == brute(rows, 25, 300)
