@@ -127,11 +127,13 @@ def test_multi_column_keys(spark):
     assert got == brute([((s, k), ms, i) for s, k, ms, i in rows], 4, 20)
 
 
-@pytest.mark.parametrize("block", [2, 3])
-def test_blocked_stitch_matches(spark, monkeypatch, block):
-    """A hot key's boundary chain stitched in blocks of 2-3 partitions."""
+@pytest.mark.parametrize("block,super_block", [(2, 2), (3, 512), (2, 3)])
+def test_blocked_stitch_matches(spark, monkeypatch, block, super_block):
+    """A hot key's boundary chain stitched in blocks of 2-3 partitions, the
+    blocks composed in super-blocks of 2-3."""
     import tickloom.operators.batching as B
     monkeypatch.setattr(B, "STITCH_BLOCK", block)
+    monkeypatch.setattr(B, "SUPER_BLOCK", super_block)
     rnd = random.Random(block)
     rows, t = [], 0
     for i in range(1500):
@@ -160,6 +162,7 @@ def test_scale_hot_key_many_chunks_and_blocks(spark, monkeypatch):
     batches and stitch blocks of 4 partitions: equal to the reference fold."""
     import tickloom.operators.batching as B
     monkeypatch.setattr(B, "STITCH_BLOCK", 4)
+    monkeypatch.setattr(B, "SUPER_BLOCK", 3)
     rnd = random.Random(2024)
     rows, t = [], 0
     for i in range(200_000):

@@ -249,8 +249,11 @@ def _summarise(keys, ms, size, timeout, schema: T.StructType):
 
 
 # Boundary rows of one key handled by one stitch group (a hot key spanning
-# many partitions is stitched block by block, in parallel).
+# many partitions is stitched block by block, in parallel), and blocks per
+# second-level group: one key's chain is one row per STITCH_BLOCK *
+# SUPER_BLOCK partitions.
 STITCH_BLOCK = 512
+SUPER_BLOCK = 512
 
 
 def _step(r: dict, state, size: int, timeout: int):
@@ -303,18 +306,52 @@ def _block_maps(keys, size, timeout):
     return fn
 
 
-def _block_scan(keys):
-    """Per key: chain the block maps (one row per block, not per partition)."""
+def _compose(keys, level: str):
+    """Per (key, super-block): compose its block maps (total functions on
+    small index domains) into one map, for every incoming index."""
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        out, idx, base = [], 0, 0
-        for r in pdf.sort_values("block").to_dict("records"):
-            out.append({**{k: r[k] for k in keys}, "block": r["block"], "in_idx": idx, "in_base": base})
+        rows = pdf.sort_values("block").to_dict("records")
+        out_idx, counts = [], []
+        for d in range(len(rows[0]["out_idx"])):
+            idx, total = d, 0
+            for r in rows:
+                total += int(r["cnt"][idx])
+                idx = int(r["out_idx"][idx])
+            out_idx.append(idx)
+            counts.append(total)
+        return pd.DataFrame([{**{k: rows[0][k] for k in keys}, level: rows[0][level],
+                              "out_idx": out_idx, "cnt": counts}])
+    return fn
+
+
+def _chain(keys, order: str, emit: str):
+    """Walk maps in ``order`` from a starting index and base; emit, per map,
+    the incoming index and base. Grouped by key (the super-block chain: one
+    row per STITCH_BLOCK * SUPER_BLOCK partitions) or by (key, super-block)
+    (at most SUPER_BLOCK rows, started from the super-block's resolved state)."""
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = pdf.sort_values(order).to_dict("records")
+        idx = int(rows[0].get("_in_idx", 0) or 0)
+        base = int(rows[0].get("_in_base", 0) or 0)
+        out = []
+        for r in rows:
+            out.append({**{k: r[k] for k in keys}, emit: r[emit], "in_idx": idx, "in_base": base})
             base += int(r["cnt"][idx])
             idx = int(r["out_idx"][idx])
-        return pd.DataFrame(out, columns=[*keys, "block", "in_idx", "in_base"])
+        return pd.DataFrame(out, columns=[*keys, emit, "in_idx", "in_base"])
     return fn
 
 
+def _join_on(left: DataFrame, right: DataFrame, keys: list[str], extra: str) -> DataFrame:
+    """Equi-join on the batching key (null-safe) plus one more column."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], F.col(extra).alias(f"_r_{extra}"),
+                     *[c for c in right.columns if c not in (*keys, extra)])
+    cond = F.col(extra) == F.col(f"_r_{extra}")
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(r, cond).drop(*[f"_r_{k}" for k in keys], f"_r_{extra}")
+
+
 def _block_resolve(size, timeout):
     """Per (key, block): walk the block from its resolved incoming state and
     emit each partition's entry offset and batch-id base."""
@@ -352,20 +389,32 @@ def _stitch(summary: DataFrame, keys: list[str], size: int, timeout: int) -> Dat
     ranked = ranked.checkpoint(eager=True)
     key_fields = [ranked.schema[k] for k in keys]
     L = T.ArrayType(T.LongType())
-    maps = ranked.groupBy(*keys, "block").applyInPandas(
-        _block_maps(keys, size, timeout),
-        T.StructType([*key_fields, T.StructField("block", T.LongType()),
-                      T.StructField("out_idx", L), T.StructField("cnt", L)]))
-    starts = maps.groupBy(*keys).applyInPandas(
-        _block_scan(keys),
-        T.StructType([*key_fields, T.StructField("block", T.LongType()),
-                      T.StructField("in_idx", T.LongType()), T.StructField("in_base", T.LongType())]))
-    s = starts.select(*[F.col(k).alias(f"_s_{k}") for k in keys], F.col("block").alias("_s_block"),
-                      "in_idx", "in_base")
-    cond = F.col("block") == F.col("_s_block")
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
-    joined = ranked.join(s, cond).drop(*[f"_s_{k}" for k in keys], "_s_block")
+    chain_schema = lambda col: T.StructType([*key_fields, T.StructField(col, T.LongType()),
+                                             T.StructField("in_idx", T.LongType()),
+                                             T.StructField("in_base", T.LongType())])
+    # How deep the chain goes is one scalar of the (small, checkpointed)
+    # boundary table: chains within one block resolve directly.
+    depth = ranked.agg(F.max("block")).first()[0] or 0
+    if depth == 0:
+        joined = ranked.withColumn("in_idx", F.lit(0).cast("long")).withColumn("in_base", F.lit(0).cast("long"))
+    else:
+        maps = ranked.groupBy(*keys, "block").applyInPandas(
+            _block_maps(keys, size, timeout),
+            T.StructType([*key_fields, T.StructField("block", T.LongType()),
+                          T.StructField("out_idx", L), T.StructField("cnt", L)]))
+        if depth < SUPER_BLOCK:
+            starts = maps.groupBy(*keys).applyInPandas(_chain(keys, "block", "block"), chain_schema("block"))
+        else:
+            maps = maps.withColumn("sb", F.floor(F.col("block") / SUPER_BLOCK).cast("long")).checkpoint(eager=True)
+            supers = maps.groupBy(*keys, "sb").applyInPandas(
+                _compose(keys, "sb"),
+                T.StructType([*key_fields, T.StructField("sb", T.LongType()),
+                              T.StructField("out_idx", L), T.StructField("cnt", L)]))
+            sb_starts = (supers.groupBy(*keys).applyInPandas(_chain(keys, "sb", "sb"), chain_schema("sb"))
+                         .withColumnRenamed("in_idx", "_in_idx").withColumnRenamed("in_base", "_in_base"))
+            starts = (_join_on(maps, sb_starts, keys, "sb").groupBy(*keys, "sb")
+                      .applyInPandas(_chain(keys, "block", "block"), chain_schema("block")))
+        joined = _join_on(ranked, starts, keys, "block")
     return joined.groupBy(*keys, "block").applyInPandas(
         _block_resolve(size, timeout), f"{PID} long, entry long, base long")
 
