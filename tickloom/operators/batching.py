@@ -12,19 +12,23 @@ Bounded form, hot-key safe (no key is ever gathered into one task):
    a hot key is cut into many contiguous segments, one per partition. The
    result is checkpointed to the shared checkpoint folder (lineage cut,
    survives executor loss, and partition ids stay stable).
-2. One Arrow pass folds every segment. A segment that opens a partition may
-   continue a batch from the previous partition, so for it the pass computes
-   a transfer table over the at most ``size`` possible first-batch offsets:
-   number of batches started, and the batch still open at the segment end.
-   Its first ``size - 1`` times are kept too (enough to close any carried
-   batch). Output: a few rows per partition.
-3. A per-key stitch walks those rows in partition order. Its groups hold one
-   row per partition the key spans, never data rows.
+2. One Arrow pass folds every segment, streaming over record batches. A
+   segment that opens a partition may continue a batch from the previous
+   partition, so for it the pass computes a transfer table over the at most
+   ``size`` possible first-batch offsets: batches started, and the batch
+   still open at the segment end; its first ``size - 1`` times are kept too
+   (enough to close any carried batch). Output: a few rows per partition.
+3. The stitch resolves each partition's entry offset and batch-id base from
+   those boundary rows only: blocks of ``STITCH_BLOCK`` rows per key compute
+   their state maps in parallel, blocks are composed in groups of
+   ``SUPER_BLOCK``, and the per-key chain is one row per
+   ``STITCH_BLOCK * SUPER_BLOCK`` partitions. Small jobs skip the levels
+   they do not need.
 4. A second Arrow pass re-folds each partition from its resolved entry and
    tags rows with ``batch_id`` (0-based per key).
 
 Data moves once (the range shuffle); the passes are narrow. The streaming form
-lives in :mod:`tickloom.streaming.batcher`.
+lives in :mod:`tickloom.streaming.batcher` and uses the same fold primitive.
 """
 
 from __future__ import annotations
