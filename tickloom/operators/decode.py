@@ -117,13 +117,11 @@ def validate_kucoin(parsed: DataFrame, msg: str = "msg", strict: bool = False) -
 
 def binance_elements(value: str = "value", strict: bool = False) -> Column:
     """F12 for Binance: the frame's elements as ARRAY<STRUCT> with friendly
-    names. ``e`` and ``E`` differ only by case (hazard H1), so the array is
-    parsed twice (without ``e``, then ``e`` only) and zipped."""
+    names. One parse with the wire schema (``e`` and ``E`` match
+    case-sensitively, hazard H1), then a positional cast to the friendly
+    names, so nothing resolves the two fields by name."""
     opts = {"mode": "FAILFAST"} if strict else {}
-    a = F.from_json(F.col(value), S.BINANCE_NO_E, opts)
-    b = F.from_json(F.col(value), S.BINANCE_ONLY_E, opts)
-    return F.zip_with(a, b, lambda x, y: F.struct(
-        *[(y["e"] if src == "e" else x[src]).alias(dst) for src, dst in S.BINANCE_RENAMES]))
+    return F.from_json(F.col(value), S.BINANCE_WIRE, opts).cast(S.BINANCE_NAMED)
 
 
 def parse_binance(frames: DataFrame, value: str = "value", strict: bool = False) -> DataFrame:

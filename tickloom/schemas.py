@@ -25,9 +25,11 @@ KUCOIN_REQUIRED = ("topic", "type", "subject", "data.bestAsk", "data.bestAskSize
                    "data.price", "data.sequence", "data.size", "data.time")
 
 # Binance carries `e` (event type) and `E` (event time); the names differ only
-# by case, so the element struct is split in two to stay clear of Spark's
-# case-insensitive resolution (hazard H1).
-BINANCE_ELEMENT_NO_E = T.StructType([
+# by case (hazard H1). JSON keys match schema fields case-sensitively, so one
+# parse with the wire schema is exact; the result is then cast positionally to
+# friendly names, so no code ever resolves `e`/`E` by name.
+BINANCE_WIRE = T.ArrayType(T.StructType([
+    T.StructField("e", T.StringType()),
     T.StructField("E", T.LongType()),              # epoch milliseconds
     T.StructField("s", T.StringType()),
     T.StructField("c", T.StringType()),
@@ -36,17 +38,18 @@ BINANCE_ELEMENT_NO_E = T.StructType([
     T.StructField("l", T.StringType()),
     T.StructField("v", T.StringType()),
     T.StructField("q", T.StringType()),
-])
-BINANCE_ELEMENT_ONLY_E = T.StructType([T.StructField("e", T.StringType())])
-BINANCE_NO_E = T.ArrayType(BINANCE_ELEMENT_NO_E)
-BINANCE_ONLY_E = T.ArrayType(BINANCE_ELEMENT_ONLY_E)
-
-# Friendly names for the full Binance row after the two parses are zipped.
+]))
+# Friendly names, in wire order.
 BINANCE_RENAMES = (("e", "event_type"), ("E", "event_time"), ("s", "symbol"), ("c", "close"),
                    ("o", "open"), ("h", "high"), ("l", "low"), ("v", "base_volume"),
                    ("q", "quote_volume"))
+BINANCE_NAMED = T.ArrayType(T.StructType([
+    T.StructField(dst, f.dataType) for (src, dst), f in zip(BINANCE_RENAMES, BINANCE_WIRE.elementType.fields)]))
 BINANCE_REQUIRED = ("event_type", "event_time", "symbol", "close", "open", "high", "low",
                     "base_volume", "quote_volume")
+# Element schema without `e`, for reading reference-style objects with
+# case-insensitive file readers.
+BINANCE_ELEMENT_NO_E = T.StructType([f for f in BINANCE_WIRE.elementType.fields if f.name != "e"])
 
 # Narrow schemas used by the tick transforms (P1): only what is selected.
 KUCOIN_TICK_SOURCE = T.StructType([
