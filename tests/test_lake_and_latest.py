@@ -67,9 +67,9 @@ def test_reference_style_objects(spark, tmp_dir):
         f.write("x")
     listed = RP.list_objects(spark, tmp_dir, "binance", "2025-05-23 00:00:00", "2025-05-24 00:00:00")
     assert listed.count() == 3
-    from tickloom.schemas import BINANCE_ELEMENT_NO_E
-    rows = RP.read_objects(spark, tmp_dir, "binance", BINANCE_ELEMENT_NO_E, "2025-05-23 00:00:00", "2025-05-24 00:00:00")
-    assert rows.count() == 6
+    rows = RP.read_objects(spark, tmp_dir, "binance", "2025-05-23 00:00:00", "2025-05-24 00:00:00")
+    got = rows.select("object_name", "el.event_type", "el.event_time").collect()
+    assert len(got) == 6 and {r.event_type for r in got} == {"24hrMiniTicker"} and {r.event_time for r in got} == {1}
 
 
 def test_current_price_late_row_does_not_overwrite(spark):

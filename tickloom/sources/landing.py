@@ -100,18 +100,21 @@ def list_objects(spark: SparkSession, root: str, source: str, start=None, end=No
     return files
 
 
-def read_objects(spark: SparkSession, root: str, source: str, schema: T.DataType, start=None, end=None) -> DataFrame:
-    """S9 over reference-style objects: each file is one JSON array, read
-    with ``multiLine`` so a top-level array yields one row per element; the
-    time range is applied to the file name through the ``_metadata`` column,
-    which Spark evaluates while listing (files outside the range are not
-    opened)."""
-    from pyspark.sql.types import ArrayType
-    elem = schema.elementType if isinstance(schema, ArrayType) else schema
-    df = spark.read.schema(elem).option("multiLine", True).json(f"{root.rstrip('/')}/{source}/")
+def read_objects(spark: SparkSession, root: str, source: str, start=None, end=None) -> DataFrame:
+    """S9 over reference-style objects: each file is one JSON array (one
+    flush, so bounded), read whole and decoded by the same operators as any
+    frame, one row per record (``msg`` for Kucoin, ``el`` for Binance, with
+    both ``e`` and ``E``). The time range is applied to the file name through
+    the ``_metadata`` column, which Spark evaluates while listing, so files
+    outside the range are not opened; names that do not match or do not parse
+    are skipped (F9, F10)."""
+    from tickloom.operators import decode as D
+    files = spark.read.option("wholetext", True).text(f"{root.rstrip('/')}/{source}/")
     t = key_time(F.col("_metadata.file_name"))
-    cond = t.isNotNull()
+    cond = t.isNotNull() & (t <= F.lit(_ts(end)))
     if start is not None:
         cond = cond & (t >= F.lit(_ts(start)))
-    cond = cond & (t <= F.lit(_ts(end)))
-    return df.where(cond).select("*", F.col("_metadata.file_name").alias("object_name"))
+    files = files.where(cond)
+    files = files.select("value", F.col("_metadata.file_name").alias("object_name"))
+    parse = D.parse_binance if source == "binance" else D.parse_kucoin
+    return parse(files)
