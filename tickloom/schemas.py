@@ -47,10 +47,6 @@ BINANCE_NAMED = T.ArrayType(T.StructType([
     T.StructField(dst, f.dataType) for (src, dst), f in zip(BINANCE_RENAMES, BINANCE_WIRE.elementType.fields)]))
 BINANCE_REQUIRED = ("event_type", "event_time", "symbol", "close", "open", "high", "low",
                     "base_volume", "quote_volume")
-# Element schema without `e`, for reading reference-style objects with
-# case-insensitive file readers.
-BINANCE_ELEMENT_NO_E = T.StructType([f for f in BINANCE_WIRE.elementType.fields if f.name != "e"])
-
 # Narrow schemas used by the tick transforms (P1): only what is selected.
 KUCOIN_TICK_SOURCE = T.StructType([
     T.StructField("subject", T.StringType()),
@@ -69,13 +65,6 @@ TICK = T.StructType([
     T.StructField("created_at", T.TimestampType()),
 ])
 
-# Landing-zone envelope (P15): the raw record kept as JSON text.
-ENVELOPE = T.StructType([
-    T.StructField("data", T.StringType()),
-    T.StructField("ingest_ts", T.TimestampType()),
-    T.StructField("source", T.StringType()),
-])
-
 # Flat CSV layout of a Kucoin message (P10).
 FLAT_TICKER_COLUMNS = ("topic", "type", "subject", "bestAsk", "bestAskSize", "bestBid",
                        "bestBidSize", "price", "sequence", "size", "time")
