@@ -99,7 +99,9 @@ def _split(df: DataFrame, reason: Column, strict: bool) -> Split:
             F.col("raw"), F.lit(None).cast("string").alias("reason")))
     tagged = df.withColumn("_reason", reason)
     valid = tagged.where(F.col("_reason").isNull()).drop("_reason")
-    rejects = tagged.where(F.col("_reason").isNotNull()).select("raw", F.col("_reason").alias("reason"))
+    # rejects keep the raw text, the reason and the arrival columns (not the decoded struct)
+    keep = [c for c in df.columns if c not in ("msg", "el", "pos")]
+    rejects = tagged.where(F.col("_reason").isNotNull()).select(*keep, F.col("_reason").alias("reason"))
     return Split(valid, rejects)
 
 

@@ -89,6 +89,7 @@ SQL["valid_rejects"] = f"""
 with {FX},
 d as (
   select event_id, replace(base || '-' || quote, '-', '') as symbol,
+         value >= 101 and value < 102 as missing_ask,
          case when value < 1 then 'empty' when value >= 200 then 'nan'
               when value >= 100 and value < 101 then 'abc' else null end as bad,
          value
@@ -96,7 +97,10 @@ d as (
 select event_id, symbol,
        case when bad is null then value end as price,
        case when bad is null then null else 'bad:price' end as reason
-from d where {QUOTED}
+from d where not missing_ask and {QUOTED}
+union all
+select event_id, null as symbol, null::double as price, 'missing:data.bestAsk' as reason
+from d where missing_ask
 """
 
 SQL["flatten_ticker"] = f"""

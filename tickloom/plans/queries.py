@@ -90,19 +90,28 @@ def _dirty_price(ev: DataFrame):
             .when((v >= 100) & (v < 101), F.lit("abc")).otherwise(v.cast("string")))
 
 
+def _missing_ask(t: DataFrame):
+    """A missing model field injected by value band (null -> key left out)."""
+    return F.when((t["value"] >= 101) & (t["value"] < 102), F.lit(None).cast("string")).otherwise(t["price_text"])
+
+
 @register
 def valid_rejects(spark, sf_dir):
-    """Permissive validation; bad prices go to rejects with a
-    reason instead of failing the batch."""
+    """Permissive validation. Frames missing a model field
+    and ticks with a bad price go to rejects with a reason instead of failing
+    the batch; everything else is a valid tick."""
     ev = C.events(spark, sf_dir)
-    frames = feeds.kucoin_frames(ev, price=_dirty_price)
+    frames = feeds.kucoin_frames(ev, price=_dirty_price, best_ask=_missing_ask)
     parsed = D.drop_control_frames(D.parse_kucoin(frames))
-    checked = D.validate_kucoin(parsed).valid
-    ticks = N.normalize(checked, N.KUCOIN, keep=("seq",))
+    model = D.validate_kucoin(parsed)
+    ticks = N.normalize(model.valid, N.KUCOIN, keep=("seq",))
     split = N.split_ticks(ticks)
     cols = [F.col("seq").alias("event_id"), "symbol", "price"]
+    structural = model.rejects.select(F.col("seq").alias("event_id"), F.lit(None).cast("string").alias("symbol"),
+                                      F.lit(None).cast("double").alias("price"), "reason")
     return (split.valid.select(*cols, F.lit(None).cast("string").alias("reason"))
-            .unionByName(split.rejects.select(*cols, "reason")))
+            .unionByName(split.rejects.select(*cols, "reason"))
+            .unionByName(structural))
 
 
 @register

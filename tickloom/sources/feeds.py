@@ -47,17 +47,18 @@ def fixture_ticks(events: DataFrame) -> DataFrame:
 
 
 def kucoin_frames(events: DataFrame, control_types=CONTROL_EVENT_TYPES,
-                  price=None) -> DataFrame:
+                  price=None, best_ask=None) -> DataFrame:
     """One Kucoin text frame per event: a ticker message, or a control frame
     (``welcome``/``ack``) for the event types in ``control_types``.
 
-    ``price`` maps the fixture rows to an overriding price text (used to
-    inject bad prices).
+    ``price`` / ``best_ask`` map the fixture rows to overriding texts (used to
+    inject bad prices, or a missing field: a null is left out of the JSON).
     """
     t = fixture_ticks(events)
     price_col = t["price_text"] if price is None else price(t)
+    ask_col = t["price_text"] if best_ask is None else best_ask(t)
     data = F.struct(
-        t["price_text"].alias("bestAsk"),
+        ask_col.alias("bestAsk"),
         t["size_text"].alias("bestAskSize"),
         t["price_text"].alias("bestBid"),
         t["size_text"].alias("bestBidSize"),
