@@ -106,7 +106,8 @@ from d where missing_ask
 SQL["flatten_ticker"] = f"""
 with {FX}
 select '/market/ticker:all' as topic, 'message' as type, base || '-' || quote as subject,
-       cast(value as varchar) as bestAsk, cast(user_id as varchar) as bestAskSize,
+       case when value >= 101 and value < 102 then '' else cast(value as varchar) end as bestAsk,
+       cast(user_id as varchar) as bestAskSize,
        cast(value as varchar) as bestBid, cast(user_id as varchar) as bestBidSize,
        cast(value as varchar) as price, cast(event_id as varchar) as sequence,
        cast(user_id as varchar) as size, cast(ms as varchar) as time

@@ -116,8 +116,9 @@ def valid_rejects(spark, sf_dir):
 
 @register
 def flatten_ticker(spark, sf_dir):
-    """P10/F16: the flat CSV layout of every ticker message (after P5)."""
-    parsed = D.parse_kucoin(feeds.kucoin_frames(C.events(spark, sf_dir)))
+    """P10/F16: the flat CSV layout of every ticker message (after P5); the
+    feed carries frames without ``bestAsk``, which flatten to ''."""
+    parsed = D.parse_kucoin(feeds.kucoin_frames(C.events(spark, sf_dir), best_ask=_missing_ask))
     return _flatten(D.keep_messages(parsed))
 
 
