@@ -79,12 +79,17 @@ select symbol, price, time, source from ticks
 """
 
 SQL["control_frame_filter"] = f"""
+with {FX}
+select event_id, case when event_type = 'error' then 'notice' else 'message' end as type,
+       base || '-' || quote as subject
+from fx where event_type <> 'error' or event_id % 3 = 0
+"""
+
+SQL["message_type_filter"] = f"""
 with {FX}, {KU}
 select event_id, 'message' as type, subject from ku
 """
 
-SQL["message_type_filter"] = SQL["control_frame_filter"]
-
 SQL["valid_rejects"] = f"""
 with {FX},
 d as (

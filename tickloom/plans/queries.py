@@ -69,16 +69,18 @@ def unified_feed(spark, sf_dir):
 
 @register
 def control_frame_filter(spark, sf_dir):
-    """Frames without ``subject``/``data`` (welcome, ack) are dropped."""
-    parsed = D.parse_kucoin(feeds.kucoin_frames(C.events(spark, sf_dir)))
+    """Frames without ``subject``/``data`` (welcome, ack) are dropped;
+    a ``notice`` frame that carries both is kept."""
+    parsed = D.parse_kucoin(feeds.kucoin_frames(C.events(spark, sf_dir), notices=True))
     return D.drop_control_frames(parsed).select(
         F.col("seq").alias("event_id"), F.col("msg.type").alias("type"), F.col("msg.subject").alias("subject"))
 
 
 @register
 def message_type_filter(spark, sf_dir):
-    """P5: keep ``type == 'message'`` frames that carry a subject."""
-    parsed = D.parse_kucoin(feeds.kucoin_frames(C.events(spark, sf_dir)))
+    """P5: keep ``type == 'message'`` frames that carry a subject (notices
+    and control frames are dropped)."""
+    parsed = D.parse_kucoin(feeds.kucoin_frames(C.events(spark, sf_dir), notices=True))
     return D.keep_messages(parsed).select(
         F.col("seq").alias("event_id"), F.col("msg.type").alias("type"), F.col("msg.subject").alias("subject"))
 

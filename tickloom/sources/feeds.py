@@ -47,12 +47,14 @@ def fixture_ticks(events: DataFrame) -> DataFrame:
 
 
 def kucoin_frames(events: DataFrame, control_types=CONTROL_EVENT_TYPES,
-                  price=None, best_ask=None) -> DataFrame:
+                  price=None, best_ask=None, notices: bool = False) -> DataFrame:
     """One Kucoin text frame per event: a ticker message, or a control frame
     (``welcome``/``ack``) for the event types in ``control_types``.
 
     ``price`` / ``best_ask`` map the fixture rows to overriding texts (used to
     inject bad prices, or a missing field: a null is left out of the JSON).
+    With ``notices``, every third control event is instead a ``notice`` frame
+    that carries ``subject`` and ``data`` (kept by P4, dropped by P5).
     """
     t = fixture_ticks(events)
     price_col = t["price_text"] if price is None else price(t)
@@ -67,9 +69,11 @@ def kucoin_frames(events: DataFrame, control_types=CONTROL_EVENT_TYPES,
         t["size_text"].alias("size"),
         t["ms"].alias("time"),
     )
+    is_control = t["event_type"].isin(*control_types) if control_types else F.lit(False)
+    is_notice = is_control & (t["event_id"] % 3 == 0) if notices else F.lit(False)
     message = F.to_json(F.struct(
         F.lit(KUCOIN_TOPIC).alias("topic"),
-        F.lit("message").alias("type"),
+        F.when(is_notice, F.lit("notice")).otherwise(F.lit("message")).alias("type"),
         F.concat(t["base"], F.lit("-"), t["quote"]).alias("subject"),
         data.alias("data"),
     ))
@@ -77,9 +81,8 @@ def kucoin_frames(events: DataFrame, control_types=CONTROL_EVENT_TYPES,
         t["event_id"].cast("string").alias("id"),
         F.when(t["event_id"] % 2 == 0, F.lit("welcome")).otherwise(F.lit("ack")).alias("type"),
     ))
-    is_control = t["event_type"].isin(*control_types) if control_types else F.lit(False)
     return t.select(
-        F.when(is_control, control).otherwise(message).alias("value"),
+        F.when(is_control & ~is_notice, control).otherwise(message).alias("value"),
         "ingest_ts",
         t["event_id"].alias("seq"),
     )
