@@ -17,6 +17,10 @@ ENGINE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # checkpoint files of collected (unreferenced) DataFrames are removed
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # streaming state (the batcher's open batches) off the JVM heap; not set
+    # by prepare(): a checkpoint keeps the provider it was created with
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
