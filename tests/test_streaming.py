@@ -39,21 +39,15 @@ def test_stream_batcher_equals_batch_across_triggers_and_restart(spark, tmp_dir)
     src, out, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
     spark.createDataFrame([], SCHEMA).write.parquet(src)
 
-    def query():
-        recs = J.kucoin_records(frames_stream(spark, src, SCHEMA))
-        b = stream_batches(recs, ["subject"], "ms", ["seq"], "record", size=7, timeout_ms=4000, idle_ms=None)
-        return J.start(b, ckpt, path=out, trigger={"processingTime": "0 seconds"})
-
-    q = query()
-    for c in chunks[:2]:
-        _write(spark, src, c)
-        q.processAllAvailable()
-    q.stop()                       # restart: offsets and open batches come back from the checkpoint
-    q = query()
-    for c in chunks[2:]:
+    recs = J.kucoin_records(frames_stream(spark, src, SCHEMA))
+    b = stream_batches(recs, ["subject"], "ms", ["seq"], "record", size=7, timeout_ms=4000, idle_ms=None)
+    for c in chunks:
+        # each chunk lands whole, then the query runs and stops: every run
+        # resumes offsets and open batches from the checkpoint
         _write(spark, src, c)
-        q.processAllAvailable()
-    q.stop()
+        q = J.start(b, ckpt, path=out, trigger={"availableNow": True})
+        q.awaitTermination(120)
+        q.stop()
     closed = {(r.subject, r.batch_id): r.n for r in spark.read.parquet(out).collect()}
     open_ = {(r.subject, r.batch_id): r.n for r in open_batches(spark, ckpt, ["subject"]).collect()}
     expected = {}
@@ -199,12 +193,10 @@ def test_property_stream_equals_batch(spark, pairs, size, timeout, n_chunks):
     spark.createDataFrame([], SCHEMA).write.parquet(src)
     recs = J.kucoin_records(frames_stream(spark, src, SCHEMA))
     b = stream_batches(recs, ["subject"], "ms", ["seq"], "record", size=size, timeout_ms=timeout, idle_ms=None)
-    q = J.start(b, ckpt, path=out, trigger={"processingTime": "0 seconds"})
-    try:
-        for lo, hi in zip(cut[:-1], cut[1:]):
-            _write(spark, src, rows[lo:hi])
-            q.processAllAvailable()
-    finally:
+    for lo, hi in zip(cut[:-1], cut[1:]):
+        _write(spark, src, rows[lo:hi])                 # the chunk lands whole, then one run
+        q = J.start(b, ckpt, path=out, trigger={"availableNow": True})
+        q.awaitTermination(120)
         q.stop()
     closed = [(r.subject, r.batch_id, r.n) for r in spark.read.schema(b.schema).parquet(out).collect()]
     open_ = [(r.subject, r.batch_id, r.n) for r in open_batches(spark, ckpt, ["subject"]).collect()]

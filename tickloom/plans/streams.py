@@ -93,11 +93,18 @@ def stream_micro_batch(spark: SparkSession, sf_dir: str, size: int, timeout_ms:
     recs = J.kucoin_records(frames_stream(spark, f"{root}/in/kucoin", FRAME_SCHEMA))
     batches = stream_batches(recs, ["subject"], "ms", ["seq"], "record", size, timeout_ms,
                              idle_ms=None)
-    q = J.start(batches, f"{root}/ckpt", path=f"{root}/out", trigger=TRIGGER)
-    try:
-        _feed_in_order(spark, root, frames, q.processAllAvailable)
-    finally:
-        q.stop()
+
+    def one_slice():
+        # The batcher folds in arrival order, so a slice must arrive whole:
+        # the query runs (availableNow) only after the slice is written, and
+        # resumes from its checkpoint every time.
+        q = J.start(batches, f"{root}/ckpt", path=f"{root}/out", trigger={"availableNow": True})
+        try:
+            q.awaitTermination()
+        finally:
+            q.stop()
+
+    _feed_in_order(spark, root, frames, one_slice)
     closed = (spark.read.schema(batches.schema).parquet(f"{root}/out")
               .select("subject", "batch_id", "n", "first_ms", "last_ms"))
     open_ = open_batches(spark, f"{root}/ckpt", ["subject"])
