@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from tickloom.operators.latest import latest_by_key
 
 SNAPSHOT_COLUMNS = ("source", "symbol", "price", "time", "created_at")
+# arrival order of the winning tick, kept so later merges tie-break exactly
+ORDER_COLUMNS = ("seq", "pos")
 SLOTS = 3
 
 
@@ -29,7 +31,8 @@ def _pointer(root: str) -> str:
     return f"{root.rstrip('/')}/_committed"
 
 
-SNAPSHOT_SCHEMA = "source string, symbol string, price double, time timestamp, created_at timestamp, batch long"
+SNAPSHOT_SCHEMA = ("source string, symbol string, price double, time timestamp, created_at timestamp, "
+                   "seq long, pos long, batch long")
 
 
 def last_committed(spark: SparkSession, root: str) -> int | None:
@@ -74,25 +77,23 @@ def read_snapshot(spark: SparkSession, root: str, before: int | None = None) ->
     return None if snaps is None else snaps.where(F.col("batch") == last).drop("batch")
 
 
-def upsert_batch(ticks: DataFrame, batch_id: int, root: str, order: tuple[str, ...] = ("seq", "pos")) -> None:
+def upsert_batch(ticks: DataFrame, batch_id: int, root: str) -> None:
     """Fold one micro-batch of ticks into the snapshot (foreachBatch body).
 
     The previous snapshot and the new ticks go through one ``max_by``
-    aggregate ordered by (event time, new-over-old, arrival order): a late
-    tick never replaces a newer price, a tie keeps the update. One job writes
-    the new slot, a tiny one commits the pointer."""
+    aggregate ordered by event time, then arrival order (``seq``, ``pos``,
+    stored with the snapshot): a late tick never replaces a newer price, and
+    the result does not depend on how rows were split into micro-batches.
+    One job writes the new slot, a tiny one commits the pointer."""
     spark = ticks.sparkSession
-    arrival = [F.col(c) if c in ticks.columns else F.lit(None).cast("long") for c in order]
-    new = ticks.select("source", "symbol", "price", "time", "created_at", F.lit(1).alias("_new"),
-                       *[a.cast("long").alias(f"_o{i}") for i, a in enumerate(arrival)])
+    order = [F.col(c).cast("long") if c in ticks.columns else F.lit(None).cast("long") for c in ORDER_COLUMNS]
+    rows = ticks.select(*SNAPSHOT_COLUMNS, *[o.alias(c) for o, c in zip(order, ORDER_COLUMNS)])
     prev = read_snapshot(spark, root, before=batch_id)
-    rows = new
     if prev is not None:
-        rows = prev.select(*SNAPSHOT_COLUMNS, F.lit(0).alias("_new"),
-                           *[F.lit(None).cast("long").alias(f"_o{i}") for i in range(len(order))]).unionByName(new)
-    latest = latest_by_key(rows, ["source", "symbol"], ["time", "_new", *[f"_o{i}" for i in range(len(order))]],
-                           ["price", "time", "created_at"])
-    (latest.select(*SNAPSHOT_COLUMNS).withColumn("batch", F.lit(batch_id).cast("long"))
+        rows = prev.select(*SNAPSHOT_COLUMNS, *ORDER_COLUMNS).unionByName(rows)
+    latest = latest_by_key(rows, ["source", "symbol"], ["time", *ORDER_COLUMNS],
+                           ["price", "time", "created_at", *ORDER_COLUMNS])
+    (latest.select(*SNAPSHOT_COLUMNS, *ORDER_COLUMNS).withColumn("batch", F.lit(batch_id).cast("long"))
      .write.mode("overwrite").parquet(_slot(root, batch_id)))
     spark.createDataFrame([(batch_id,)], "batch long").write.mode("overwrite").json(_pointer(root))
 
