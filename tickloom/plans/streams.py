@@ -91,7 +91,7 @@ def stream_micro_batch(spark: SparkSession, sf_dir: str, size: int, timeout_ms:
     frames = {"kucoin": feeds.kucoin_frames(C.events(spark, sf_dir))}
     frames["kucoin"].limit(0).write.mode("append").parquet(f"{root}/in/kucoin")
     recs = J.kucoin_records(frames_stream(spark, f"{root}/in/kucoin", FRAME_SCHEMA))
-    batches = stream_batches(recs, ["subject"], "ms", ["seq"], "record", size, timeout_ms,
+    batches = stream_batches(recs, ["subject"], "ms", ["seq", "pos"], "record", size, timeout_ms,
                              idle_ms=None)
 
     def one_slice():

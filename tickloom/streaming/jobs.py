@@ -34,11 +34,13 @@ def binance_ticks(frames: DataFrame, keep=("seq", "pos")) -> DataFrame:
 
 
 def kucoin_records(frames: DataFrame) -> DataFrame:
-    """Validated Kucoin messages as batcher input: key, time, order, JSON."""
+    """Validated Kucoin messages as batcher input: key, time, arrival order
+    (``seq`` of the frame, ``pos`` inside it: a Kafka raw message is an array
+    of records), JSON."""
     parsed = D.drop_control_frames(D.parse_kucoin(frames))
     valid = D.validate_kucoin(parsed).valid
     return valid.select(F.col("msg.subject").alias("subject"), F.col("msg.data.time").alias("ms"),
-                        "seq", kucoin_record_json().alias("record"), "ingest_ts")
+                        "seq", "pos", kucoin_record_json().alias("record"), "ingest_ts")
 
 
 def binance_records(frames: DataFrame) -> DataFrame:
@@ -117,7 +119,7 @@ def start_ingestion(spark: SparkSession, kucoin_frames: DataFrame, binance_frame
     k_recs = kucoin_records(kucoin_frames).withColumn("source", F.lit("kucoin"))
     b_recs = binance_records(binance_frames).withColumn("source", F.lit("binance"))
 
-    k_msgs = stream_batches(k_recs, list(batch_keys), "ms", ["seq"], "record", size, timeout_ms, idle_ms)
+    k_msgs = stream_batches(k_recs, list(batch_keys), "ms", ["seq", "pos"], "record", size, timeout_ms, idle_ms)
     b_msgs = D.binance_valid_frame(binance_frames)
 
     def sink(msgs: DataFrame, source: str, mode: str) -> StreamingQuery:
