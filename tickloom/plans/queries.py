@@ -174,8 +174,8 @@ def current_price(spark, sf_dir):
 def _symbol_batches(spark, sf_dir, payload=()):
     """A1 per symbol. The batcher checkpoints its input, which stops column
     pruning at that point, so callers name the payload they need."""
-    recs = C.kucoin_records(spark, sf_dir).select("subject", "ms", "seq", *payload)
-    return B.assign_batches(recs, ["subject"], "ms", ["seq"], size=BATCH_SIZE, timeout_ms=BATCH_TIMEOUT_MS)
+    recs = C.kucoin_records(spark, sf_dir).select("subject", "ms", "seq", "pos", *payload)
+    return B.assign_batches(recs, ["subject"], "ms", ["seq", "pos"], size=BATCH_SIZE, timeout_ms=BATCH_TIMEOUT_MS)
 
 
 @register
@@ -209,9 +209,9 @@ def micro_batch_feed_symbol(spark, sf_dir):
 @register
 def micro_batch_aligned(spark, sf_dir):
     """A5: epoch-aligned windows per symbol, cut into chunks of ALIGNED_SIZE."""
-    recs = C.kucoin_records(spark, sf_dir).select("subject", "ms", "seq", "ingest_ts")
+    recs = C.kucoin_records(spark, sf_dir).select("subject", "ms", "seq", "pos", "ingest_ts")
     recs = recs.withColumn("event_ts", S.millis_to_ts(F.col("ms")))
-    tagged = B.assign_aligned(recs, ["subject"], "event_ts", "ms", ["seq"], ALIGNED_WINDOW, ALIGNED_SIZE)
+    tagged = B.assign_aligned(recs, ["subject"], "event_ts", "ms", ["seq", "pos"], ALIGNED_WINDOW, ALIGNED_SIZE)
     return (tagged.groupBy("subject", "window_start", "chunk")
             .agg(F.count(F.lit(1)).alias("n"), F.min("ms").alias("first_ms"), F.max("ms").alias("last_ms"))
             .select("subject", C.ntz("window_start").alias("window_start"), "chunk", "n", "first_ms", "last_ms"))
@@ -222,7 +222,7 @@ def batch_envelope(spark, sf_dir):
     """One JSON-array message per batch, with the first record's
     ingest time and source as the batch's attributes."""
     tagged = _symbol_batches(spark, sf_dir, ("ingest_ts", "source", "msg"))
-    msgs = B.batch_messages(tagged, ["subject"], ["batch_id"], F.col("msg"), ["ms", "seq"],
+    msgs = B.batch_messages(tagged, ["subject"], ["batch_id"], F.col("msg"), ["ms", "seq", "pos"],
                             {"first_ingest_ts": "ingest_ts", "source": "source"})
     return msgs.select("subject", "batch_id", "n", "source",
                        C.ntz("first_ingest_ts").alias("first_ingest_ts"),
@@ -234,7 +234,7 @@ def array_roundtrip(spark, sf_dir):
     """F13 -> F12 -> A7: batches encoded as JSON arrays, decoded and exploded
     back to one row per record, in batch order."""
     tagged = _symbol_batches(spark, sf_dir, ("msg",))
-    msgs = B.batch_messages(tagged, ["subject"], ["batch_id"], F.col("msg"), ["ms", "seq"], {})
+    msgs = B.batch_messages(tagged, ["subject"], ["batch_id"], F.col("msg"), ["ms", "seq", "pos"], {})
     rows = msgs.select(F.posexplode(S.decode_array(F.col("message"), SCH.KUCOIN)).alias("idx", "m"))
     return rows.select(F.col("m.data.sequence").cast("long").alias("event_id"),
                        F.col("m.subject").alias("subject"),
