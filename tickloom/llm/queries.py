@@ -5,10 +5,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import exact, mixing, shards
+from tickloom.llm import chat, exact, mixing, packing, quality, rules, shards
 from tickloom.llm.common import table, text_of
 
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Where a public tokenizer's file lies on this machine (every worker has it)."""
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
+def op2_pack_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), keep=["doc_id"])
+
+
 def op3_mix_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return out.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -21,14 +34,39 @@ def op4_shard_minimax(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_quality_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = quality.train(docs, table(spark, sf_dir, "labels"))
+    out = quality.score(docs, weights)
+    return out.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+#: Conversation -7 of the contract: control strings inside texts.
+PROBE = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op6_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame(PROBE, "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.expand(turns.unionByName(probe)))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = exact.exact_groups(docs.withColumn("text_sha256", F.sha2(text_of(), 256)))
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op9_rules_risk_controlled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    out = rules.judge(docs, table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "kept")
+
+
 QUERIES = {f.__name__: f for f in (
-    op3_mix_entropy, op4_shard_minimax, op7_exact_dedup)}
+    op2_pack_best_two_fit, op3_mix_entropy, op4_shard_minimax, op5_quality_ftrl, op6_chat_prefix_targets,
+    op7_exact_dedup, op9_rules_risk_controlled)}
 
 SQL: dict[str, str] = {
     "op7_exact_dedup": """
