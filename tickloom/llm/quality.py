@@ -4,7 +4,8 @@ follow-the-regularised-leader updates and scored as sparse dot products.
 The model is fitted on at most ``MAX_TRAIN`` labelled documents, those with the
 smallest id hashes among the labels that may be learnt from; every document is
 scored on its whole text. Words are runs of letters, of digits or of marks;
-numbers and all-capital words stand for their kind.
+numbers and all-capital words stand for their kind, and a word right after
+itself makes the same bigram whatever the word.
 
 Defined results: null and empty texts score by the bias alone. Several labels
 of one id count as their majority (ties: 1); labels without a value are
@@ -39,6 +40,7 @@ class Features:
 
     def __init__(self, bits: int = BITS):
         self.mask, self.seen = np.uint64((1 << bits) - 1), {}
+        self.twice = np.uint64(self.word("="))
 
     def word(self, w: str) -> int:
         if w.isdigit():
@@ -58,6 +60,7 @@ class Features:
         ids = np.array(list(map(seen.__getitem__, words)), dtype=np.uint64)
         pairs = (ids[:-1] * np.uint64(0xC2B2AE3D27D4EB4F)) ^ (ids[1:] + np.uint64(0x165667B19E3779F9))
         pairs = (pairs ^ (pairs >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        pairs[ids[:-1] == ids[1:]] = self.twice
         return ((np.concatenate([ids, pairs]) >> np.uint64(20)) & self.mask).astype(np.int64)
 
 
