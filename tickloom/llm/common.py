@@ -3,6 +3,7 @@ fixed-size membership bitmap that keeps texts out of shuffles."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom.session import scratch_path
@@ -50,3 +51,44 @@ def in_bitmap(rows: DataFrame, key: Column, bm: DataFrame, flag: str, bits: int
                  "as int), cast(_slot % 8 as int)) % 2 = 1")
     return (rows.join(F.broadcast(bm), "_page", "left")
             .withColumn(flag, F.coalesce(hit, F.lit(False))).drop("_page", "_slot", "_bits"))
+
+
+def drop_ids(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows whose id is in ``dropped`` (column ``_drop``).
+    Only rows that the bitmap lets through are shuffled."""
+    cols, key = docs.columns, F.xxhash64(F.col(id_col))
+    rows = in_bitmap(docs, key, bitmap(dropped, F.xxhash64("_drop")), "_maybe")
+    checked = rows.where("_maybe").join(dropped, rows[id_col] == dropped["_drop"], "left_anti")
+    return rows.where(~F.col("_maybe")).select(*cols).unionByName(checked.select(*cols))
+
+
+def groups_of(batches, keys: int):
+    """Over Arrow batches sorted by their first ``keys`` columns: one pyarrow
+    table per group, holding no more than a batch and the group."""
+    import pyarrow as pa
+    held: list = []
+
+    def same(a, i, b, j):
+        return all(a.column(k)[i].as_py() == b.column(k)[j].as_py() for k in range(keys))
+
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        change = np.zeros(n, dtype=bool)
+        change[0] = bool(held) and not same(held[-1], held[-1].num_rows - 1, batch, 0)
+        for k in range(keys):
+            col = batch.column(k).to_numpy(zero_copy_only=False)
+            change[1:] |= col[1:] != col[:-1]
+        cuts = [0, *np.flatnonzero(change).tolist(), n] if not change[0] else [*np.flatnonzero(change).tolist(), n]
+        if change[0]:
+            yield pa.Table.from_batches(held)
+            held = []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if held and a:
+                yield pa.Table.from_batches(held)
+                held = []
+            if b > a:
+                held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)

@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import chat, exact, mixing, packing, quality, rules, shards
+from tickloom.llm import (
+    chat, exact, mixing, near, packing, quality, rules, shards)
 from tickloom.llm.common import table, text_of
 
 
@@ -57,6 +58,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_near_dedup_bbit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_rules_risk_controlled(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     out = rules.judge(docs, table(spark, sf_dir, "labels"))
@@ -66,7 +71,7 @@ def op9_rules_risk_controlled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op2_pack_best_two_fit, op3_mix_entropy, op4_shard_minimax, op5_quality_ftrl, op6_chat_prefix_targets,
-    op7_exact_dedup, op9_rules_risk_controlled)}
+    op7_exact_dedup, op8_near_dedup_bbit, op9_rules_risk_controlled)}
 
 SQL: dict[str, str] = {
     "op7_exact_dedup": """
