@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.llm import (
-    chat, exact, mixing, near, packing, quality, rules, shards)
+    chat, exact, mixing, near, packing, quality, rules, shards, substrings)
 from tickloom.llm.common import table, text_of
 
 
@@ -69,9 +69,20 @@ def op9_rules_risk_controlled(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept")
 
 
+def op10_suffix_blockwise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("whole_sha256", F.sha2(text_of(), 256))
+    rows, spans = substrings.repeats(docs, ["doc_id", "whole_sha256"])
+    cut = substrings.kept_bytes(docs, spans, rows).withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+    none = F.lit(0).cast("long")
+    return rows.join(cut, "_b_th", "left").select(
+        "doc_id", "n_bytes", F.coalesce("n_removed", none).alias("n_removed"), F.coalesce("n_spans", none).alias("n_spans"),
+        F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op2_pack_best_two_fit, op3_mix_entropy, op4_shard_minimax, op5_quality_ftrl, op6_chat_prefix_targets,
-    op7_exact_dedup, op8_near_dedup_bbit, op9_rules_risk_controlled)}
+    op7_exact_dedup, op8_near_dedup_bbit, op9_rules_risk_controlled, op10_suffix_blockwise)}
 
 SQL: dict[str, str] = {
     "op7_exact_dedup": """
