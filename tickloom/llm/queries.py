@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.llm import (
-    chat, exact, mixing, near, packing, quality, rules, shards, substrings)
+    chat, exact, mixing, near, packing, pii, quality, rules, shards, substrings)
 from tickloom.llm.common import table, text_of
 
 
@@ -19,6 +19,13 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.extract(table(spark, sf_dir, "documents"), ["doc_id"])
+    count = {k: F.size(pii.of_kind("base", k)).cast("long").alias(f"n_{k}") for k in pii.KINDS}
+    return out.select("doc_id", *count.values(), F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"),
+                      pii.joined(F.col("spans")).alias("spans"))
+
+
 def op2_pack_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), keep=["doc_id"])
 
@@ -81,7 +88,7 @@ def op10_suffix_blockwise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_pack_best_two_fit, op3_mix_entropy, op4_shard_minimax, op5_quality_ftrl, op6_chat_prefix_targets,
+    op1_pii_bootstrap, op2_pack_best_two_fit, op3_mix_entropy, op4_shard_minimax, op5_quality_ftrl, op6_chat_prefix_targets,
     op7_exact_dedup, op8_near_dedup_bbit, op9_rules_risk_controlled, op10_suffix_blockwise)}
 
 SQL: dict[str, str] = {

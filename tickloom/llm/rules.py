@@ -152,7 +152,11 @@ def cutoffs(rows: DataFrame, labels: DataFrame, id_col: str = "doc_id", lang: st
     held = (rows.where(~F.col("base_failed")).join(good, F.col(id_col) == F.col("_r_id"))
             .withColumn("_r_s", stratum(lang)))
     # a document's step: how many cutoffs of the grid it fails
-    step = {r: F.size(F.filter(F.array(*map(F.lit, GRIDS[r])), lambda c, v=ratio(r): v > c)) for r in RATIOS}
+    def failed(rule):
+        value = ratio(rule)
+        return F.size(F.filter(F.array(*map(F.lit, GRIDS[rule])), lambda c: value > c))
+
+    step = {r: failed(r) for r in RATIOS}
     counts = (held.select("_r_s", F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), step[r].alias("step"))
                                                       for r in RATIOS))).alias("e"))
               .groupBy("_r_s", "e.rule", "e.step").agg(F.count(F.lit(1)).alias("n")).collect())
