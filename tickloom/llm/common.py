@@ -28,6 +28,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def replacing(docs: DataFrame, *names: str) -> DataFrame:
+    """``docs`` without columns that an operator's results replace by name."""
+    return docs.drop(*names)
+
+
 def text_of(name: str = "text") -> Column:
     """The text with null read as empty."""
     return F.coalesce(F.col(name), F.lit(""))

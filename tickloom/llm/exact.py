@@ -7,14 +7,15 @@ Defined results: null text counts as empty, and all empty texts are equal. The
 row with the largest id of a group stays; a null id sorts below any other.
 Repeated rows (same id, same text) count in ``group_size``; the report marks
 each of them by the id, the filter keeps one. An empty table gives an empty
-result. Extra columns pass through; helper columns start with ``_x_``.
+result. Extra columns pass through, but for those the report replaces by name;
+helper columns start with ``_x_``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tickloom.llm.common import bitmap, in_bitmap, staged, text_of
+from tickloom.llm.common import bitmap, in_bitmap, replacing, staged, text_of
 
 PREFIX_CHARS = 64
 _KEY = ["_x_len", "_x_head", "_x_sha"]
@@ -37,7 +38,7 @@ def _survivors(docs: DataFrame, text: str, prefix_chars: int) -> DataFrame:
 def exact_groups(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
                  prefix_chars: int = PREFIX_CHARS) -> DataFrame:
     """Report: every row without its text, plus ``keep_id``, ``group_size``, ``kept``."""
-    rows = _survivors(docs, text, prefix_chars)
+    rows = _survivors(replacing(docs, "keep_id", "group_size", "kept"), text, prefix_chars)
     rows = rows.withColumn("_x_sha", F.when(F.col("_x_hit"), F.sha2(text_of(text), 256))).drop(text)
     rows = staged(rows, "exact-rows")
     alone = (rows.where(~F.col("_x_hit")).withColumn("keep_id", F.col(id_col))

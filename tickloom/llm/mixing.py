@@ -16,14 +16,15 @@ source's words and the excess is shared among the others by weight.
 Defined results: null text has no words; a document without words takes none.
 Null ids are hashed like any value. Rows with equal id, source and text are
 treated alike, so a source with repeated rows may miss its target by the last
-class's repeats. An empty table gives an empty result.
+class's repeats. An empty table gives an empty result. Extra columns pass
+through; the report replaces those of its own names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tickloom.llm.common import WORD, staged, text_of
+from tickloom.llm.common import WORD, replacing, staged, text_of
 
 WEIGHTS = (5.0, 2.0, 1.0)
 BUDGET = 1.5
@@ -111,6 +112,7 @@ def mix(docs: DataFrame, text: str = "text", id_col: str = "doc_id", source_col:
     """One row per input row without its text: ``size, source_size, target,
     copies, taken``, and ``_m_h``, the hash that picks rows inside a class."""
     t = text_of(text)
+    docs = replacing(docs, *({"size", "source_size", "target", "copies", "taken"} - {source_col}))
     rows = docs.withColumns({"size": F.regexp_count(t, F.lit(WORD + "+")).cast("long"),
                              "_m_source": F.col(source_col), "_m_h": F.xxhash64(F.col(id_col), t)}).drop(text)
     rows = staged(rows, "mix-rows")

@@ -16,7 +16,8 @@ aggregated before it is shuffled.
 Defined results: null text counts as empty. Null ids and repeated rows get their
 spans like any row; copies of a text add no evidence, because instances count
 once per pattern. A found span that overlaps a base span or an earlier found one
-is dropped. An empty table gives an empty result.
+is dropped. An empty table gives an empty result. Extra
+columns named in ``keep`` are carried along unless the result has the name.
 """
 
 from __future__ import annotations
@@ -193,6 +194,7 @@ def discover(rows: DataFrame, rounds: int = ROUNDS, min_support: float = MIN_SUP
 def extract(docs: DataFrame, keep: list[str], text: str = "text", **limits) -> DataFrame:
     """One row per input row: ``keep`` columns, ``base`` and ``spans``, arrays of
     struct(kind, start, end) by kind as listed, then start."""
+    keep = [c for c in keep if c not in ("base", "spans")]
     rows = occurrences(docs, keep, text)
     found = discover(rows, **limits)
     per = staged(found.groupBy("_f_row").agg(

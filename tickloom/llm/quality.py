@@ -10,7 +10,8 @@ itself makes the same bigram whatever the word.
 Defined results: null and empty texts score by the bias alone. Several labels
 of one id count as their majority (ties: 1); labels without a value are
 ignored. Repeated documents of one id are learnt from once. Without any usable
-label every score is 0.5. An empty table gives an empty result.
+label every score is 0.5. An empty table gives an empty result. Extra columns
+pass through, but for those the result replaces by name.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tickloom.llm.common import text_of
+from tickloom.llm.common import replacing, text_of
 
 MAX_TRAIN = 8192        # labelled documents learnt from, at most
 BITS = 18               # 2^18 weights
@@ -118,10 +119,12 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
     return bytes(got[0][0]) if got else b""
 
 
-def score(docs: DataFrame, weights: bytes, text: str = "text") -> DataFrame:
-    """``docs`` plus ``score`` (0 to 1, higher: better) and ``predicted``."""
-    schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()),
-                           T.StructField("predicted", T.IntegerType())])
+def score(docs: DataFrame, weights: bytes, text: str = "text", score_col: str = "score",
+          predicted_col: str = "predicted") -> DataFrame:
+    """``docs`` plus the score (0 to 1, higher: better) and the predicted label."""
+    docs = replacing(docs, *({score_col, predicted_col} - {text}))
+    schema = T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType()),
+                           T.StructField(predicted_col, T.IntegerType())])
     names, at = [f.name for f in schema], docs.columns.index(text)
 
     def run(batches):
@@ -137,3 +140,8 @@ def score(docs: DataFrame, weights: bytes, text: str = "text") -> DataFrame:
                 [*b.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=names)
 
     return docs.mapInArrow(run, schema)
+
+
+def keep_good(docs: DataFrame, weights: bytes, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the classifier accepts."""
+    return score(docs, weights, text, "_q_score", "_q_good").where("_q_good = 1").select(*docs.columns)

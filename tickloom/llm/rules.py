@@ -17,7 +17,7 @@ Defined results: null text has no words and fails the base rules. Several
 labels of one id count as their majority (ties: good); labels without a value
 are ignored. Repeated rows are judged alike; each row of a labelled id counts in
 the holdout. An empty table gives an empty result; no labels, no cutoffs. Extra
-columns are carried along except the text.
+columns are carried along except the text and those replaced by name.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tickloom.llm.common import staged, text_of
+from tickloom.llm.common import replacing, staged, text_of
 
 # Fixed values of the contract's base rules.
 SYMBOLS = "#*$%&|<>"
@@ -82,6 +82,7 @@ def text_counts(text: str) -> tuple[int, ...]:
 
 def features(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without its text plus ``COUNTS`` and ``base_failed``."""
+    docs = replacing(docs, *COUNTS, "base_failed", "kept")
     keep = [c for c in docs.columns if c != text]
     src = docs.select(*keep, text_of(text).alias("_r_text"))
     schema = T.StructType([*(src.schema[c] for c in keep), *(T.StructField(c, T.LongType()) for c in COUNTS)])

@@ -13,7 +13,8 @@ the groups themselves, at any input size, with a bounded driver.
 
 Defined results: null text counts as no bytes (size 1). Equal texts share a
 shard. Null ids and repeated rows are placed like any other row. Fewer groups
-than shards leave shards empty; an empty table gives an empty result.
+than shards leave shards empty; an empty table gives an empty result. Extra
+columns pass through, but for those the result replaces by name.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tickloom.llm.common import staged, text_of
+from tickloom.llm.common import replacing, staged, text_of
 
 SHARDS = 16
 LAW = "bytes"
@@ -104,6 +105,7 @@ def cut_keys(groups: DataFrame, shards: int) -> tuple[int, list[int]]:
 def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per input row without its text: ``size``, ``shard``, ``slot``."""
     t = text_of(text)
+    docs = replacing(docs, "size", "shard", "slot")
     rows = docs.withColumns({"size": F.octet_length(t).cast("long") + 1, "_s_key": F.xxhash64(t)}).drop(text)
     rows = staged(rows, "shard-rows")
     _, cuts = cut_keys(rows.select("_s_key", F.col("size").alias("_s_size")), shards)

@@ -23,7 +23,8 @@ with a distributed count, which is exact as well.
 Defined results: null text counts as empty; texts under LENGTH bytes lose
 nothing. Repeated rows and equal texts of LENGTH bytes or more are wholly
 covered. Null ids pass through. Removal works on bytes and may leave a partial
-UTF-8 sequence, so kept texts are binary. An empty table gives an empty result.
+UTF-8 sequence, so kept texts are binary. An empty table gives an empty result. Extra
+columns named in ``keep`` are carried along unless the result has the name.
 """
 
 from __future__ import annotations
@@ -105,6 +106,7 @@ class Anchors:
 
 def anchored(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` columns, the text's hash and length, and its anchors."""
+    keep = [c for c in keep if c != "n_bytes"]
     t = text_of(text).cast("binary")
     src = docs.select(*keep, F.unhex(F.md5(t)).alias("_b_th"), F.octet_length(t).cast("long").alias("n_bytes"), t.alias("_b_t"))
     out = src.drop("_b_t").withColumns({"_b_pos": F.array().cast("array<int>"), "_b_gram": F.array().cast("array<long>"),
