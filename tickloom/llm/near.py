@@ -205,6 +205,8 @@ def _match(batches, spanning: bool):
         sig = np.stack([g.column(p).to_numpy() for p in _PLANES], axis=1).view(np.uint64)
         left = np.flatnonzero(blk == i)
         right = left if i == j else np.flatnonzero(blk == j)
+        if not len(left) or not len(right):
+            continue
         xs, ys, es = [], [], []
         step = max(1, 2_000_000 // max(1, len(right)))
         for at in range(0, len(left), step):
