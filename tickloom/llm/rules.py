@@ -152,7 +152,7 @@ def cutoffs(rows: DataFrame, labels: DataFrame, id_col: str = "doc_id", lang: st
             .agg(F.avg(label_col).alias("_r_q")).where("_r_q >= 0.5").select("_r_id"))
     held = (rows.where(~F.col("base_failed")).join(good, F.col(id_col) == F.col("_r_id"))
             .withColumn("_r_s", stratum(lang)))
-    # a document's step: how many cutoffs of the grid it fails
+    # a document's step: how many cutoffs it fails, which are the strictest so many
     def failed(rule):
         value = ratio(rule)
         return F.size(F.filter(F.array(*map(F.lit, GRIDS[rule])), lambda c: value > c))
@@ -168,7 +168,7 @@ def cutoffs(rows: DataFrame, labels: DataFrame, id_col: str = "doc_id", lang: st
             per = {r["step"]: r["n"] for r in counts if r["_r_s"] == s and r["rule"] == rule}
             n, best = sum(per.values()), None
             for i, c in enumerate(grid):
-                rejected = sum(v for k, v in per.items() if k > i)
+                rejected = sum(v for k, v in per.items() if k >= len(grid) - i)
                 if not is_safe(rejected, n, alpha / len(RATIOS), level):
                     break
                 best = c
