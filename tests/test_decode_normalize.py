@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tickloom import schemas as S
 from tickloom.operators import decode as D
 from tickloom.operators import normalize as N
 
@@ -80,12 +81,26 @@ def test_time_as_string_is_rejected(spark):
 
 def test_garbage_and_empty_frames(spark):
     parsed = D.parse_kucoin(frames(spark, ["not json", "[]", None, ku()]))
+    # garbage is no control frame: it stays, and is rejected
     split = D.validate_kucoin(D.drop_control_frames(parsed))
     assert split.valid.count() == 1
-    # garbage is kept as one null message, so it can be rejected explicitly
-    all_split = D.validate_kucoin(parsed)
-    reasons = sorted(r.reason for r in all_split.rejects.collect())
-    assert reasons == ["malformed", "malformed"]
+    assert sorted(r.reason for r in split.rejects.collect()) == ["malformed", "malformed"]
+
+
+def test_narrow_schema_is_validated_on_what_it_reads(spark):
+    bad = ku().replace('"price":"0.10604",', "")
+    parsed = D.drop_control_frames(D.parse_kucoin(frames(spark, [ku(), bad]), schema=S.KUCOIN_TICK_SOURCE))
+    split = D.validate_kucoin(parsed)
+    assert split.valid.count() == 1
+    assert [r.reason for r in split.rejects.collect()] == ["missing:data.price"]
+
+
+def test_one_pass_gives_every_row_its_fate(spark):
+    from tickloom.streaming import jobs as J
+    rows = [ku(), "not json", None, ku(price='"abc"'), ku(subject="A-BTC"), '{"id":"1","type":"ack"}', ku(time='"12"')]
+    out = J.kucoin_outcomes(frames(spark, rows).withColumn("seq", F.lit(0))).select("symbol", "reason").collect()
+    assert sorted(((r.symbol or "", r.reason or "") for r in out)) == sorted([
+        ("CROUSDT", ""), ("", "malformed"), ("", "malformed"), ("CROUSDT", "bad:price"), ("", "missing:data.time")])
 
 
 def test_array_message_is_exploded_in_order(spark):

@@ -75,6 +75,53 @@ def test_idle_batches_flush_on_processing_time_timeout(spark, tmp_dir):
     assert [(r.n, r.closed_by) for r in rows] == [(2, "idle")]
 
 
+def test_batch_ids_go_on_after_idle_flushes(spark, tmp_dir):
+    src, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/ckpt"
+    spark.createDataFrame([], SCHEMA).write.parquet(src)
+    recs = J.kucoin_records(frames_stream(spark, src, SCHEMA))
+    b = stream_batches(recs, ["subject"], "ms", ["seq"], "record", size=10, timeout_ms=10**9, idle_ms=200)
+    q = (b.writeStream.format("memory").queryName("idle_ids").outputMode("append")
+         .option("checkpointLocation", ckpt).trigger(processingTime="200 milliseconds").start())
+    try:
+        for i in range(2):
+            _write(spark, src, [("A-USDT", 1000 + i, i)])
+            deadline = time.time() + 60
+            while time.time() < deadline and spark.table("idle_ids").count() <= i:
+                time.sleep(0.3)
+    finally:
+        q.stop()
+    assert sorted(r.batch_id for r in spark.table("idle_ids").collect()) == [0, 1]
+
+
+def test_rejects_account_for_every_row(spark, tmp_dir):
+    """Rows in = ticks + rejects + control frames + other quotes, in the normalisation job."""
+    import json as _json
+    import os
+    os.makedirs(f"{tmp_dir}/k")
+    lines = [_msg("A-USDT", 1.5, 1000), _msg("B-BTC", 2.0, 2000), "not json", '{"type":"welcome"}', _msg("C-USDC", "abc", 3000),
+             _msg("D-USDT", 4.0, 1000).replace('"bestAsk":"1",', ""), '{"type":"ack"']
+    with open(f"{tmp_dir}/k/m.txt", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    qs = J.start_normalization(spark, {"kucoin": text_stream(spark, f"{tmp_dir}/k")}, f"{tmp_dir}/ckpt",
+                               text_root=f"{tmp_dir}/out", rejects_root=f"{tmp_dir}/rejects", trigger={"availableNow": True})
+    for q in qs:
+        q.awaitTermination(120)
+    ticks = sum(len(_json.loads(r.value)) for r in spark.read.text(f"{tmp_dir}/out/kucoin").collect())
+    rejects = spark.read.json(f"{tmp_dir}/rejects/kucoin").collect()
+    assert sorted(r.reason for r in rejects) == ["bad:price", "malformed", "malformed", "missing:data.bestAsk"]
+    assert all(r.raw in lines for r in rejects)
+    assert len(lines) == ticks + len(rejects) + 1 + 1
+
+
+def test_run_all_stops_the_others(spark, tmp_dir):
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_dir}/in")
+    frames = frames_stream(spark, f"{tmp_dir}/in", SCHEMA)
+    qs = [J.start(frames, f"{tmp_dir}/c{i}", path=f"{tmp_dir}/o{i}", trigger=t)
+          for i, t in enumerate(({"availableNow": True}, {"processingTime": "1 second"}))]
+    J.run_all(spark, qs, timeout_s=60)
+    assert not any(q.isActive for q in qs)
+
+
 def test_current_price_foreach_batch_is_idempotent(spark, tmp_dir):
     from tickloom.sinks.current import upsert_batch
     rows = [("A-USDT", 1.0, 1000, 0), ("A-USDT", 2.0, 3000, 1), ("B-USDC", 5.0, 2000, 2)]
@@ -155,8 +202,9 @@ def test_normalization_job_raw_to_transformed(spark, tmp_dir):
     finally:
         for q in qs:
             q.stop()
-    got = sorted((_json.loads(r.value)["symbol"], _json.loads(r.value)["price"], _json.loads(r.value)["time"])
-                 for s in ("kucoin", "binance") for r in spark.read.text(f"{tmp_dir}/out/{s}").collect())
+    got = sorted((t["symbol"], t["price"], t["time"])
+                 for s in ("kucoin", "binance") for r in spark.read.text(f"{tmp_dir}/out/{s}").collect()
+                 for t in _json.loads(r.value))
     assert got == [("AUSDT", 1.5, "1970-01-01T00:00:01.000000"), ("CUSDC", 4.25, "1970-01-01T00:00:03.000000")]
 
 

@@ -72,7 +72,7 @@ def event_millis(source, kucoin_ms, binance_ms) -> Column:
     s = _c(source)
     return (F.when(s == "kucoin", _c(kucoin_ms))
             .when(s == "binance", _c(binance_ms))
-            .otherwise(F.raise_error(F.concat(F.lit("Unknown source: "), F.coalesce(s, F.lit("null"))))
+            .otherwise(F.raise_error(F.concat(F.lit("no event-time rule for source "), F.coalesce(s, F.lit("null"))))
                        .cast("bigint")))
 
 

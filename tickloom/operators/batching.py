@@ -524,14 +524,22 @@ def batch_stats(tagged: DataFrame, keys: Sequence[str], ms: str) -> DataFrame:
 # A5: aligned time windows (fully parallel variant)
 # --------------------------------------------------------------------------
 
+def _seconds(window: str) -> int:
+    """Length of a window given as ``"<n> seconds|minutes|hours|days"``."""
+    n, unit = window.split()
+    return int(n) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
+
+
 def assign_aligned(df: DataFrame, keys: Sequence[str], ts: str, ms: str, order: Sequence[str] = (),
                    window: str = "60 seconds", size: int | None = None) -> DataFrame:
     """A5: epoch-aligned windows of ``window`` on ``ts``, optionally cut into
     chunks of ``size`` rows. Boundaries differ from A1 (aligned, not anchored)
     but every (key, window) is independent, so a hot key spreads over as many
     tasks as it has windows; one window's rows are bounded by feed rate."""
-    w_start = F.window(F.col(ts), window).start
-    out = df.withColumn("window_start", w_start)
+    seconds = _seconds(window)
+    at = F.unix_seconds(F.col(ts).cast("timestamp"))
+    # by arithmetic: F.window would drop rows without a time; those share a null window
+    out = df.withColumn("window_start", F.timestamp_seconds(at - F.pmod(at, F.lit(seconds))))
     if size:
         w = Window.partitionBy(*keys, "window_start").orderBy(F.col(ms), *[F.col(c) for c in order])
         out = out.withColumn("chunk", F.floor((F.row_number().over(w) - 1) / size).cast("long"))

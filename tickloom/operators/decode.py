@@ -1,8 +1,10 @@
 """Frame decoding and validation.
 
 Decoding is ``from_json`` with a fixed schema, which also drops unknown keys
-(P13). Validation never throws in the default *permissive* mode: rows are
-split into ``valid`` and ``rejects(raw, reason)`` DataFrames (P12). *Strict*
+(P13). Validation never throws in the default *permissive* mode: every row
+gets a ``reason`` (null: valid), and :func:`validate_kucoin` /
+:func:`validate_binance` split on it into ``valid`` and ``rejects(raw,
+reason)`` DataFrames (P12). *Strict*
 mode reproduces the reference's fail-fast consumer: malformed JSON raises via
 FAILFAST parsing and a failed rule raises via ``raise_error`` (P11).
 """
@@ -75,7 +77,9 @@ def is_message(msg: str = "msg") -> Column:
 
 
 def drop_control_frames(parsed: DataFrame, msg: str = "msg") -> DataFrame:
-    return parsed.where(is_ticker_frame(msg))
+    """P4. A frame that did not parse is no control frame: it stays, with a
+    null message, so that validation rejects it as malformed."""
+    return parsed.where(is_ticker_frame(msg) | F.col(msg).isNull())
 
 
 def keep_messages(parsed: DataFrame, msg: str = "msg") -> DataFrame:
@@ -105,16 +109,27 @@ def _split(df: DataFrame, reason: Column, strict: bool) -> Split:
     return Split(valid, rejects)
 
 
-def validate_kucoin(parsed: DataFrame, msg: str = "msg", strict: bool = False) -> Split:
-    """P11/P12 for Kucoin ticker frames (control frames must be dropped first).
+def _has_field(schema: T.DataType, path: str) -> bool:
+    for name in path.split("."):
+        if not isinstance(schema, T.StructType) or name not in schema.names:
+            return False
+        schema = schema[name].dataType
+    return True
 
-    A frame whose JSON did not parse is rejected as ``malformed``; otherwise
-    every field the ticker model requires must be present.
-    """
-    checks: list[tuple[Column, str]] = [(F.col(msg).isNotNull(), "malformed")]
-    for f in S.KUCOIN_REQUIRED:
-        checks.append((present(F.col(f"{msg}.{f}")), f"missing:{f}"))
-    return _split(parsed, _first_failure(checks), strict)
+
+def model_reason(rows: DataFrame, record: str, required) -> Column:
+    """Why a decoded record breaks its model, null if it does not: JSON that did
+    not parse is ``malformed``; otherwise every required field that the decode's
+    schema holds (P1 may have narrowed it) must be present."""
+    checks: list[tuple[Column, str]] = [(F.col(record).isNotNull(), "malformed")]
+    schema = rows.schema[record].dataType
+    checks += [(present(F.col(f"{record}.{f}")), f"missing:{f}") for f in required if _has_field(schema, f)]
+    return _first_failure(checks)
+
+
+def validate_kucoin(parsed: DataFrame, msg: str = "msg", strict: bool = False) -> Split:
+    """P11/P12 for Kucoin ticker frames (control frames must be dropped first)."""
+    return _split(parsed, model_reason(parsed, msg, S.KUCOIN_REQUIRED), strict)
 
 
 def binance_elements(value: str = "value", strict: bool = False) -> Column:
@@ -159,7 +174,15 @@ def _all_present(x: Column, fields) -> Column:
 
 
 def validate_binance(rows: DataFrame, el: str = "el", strict: bool = False) -> Split:
-    checks: list[tuple[Column, str]] = [(F.col(el).isNotNull(), "malformed")]
-    for f in S.BINANCE_REQUIRED:
-        checks.append((present(F.col(f"{el}.{f}")), f"missing:{f}"))
-    return _split(rows, _first_failure(checks), strict)
+    return _split(rows, model_reason(rows, el, S.BINANCE_REQUIRED), strict)
+
+
+def parse_ticks(frames: DataFrame, value: str = "value") -> DataFrame:
+    """S3: messages of a transformed topic, each a JSON array of ticks, -> one
+    row per tick; ``pos`` is the place in its message. A message that is not
+    JSON gives one row of nulls with ``raw``."""
+    frames = as_text(frames, value)
+    rest = [c for c in frames.columns if c != value]
+    ticks = F.from_json(F.col(value), ArrayType(S.TICK), {"timestampFormat": S.TICK_TIME_PATTERN})
+    rows = _explode_frames(frames.select(*rest, F.col(value).alias("raw"), ticks.alias("els")), rest, "tick")
+    return rows.select("tick.*", *rest, "raw", "pos")

@@ -1,8 +1,9 @@
 """Last-value-wins operators.
 
-Both are one hash aggregate with ``max_by`` over an explicit order struct, so
-Spark combines map-side before the shuffle: a hot key costs one partial row
-per task, never its whole history in one place.
+Both are one aggregate with ``max_by`` over an explicit order struct, combined
+map-side before the shuffle: a hot key costs one partial row per task, never its
+whole history in one place. Spark runs it as a sort aggregate, because struct
+buffers are not of fixed width.
 """
 
 from __future__ import annotations
@@ -35,13 +36,3 @@ def object_overwrite(writes: DataFrame, key: str, order: Sequence[str],
     so this is a query over the appended history, not a data loss."""
     return latest_by_key(writes, [key], order, values)
 
-
-def merge_latest(current: DataFrame, updates: DataFrame, keys: Sequence[str] = ("source", "symbol"),
-                 order: Sequence[str] = ("time",)) -> DataFrame:
-    """Upsert ``updates`` into a ``current`` snapshot: the newer row per key
-    wins; ties keep the update. Used by the streaming snapshot (K7, T8)."""
-    cols = current.columns
-    both = (current.select(*cols, F.lit(0).alias("_src"))
-            .unionByName(updates.select(*cols, F.lit(1).alias("_src"))))
-    values = [c for c in cols if c not in keys]
-    return latest_by_key(both, keys, [*order, "_src"], values).select(*cols)

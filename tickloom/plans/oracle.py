@@ -12,14 +12,20 @@ FX = """fx as (
   select event_id, event_type, user_id, value, ts,
          upper(event_type) as base,
          (['USDT','USDC','BTC','ETH'])[user_id % 4 + 1] as quote,
-         epoch_us(ts) // 1000 as ms
+         epoch_us(ts) // 1000 as own_ms,
+         -- every fifth event carries the time of its full hour
+         case when event_id % 5 = 0 then own_ms // 3600000 * 3600000 else own_ms end as ms,
+         -- some users trade a base with a hyphen of its own
+         case when user_id % 7 = 0 then upper(event_type)[1:2] || '-' || upper(event_type)[3:]
+              else upper(event_type) end as hyphenated
   from events)"""
 
-# Kucoin ticker messages: error events play control frames and are dropped.
+# Kucoin ticker messages: one per event. The control frames that error events
+# bring besides are dropped.
 KU = """ku as (
-  select event_id, base || '-' || quote as subject, replace(base || '-' || quote, '-', '') as symbol,
+  select event_id, hyphenated || '-' || quote as subject, replace(hyphenated || '-' || quote, '-', '') as symbol,
          value as price, make_timestamp(ms * 1000) as time, ms, ts, 0 as pos, 'kucoin' as source
-  from fx where event_type <> 'error')"""
+  from fx)"""
 
 # Binance elements: every event, one element each.
 BI = """bi as (
@@ -80,9 +86,10 @@ select symbol, price, time, source from ticks
 
 SQL["control_frame_filter"] = f"""
 with {FX}
-select event_id, case when event_type = 'error' then 'notice' else 'message' end as type,
-       base || '-' || quote as subject
-from fx where event_type <> 'error' or event_id % 3 = 0
+select event_id, 'message' as type, hyphenated || '-' || quote as subject from fx
+union all
+select event_id, 'notice' as type, hyphenated || '-' || quote as subject
+from fx where event_type = 'error' and event_id % 3 = 0
 """
 
 SQL["message_type_filter"] = f"""
@@ -93,30 +100,32 @@ select event_id, 'message' as type, subject from ku
 SQL["valid_rejects"] = f"""
 with {FX},
 d as (
-  select event_id, replace(base || '-' || quote, '-', '') as symbol,
-         value >= 101 and value < 102 as missing_ask,
+  select event_id, replace(hyphenated || '-' || quote, '-', '') as symbol,
+         case when event_id % 97 in (0, 1) then 'malformed'
+              when value >= 101 and value < 102 then 'missing:data.bestAsk'
+              when event_id % 89 = 0 then 'missing:data.time' end as broken,
          case when value < 1 then 'empty' when value >= 200 then 'nan'
               when value >= 100 and value < 101 then 'abc' else null end as bad,
          value
-  from fx where event_type <> 'error')
+  from fx)
 select event_id, symbol,
        case when bad is null then value end as price,
        case when bad is null then null else 'bad:price' end as reason
-from d where not missing_ask and {QUOTED}
+from d where broken is null and {QUOTED}
 union all
-select event_id, null as symbol, null::double as price, 'missing:data.bestAsk' as reason
-from d where missing_ask
+select event_id, null as symbol, null::double as price, broken as reason
+from d where broken is not null
 """
 
 SQL["flatten_ticker"] = f"""
 with {FX}
-select '/market/ticker:all' as topic, 'message' as type, base || '-' || quote as subject,
+select '/market/ticker:all' as topic, 'message' as type, hyphenated || '-' || quote as subject,
        case when value >= 101 and value < 102 then '' else cast(value as varchar) end as bestAsk,
        cast(user_id as varchar) as bestAskSize,
        cast(value as varchar) as bestBid, cast(user_id as varchar) as bestBidSize,
        cast(value as varchar) as price, cast(event_id as varchar) as sequence,
        cast(user_id as varchar) as size, cast(ms as varchar) as time
-from fx where event_type <> 'error'
+from fx
 """
 
 SQL["event_time_by_source"] = f"""
@@ -178,10 +187,10 @@ from f group by k, b
 SQL["micro_batch_aligned"] = f"""
 with {FX}, {KU},
 w as (
-  select subject, ms, date_trunc('hour', time) as window_start,
-         (row_number() over (partition by subject, date_trunc('hour', time) order by ms, event_id) - 1)
+  select subject, ms, window_start,
+         (row_number() over (partition by subject, window_start order by ms, event_id) - 1)
            // {Q.ALIGNED_SIZE} as chunk
-  from ku)
+  from (select *, make_timestamp(ms // 43200000 * 43200000 * 1000) as window_start from ku))
 select subject, window_start, chunk, count(*) as n, min(ms) as first_ms, max(ms) as last_ms
 from w group by 1, 2, 3
 """
@@ -201,7 +210,7 @@ select event_id, subject, price, time from ku
 
 SQL["replay_ingest_range"] = f"""
 with {FX}, {KU},
-fl as (select *, min(ts) over (partition by date_trunc('minute', ts)) as first_ts from ku)
+fl as (select *, min(ts) over (partition by epoch_us(ts) // {Q.FLUSH_SECONDS}000000) as first_ts from ku)
 select symbol, price, time, 'kucoin' as source from fl
 where {QUOTED}
   and date_trunc('second', first_ts) between timestamp '{Q.REPLAY_START}' and timestamp '{Q.REPLAY_END}'
@@ -216,3 +225,27 @@ where time between timestamp '{Q.REPLAY_START}' and timestamp '{Q.REPLAY_END}'
 SQL["stream_normalize"] = SQL["unified_feed"]
 SQL["stream_micro_batch"] = SQL["micro_batch"]
 SQL["stream_current_price"] = SQL["current_price"]
+SQL["stream_current_price_backfill"] = SQL["current_price"]
+SQL["stream_load_current"] = SQL["current_price"]
+SQL["narrow_projection"] = SQL["kucoin_normalize"]
+SQL["flat_csv_roundtrip"] = SQL["flatten_ticker"]
+SQL["transformed_roundtrip"] = SQL["unified_feed"]
+
+SQL["tee_roundtrip"] = f"""
+with {FX}, {KU}
+select sink, event_id, symbol, price from ku, (values ('lake'), ('log')) s(sink) where {QUOTED}
+"""
+
+# Landed records: Kucoin's keep their own ingest time, Binance's that of their frame
+# (the last event of the frame); a flush is named after its first record.
+SQL["stream_landing"] = f"""
+with {FX}, {KU}, {BI},
+landed as (
+  select source, ts as ingest_ts from ku
+  union all
+  select source, max(ts) over (partition by ms // 3600000) as ingest_ts from bi),
+named as (
+  select *, min(ingest_ts) over (partition by source, epoch_us(ingest_ts) // {Q.FLUSH_SECONDS}000000) as first_ts
+  from landed)
+select source, source || '/' || strftime(first_ts, '%Y-%m-%dT%H-%M-%S') || '.json' as object_key, ingest_ts from named
+"""

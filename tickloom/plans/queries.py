@@ -20,17 +20,21 @@ from tickloom.operators import normalize as N
 from tickloom.operators.flatten import flatten_ticker as _flatten
 from tickloom.plans import common as C
 from tickloom.session import scratch_path
+from tickloom.sinks import files as FS
+from tickloom.sinks import kafka as KS
 from tickloom.sinks import landing as LZ
 from tickloom.sources import feeds
 from tickloom.sources import landing as RP
+from tickloom.streaming import jobs as J
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 # Parameters of the registered queries (shared with the SQL oracles).
-BATCH_SIZE, BATCH_TIMEOUT_MS = 10, 4 * 3600 * 1000          # per-symbol batches (A10)
-SOURCE_BATCH_SIZE, SOURCE_BATCH_TIMEOUT_MS = 50, 3600 * 1000  # one key per feed (A2)
-ALIGNED_WINDOW, ALIGNED_SIZE = "1 hour", 10
-FLUSH_WINDOW = "60 seconds"
+# Sizes and timeouts are such that both close many batches at sf0.01.
+BATCH_SIZE, BATCH_TIMEOUT_MS = 5, 10 * 3600 * 1000            # per-symbol batches (A10)
+SOURCE_BATCH_SIZE, SOURCE_BATCH_TIMEOUT_MS = 12, 3600 * 1000  # one key per feed (A2)
+ALIGNED_WINDOW, ALIGNED_SIZE = "12 hours", 4
+FLUSH_SECONDS = 3600
 REPLAY_START, REPLAY_END = "2024-01-10 06:30:00", "2024-01-14 18:45:30"
 
 
@@ -97,23 +101,38 @@ def _missing_ask(t: DataFrame):
     return F.when((t["value"] >= 101) & (t["value"] < 102), F.lit(None).cast("string")).otherwise(t["price_text"])
 
 
+def _bad_time(t: DataFrame):
+    """A time that is no whole number of milliseconds, injected by event id."""
+    return F.when(t["event_id"] % 89 == 0, F.lit("noon")).otherwise(t["ms"].cast("string"))
+
+
+def _garbled(t: DataFrame, message):
+    """Frames cut off, or without any text, injected by event id; the others'
+    time is a bare number again (it was text to hold a bad one)."""
+    number = F.regexp_replace(message, F.lit('"time":"([0-9]+)"'), F.lit('"time":$1'))
+    return (F.when(t["event_id"] % 97 == 0, F.substring(message, 1, 40))
+            .when(t["event_id"] % 97 == 1, F.lit(None).cast("string")).otherwise(number))
+
+
 @register
 def valid_rejects(spark, sf_dir):
-    """Permissive validation. Frames missing a model field
-    and ticks with a bad price go to rejects with a reason instead of failing
-    the batch; everything else is a valid tick."""
-    ev = C.events(spark, sf_dir)
-    frames = feeds.kucoin_frames(ev, price=_dirty_price, best_ask=_missing_ask)
-    parsed = D.drop_control_frames(D.parse_kucoin(frames))
-    model = D.validate_kucoin(parsed)
-    ticks = N.normalize(model.valid, N.KUCOIN, keep=("seq",))
-    split = N.split_ticks(ticks)
-    cols = [F.col("seq").alias("event_id"), "symbol", "price"]
-    structural = model.rejects.select(F.col("seq").alias("event_id"), F.lit(None).cast("string").alias("symbol"),
-                                      F.lit(None).cast("double").alias("price"), "reason")
-    return (split.valid.select(*cols, F.lit(None).cast("string").alias("reason"))
-            .unionByName(split.rejects.select(*cols, "reason"))
-            .unionByName(structural))
+    """Permissive validation in one pass. Frames that are
+    not JSON, lack a model field or have a bad time, and ticks with a bad price
+    go to rejects with a reason instead of failing the batch; everything else
+    that is no control frame is a valid tick."""
+    frames = feeds.kucoin_frames(C.events(spark, sf_dir), price=_dirty_price, best_ask=_missing_ask,
+                                 time=_bad_time, text=_garbled)
+    return J.kucoin_outcomes(frames, keep=("seq",)).select(
+        F.col("seq").alias("event_id"), "symbol", "price", "reason")
+
+
+@register
+def narrow_projection(spark, sf_dir):
+    """The decode reads only what the tick transform selects; the model
+    check then covers the fields that were read."""
+    parsed = D.drop_control_frames(D.parse_kucoin(feeds.kucoin_frames(C.events(spark, sf_dir)),
+                                                  schema=SCH.KUCOIN_TICK_SOURCE))
+    return C.tick_out(N.split_ticks(N.normalize(D.validate_kucoin(parsed).valid, N.KUCOIN)).valid)
 
 
 @register
@@ -124,6 +143,38 @@ def flatten_ticker(spark, sf_dir):
     return _flatten(D.keep_messages(parsed))
 
 
+@register
+def flat_csv_roundtrip(spark, sf_dir):
+    """K8: the flat layout written as CSV with a header and read back (an empty
+    cell reads as null; the layout has none)."""
+    root = scratch_path(spark, "flat-csv")
+    FS.write_flat_csv(flatten_ticker(spark, sf_dir), root)
+    back = spark.read.schema(", ".join(f"{c} string" for c in SCH.FLAT_TICKER_COLUMNS)).option("header", True).csv(root)
+    return back.na.fill("")
+
+
+@register
+def tee_roundtrip(spark, sf_dir):
+    """The same rows computed once for two sinks, read back from both."""
+    root = scratch_path(spark, "tee")
+    ticks = C.kucoin_ticks(spark, sf_dir, keep=("seq",)).drop("created_at")
+    FS.tee(ticks, lambda d: d.write.parquet(f"{root}/lake"),
+           lambda d: d.write.json(f"{root}/log"))
+    lake, log = spark.read.parquet(f"{root}/lake"), spark.read.schema(ticks.schema).json(f"{root}/log")
+    cols = [F.col("seq").alias("event_id"), "symbol", "price"]
+    return (lake.select(F.lit("lake").alias("sink"), *cols).unionByName(log.select(F.lit("log").alias("sink"), *cols)))
+
+
+@register
+def transformed_roundtrip(spark, sf_dir):
+    """K2 -> S3: both feeds' raw messages -> one JSON array of ticks per message
+    -> decoded again, one row per tick."""
+    ev = C.events(spark, sf_dir)
+    feeds_ = {"kucoin": feeds.kucoin_frames(ev), "binance": feeds.binance_frames(ev)}
+    messages = [KS.tick_messages(J.tick_arrays(s, f)) for s, f in feeds_.items()]
+    return C.tick_out(N.split_ticks(D.parse_ticks(N.unify(*messages))).valid)
+
+
 @register
 def event_time_by_source(spark, sf_dir):
     """Event time read from each source's own field of the landed record."""
@@ -245,11 +296,11 @@ def array_roundtrip(spark, sf_dir):
 # ---------------------------------------------------------------- lake + replay
 
 def _landed(spark, sf_dir) -> str:
-    """Land both feeds' validated records (P15 envelopes, 60 s flushes, K5)."""
+    """Land both feeds' validated records (P15 envelopes, flushes by ingest time, K5)."""
     k = E.envelope(C.kucoin_records(spark, sf_dir), E.kucoin_record_json(), "kucoin", "ingest_ts")
     b = E.envelope(C.binance_records(spark, sf_dir), E.binance_record_json(), "binance", "ingest_ts")
     root = scratch_path(spark, "landing")
-    LZ.write_landing(LZ.flush_groups(k.unionByName(b), FLUSH_WINDOW), root)
+    LZ.write_landing(LZ.flush_groups(k.unionByName(b), FLUSH_SECONDS), root)
     return root
 
 
@@ -292,3 +343,27 @@ def stream_current_price(spark, sf_dir):
     """Structured Streaming K7: foreachBatch upsert into the current-price snapshot."""
     from tickloom.plans import streams
     return streams.stream_current_price(spark, sf_dir)
+
+
+@register
+def stream_current_price_backfill(spark, sf_dir):
+    """K7 + T8: the stream misses a range; backfills from the tick lake, before,
+    between and after its micro-batches and a restart with a new checkpoint,
+    leave the same table as the whole feed."""
+    from tickloom.plans import streams
+    return streams.stream_current_price_backfill(spark, sf_dir, REPLAY_START, REPLAY_END)
+
+
+@register
+def stream_load_current(spark, sf_dir):
+    """S3 -> K7: transformed messages as text files -> loader -> current price."""
+    from tickloom.plans import streams
+    return streams.stream_load_current(spark, sf_dir)
+
+
+@register
+def stream_landing(spark, sf_dir):
+    """K5 + T6: the landing sink over both feeds, with a micro-batch written
+    twice; records per source as read back from the zone."""
+    from tickloom.plans import streams
+    return streams.stream_landing(spark, sf_dir, FLUSH_SECONDS)

@@ -11,9 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.operators import envelope as E
 from tickloom.plans import common as C
 from tickloom.session import scratch_path
+from tickloom.sinks import kafka as KS
+from tickloom.sinks import landing as LZ
+from tickloom.sinks.current import backfill, read_snapshot
 from tickloom.sources import feeds
+from tickloom.sources.files import hadoop_path, list_names
+from tickloom.sources.landing import landed_reader
 from tickloom.sources.streams import frames_stream
 from tickloom.streaming import jobs as J
 from tickloom.streaming.batcher import open_batches, stream_batches
@@ -28,19 +34,35 @@ WEEK_MS = 7 * 86400 * 1000
 TRIGGER = {"processingTime": "0 seconds"}
 
 
-def _feed_in_order(spark: SparkSession, root: str, frames: dict[str, DataFrame], each_slice) -> None:
-    """Stage every feed once, partitioned by event-time week, then append one
-    weekly slice per feed to the stream inputs and let the queries consume it.
-    The list of weeks is small metadata (one number per week of data)."""
+def _stage(spark: SparkSession, root: str, frames: dict[str, DataFrame]) -> list[int]:
+    """Write every feed once, in folders by week of arrival; returns the weeks
+    (small metadata: one number per week of data)."""
     weeks: set[int] = set()
     for name, df in frames.items():
         (df.withColumn("_week", F.floor(F.unix_millis("ingest_ts") / WEEK_MS).cast("long"))
          .write.mode("overwrite").partitionBy("_week").parquet(f"{root}/stage/{name}"))
-        weeks |= {r[0] for r in spark.read.parquet(f"{root}/stage/{name}").select("_week").distinct().collect()}
-    for w in sorted(weeks):
-        for name in frames:
-            (spark.read.parquet(f"{root}/stage/{name}").where(F.col("_week") == w).drop("_week")
-             .write.mode("append").parquet(f"{root}/in/{name}"))
+        weeks |= {int(n.removeprefix("_week=")) for n in list_names(spark, f"{root}/stage/{name}") if n.startswith("_week=")}
+        spark.createDataFrame([], FRAME_SCHEMA).write.mode("append").parquet(f"{root}/in/{name}")
+    return sorted(weeks)
+
+
+def _arrive(spark: SparkSession, root: str, names, week: int) -> None:
+    """One weekly slice of each feed arrives in the stream inputs. The staged
+    files are renamed, not written again."""
+    for name in names:
+        src, fs = hadoop_path(spark, f"{root}/stage/{name}/_week={week}")
+        if fs.exists(src):
+            for status in fs.listStatus(src):
+                file = status.getPath()
+                if file.getName().startswith("part-"):
+                    to, _ = hadoop_path(spark, f"{root}/in/{name}/week-{week}-{file.getName()}")
+                    fs.rename(file, to)
+
+
+def _feed_in_order(spark: SparkSession, root: str, frames: dict[str, DataFrame], each_slice) -> None:
+    """Let the feeds arrive week by week; the queries consume each slice."""
+    for week in _stage(spark, root, frames):
+        _arrive(spark, root, frames, week)
         each_slice()
 
 
@@ -49,14 +71,16 @@ def stream_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-normalize")
     ev = C.events(spark, sf_dir)
     frames = {"kucoin": feeds.kucoin_frames(ev), "binance": feeds.binance_frames(ev)}
-    for name, df in frames.items():   # the folders must exist before the streams start
-        df.limit(0).write.mode("append").parquet(f"{root}/in/{name}")
+    weeks = _stage(spark, root, frames)
     k = J.kucoin_ticks(frames_stream(spark, f"{root}/in/kucoin", FRAME_SCHEMA))
     b = J.binance_ticks(frames_stream(spark, f"{root}/in/binance", FRAME_SCHEMA))
     qs = [J.start(k, f"{root}/ckpt/kucoin", path=f"{root}/out/kucoin", trigger=TRIGGER),
           J.start(b, f"{root}/ckpt/binance", path=f"{root}/out/binance", trigger=TRIGGER)]
     try:
-        _feed_in_order(spark, root, frames, lambda: [q.processAllAvailable() for q in qs])
+        for week in weeks:
+            _arrive(spark, root, frames, week)
+            for q in qs:
+                q.processAllAvailable()
     finally:
         for q in qs:
             q.stop()
@@ -69,27 +93,97 @@ def stream_current_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-current")
     ev = C.events(spark, sf_dir)
     frames = {"kucoin": feeds.kucoin_frames(ev), "binance": feeds.binance_frames(ev)}
-    for name, df in frames.items():
-        df.limit(0).write.mode("append").parquet(f"{root}/in/{name}")
+    weeks = _stage(spark, root, frames)
     ticks = (J.kucoin_ticks(frames_stream(spark, f"{root}/in/kucoin", FRAME_SCHEMA))
              .unionByName(J.binance_ticks(frames_stream(spark, f"{root}/in/binance", FRAME_SCHEMA))))
     q = J.start_current_price(ticks, f"{root}/snapshot", f"{root}/ckpt", trigger=TRIGGER)
     try:
-        _feed_in_order(spark, root, frames, q.processAllAvailable)
+        for week in weeks:
+            _arrive(spark, root, frames, week)
+            q.processAllAvailable()
     finally:
         q.stop()
-    from tickloom.sinks.current import read_snapshot
+    return _snapshot(spark, root)
+
+
+def _snapshot(spark: SparkSession, root: str) -> DataFrame:
     snap = read_snapshot(spark, f"{root}/snapshot")
     return snap.select("source", "symbol", "price", C.ntz("time").alias("time"))
 
 
+def stream_current_price_backfill(spark: SparkSession, sf_dir: str, start, end) -> DataFrame:
+    """The stream sees only what lies outside ``[start, end]``; the tick lake has
+    all. Backfills run before the stream's first commit, between two of its
+    triggers and after a restart with an empty checkpoint."""
+    root = scratch_path(spark, "stream-backfill")
+    ticks = C.unified_ticks(spark, sf_dir)
+    LZ.write_ticks(ticks, f"{root}/lake")
+    seen = ticks.where(~F.col("time").between(F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")))
+    half = F.pmod(F.xxhash64("symbol", "time"), F.lit(2))
+    for i in (0, 1):
+        seen.where(half == i).write.parquet(f"{root}/seen/{i}")
+    middle = "2024-01-12 00:00:00"
+    backfill(spark, f"{root}/lake", f"{root}/snapshot", start, middle)
+    for i in (0, 1):        # the second half arrives under a new checkpoint: batch ids start again
+        stream = spark.readStream.schema(seen.schema).parquet(f"{root}/seen/{i}")
+        q = J.start_current_price(stream, f"{root}/snapshot", f"{root}/ckpt-{i}", trigger={"availableNow": True})
+        try:
+            q.awaitTermination()
+        finally:
+            q.stop()
+        backfill(spark, f"{root}/lake", f"{root}/snapshot", middle, end)
+    return _snapshot(spark, root)
+
+
+def stream_load_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw messages of both feeds -> transformed messages in text files (in
+    place of the topics) -> loader -> snapshot. The order of arrival stands in
+    the file's ``seq``, as a Kafka offset would."""
+    root = scratch_path(spark, "stream-load")
+    ev = C.events(spark, sf_dir)
+    for source, frames in {"kucoin": feeds.kucoin_frames(ev), "binance": feeds.binance_frames(ev)}.items():
+        arrays = J.tick_arrays(source, frames).where(F.size("ticks") > 0)
+        arrays.select(KS.tick_value().alias("value"), "seq").write.json(f"{root}/{source}")
+    read = lambda s: spark.readStream.schema("value string, seq long").json(f"{root}/{s}")
+    qs = J.start_loader(read("kucoin").unionByName(read("binance")), f"{root}/snapshot", f"{root}/ckpt",
+                        rejects_root=f"{root}/rejects", trigger={"availableNow": True})
+    try:
+        for q in qs:
+            q.awaitTermination()
+    finally:
+        for q in qs:
+            q.stop()
+    return _snapshot(spark, root)
+
+
+def stream_landing(spark: SparkSession, sf_dir: str, flush_seconds: int) -> DataFrame:
+    """Both feeds' envelopes through the landing job; its last micro-batch is
+    then written again, as after a crash before the commit."""
+    root = scratch_path(spark, "stream-landing")
+    k = E.envelope(C.kucoin_records(spark, sf_dir), E.kucoin_record_json(), "kucoin", "ingest_ts")
+    b = E.envelope(C.binance_records(spark, sf_dir), E.binance_record_json(), "binance", "ingest_ts")
+    env = k.unionByName(b)
+    env.write.parquet(f"{root}/env")
+    stream = spark.readStream.schema(env.schema).parquet(f"{root}/env")
+    q = J.start_landing(stream, f"{root}/landing", f"{root}/ckpt", flush_seconds, trigger={"availableNow": True})
+    try:
+        q.awaitTermination()
+        last = q.lastProgress["batchId"]
+    finally:
+        q.stop()
+    again = LZ.flush_groups(spark.read.schema(env.schema).parquet(f"{root}/env"), flush_seconds)
+    LZ.write_landing(again, f"{root}/landing", batch=LZ.micro_batch_name(spark, f"{root}/ckpt", last))
+    landed = landed_reader(spark.read, f"{root}/landing")
+    return landed.select("source", "object_key", C.ntz("ingest_ts").alias("ingest_ts"))
+
+
 def stream_micro_batch(spark: SparkSession, sf_dir: str, size: int, timeout_ms: int) -> DataFrame:
     """Stateful A1 over the Kucoin stream; closed batches come from the sink,
     the batches still open at the end of the input from the operator's state
     (read back with the state data source)."""
     root = scratch_path(spark, "stream-batcher")
     frames = {"kucoin": feeds.kucoin_frames(C.events(spark, sf_dir))}
-    frames["kucoin"].limit(0).write.mode("append").parquet(f"{root}/in/kucoin")
+    spark.createDataFrame([], FRAME_SCHEMA).write.mode("append").parquet(f"{root}/in/kucoin")
     recs = J.kucoin_records(frames_stream(spark, f"{root}/in/kucoin", FRAME_SCHEMA))
     batches = stream_batches(recs, ["subject"], "ms", ["seq", "pos"], "record", size, timeout_ms,
                              idle_ms=None)

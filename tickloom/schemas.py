@@ -1,4 +1,8 @@
-"""Raw and canonical schemas."""
+"""Raw and canonical schemas.
+
+The wire field names and the CSV column order are fixed values: they are the
+exchanges' and must match for frames to decode.
+"""
 
 from pyspark.sql import types as T
 
@@ -45,8 +49,7 @@ BINANCE_RENAMES = (("e", "event_type"), ("E", "event_time"), ("s", "symbol"), ("
                    ("q", "quote_volume"))
 BINANCE_NAMED = T.ArrayType(T.StructType([
     T.StructField(dst, f.dataType) for (src, dst), f in zip(BINANCE_RENAMES, BINANCE_WIRE.elementType.fields)]))
-BINANCE_REQUIRED = ("event_type", "event_time", "symbol", "close", "open", "high", "low",
-                    "base_volume", "quote_volume")
+BINANCE_REQUIRED = tuple(name for _, name in BINANCE_RENAMES)
 # Narrow schemas used by the tick transforms (P1): only what is selected.
 KUCOIN_TICK_SOURCE = T.StructType([
     T.StructField("subject", T.StringType()),
@@ -65,6 +68,12 @@ TICK = T.StructType([
     T.StructField("created_at", T.TimestampType()),
 ])
 
+# Fixed value: how a tick's timestamps stand in a transformed message.
+TICK_TIME_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+# Times in landed JSON lines, to the microsecond.
+LANDING_TIME_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
 # Flat CSV layout of a Kucoin message (P10).
 FLAT_TICKER_COLUMNS = ("topic", "type", "subject", "bestAsk", "bestAskSize", "bestBid",
                        "bestBidSize", "price", "sequence", "size", "time")

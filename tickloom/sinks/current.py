@@ -1,101 +1,118 @@
 """Current-price table (K7): a keyed snapshot kept by ``foreachBatch``.
 
-Each micro-batch folds its ticks into the previous snapshot and writes the
-result into one of ``SLOTS`` slot folders (``batch_id % SLOTS``), then records
-the batch id in a small ``_committed`` pointer. Storage and listing stay
-constant however long the stream runs. A replayed batch id reads the previous
-batch's slot, which it never touches, and rewrites its own, so the sink is
-idempotent (T6). A JDBC upsert target is supported through options; the
-Postgres driver is not in this container.
+Folding ticks into the snapshot keeps, per key, the row with the greatest
+(event time, arrival order). That fold is idempotent and independent of order,
+so it needs no batch ids: a replayed micro-batch, a query restarted with a new
+checkpoint and a backfill all fold into whatever is there and nothing is lost
+(T6, T8).
+
+Every commit writes a folder of its own and then creates one small file
+``_commits/<n>`` with the folder's name. Creating it fails if ``n`` exists, so of
+two writers one folds again on top of the other's result. Readers only ever see
+the folder of the newest commit; it stays until ``KEEP`` newer ones exist.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import time
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators.latest import latest_by_key
+from tickloom.sources.files import hadoop_path, list_names, read_small, write_new
 
 SNAPSHOT_COLUMNS = ("source", "symbol", "price", "time", "created_at")
 # arrival order of the winning tick, kept so later merges tie-break exactly
 ORDER_COLUMNS = ("seq", "pos")
-SLOTS = 3
+KEEP = 8
+MAX_TRIES = 20
+CLAIM_SECONDS = 5
+SNAPSHOT_SCHEMA = ("source string, symbol string, price double, time timestamp, created_at timestamp, "
+                   "seq long, pos long")
 
 
-def _slot(root: str, batch_id: int) -> str:
-    return f"{root.rstrip('/')}/slot-{batch_id % SLOTS}"
+def _commits(spark: SparkSession, root: str) -> list[int]:
+    return sorted(int(n) for n in list_names(spark, f"{root}/_commits") if n.isdigit())
 
 
-def _pointer(root: str) -> str:
-    return f"{root.rstrip('/')}/_committed"
+def _newest(spark: SparkSession, root: str) -> tuple[int, str | None]:
+    """Number of the newest commit and the newest folder named by one (0, None:
+    none yet). A commit file still being written, or left empty by a crash, names
+    no folder; the one before it holds."""
+    commits = _commits(spark, root)
+    for n in reversed(commits):
+        folder = read_small(spark, f"{root}/_commits/{n:020d}")
+        if folder:
+            return commits[-1], f"{root}/{folder}"
+    return commits[-1] if commits else 0, None
 
 
-SNAPSHOT_SCHEMA = ("source string, symbol string, price double, time timestamp, created_at timestamp, "
-                   "seq long, pos long, batch long")
-
-
-def last_committed(spark: SparkSession, root: str) -> int | None:
-    """The newest batch id whose snapshot is complete (one scalar)."""
-    try:
-        return spark.read.json(_pointer(root)).agg(F.max("batch")).first()[0]
-    except AnalysisException:
-        return None
-
-
-def _slots(spark: SparkSession, root: str, skip: int | None = None) -> DataFrame | None:
-    """The snapshot slots that exist (typed read: no schema inference job)."""
-    out = None
-    for i in range(SLOTS):
-        if i == skip:
-            continue
-        try:
-            df = spark.read.schema(SNAPSHOT_SCHEMA).parquet(f"{root.rstrip('/')}/slot-{i}")
-        except AnalysisException:
-            continue
-        out = df if out is None else out.unionByName(df)
-    return out
-
-
-def _newest(snaps: DataFrame) -> DataFrame:
-    """Rows of the newest batch present, as a lazy plan (the one-row max is
-    joined back, not collected)."""
-    top = snaps.agg(F.max("batch").alias("_top"))
-    return snaps.join(F.broadcast(top), F.col("batch") == F.col("_top")).drop("_top", "batch")
-
-
-def read_snapshot(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
-    """The newest complete snapshot (per the committed pointer), or the one
-    batch ``before`` folds into: the newest batch below it in the other slots."""
-    if before is not None:
-        snaps = _slots(spark, root, skip=before % SLOTS)
-        return None if snaps is None else _newest(snaps.where(F.col("batch") < before))
-    last = last_committed(spark, root)
-    if last is None:
-        return None
-    snaps = _slots(spark, root)
-    return None if snaps is None else snaps.where(F.col("batch") == last).drop("batch")
+def _settled(spark: SparkSession, root: str) -> tuple[int, str | None]:
+    """:func:`_newest`, once the newest commit file has its content: a writer
+    that has claimed a number fills it at once. One that stays empty was left by
+    a crash, and its writer will fold the same ticks again."""
+    deadline = time.monotonic() + CLAIM_SECONDS
+    while True:
+        n, folder = _newest(spark, root)
+        if not n or read_small(spark, f"{root}/_commits/{n:020d}") or time.monotonic() > deadline:
+            return n, folder
+        time.sleep(0.1)
 
 
-def upsert_batch(ticks: DataFrame, batch_id: int, root: str) -> None:
-    """Fold one micro-batch of ticks into the snapshot (foreachBatch body).
-
-    The previous snapshot and the new ticks go through one ``max_by``
-    aggregate ordered by event time, then arrival order (``seq``, ``pos``,
-    stored with the snapshot): a late tick never replaces a newer price, and
-    the result does not depend on how rows were split into micro-batches.
-    One job writes the new slot, a tiny one commits the pointer."""
-    spark = ticks.sparkSession
+def _read(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(SNAPSHOT_SCHEMA).parquet(folder)
+
+
+def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
+    """The newest committed snapshot; None before the first commit."""
+    _, folder = _newest(spark, root.rstrip("/"))
+    return None if folder is None else _read(spark, folder)
+
+
+def fold_ticks(ticks: DataFrame, root: str) -> None:
+    """Fold ticks into the snapshot and commit. A late tick never replaces a
+    newer price, and the result does not depend on how rows were split into
+    micro-batches: previous snapshot and new ticks go through one ``max_by``."""
+    spark, root = ticks.sparkSession, root.rstrip("/")
     order = [F.col(c).cast("long") if c in ticks.columns else F.lit(None).cast("long") for c in ORDER_COLUMNS]
     rows = ticks.select(*SNAPSHOT_COLUMNS, *[o.alias(c) for o, c in zip(order, ORDER_COLUMNS)])
-    prev = read_snapshot(spark, root, before=batch_id)
-    if prev is not None:
-        rows = prev.select(*SNAPSHOT_COLUMNS, *ORDER_COLUMNS).unionByName(rows)
-    latest = latest_by_key(rows, ["source", "symbol"], ["time", *ORDER_COLUMNS],
-                           ["price", "time", "created_at", *ORDER_COLUMNS])
-    (latest.select(*SNAPSHOT_COLUMNS, *ORDER_COLUMNS).withColumn("batch", F.lit(batch_id).cast("long"))
-     .write.mode("overwrite").parquet(_slot(root, batch_id)))
-    spark.createDataFrame([(batch_id,)], "batch long").write.mode("overwrite").json(_pointer(root))
+    for _ in range(MAX_TRIES):
+        n, folder = _settled(spark, root)
+        both = rows if folder is None else _read(spark, folder).unionByName(rows)
+        latest = latest_by_key(both, ["source", "symbol"], ["time", *ORDER_COLUMNS],
+                               ["price", "time", "created_at", *ORDER_COLUMNS])
+        mine = f"commit-{uuid.uuid4().hex}"
+        latest.select(*SNAPSHOT_COLUMNS, *ORDER_COLUMNS).write.parquet(f"{root}/{mine}")
+        if write_new(spark, f"{root}/_commits/{n + 1:020d}", mine):
+            _clean(spark, root, n + 1)
+            return
+        _delete(spark, f"{root}/{mine}")        # another writer was first: fold on top of it
+    raise RuntimeError(f"{root}: other writers committed first {MAX_TRIES} times")
+
+
+def upsert_batch(ticks: DataFrame, batch_id: int, root: str) -> None:
+    """foreachBatch body; the fold does not depend on ``batch_id``."""
+    fold_ticks(ticks, root)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p, fs = hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+def _clean(spark: SparkSession, root: str, newest: int) -> None:
+    for n in _commits(spark, root):
+        if n <= newest - KEEP:
+            try:
+                folder = read_small(spark, f"{root}/_commits/{n:020d}")
+                if folder:
+                    _delete(spark, f"{root}/{folder}")
+                _delete(spark, f"{root}/_commits/{n:020d}")
+            except Py4JJavaError:       # another writer cleaned it first
+                continue
 
 
 def source_view(snapshot: DataFrame, source: str) -> DataFrame:
@@ -104,21 +121,9 @@ def source_view(snapshot: DataFrame, source: str) -> DataFrame:
     return snapshot.where(F.col("source") == source)
 
 
-def backfill(spark: SparkSession, lake_root: str, snapshot_root: str, start, end, batch_id: int) -> None:
+def backfill(spark: SparkSession, lake_root: str, snapshot_root: str, start, end) -> None:
     """T8 gap fill: replay a range of the tick lake by event time and fold it
     into the snapshot; newer prices already there are kept."""
     from tickloom.sources.landing import replay_event
     ticks = replay_event(spark, lake_root, start, end)
-    if ticks is not None:
-        upsert_batch(ticks.select(*[c for c in ticks.columns if c not in ("dt", "hour", "hour_key")]),
-                     batch_id, snapshot_root)
-
-
-def jdbc_options(url: str, table: str = "current_price", user: str | None = None,
-                 password: str | None = None) -> dict:
-    opts = {"url": url, "dbtable": table}
-    if user:
-        opts["user"] = user
-    if password:
-        opts["password"] = password
-    return opts
+    fold_ticks(ticks.select(*[c for c in ticks.columns if c not in ("dt", "hour", "hour_key")]), snapshot_root)

@@ -5,9 +5,11 @@ same single ``value`` column lands in text files."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.schemas import TICK_TIME_PATTERN
+
 # Topic names of the reference deployment.
 RAW_TOPICS = {"kucoin": "kucoin_raw_data", "binance": "binance_raw_data"}
 TRANSFORMED_TOPICS = {"kucoin": "kucoin_transformed_data", "binance": "binance_transformed_data"}
@@ -28,10 +30,14 @@ def messages(batches: DataFrame, message: str = "message") -> DataFrame:
     return batches.select(F.col(message).cast("string").alias("value"))
 
 
-def ticks_message(ticks: DataFrame) -> DataFrame:
-    """K2 / hazard H6: tick rows serialised with ISO timestamps."""
-    return ticks.select(F.to_json(F.struct(*ticks.columns),
-                                  {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).alias("value"))
+def tick_messages(arrays: DataFrame, ticks: str = "ticks") -> DataFrame:
+    """K2 / hazard H6: one message per array of ticks, timestamps as ISO text.
+    An array without ticks makes no message."""
+    return arrays.where(F.size(ticks) > 0).select(tick_value(ticks).alias("value"))
+
+
+def tick_value(ticks: str = "ticks") -> Column:
+    return F.to_json(ticks, {"timestampFormat": TICK_TIME_PATTERN})
 
 
 def write(df: DataFrame, options: dict, fmt: str = "kafka", path: str | None = None) -> None:

@@ -2,17 +2,22 @@
 
 The reference uploads one JSON array per flush to ``{source}/{ts}.json``
 (second-resolution ingest time of the first item; the same key overwrites).
-Here a flush is a group of envelope rows that share ``object_key``; rows are
-*appended* to a Hive-style layout ``source=/dt=/hour=`` so replay can prune
-directories, and nothing is lost when two flushes share a second.
+Here a flush is a group of envelope rows that share ``object_key``; rows go to a
+Hive-style layout ``source=/dt=/hour=/batch=`` so replay can prune directories.
+``batch`` names the write: nothing is lost when two flushes share a second, and
+a micro-batch that is written again replaces its own files and no others (T6).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalar import hourly_key, object_name
+from tickloom.schemas import LANDING_TIME_PATTERN
+from tickloom.sources.files import read_small
 
 
 def partition_columns(ts: str | Column) -> list[Column]:
@@ -20,40 +25,61 @@ def partition_columns(ts: str | Column) -> list[Column]:
     return [F.date_format(t, "yyyy-MM-dd").alias("dt"), F.hour(t).alias("hour")]
 
 
-def flush_groups(env: DataFrame, window: str = "60 seconds", partitions: int | None = None) -> DataFrame:
-    """A5 in bounded form: envelope rows -> flushes of ``window`` ingest time
-    per source (aligned windows). Each flush is named after its first item
-    (A4 + F7).
+def window_start(ts: Column, seconds: int) -> Column:
+    """Start of the epoch-aligned window of a time, in ms; null for a null time
+    (``F.window`` would drop the row)."""
+    ms = F.unix_millis(ts)
+    return ms - F.pmod(ms, F.lit(seconds * 1000))
+
+
+def flush_groups(env: DataFrame, seconds: int = 60) -> DataFrame:
+    """A5 in bounded form: envelope rows -> flushes of ``seconds`` of ingest time
+    per source (aligned windows), each named after its first item (A4 + F7).
+    Rows without an ingest time stay, in a flush without a name.
 
-    One range exchange on ``(source, flush)`` serves both the per-flush min
-    (its clustering is satisfied, so no second shuffle) and the write layout
-    (each task holds contiguous flushes, hence few hour directories). A flush
-    is bounded by the feed rate over one window."""
-    n = partitions or int(env.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    flushed = (env.withColumn("_flush", F.window("ingest_ts", window).start)
-               .repartitionByRange(n, "source", "_flush"))
-    first = F.min("ingest_ts").over(Window.partitionBy("source", "_flush"))
-    return (flushed.withColumn("object_ts", first)
-            .withColumn("object_key", object_name(F.col("source"), F.col("object_ts")))
-            .drop("_flush"))
+    The first time of a flush is a partial aggregate; the small result is joined
+    back, so a flush is never gathered in one task."""
+    rows = env.withColumn("_flush", window_start(F.col("ingest_ts"), seconds))
+    first = (rows.groupBy(F.col("source").alias("_src"), F.col("_flush").alias("_at"))
+             .agg(F.min("ingest_ts").alias("object_ts")))
+    same = rows["source"].eqNullSafe(first["_src"]) & rows["_flush"].eqNullSafe(first["_at"])
+    return (rows.join(first, same).withColumn("object_key", object_name(F.col("source"), F.col("object_ts")))
+            .drop("_flush", "_src", "_at"))
 
 
 def write_landing(flushed: DataFrame, root: str, compression: str | None = None,
-                  by_event: str | None = None) -> None:
-    """K5: append envelope rows (``data, ingest_ts, source, object_key``) as
-    JSON lines under ``root/source=/dt=/hour=`` of the object (ingest) time;
-    rows from :func:`flush_groups` are already clustered for that layout.
+                  by_event: str | None = None, batch: str | None = None) -> None:
+    """K5: write envelope rows (``data, ingest_ts, source, object_key``) as JSON
+    lines under ``root/source=/dt=/hour=/batch=`` of the object (ingest) time.
     Plain JSON by default, like the reference's ``.json`` objects, which also
     keeps the files splittable for replay. Pass ``by_event`` (an event-time
-    column) to lay the zone out by event hour instead (K6); that layout is
-    clustered here and gzip-compressed by default, like ``.json.gz`` keys."""
+    column) to lay the zone out by event hour instead (K6), gzip-compressed by
+    default, like ``.json.gz`` keys. ``batch`` names this write; writing the same
+    name again replaces those files only. By default the name is new."""
     if compression is None:
         compression = "gzip" if by_event else "none"
     part_ts = by_event or "object_ts"
-    out = flushed.select("data", "ingest_ts", "object_key", "source", *partition_columns(part_ts))
-    out = _cluster(out, part_ts) if by_event else out.sortWithinPartitions("source", "dt", "hour", "ingest_ts")
-    (out.write.mode("append").partitionBy("source", "dt", "hour")
-     .option("compression", compression).json(root))
+    out = flushed.select("data", "ingest_ts", "object_key", "source", *partition_columns(part_ts),
+                         F.lit(batch or uuid.uuid4().hex).alias("batch"))
+    n = int(out.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # contiguous ranges down to the time: few folders per task, and a hot hour
+    # is still cut across tasks
+    out = out.repartitionByRange(n, "source", "dt", "hour", "ingest_ts").sortWithinPartitions(
+        "source", "dt", "hour", "ingest_ts")
+    # only a name that may have been written before has anything to replace
+    w = out.write.mode("append") if batch is None else out.write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic")
+    (w.partitionBy("source", "dt", "hour", "batch").option("compression", compression)
+     .option("timestampFormat", LANDING_TIME_PATTERN).json(root))
+
+
+def micro_batch_name(spark, checkpoint: str, batch_id: int) -> str:
+    """A name for a streaming query's micro-batch that no other query and no
+    later checkpoint shares: the query id stored in the checkpoint, and the
+    batch id."""
+    import json
+    query = json.loads(read_small(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+    return f"{query}-{batch_id}"
 
 
 def write_ticks(ticks: DataFrame, root: str) -> None:

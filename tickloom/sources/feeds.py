@@ -18,8 +18,15 @@ from tickloom.functions.scalar import ts_to_millis
 FIXTURE_QUOTES = ("USDT", "USDC", "BTC", "ETH")
 KUCOIN_TOPIC = "/market/ticker:all"
 BINANCE_EVENT = "24hrMiniTicker"
-# Event types that play Kucoin control frames ("welcome" / "ack").
+# Event types that bring a Kucoin control frame ("welcome" / "ack") besides
+# their message.
 CONTROL_EVENT_TYPES = ("error",)
+# Events whose id is divisible by this carry the time of their full hour: ties
+# at one millisecond, and records that are older than what came before them.
+TIE_EVERY, HOUR_MS = 5, 3_600_000
+# Users whose id is divisible by this trade a base with a hyphen of its own.
+HYPHEN_EVERY = 7
+BINANCE_FRAME_MS = HOUR_MS
 
 
 def _base(ev: DataFrame) -> Column:
@@ -31,6 +38,10 @@ def _quote(ev: DataFrame) -> Column:
                         (ev["user_id"] % len(FIXTURE_QUOTES)).cast("int") + 1)
 
 
+def _ms(ev: DataFrame) -> Column:
+    return ts_to_millis(ev["ts"])
+
+
 def fixture_ticks(events: DataFrame) -> DataFrame:
     """The fields every feed is built from: one row per event."""
     return events.select(
@@ -38,23 +49,29 @@ def fixture_ticks(events: DataFrame) -> DataFrame:
         "event_type",
         "value",
         _base(events).alias("base"),
+        F.when(events["user_id"] % HYPHEN_EVERY == 0,
+               F.concat(F.substring(_base(events), 1, 2), F.lit("-"), F.substring(_base(events), 3, 100)))
+        .otherwise(_base(events)).alias("hyphenated"),
         _quote(events).alias("quote"),
         events["value"].cast("string").alias("price_text"),
         events["user_id"].cast("string").alias("size_text"),
-        ts_to_millis(events["ts"]).alias("ms"),
+        F.when(events["event_id"] % TIE_EVERY == 0, _ms(events) - F.pmod(_ms(events), F.lit(HOUR_MS)))
+        .otherwise(_ms(events)).alias("ms"),
         events["ts"].cast("timestamp").alias("ingest_ts"),
     )
 
 
 def kucoin_frames(events: DataFrame, control_types=CONTROL_EVENT_TYPES,
-                  price=None, best_ask=None, notices: bool = False) -> DataFrame:
-    """One Kucoin text frame per event: a ticker message, or a control frame
-    (``welcome``/``ack``) for the event types in ``control_types``.
-
-    ``price`` / ``best_ask`` map the fixture rows to overriding texts (used to
-    inject bad prices, or a missing field: a null is left out of the JSON).
-    With ``notices``, every third control event is instead a ``notice`` frame
-    that carries ``subject`` and ``data`` (kept by P4, dropped by P5).
+                  price=None, best_ask=None, notices: bool = False, time=None, text=None) -> DataFrame:
+    """One Kucoin text frame per event, a ticker message with one field that the
+    model does not know (P13), and besides it a control frame (``welcome`` /
+    ``ack``) for the event types in ``control_types``.
+
+    ``price``, ``best_ask`` and ``time`` map the fixture rows to overriding
+    values (used to inject bad prices and times, or a missing field: a null is
+    left out of the JSON); ``text`` maps the rows and the finished text to the
+    text sent. With ``notices``, every third control frame is a ``notice`` that
+    carries ``subject`` and ``data`` (kept by P4, dropped by P5).
     """
     t = fixture_ticks(events)
     price_col = t["price_text"] if price is None else price(t)
@@ -67,31 +84,33 @@ def kucoin_frames(events: DataFrame, control_types=CONTROL_EVENT_TYPES,
         price_col.alias("price"),
         t["event_id"].cast("string").alias("sequence"),
         t["size_text"].alias("size"),
-        t["ms"].alias("time"),
+        (t["ms"] if time is None else time(t)).alias("time"),
+        F.lit("new").alias("marketState"),
     )
     is_control = t["event_type"].isin(*control_types) if control_types else F.lit(False)
     is_notice = is_control & (t["event_id"] % 3 == 0) if notices else F.lit(False)
-    message = F.to_json(F.struct(
-        F.lit(KUCOIN_TOPIC).alias("topic"),
-        F.when(is_notice, F.lit("notice")).otherwise(F.lit("message")).alias("type"),
-        F.concat(t["base"], F.lit("-"), t["quote"]).alias("subject"),
-        data.alias("data"),
-    ))
+    def frame(kind: str) -> Column:
+        return F.to_json(F.struct(
+            F.lit(KUCOIN_TOPIC).alias("topic"), F.lit(kind).alias("type"),
+            F.concat(t["hyphenated"], F.lit("-"), t["quote"]).alias("subject"), data.alias("data")))
+
+    message = frame("message") if text is None else text(t, frame("message"))
     control = F.to_json(F.struct(
         t["event_id"].cast("string").alias("id"),
         F.when(t["event_id"] % 2 == 0, F.lit("welcome")).otherwise(F.lit("ack")).alias("type"),
     ))
+    control = F.when(is_notice, frame("notice")).otherwise(control)
     return t.select(
-        F.when(is_control & ~is_notice, control).otherwise(message).alias("value"),
+        F.explode(F.when(is_control, F.array(control, message)).otherwise(F.array(message))).alias("value"),
         "ingest_ts",
         t["event_id"].alias("seq"),
     )
 
 
-def binance_frames(events: DataFrame, frame_ms: int = 1000) -> DataFrame:
-    """Binance text frames: one JSON array per ``frame_ms`` of event time
-    (the exchange pushes one list of tickers per second), elements ordered by
-    ``(ms, event_id)``. The group is bounded by the feed rate per frame.
+def binance_frames(events: DataFrame, frame_ms: int = BINANCE_FRAME_MS) -> DataFrame:
+    """Binance text frames: one JSON array per ``frame_ms`` of event time (the
+    exchange pushes lists of tickers), elements ordered by ``(ms, event_id)``.
+    The group is bounded by the feed rate per frame.
     """
     t = fixture_ticks(events)
     element = F.struct(

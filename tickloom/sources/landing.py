@@ -11,12 +11,13 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions.scalar import key_time
+from tickloom.schemas import LANDING_TIME_PATTERN, TICK
+from tickloom.sources.files import matches
 
 LANDING_SCHEMA = T.StructType([
     T.StructField("data", T.StringType()),
@@ -25,7 +26,10 @@ LANDING_SCHEMA = T.StructType([
     T.StructField("source", T.StringType()),
     T.StructField("dt", T.StringType()),
     T.StructField("hour", T.IntegerType()),
+    T.StructField("batch", T.StringType()),
 ])
+LAKE_SCHEMA = T.StructType([*TICK.fields, T.StructField("hour_key", T.StringType()),
+                            T.StructField("dt", T.StringType()), T.StructField("hour", T.IntegerType())])
 
 
 def _ts(x) -> _dt.datetime:
@@ -58,16 +62,20 @@ def day_glob(root: str, start, end, source: str | None = None) -> str:
 
 
 def _read_range(spark: SparkSession, root: str, start, end, source, reader) -> DataFrame | None:
-    try:
-        return reader(spark.read.option("basePath", root), day_glob(root, start, end, source))
-    except AnalysisException:       # no folder for any day of the range
+    days = day_glob(root, start, end, source)
+    if not matches(spark, days):        # no folder for any day of the range
         return None
+    return reader(spark.read.option("basePath", root), days)
+
+
+def landed_reader(reader, path: str) -> DataFrame:
+    return reader.schema(LANDING_SCHEMA).option("timestampFormat", LANDING_TIME_PATTERN).json(path)
 
 
 def replay_ingest(spark: SparkSession, root: str, source: str, start, end=None) -> DataFrame:
     """S9 + S10: envelope rows of the flushes whose object time is in range."""
     s, e = _ts(start), _ts(end)
-    df = _read_range(spark, root, s, e, source, lambda r, p: r.schema(LANDING_SCHEMA).json(p))
+    df = _read_range(spark, root, s, e, source, landed_reader)
     if df is None:
         return spark.createDataFrame([], LANDING_SCHEMA)
     t = key_time(F.col("object_key"))
@@ -75,12 +83,12 @@ def replay_ingest(spark: SparkSession, root: str, source: str, start, end=None)
             .where(t.between(F.lit(s), F.lit(e))))
 
 
-def replay_event(spark: SparkSession, root: str, start, end=None, source: str | None = None) -> DataFrame | None:
+def replay_event(spark: SparkSession, root: str, start, end=None, source: str | None = None) -> DataFrame:
     """H10 event-time mode over the tick lake (partitioned by event hour)."""
     s, e = _ts(start), _ts(end)
     df = _read_range(spark, root, s, e, source, lambda r, p: r.parquet(p))
     if df is None:
-        return None
+        return spark.createDataFrame([], LAKE_SCHEMA)
     cond = hour_bounds(s, e) & F.col("time").between(F.lit(s), F.lit(e))
     if source:
         cond = (F.col("source") == source) & cond

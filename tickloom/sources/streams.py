@@ -27,6 +27,14 @@ def kafka_stream(spark: SparkSession, options: dict) -> DataFrame:
     return spark.readStream.format("kafka").options(**options).load()
 
 
+def kafka_arrival(rows: DataFrame) -> DataFrame:
+    """Arrival columns of Kafka rows: ``ingest_ts``, and ``seq``, which orders by
+    (partition, offset). Offsets alone repeat across partitions; 2^47 fit."""
+    from pyspark.sql import functions as F
+    return (rows.withColumn("ingest_ts", F.col("timestamp"))
+            .withColumn("seq", F.shiftleft(F.col("partition").cast("long"), 47) + F.col("offset")))
+
+
 def kafka_batch(spark: SparkSession, options: dict) -> DataFrame:
     """Bounded backfill over the same topic."""
     return spark.read.format("kafka").options(**options).load()

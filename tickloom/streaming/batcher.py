@@ -53,7 +53,8 @@ def _folder(keys: Sequence[str], ms: str, order: Sequence[str], record: str, siz
     def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             bid, n, st, last, recs = state.get
-            state.remove()
+            # the next batch id stays in the state: ids never start again
+            state.update((bid + (1 if n else 0), 0, 0, last, []))
             if n:
                 yield pd.DataFrame([emit(key, bid, list(recs), st, last, "idle")], columns=out_cols)
             return
