@@ -108,14 +108,48 @@ def test_tiny_arrow_batches_carry_state_across_chunks(spark, arrow_rows):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
 
 
-def test_shuffle_join_fallback_above_broadcast_bound(spark, monkeypatch):
-    """Above the broadcast bound the resolution is shuffle-joined and the
-    rows re-sorted by (partition, position); results must not change."""
+def test_too_many_partitions_are_refused(spark, monkeypatch):
     import tickloom.operators.batching as B
-    monkeypatch.setattr(B, "MAX_BROADCAST_PARTITIONS", 0)
-    rnd = random.Random(3)
-    rows = [(rnd.choice(["HOT", "HOT", "a"]), rnd.randint(0, 400), i) for i in range(500)]
-    assert run(spark, rows, 4, 25, 11) == brute(rows, 4, 25)
+    monkeypatch.setattr(B, "MAX_BROADCAST_PARTITIONS", 10)
+    with pytest.raises(ValueError):
+        run(spark, [("k", 1, 1)], 4, 25, 11)
+
+
+@pytest.mark.parametrize("arrow_rows", [3, 10_000])
+def test_time_only_batches_of_any_size(spark, arrow_rows):
+    """The reference's object batcher: a size that is never reached, 60 s."""
+    rnd = random.Random(8)
+    rows, t = [], 0
+    for i in range(2000):
+        t += rnd.choice([0, 1, 500, 9000, 70_000])
+        rows.append((rnd.choice(["HOT", "HOT", "a"]), t, i))
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(arrow_rows))
+    try:
+        for parts in (1, 7, 40):
+            assert run(spark, rows, 99_999_999, 60_000, parts) == brute(rows, 99_999_999, 60_000)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_transfer_table_does_not_grow_with_size():
+    """Every possible offset's outcome, from few runs, chunk by chunk."""
+    import numpy as np
+    from tickloom.operators.batching import _Candidates, _Fold
+    r = np.random.default_rng(1)
+    for size, timeout in [(4, 30), (50, 30), (10**8, 30), (7, 10**9), (3, 0), (10**8, 300)]:
+        t = np.cumsum(r.integers(0, 9, 400))
+        table = _Candidates(size, timeout)
+        for at in range(0, 400, 37):
+            table.feed(t[at:at + 37])
+        offsets, cnt, n, st_ = table.table()
+        assert len(offsets) <= 300
+        close = min(size - 1, int(np.searchsorted(t, t[0] + timeout)))
+        for e in range(min(400, close + 2, size)):
+            fold = _Fold(skip=e)
+            fold.feed(t, size, timeout)
+            k = int(np.searchsorted(offsets, e, side="right")) - 1
+            assert (cnt[k], n[k], st_[k]) == (fold.cnt, fold.n, fold.st), (size, timeout, e)
 
 
 def test_multi_column_keys(spark):

@@ -14,10 +14,11 @@ Bounded form, hot-key safe (no key is ever gathered into one task):
    survives executor loss, and partition ids stay stable).
 2. One Arrow pass folds every segment, streaming over record batches. A
    segment that opens a partition may continue a batch from the previous
-   partition, so for it the pass computes a transfer table over the at most
-   ``size`` possible first-batch offsets: batches started, and the batch
-   still open at the segment end; its first ``size - 1`` times are kept too
-   (enough to close any carried batch). Output: a few rows per partition.
+   partition, so for it the pass computes a transfer table over the possible
+   first-batch offsets, as runs of equal outcome: batches started, and the
+   batch still open at the segment end; the times of its first rows are kept
+   too, up to where any carried batch has closed. Neither grows with ``size``.
+   Output: a few rows per partition.
 3. The stitch resolves each partition's entry offset and batch-id base from
    those boundary rows only: blocks of ``STITCH_BLOCK`` rows per key compute
    their state maps in parallel, blocks are composed in groups of
@@ -46,7 +47,7 @@ from pyspark.sql import types as T
 
 PID, POS = "_tl_pid", "_tl_pos"
 # The resolution table has one row of three longs per range partition; it is
-# broadcast up to this many partitions (~50 MB) and shuffle-joined above.
+# broadcast; more partitions than this (~50 MB) are refused.
 MAX_BROADCAST_PARTITIONS = 2_000_000
 
 
@@ -127,32 +128,68 @@ _NONE = np.zeros(0, dtype=np.int64)
 
 
 class _Candidates:
-    """The transfer table of a segment that may continue a batch: one fold per
-    entry offset e in [0, size). Folds that reach the same state have the same
-    future, so they are merged and only their count offsets are kept."""
-
-    def __init__(self, size: int):
-        self.groups = [(_Fold(skip=e), [(e, 0)]) for e in range(size)]
-
-    def feed(self, t: np.ndarray, size: int, timeout: int) -> None:
-        merged: dict[tuple, tuple[_Fold, list]] = {}
-        for fold, members in self.groups:
-            fold.feed(t, size, timeout)
-            key = fold.state()
-            if key in merged:
-                rep, rep_members = merged[key]
-                rep_members.extend((e, off + fold.cnt - rep.cnt) for e, off in members)
-            else:
-                merged[key] = (fold, members)
-        self.groups = list(merged.values())
+    """The transfer table of a segment that may continue a batch: for every entry
+    offset (how many of its rows still belong to that batch), the batches started
+    and the batch open at the end. Offsets with the same future are one run.
+
+    A carried batch began at or before the segment's first time, so it closes by
+    the first row that is ``timeout`` after that time, or as row ``size - 1``:
+    only offsets up to there are possible, however large ``size`` is. A chunk is
+    solved for all of its rows at once by pointer doubling over "where the next
+    batch starts", so the cost does not depend on the number of offsets either."""
+
+    def __init__(self, size: int, timeout: int):
+        self.size, self.timeout, self.rows, self.limit = size, timeout, 0, None
+        self.first = None                       # the segment's first time
+        self.runs = np.zeros((4, 0), dtype=np.int64)     # first offset, count, n, st
+
+    def _solve(self, t: np.ndarray):
+        """Per row of a chunk: batches started from there on, and the open one."""
+        m, nxt = len(t), _next_start(t, self.size, self.timeout)
+        count, last, hop = np.ones(m, dtype=np.int64), np.arange(m), nxt
+        while (inside := hop < m).any():
+            to = np.where(inside, hop, 0)
+            count = count + np.where(inside, count[to], 0)
+            last = np.where(inside, last[to], last)
+            hop = np.where(inside, hop[to], hop)
+        is_open = nxt[last] > m
+        return count, np.where(is_open, m - last, 0), np.where(is_open, t[last], 0)
+
+    def feed(self, t: np.ndarray) -> None:
+        m = len(t)
+        if not m:
+            return
+        if self.first is None:
+            self.first = int(t[0])
+        count, n_end, st_end = self._solve(t)
+        at, cnt, n, st = self.runs
+        if len(at):                             # the open batches go on into this chunk
+            by_time = np.searchsorted(t, st + self.timeout, side="left") if self.timeout > 0 else np.zeros_like(st)
+            start = np.where(n > 0, np.minimum(by_time, self.size - n - 1) + 1, 0)
+            joins, begins = start > m, start < m
+            to = np.where(begins, start, 0)
+            cnt = cnt + np.where(begins, count[to], 0)
+            n, st = (np.where(joins, n + m, np.where(begins, n_end[to], 0)),
+                     np.where(joins, st, np.where(begins, st_end[to], 0)))
+        if self.limit is None:                  # offsets that end in this chunk
+            hi = max(0, min(m, self.size - self.rows))
+            close = int(np.searchsorted(t, self.first + max(self.timeout, 0), side="left"))
+            if close < m:
+                self.limit = min(self.size, self.rows + close + 2)
+                hi = min(hi, close + 2)
+            new = (np.arange(self.rows, self.rows + hi), count[:hi], n_end[:hi], st_end[:hi])
+        elif self.rows < self.limit:            # the row after the closing one
+            new = (np.array([self.rows]), count[:1], n_end[:1], st_end[:1])
+        else:
+            new = (_NONE,) * 4
+        runs = np.stack([np.concatenate(p) for p in zip((at, cnt, n, st), new)])
+        if runs.shape[1] > 1:
+            keep = np.concatenate([[True], (runs[1:, 1:] != runs[1:, :-1]).any(axis=0)])
+            runs = runs[:, keep]
+        self.runs, self.rows = runs, self.rows + m
 
-    def table(self, k: int) -> tuple[list[int], list[int], list[int]]:
-        cnt, n_open, st_open = [0] * k, [0] * k, [0] * k
-        for fold, members in self.groups:
-            for e, off in members:
-                if e < k:
-                    cnt[e], n_open[e], st_open[e] = fold.cnt + off, fold.n, fold.st
-        return cnt, n_open, st_open
+    def table(self) -> tuple[list[int], ...]:
+        return tuple(r.tolist() for r in self.runs)
 
 
 def _runs(cols: list[pa.Array], n: int) -> list[tuple[int, int]]:
@@ -188,7 +225,9 @@ def _summary_schema(key_fields: list[T.StructField]) -> T.StructType:
                          T.StructField(PID, T.LongType()),
                          T.StructField("role", T.StringType()),   # first | last
                          T.StructField("m", T.LongType()),
+                         T.StructField("closes", T.BooleanType()),   # any carried batch ends inside
                          T.StructField("heads", L),
+                         T.StructField("offsets", L),
                          T.StructField("cnt", L),
                          T.StructField("n_open", L),
                          T.StructField("st_open", L)])
@@ -196,8 +235,9 @@ def _summary_schema(key_fields: list[T.StructField]) -> T.StructType:
 
 def _summarise(keys, ms, size, timeout, schema: T.StructType):
     """Arrow pass 1: per partition, the boundary segments' fold summaries.
-    Streams over the partition's Arrow batches; memory is one batch plus at
-    most ``size`` fold states."""
+    Streams over the partition's Arrow batches; memory is one batch, the runs of
+    the transfer table and the times of the first rows, up to where any carried
+    batch has closed."""
     from pyspark.sql.pandas.types import to_arrow_schema
     arrow_schema = to_arrow_schema(schema)
 
@@ -213,14 +253,14 @@ def _summarise(keys, ms, size, timeout, schema: T.StructType):
                 return
             kv = dict(zip(keys, cur[1:]))
             if st["first"]:
-                k = min(size, st["m"])
-                cnt, n_open, st_open = st["fold"].table(k)
+                offsets, cnt, n_open, st_open = st["fold"].table()
                 rows.append({**kv, PID: cur[0], "role": "first", "m": st["m"], "heads": st["heads"],
+                             "closes": st["full"] or st["m"] >= size - 1, "offsets": offsets,
                              "cnt": cnt, "n_open": n_open, "st_open": st_open})
             else:
                 f = st["fold"]
-                pending = {**kv, PID: cur[0], "role": "last", "m": st["m"], "heads": [],
-                           "cnt": [f.cnt], "n_open": [f.n], "st_open": [f.st]}
+                pending = {**kv, PID: cur[0], "role": "last", "m": st["m"], "heads": [], "closes": False,
+                           "offsets": [0], "cnt": [f.cnt], "n_open": [f.n], "st_open": [f.st]}
 
         for rb in batches:
             if rb.num_rows == 0:
@@ -234,13 +274,19 @@ def _summarise(keys, ms, size, timeout, schema: T.StructType):
                         rows.append(pending)     # the previous partition's last segment
                     pending = None
                     cur = kv
-                    st = {"first": first, "m": 0, "heads": [],
-                          "fold": _Candidates(size) if first else _Fold()}
+                    st = {"first": first, "m": 0, "heads": [], "full": False,
+                          "fold": _Candidates(size, timeout) if first else _Fold()}
                 chunk = t[a:b]
                 st["m"] += b - a
-                if st["first"] and len(st["heads"]) < size - 1:
-                    st["heads"].extend(chunk[: size - 1 - len(st["heads"])].tolist())
-                st["fold"].feed(chunk, size, timeout)
+                if not st["first"]:
+                    st["fold"].feed(chunk, size, timeout)
+                    continue
+                st["fold"].feed(chunk)
+                if not st["full"] and len(st["heads"]) < size - 1:
+                    heads = chunk[: size - 1 - len(st["heads"])]
+                    end = int(np.searchsorted(heads, st["fold"].first + max(timeout, 0), side="left"))
+                    st["full"] = end < len(heads)
+                    st["heads"].extend(heads[:end + 1].tolist())
             if len(rows) >= 1024:
                 yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
                 rows = []
@@ -276,7 +322,12 @@ def _step(r: dict, state, size: int, timeout: int):
         entry = int(hit[0]) + 1
     if entry >= m:                             # carried batch closed on the last row
         return entry, 0, (0, 0)
-    return entry, int(r["cnt"][entry]), (int(r["n_open"][entry]), int(r["st_open"][entry]))
+    k = _run_of(r, entry)
+    return entry, int(r["cnt"][k]), (int(r["n_open"][k]), int(r["st_open"][k]))
+
+
+def _run_of(r: dict, entry: int) -> int:
+    return int(np.searchsorted(np.asarray(r["offsets"]), entry, side="right")) - 1
 
 
 def _candidates(first: dict):
@@ -301,8 +352,11 @@ def _block_maps(keys, size, timeout):
                 for r in rows:
                     entry, cnt, state = _step(r, state, size, timeout)
                     total += cnt
-                k = len(last["cnt"])
-                memo[cand] = (entry if entry is not None and entry < k else k, total)
+                if entry is None:
+                    k = 0                       # the key begins in the last row: one state
+                else:
+                    k = _run_of(last, entry) if entry < last["m"] else len(last["cnt"])
+                memo[cand] = (k, total)
             out_idx.append(memo[cand][0])
             counts.append(memo[cand][1])
         return pd.DataFrame([{**{k: rows[0][k] for k in keys}, "block": rows[0]["block"],
@@ -377,12 +431,12 @@ def _stitch(summary: DataFrame, keys: list[str], size: int, timeout: int) -> Dat
     """Entry offset and batch-id base of every partition's first segment.
 
     The boundary rows of a key are ranked by partition; blocks of about
-    ``STITCH_BLOCK`` rows end on a row of at least ``size - 1`` rows, whose
+    ``STITCH_BLOCK`` rows end on a row in which any carried batch closes, whose
     out-state is one of its table states. Each block's map from incoming to
     outgoing state index is computed in parallel, chained per key (one row per
     block), then each block is walked once more from its resolved state."""
     w = Window.partitionBy(*keys).orderBy(PID)
-    cut = ((F.col("m") >= size - 1) & (F.col("r") % STITCH_BLOCK == 0)).cast("int")
+    cut = (F.col("closes") & (F.col("r") % STITCH_BLOCK == 0)).cast("int")
     ranked = (summary.withColumn("r", F.row_number().over(w))
               .withColumn("prev_n_open", F.lag("n_open").over(w))
               .withColumn("prev_st_open", F.lag("st_open").over(w))
@@ -476,6 +530,8 @@ def assign_batches(df: DataFrame, keys: Sequence[str], ms: str, order: Sequence[
     checkpoint_root(spark)
     keys, order = list(keys), list(order)
     n_parts = int(partitions or spark.conf.get("spark.sql.shuffle.partitions"))
+    if n_parts > MAX_BROADCAST_PARTITIONS:
+        raise ValueError(f"at most {MAX_BROADCAST_PARTITIONS} partitions")
     sort_cols = [*keys, ms, *order]
     # The range exchange samples its input in a separate job before the
     # shuffle reads it again; keep the input so an expensive upstream (decode,
@@ -497,12 +553,8 @@ def assign_batches(df: DataFrame, keys: Sequence[str], ms: str, order: Sequence[
                   .withColumnRenamed("entry", "_tl_entry").withColumnRenamed("base", "_tl_base"))
     resolution = resolution.checkpoint(eager=True)
 
-    if n_parts <= MAX_BROADCAST_PARTITIONS:
-        # one fixed-width row per partition: size bounded by n_parts, checked above
-        joined = ranged.join(F.broadcast(resolution), PID, "left")
-    else:
-        joined = (ranged.join(resolution, PID, "left")
-                  .repartition(n_parts, PID).sortWithinPartitions(PID, POS))
+    # one fixed-width row per partition: size bounded by n_parts, checked above
+    joined = ranged.join(F.broadcast(resolution), PID, "left")
     schema = T.StructType([*[f for f in ranged.schema.fields],
                            T.StructField("batch_id", T.LongType())])
     joined = joined.select(*[f.name for f in ranged.schema.fields], "_tl_entry", "_tl_base")

@@ -176,6 +176,12 @@ select k as source, b as batch_id, count(*) as n, min(ms) as first_ms, max(ms) a
 from f group by 1, 2
 """
 
+SQL["micro_batch_time_only"] = fold_sql(
+    "(select * from ku union all select * from bi)", "source", Q.TIME_ONLY_SIZE, Q.TIME_ONLY_TIMEOUT_MS) + """
+select k as source, b as batch_id, count(*) as n, min(ms) as first_ms, max(ms) as last_ms
+from f group by 1, 2
+"""
+
 SQL["micro_batch_feed_symbol"] = fold_sql(
     "(select * from ku union all select * from bi)", "source || '|' || subject",
     Q.BATCH_SIZE, Q.BATCH_TIMEOUT_MS) + """

@@ -33,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # Sizes and timeouts are such that both close many batches at sf0.01.
 BATCH_SIZE, BATCH_TIMEOUT_MS = 5, 10 * 3600 * 1000            # per-symbol batches (A10)
 SOURCE_BATCH_SIZE, SOURCE_BATCH_TIMEOUT_MS = 12, 3600 * 1000  # one key per feed (A2)
+TIME_ONLY_SIZE, TIME_ONLY_TIMEOUT_MS = 99_999_999, 60_000
 ALIGNED_WINDOW, ALIGNED_SIZE = "12 hours", 4
 FLUSH_SECONDS = 3600
 REPLAY_START, REPLAY_END = "2024-01-10 06:30:00", "2024-01-14 18:45:30"
@@ -257,6 +258,17 @@ def micro_batch_feed_symbol(spark, sf_dir):
     return B.batch_stats(tagged, ["source", "subject"], "ms")
 
 
+@register
+def micro_batch_time_only(spark, sf_dir):
+    """A1/A5 as the reference's object batcher is set up: batches of one feed
+    that only time closes, anchored at their first record."""
+    cols = ["source", "ms", "seq", "pos"]
+    recs = C.kucoin_records(spark, sf_dir).select(*cols).unionByName(C.binance_records(spark, sf_dir).select(*cols))
+    tagged = B.assign_batches(recs, ["source"], "ms", ["seq", "pos"], size=TIME_ONLY_SIZE,
+                              timeout_ms=TIME_ONLY_TIMEOUT_MS)
+    return B.batch_stats(tagged, ["source"], "ms")
+
+
 @register
 def micro_batch_aligned(spark, sf_dir):
     """A5: epoch-aligned windows per symbol, cut into chunks of ALIGNED_SIZE."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -77,6 +79,29 @@ def checkpoint_root(spark: SparkSession) -> str:
     return d
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique folder under the checkpoint root for one job's tables."""
-    return f"{checkpoint_root(spark).rstrip('/')}/tickloom/{name}-{uuid.uuid4().hex[:12]}"
+    """A new, unique folder under the checkpoint root for one job's tables. It
+    lives until :func:`clear_scratch` or the end of the driver process, because
+    a returned DataFrame may still read it."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/tickloom/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove every scratch folder of this driver process. DataFrames that read
+    them can no longer be evaluated."""
+    while _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@atexit.register
+def _clear_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        with contextlib.suppress(Exception):        # the session may be going down
+            clear_scratch(spark)
