@@ -294,6 +294,8 @@ def test_near_groups_with_repeated_and_missing_ids(messy):
 def test_chain_of_near_copies_is_one_component(spark, monkeypatch, block):
     """Neighbours are linked, the ends are not: the rounds must find every link."""
     monkeypatch.setattr(near, "BLOCK", block)
+    monkeypatch.setattr(near, "SET_BLOCK", block)
+    monkeypatch.setattr(near, "SMALL", block)
     words = [f"w{i}" for i in range(400)]
     docs = [(i, " ".join(words[4 * i:4 * i + 120])) for i in range(60)] + [(100 + i, " ".join(words[300:400][::-1]) + f" z{i}") for i in range(20)]
     want = brute.near_components(docs)

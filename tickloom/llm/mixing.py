@@ -6,8 +6,8 @@ tilted: ``rate = exp(lambda_source)``. The multipliers solve the convex dual
 ``sum(size * exp(lambda)) - lambda * target`` by Newton steps, each one an
 aggregate over the documents, grouped beforehand into classes of equal source
 and size (their rates are equal). The rates are then rounded into whole copies
-per class so that a source's taken words end within one small document of its
-target, and a class's odd copies go to its rows with the smallest hashes.
+per class so that a source's taken words end within one document of its target
+(a small one, unless every other is taken fully), and a class's odd copies go to its rows with the smallest hashes.
 
 Targets: sources in code-point order (null last) weigh ``WEIGHTS`` repeating
 and share ``BUDGET`` of all words; a target stops at ``MAX_COPIES`` times its
@@ -82,7 +82,7 @@ def solve(classes: DataFrame, goals: DataFrame, steps: int = MAX_STEPS, toleranc
 def round_copies(classes: DataFrame, goals: DataFrame, lam: DataFrame, most: int = MAX_COPIES) -> DataFrame:
     """``_m_k``: whole copies per class. The whole part of the rate first, then
     one more copy in order of what was cut off, then what still fits, large
-    documents first; no step exceeds the target."""
+    documents first; last, one copy over the target where that is nearer."""
     c = classes.join(goals.select("_m_sid", "target"), "_m_sid").join(lam, "_m_sid")
     quota = F.col("_m_n") * F.when(F.col("target") > 0, F.least(F.exp("_m_lambda"), F.lit(float(most)))).otherwise(0.0)
     c = c.withColumn("_m_q", quota).withColumn("_m_k", F.floor(F.col("_m_q") + 1e-6).cast("long"))
@@ -105,7 +105,12 @@ def round_copies(classes: DataFrame, goals: DataFrame, lam: DataFrame, most: int
     c = grow(c, source.orderBy(rest.desc(), F.col("size")), F.least(spare, F.when(rest > 1e-6, 1).otherwise(0)))
     for _ in range(4):      # each round leaves less than the smallest document it passed over
         c = grow(c, source.orderBy(F.col("size").desc()), spare)
-    return c.select(*_CLASS, "_m_n", "_m_k")
+    # one copy too many may be nearer than what is left
+    c = c.withColumn("_m_r", left())
+    over = (spare > 0) & (F.col("size") > F.col("_m_r")) & (F.col("size") < 2 * F.col("_m_r"))
+    c = c.withColumn("_m_o", F.min(F.when(over, F.col("size"))).over(source))
+    return c.select(*_CLASS, "_m_n", (F.col("_m_k") + F.when(over & (F.col("size") == F.col("_m_o")), 1).otherwise(0))
+                    .cast("long").alias("_m_k"))
 
 
 def mix(docs: DataFrame, text: str = "text", id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
