@@ -6,15 +6,18 @@ kept, packed by bit planes: two signatures' similarity is a bit count over XORs,
 corrected for chance collisions. Pairs that share a bucket and whose estimate
 is at least ESTIMATE are confirmed on their full shingle sets.
 
-Equal sets are one class before any pair is made. Pairs are made in rounds that
-never list all pairs of a group of near copies: first each class with the most
-similar of its buckets' first members; then, among what is still apart, the
-links of a maximum spanning forest per bucket; last all pairs that remain
-between different components. A link that is not tested joins classes that are
-joined already. Buckets above BLOCK members are compared block by block.
+Equal sets are one class before any pair is made, and pairs of a group of near
+copies are never listed. First each class is confirmed with the most similar of
+its buckets' first members, which joins most groups. In buckets that still hold
+several components, the members whose estimate with a member of another
+component is high enough are found from the signatures; then their full sets
+meet bucket by bucket, and every such pair is confirmed there unless the links
+found before have joined it. Only confirmed links leave a bucket. A pair is
+tested in the first bucket it shares. Buckets are compared in blocks of BLOCK
+(signatures) and SET_BLOCK (sets) members.
 
 A pair at the threshold itself is missed with a chance of about 5e-6 by the
-bands and 3e-7 by the estimate.
+bands and 1e-5 by the estimate.
 
 Defined results: words are lower-cased in A-Z only. With fewer than ``words``
 words the whole sequence is the one shingle; a text without words (or null) has
@@ -38,8 +41,8 @@ from tickloom.llm.components import components
 WORDS = 5
 PERCENT = 75            # linked if 100 * intersection >= PERCENT * union
 PERMS, ROWS, LOW_BITS = 128, 4, 4
-ESTIMATE = 0.55
-BLOCK = 4096
+ESTIMATE = 0.58
+BLOCK, SET_BLOCK = 4096, 1024
 BUCKET_BITS = 1 << 25   # bitmap of shared buckets: 4 MB
 _CACHE = 400_000
 _PLANES = [f"s{i}" for i in range(2 * LOW_BITS)]
@@ -154,12 +157,9 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
 def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text: str) -> DataFrame:
     """The pairs ``a, b`` of nodes whose full shingle sets reach the threshold.
     Texts are found again by the class's id and checked to be of that class."""
-    side = lambda s, o: pairs.select(F.col(s).alias("node"), "a", "b")
-    asked = side("a", "b").union(side("b", "a"))
+    asked = pairs.select(F.col("a").alias("node"), "a", "b").union(pairs.select(F.col("b").alias("node"), "a", "b"))
     asked = staged(asked.join(nodes.select("node", "rep", "ck"), "node").select("a", "b", "node", "rep", "ck"), "near-asked")
-    src = docs.select(F.col(id_col).cast("long").alias("rep"), text_of(text).cast("binary").alias("text"))
-    key = F.xxhash64("rep")
-    src = in_bitmap(src, key, bitmap(asked, key), "_asked").where("_asked").select("rep", "text")
+    src = _texts(docs, asked, id_col, text)
     rows = asked.join(src, "rep").select("a", "b", "node", "ck", "text")
 
     def run(batches):
@@ -193,79 +193,170 @@ def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, te
     return rows.repartition("a", "b").sortWithinPartitions("a", "b", "node").mapInArrow(run, "a long, b long")
 
 
-def _match(batches, spanning: bool):
-    """Pairs between components in each block of a bucket, by estimate."""
+_NAMES = ["bucket", "i", "j", "blk", "node", "comp", *_PLANES]
+SMALL = 16              # members up to which a bucket's pairs are found for many buckets at once
+
+
+def _estimates(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Estimates of signatures along the last axis (planes)."""
+    differ = np.bitwise_or.reduce(x[..., :LOW_BITS] ^ y[..., :LOW_BITS], axis=-1)
+    rest = np.bitwise_or.reduce(x[..., LOW_BITS:] ^ y[..., LOW_BITS:], axis=-1)
+    return estimate(PERMS - np.bitwise_count(differ).astype(np.int64) - np.bitwise_count(rest))
+
+
+def _blocks(comp, blk, i, j, sig, step=500_000):
+    """Pairs between components of one block pair, in slices: numbers and estimates."""
+    left = np.flatnonzero(blk == i)
+    right = left if i == j else np.flatnonzero(blk == j)
+    step = max(1, step // max(1, len(right)))
+    for at in range(0, len(left) if len(right) else 0, step):
+        part = left[at:at + step]
+        est = _estimates(sig[part][:, None, :], sig[right][None, :, :])
+        ok = (est >= ESTIMATE) & (comp[part][:, None] != comp[right][None, :])
+        if i == j:
+            ok &= part[:, None] < right[None, :]
+        x, y = np.nonzero(ok)
+        yield part[x], right[y], est[x, y]
+
+
+def _involved(c: dict) -> np.ndarray:
+    """Rows that have a high enough estimate with a row of another component, in
+    the whole groups (bucket, i, j) of sorted rows."""
+    n = len(c["node"])
+    change = np.ones(n, dtype=bool)
+    change[1:] = (c["bucket"][1:] != c["bucket"][:-1]) | (c["i"][1:] != c["i"][:-1]) | (c["j"][1:] != c["j"][:-1])
+    start = np.flatnonzero(change)
+    size = np.diff(np.append(start, n))
+    hit = np.zeros(n, dtype=bool)
+    for k in range(2, SMALL + 1):               # all groups of k members together
+        at = start[size == k]
+        for u in range(k if len(at) else 0):
+            for v in range(u + 1, k):
+                x, y = at + u, at + v
+                ok = (c["comp"][x] != c["comp"][y]) & ((c["i"][x] == c["j"][x]) | (c["blk"][x] != c["blk"][y]))
+                x, y = x[ok], y[ok]
+                ok = _estimates(c["sig"][x], c["sig"][y]) >= ESTIMATE
+                hit[x[ok]] = True
+                hit[y[ok]] = True
+    for at, k in zip(start[size > SMALL].tolist(), size[size > SMALL].tolist()):
+        g = slice(at, at + k)
+        for x, y, _ in _blocks(c["comp"][g], c["blk"][g], c["i"][at], c["j"][at], c["sig"][g]):
+            hit[at + x] = True
+            hit[at + y] = True
+    return hit
+
+
+def _match(batches):
+    """Over rows sorted by (bucket, i, j): the involved ones' bucket and node.
+    Held: a batch and the group that goes on into the next."""
+    held = None
+
+    def found(c):
+        hit = _involved(c)
+        return pa.RecordBatch.from_arrays([pa.array(c["bucket"][hit]), pa.array(c["node"][hit])], names=["bucket", "node"])
+
+    for batch in batches:
+        c = {k: batch.column(m).to_numpy(zero_copy_only=False) for m, k in enumerate(_NAMES[:6])}
+        c["sig"] = np.stack([batch.column(m).to_numpy() for m in range(6, len(_NAMES))], axis=1).view(np.uint64)
+        if held is not None:
+            c = {k: np.concatenate([held[k], c[k]]) for k in c}
+        n = len(c["node"])
+        if not n:
+            continue
+        same = (c["bucket"] == c["bucket"][-1]) & (c["i"] == c["i"][-1]) & (c["j"] == c["j"][-1])
+        cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
+        held = {k: v[cut:] for k, v in c.items()}
+        if cut:
+            yield found({k: v[:cut] for k, v in c.items()})
+    if held is not None:
+        yield found(held)
+
+
+def _confirm_in_buckets(batches):
+    """Over rows sorted by (bucket, i, j) with full sets: the confirmed links
+    that join components inside each block pair."""
     out: list = [[], []]
+    planes = slice(6, 6 + 2 * LOW_BITS)
+    shingles = Shingles()
     for g in groups_of(batches, 3):
-        node = g.column("node").to_numpy()
+        bucket, i, j = (g.column(k)[0].as_py() for k in range(3))
+        blk, node = g.column("blk").to_numpy(), g.column("node").to_numpy()
         comp = np.unique(g.column("comp").to_numpy(), return_inverse=True)[1]
-        if comp.max(initial=0) == 0:
-            continue
-        blk, i, j = g.column("blk").to_numpy(), g.column("i")[0].as_py(), g.column("j")[0].as_py()
-        sig = np.stack([g.column(p).to_numpy() for p in _PLANES], axis=1).view(np.uint64)
-        left = np.flatnonzero(blk == i)
-        right = left if i == j else np.flatnonzero(blk == j)
-        if not len(left) or not len(right):
-            continue
-        xs, ys, es = [], [], []
-        step = max(1, 2_000_000 // max(1, len(right)))
-        for at in range(0, len(left), step):
-            part = left[at:at + step]
-            differ = np.zeros((len(part), len(right)), dtype=np.int64)
-            for half in (0, LOW_BITS):
-                d = np.zeros((len(part), len(right)), dtype=np.uint64)
-                for p in range(half, half + LOW_BITS):
-                    d |= sig[part, p][:, None] ^ sig[right, p][None, :]
-                differ += np.bitwise_count(d)
-            est = estimate(PERMS - differ)
-            ok = (est >= ESTIMATE) & (comp[part][:, None] != comp[right][None, :])
-            if i == j:
-                ok &= part[:, None] < right[None, :]
-            x, y = np.nonzero(ok)
-            xs.append(part[x]), ys.append(right[y]), es.append(est[x, y])
-        x, y, e = np.concatenate(xs), np.concatenate(ys), np.concatenate(es)
-        if spanning and len(x):
-            order = np.lexsort((node[y], node[x], -e))
-            root = list(range(int(comp.max()) + 1))
-
-            def find(v):
-                while root[v] != v:
-                    root[v] = root[root[v]]
-                    v = root[v]
-                return v
-
-            keep, apart = [], len(root)
-            for k in order.tolist():
-                u, v = find(comp[x[k]]), find(comp[y[k]])
-                if u != v:
+        sig = np.stack([c.to_numpy() for c in g.columns[planes]], axis=1).view(np.uint64)
+        bands_ = np.array(g.column("bands").to_pylist(), dtype=np.int64)
+        band = int((bands_[0] == bucket).argmax())
+        cks, texts, sets = g.column("ck").to_pylist(), g.column("text"), {}
+
+        def set_of(k):
+            if k not in sets:
+                got = shingles.of(texts[k].as_py())
+                # another text of the same id is no member of the class
+                sets[k] = got if xxhash.xxh3_128_digest(got.tobytes()) == cks[k] else got[:0]
+            return sets[k]
+
+        root = list(range(int(comp.max()) + 1))
+
+        def find(v):
+            while root[v] != v:
+                root[v] = root[root[v]]
+                v = root[v]
+            return v
+
+        for x, y, est in _blocks(comp, blk, i, j, sig):
+            first = (bands_[x][:, :band] == bands_[y][:, :band]).any(axis=1)    # shared an earlier bucket
+            x, y, est = x[~first], y[~first], est[~first]
+            for k in np.argsort(-est, kind="stable").tolist():
+                p, q = x[k], y[k]
+                u, v = find(int(comp[p])), find(int(comp[q]))
+                if u == v:
+                    continue
+                s, t = set_of(int(p)), set_of(int(q))
+                both = len(np.intersect1d(s, t, assume_unique=True))
+                if both and 100 * both >= PERCENT * (len(s) + len(t) - both):
                     root[u] = v
-                    keep.append(k)
-                    apart -= 1
-                    if apart == 1:
-                        break
-            x, y = x[keep], y[keep]
-        out[0].append(np.minimum(node[x], node[y]))
-        out[1].append(np.maximum(node[x], node[y]))
-        if sum(map(len, out[0])) > 50_000:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(o)) for o in out], names=["a", "b"])
+                    out[0].append(min(node[p], node[q]))
+                    out[1].append(max(node[p], node[q]))
+        if len(out[0]) > 20_000:
+            yield pa.RecordBatch.from_arrays([pa.array(o, pa.int64()) for o in out], names=["a", "b"])
             out = [[], []]
     if out[0]:
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(o)) for o in out], names=["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(o, pa.int64()) for o in out], names=["a", "b"])
 
 
-def _between(members: DataFrame, nodes: DataFrame, comps: DataFrame, spanning: bool) -> DataFrame:
-    """Candidate pairs of nodes that share a bucket and lie in different components."""
-    m = members.join(comps, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("comp"))
-    m = staged(m, "near-members")
-    mixed = (m.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .where("lo < hi").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    m = m.join(staged(mixed, "near-mixed"), "bucket").join(nodes.select("node", *_PLANES), "node")
+def _in_blocks(m: DataFrame, buckets: DataFrame, block: int, *more: str) -> DataFrame:
+    """Rows of the given buckets (with their counts ``n``), cut into blocks; a row
+    goes to each block pair its block is part of."""
+    m = m.join(buckets.select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "bucket")
     m = m.withColumn("blk", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # a row goes to each block pair its block is part of
     m = m.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    m = m.select("bucket", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "blk", "node", "comp", *_PLANES)
-    rows = m.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return rows.mapInArrow(lambda b: _match(b, spanning), "a long, b long").distinct()
+    m = m.withColumns({"i": F.least("blk", "o"), "j": F.greatest("blk", "o")})
+    return m.select(*_NAMES, *more).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+
+
+def _rest(members: DataFrame, nodes: DataFrame, comps: DataFrame, docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """Links between components that share a bucket."""
+    m = members.join(comps, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("comp"))
+    m = staged(m, "near-members")
+    mixed = staged(m.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                   .where("lo < hi"), "near-mixed")
+    rows = _in_blocks(m.join(nodes.select("node", *_PLANES), "node"), mixed, BLOCK)
+    hit = staged(rows.mapInArrow(_match, "bucket long, node long").distinct(), "near-hit")
+
+    # the texts of those members: a text travels better than its set
+    asked = hit.select("node").distinct().join(nodes.select("node", "rep", "ck"), "node")
+    asked = staged(asked, "near-asked")
+    texts = asked.join(_texts(docs, asked, id_col, text), "rep").select("node", "ck", "text")
+    sizes = hit.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    rows = hit.join(m, ["bucket", "node"]).join(nodes.select("node", "bands", *_PLANES), "node").join(texts, "node")
+    rows = _in_blocks(rows, sizes, SET_BLOCK, "bands", "ck", "text")
+    return rows.mapInArrow(_confirm_in_buckets, "a long, b long").distinct()
+
+
+def _texts(docs: DataFrame, asked: DataFrame, id_col: str, text: str) -> DataFrame:
+    """``rep, text`` of the ids asked for; other texts are left out before any shuffle."""
+    src = docs.select(F.col(id_col).cast("long").alias("rep"), text_of(text).cast("binary").alias("text"))
+    key = F.xxhash64("rep")
+    return in_bitmap(src, key, bitmap(asked, key), "_asked").where("_asked").select("rep", "text")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -298,17 +389,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     links = staged(confirm(tested, nodes, docs, id_col, text).union(same_id), "near-links")
     comps = components(links)
 
-    for spanning in (True, False):
-        pairs = _between(members.select("bucket", "node"), nodes, comps, spanning)
-        pairs = staged(pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
-        if not pairs.limit(1).count():
-            if spanning:
-                continue            # the spanning links were all tested; others may remain
-            break
-        tested = tested.unionByName(pairs)
-        more = staged(confirm(pairs, nodes, docs, id_col, text), "near-links")
-        links = links.unionByName(more)
-        comps = components(links)
+    more = staged(_rest(members.select("bucket", "node"), nodes, comps, docs, id_col, text), "near-links")
+    if more.limit(1).count():
+        comps = components(links.unionByName(more))
 
     reps = nodes.select("ck", "node", "rep").join(comps, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = reps.groupBy("label").agg(F.min("rep").alias("component_id"))
