@@ -12,11 +12,12 @@ plus a running count over partitions. No sort, no window over the pieces.
 
 Defined results: null text counts as empty; an empty document is the end id
 alone. Null ids and repeated rows are packed like other rows. An empty table
-gives an empty result. Extra columns named in ``keep`` are carried along.
+gives an empty result. Extra columns named in ``keep`` are carried along unless the result has the name.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_right
 
@@ -29,21 +30,50 @@ from tickloom.llm.common import staged, text_of
 
 SEQ_LEN = 2048
 END_ID = 0
-CACHE_WORDS = 300_000       # words per generation of a worker's cache; two are kept
+CACHE_WORDS = 200_000       # words per generation of a worker's cache; two are kept
 _CHUNK_DOCS = 256           # documents whose unseen words are tokenised in one call
 
 
+#: A word of Latin-1 letters and ASCII marks behind them: normalising, lower
+#: casing and splitting leave the letters as one piece and the marks as another.
+_PLAIN = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-/:-@\[-`{-~]*)\Z")
+
+
+def byte_letters() -> dict[int, int]:
+    """Byte-level alphabet: visible Latin-1 characters stand for themselves, the
+    other bytes, in order, for the characters from 256 on."""
+    hidden = [b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b)]
+    return {b: 256 + i for i, b in enumerate(hidden)}
+
+
 class WordIds:
     """Token ids of texts, as little-endian 32-bit bytes. No token of the
     tokenizer spans ASCII white space, so a text's ids are its words' ids in
-    turn; the words seen lately are remembered, in two generations."""
+    turn; the words seen lately are remembered, in two generations. Words that
+    are plainly one piece of letters and one of marks go to the model directly;
+    all others pass through the whole tokenizer."""
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.limit, self.young, self.old = cache_words, {}, {}
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+        self.limit, self.young, self.old, self.marks = cache_words, {}, {}, {b"": b""}
+
+    def _piece(self, piece: bytes) -> bytes:
+        ids = [t.id for t in self.model.tokenize(piece.decode("latin-1").translate(self.letters))]
+        return np.array(ids, dtype="<u4").tobytes()
+
+    def _plain(self, letters: str, marks: bytes) -> bytes:
+        stem = letters.lower().encode()
+        ids = self.young.get(stem) or self.old.get(stem) or self._piece(stem)
+        tail = self.marks.get(marks)
+        if tail is None:
+            if len(self.marks) > 10_000:
+                self.marks = {b"": b""}
+            tail = self.marks[marks] = self._piece(marks)
+        return ids + tail
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
@@ -59,29 +89,42 @@ class WordIds:
         for w in missing:
             ids = old.get(w)
             if ids is None:
-                fresh.append(w)
-            else:
-                young[w] = ids
+                word = w.decode()
+                plain = _PLAIN.match(word)
+                if plain is None:
+                    fresh.append(word)
+                    continue
+                ids = self._plain(plain[1], plain[2].encode())
+            young[w] = ids
         if fresh:
-            done = self.tokenizer.encode_batch_fast([w.decode() for w in fresh], add_special_tokens=False)
-            for w, e in zip(fresh, done):
-                young[w] = np.array(e.ids, dtype="<u4").tobytes()
+            for w, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
+                young[w.encode()] = np.array(e.ids, dtype="<u4").tobytes()
         return [b"".join(map(young.__getitem__, words)) for words in split]
 
 
+_CODERS: dict[str, WordIds] = {}
+
+
+def coder(path: str) -> WordIds:
+    """The worker process's coder: loaded once, its cache outlives the task."""
+    if path not in _CODERS:
+        _CODERS[path] = WordIds(path)
+    return _CODERS[path]
+
+
 def _pieces(tokenizer: str, seq_len: int, end_id: int, keep_ids: bool, keep: list[str], schema: pa.Schema):
     end = np.array([end_id], dtype="<u4").tobytes()
     step = 4 * seq_len
 
     def run(batches):
-        coder, seen = WordIds(tokenizer), [0] * (seq_len + 1)
+        words, seen = coder(tokenizer), [0] * (seq_len + 1)
         part = TaskContext.get().partitionId()
         for batch in batches:
             for at in range(0, batch.num_rows, _CHUNK_DOCS):
                 chunk = batch.slice(at, _CHUNK_DOCS)
                 texts = chunk.column(chunk.num_columns - 1).to_pylist()
                 row, piece, start, length, crc, rank, ids = [], [], [], [], [], [], []
-                for i, data in enumerate(coder.encode(texts)):
+                for i, data in enumerate(words.encode(texts)):
                     data += end
                     for k, b in enumerate(range(0, len(data), step)):
                         part_ids = data[b:b + step]
@@ -189,6 +232,7 @@ def pack(docs: DataFrame, tokenizer: str, keep: list[str], text: str = "text", s
          end_id: int = END_ID, keep_ids: bool = False) -> DataFrame:
     """One row per piece: ``keep`` columns, ``piece, start, length, ids_crc32,
     sequence_id, offset`` and, on request, the ids."""
+    keep = [c for c in keep if c not in ("piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset")]
     pieces = staged(tokenised(docs, tokenizer, keep, text, seq_len, end_id, keep_ids), "pack-pieces")
     counts = pieces.groupBy("length", "_p_part").agg(F.count(F.lit(1)).alias("_p_n"))
     before = Window.partitionBy("length").orderBy("_p_part").rowsBetween(Window.unboundedPreceding, -1)
