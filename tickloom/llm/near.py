@@ -323,13 +323,17 @@ def _confirm_in_buckets(batches):
         yield pa.RecordBatch.from_arrays([pa.array(o, pa.int64()) for o in out], names=["a", "b"])
 
 
-def _in_blocks(m: DataFrame, buckets: DataFrame, block: int, *more: str) -> DataFrame:
+def _in_blocks(m: DataFrame, buckets: DataFrame, block: int) -> DataFrame:
     """Rows of the given buckets (with their counts ``n``), cut into blocks; a row
     goes to each block pair its block is part of."""
     m = m.join(buckets.select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "bucket")
     m = m.withColumn("blk", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     m = m.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    m = m.withColumns({"i": F.least("blk", "o"), "j": F.greatest("blk", "o")})
+    return m.withColumns({"i": F.least("blk", "o"), "j": F.greatest("blk", "o")}).drop("blocks", "o")
+
+
+def _together(m: DataFrame, *more: str) -> DataFrame:
+    """The rows of a block pair in one task, one after the other."""
     return m.select(*_NAMES, *more).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
 
 
@@ -339,7 +343,7 @@ def _rest(members: DataFrame, nodes: DataFrame, comps: DataFrame, docs: DataFram
     m = staged(m, "near-members")
     mixed = staged(m.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                    .where("lo < hi"), "near-mixed")
-    rows = _in_blocks(m.join(nodes.select("node", *_PLANES), "node"), mixed, BLOCK)
+    rows = _together(_in_blocks(m, mixed, BLOCK).join(nodes.select("node", *_PLANES), "node"))
     hit = staged(rows.mapInArrow(_match, "bucket long, node long").distinct(), "near-hit")
 
     # the texts of those members: a text travels better than its set
@@ -347,8 +351,10 @@ def _rest(members: DataFrame, nodes: DataFrame, comps: DataFrame, docs: DataFram
     asked = staged(asked, "near-asked")
     texts = asked.join(_texts(docs, asked, id_col, text), "rep").select("node", "ck", "text")
     sizes = hit.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    rows = hit.join(m, ["bucket", "node"]).join(nodes.select("node", "bands", *_PLANES), "node").join(texts, "node")
-    rows = _in_blocks(rows, sizes, SET_BLOCK, "bands", "ck", "text")
+    # the blocks are dealt while rows are narrow; signatures and texts join last
+    rows = _in_blocks(hit.join(m, ["bucket", "node"]), sizes, SET_BLOCK)
+    rows = rows.join(nodes.select("node", "bands", *_PLANES), "node").join(texts, "node")
+    rows = _together(rows, "bands", "ck", "text")
     return rows.mapInArrow(_confirm_in_buckets, "a long, b long").distinct()
 
 
