@@ -133,6 +133,21 @@ def test_mix_comes_near_its_targets_and_reruns_agree(spark):
     assert all(abs(taken - target) <= 0.03 * target for target, taken in per.values())
 
 
+def test_mix_takes_long_and_short_documents_at_one_rate(spark):
+    """A hot source with many sizes of one document each; its rate is below one."""
+    r = np.random.default_rng(5)
+    size = lambda: int(r.lognormal(5.5, 0.7)) + 1
+    docs = [(i, "c" if i < 1500 else "abde"[i % 4], " ".join(["w"] * size())) for i in range(4060)]
+    got = rows_of(mixing.mix(spark.createDataFrame(docs, "doc_id long, source string, text string")),
+                  "source", "size", "source_size", "target", "copies")
+    for source in "abcde":
+        rows = sorted(g[1:] for g in got if g[0] == source)
+        rate = rows[0][2] / rows[0][1]
+        assert abs(sum(g[0] * g[3] for g in rows) - rows[0][2]) <= rows[0][0]
+        for part in [*np.array_split(rows, 10), rows[-30:]]:
+            assert abs(np.mean([g[3] for g in part]) - rate) <= 0.1
+
+
 # -- 2 ------------------------------------------------------------------------
 def test_pack(messy, empty):
     from tokenizers import Tokenizer

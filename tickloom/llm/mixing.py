@@ -6,14 +6,16 @@ tilted: ``rate = exp(lambda_source)``. The multipliers solve the convex dual
 ``sum(size * exp(lambda)) - lambda * target`` by Newton steps, each one an
 aggregate over the documents, grouped beforehand into classes of equal source
 and size (their rates are equal). The rates are then rounded into whole copies
-per class so that a source's taken words end within one document of its target
-(a small one, unless every other is taken fully), and a class's odd copies go to its rows with the smallest hashes.
+per class, systematically along the sizes: long and short documents of a source
+are taken at the same rate, and its words end within one document of the target.
+A class's odd copies go to its rows with the smallest hashes.
 
 Targets: sources in code-point order (null last) weigh ``WEIGHTS`` repeating
 and share ``BUDGET`` of all words; a target stops at ``MAX_COPIES`` times its
 source's words and the excess is shared among the others by weight.
 
-Defined results: null text has no words; a document without words takes none.
+Defined results: null text has no words; a document without words takes none of
+them, and is repeated at its source's rate like any other.
 Null ids are hashed like any value. Rows with equal id, source and text are
 treated alike, so a source with repeated rows may miss its target by the last
 class's repeats. An empty table gives an empty result. Extra columns pass
@@ -32,6 +34,7 @@ MAX_COPIES = 2
 MAX_STEPS = 40
 TOLERANCE = 1e-9
 RANK_BUCKETS = 256
+NUDGES = 4              # copies moved per source after rounding
 _CLASS = ["_m_sid", "size"]
 
 
@@ -80,37 +83,31 @@ def solve(classes: DataFrame, goals: DataFrame, steps: int = MAX_STEPS, toleranc
 
 
 def round_copies(classes: DataFrame, goals: DataFrame, lam: DataFrame, most: int = MAX_COPIES) -> DataFrame:
-    """``_m_k``: whole copies per class. The whole part of the rate first, then
-    one more copy in order of what was cut off, then what still fits, large
-    documents first; last, one copy over the target where that is nearer."""
-    c = classes.join(goals.select("_m_sid", "target"), "_m_sid").join(lam, "_m_sid")
-    quota = F.col("_m_n") * F.when(F.col("target") > 0, F.least(F.exp("_m_lambda"), F.lit(float(most)))).otherwise(0.0)
-    c = c.withColumn("_m_q", quota).withColumn("_m_k", F.floor(F.col("_m_q") + 1e-6).cast("long"))
+    """``_m_k``: whole copies per class. Systematic rounding along the documents
+    of a source by size: those before and in a class take ``floor(rate * number
+    + start)`` copies together, so every stretch of sizes keeps the rate. Then
+    at most ``NUDGES`` single copies per source are added or taken away, each of
+    the size that brings the words nearest to the target."""
+    goals = goals.select("_m_sid", "target", (F.pmod(F.xxhash64("source"), F.lit(1 << 20)) / (1 << 20)).alias("_m_u"))
+    c = classes.join(goals, "_m_sid").join(lam, "_m_sid")
+    # rounded: a rate of one or two copies is met exactly
+    c = c.withColumn("_m_q", F.when(F.col("target") > 0, F.least(F.round(F.exp("_m_lambda"), 9), F.lit(float(most)))).otherwise(0.0))
     source = Window.partitionBy("_m_sid")
-
-    def left():
-        return F.floor(F.col("target") + 0.5) - F.sum(F.col("_m_k") * F.col("size")).over(source)
-
-    def grow(c, order, offer):
-        c = c.withColumns({"_m_r": left(), "_m_e": F.greatest(offer, F.lit(0)).cast("long")})
-        c = c.withColumn("_m_e", F.when((F.col("size") > 0) & (F.col("size") <= F.col("_m_r")), F.col("_m_e")).otherwise(0))
-        upto = F.sum(F.col("_m_e") * F.col("size")).over(order)
-        c = c.withColumn("_m_room", F.col("_m_r") - (upto - F.col("_m_e") * F.col("size")))
-        more = F.least(F.col("_m_e"), F.greatest(F.floor(F.col("_m_room") / F.col("size")), F.lit(0)))
-        return (c.withColumn("_m_k", F.col("_m_k") + F.when(F.col("_m_e") > 0, more).otherwise(0).cast("long"))
-                .drop("_m_r", "_m_e", "_m_room"))
-
-    spare = F.lit(most) * F.col("_m_n") - F.col("_m_k")
-    rest = F.col("_m_q") - F.col("_m_k")
-    c = grow(c, source.orderBy(rest.desc(), F.col("size")), F.least(spare, F.when(rest > 1e-6, 1).otherwise(0)))
-    for _ in range(4):      # each round leaves less than the smallest document it passed over
-        c = grow(c, source.orderBy(F.col("size").desc()), spare)
-    # one copy too many may be nearer than what is left
-    c = c.withColumn("_m_r", left())
-    over = (spare > 0) & (F.col("size") > F.col("_m_r")) & (F.col("size") < 2 * F.col("_m_r"))
-    c = c.withColumn("_m_o", F.min(F.when(over, F.col("size"))).over(source))
-    return c.select(*_CLASS, "_m_n", (F.col("_m_k") + F.when(over & (F.col("size") == F.col("_m_o")), 1).otherwise(0))
-                    .cast("long").alias("_m_k"))
+    c = c.withColumn("_m_upto", F.sum("_m_n").over(source.orderBy("size").rowsBetween(Window.unboundedPreceding, 0)))
+
+    def copies(number):
+        return F.floor(F.col("_m_q") * number + F.col("_m_u"))
+
+    c = c.withColumn("_m_k", copies(F.col("_m_upto")) - copies(F.col("_m_upto") - F.col("_m_n")))
+    for _ in range(NUDGES):
+        c = c.withColumn("_m_r", F.col("target") - F.sum(F.col("_m_k") * F.col("size")).over(source))
+        can = F.when(F.col("_m_r") > 0, F.col("_m_k") < F.lit(most) * F.col("_m_n")).otherwise(F.col("_m_k") > 0)
+        gap = F.abs(F.abs("_m_r") - F.col("size"))
+        nearer = can & (gap < F.abs("_m_r"))
+        c = c.withColumn("_m_o", F.min(F.when(nearer, F.struct(gap.alias("gap"), "size"))).over(source)["size"])
+        c = c.withColumn("_m_k", F.col("_m_k") + F.when(
+            nearer & (F.col("size") == F.col("_m_o")), F.signum("_m_r")).otherwise(0).cast("long"))
+    return c.select(*_CLASS, "_m_n", "_m_k")
 
 
 def mix(docs: DataFrame, text: str = "text", id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
