@@ -1,22 +1,23 @@
-"""Removal of long repeated byte strings by blockwise suffix sorting with a
-difference cover.
+"""Removal of long repeated byte strings by anchored windows that are matched by
+equality of their hashes, bucket by bucket. No suffix is put in order.
 
 Every byte covered by a LENGTH-byte string that also starts anywhere else goes.
-Suffixes are sorted one bucket at a time. A bucket holds the suffixes around one
+A bucket holds the strings around one
 anchor: the GRAM-byte string with the smallest hash among those that lie in a
 LENGTH-byte window (the leftmost on ties), so equal windows have equal anchors
 at equal offsets and meet in the same bucket; anchors that occur once need no
-sorting at all. Spark tasks have no random access to the corpus, so an
+comparison at all. Spark tasks have no random access to the corpus, so an
 occurrence of an anchor travels as its strip, the bytes a window through it can
 reach (``LENGTH - GRAM`` to the left, LENGTH to the right). Equal strips are one
 class and travel once; in a bucket with a single class all windows repeat and
 no bytes travel at all.
 
-Inside a bucket, the ranks of the suffixes at the positions of a difference
-cover modulo COVER (those of the strips' ``LENGTH - COVER + 1``-byte prefixes)
-are computed first. Two suffixes are then compared by at most COVER - 1 bytes up
-to the next cover position, by the rank there, and by the at most COVER - 1
-bytes that remain of the window: long ties never cost more than a rank. A
+Inside a bucket, the hashes of the ``LENGTH - COVER + 1``-byte strings at the
+positions of a difference cover modulo COVER are numbered first. A window's key
+is made of the hash of the at most COVER - 1 bytes up to the next cover position,
+the number there, and the hash of the at most COVER - 1 bytes that remain; equal
+windows of one offset have equal keys. Windows are only compared at equal
+offsets, so any positions at most COVER - 1 apart would do as well. A
 bucket is at most BUCKET classes; a larger one is resolved window by window
 with a distributed count, which is exact as well.
 
