@@ -269,6 +269,28 @@ def test_chat_round_trip(spark):
         assert got[c][4] == len(rows[-1]["text"])
 
 
+def test_unanswered_turns_leave_in_bounded_rows(spark):
+    """One conversation, most of it without replies, and one without any."""
+    turns = [(c, n, "assistant" if c == 1 and n in (30, 31) else "user", f"{n} " + "<s>x" * 20_000) for c in (1, 2) for n in range(40)]
+    examples = chat.expand(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).cache()
+    parts = rows_of(examples.withColumn("n", F.length("delta")), "conv_id", "example", "n", "target")
+    turn = len(chat.format_turn("user", turns[0][3])) + 1
+    assert max(p[2] for p in parts) < (1 << 20) + 2 * turn
+    assert sorted((p[0], p[1]) for p in parts if p[3] is not None) == [(1, 0), (1, 1)]
+    whole = sorted(rows_of(chat.render(examples), "conv_id", "example", "text"))
+    assert [w[:2] for w in whole] == [(1, 0), (1, 1), (1, 2), (2, 0)]
+    said = {c: [t[2:] for t in turns if t[0] == c] for c in (1, 2)}
+    assert [chat.parse_turns(w[2]) for w in whole] == [said[1][:31], said[1][:32], said[1], said[2]]
+    got = {r[0]: r[1:] for r in rows_of(chat.read_back(examples), "conv_id", "n_turns", "turns_sha256", "formatted_chars")}
+    for c in (1, 2):
+        digest = hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in said[c]).encode()).hexdigest()
+        assert got[c] == (40, digest, len(whole[-1 if c == 2 else 2][2]))
+    # a changed context or a moved span of any example is found
+    for changed in ({"delta": F.concat(F.lit("<s>user[INST]more</s>"), "delta")}, {"loss_end": F.col("loss_end") - 1}):
+        with pytest.raises(Exception, match="differs from its rows"):
+            chat.read_back(examples.withColumns(changed)).collect()
+
+
 def test_chat_of_no_turns(spark):
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.expand(none).count() == 0 and chat.read_back(chat.expand(none)).count() == 0
