@@ -462,3 +462,18 @@ def test_patterns_find_what_the_rules_miss(spark):
     assert out[100]["base"] == [] and [tuple(s) for s in out[100]["spans"]] == [("phone", 15, 27)]
     assert out[101]["spans"] == [] and out[102]["spans"] == []
     assert all(out[i]["base"] == out[i]["spans"] for i in range(40))
+
+
+def test_patterns_learn_where_a_third_of_the_forms_is_unknown(spark):
+    """Of the numbers after "phone:" a third has no plus. After "serial:" most are
+    plain and after "paid:" most are of other kinds: these find nothing."""
+    r = np.random.default_rng(6)
+    word = lambda: "".join(r.choice(list("abcdefgh"), 5))
+    number = lambda: f"650 {r.integers(200, 999)} {r.integers(1000, 9999)}"
+    docs = [(i, f"{word()} {word()} phone: {'+1 ' if i < 60 else ''}{number()} {word()}") for i in range(90)]
+    docs += [(100 + i, f"{word()} {word()} serial: {'+1 ' if i < 6 else ''}{number()} {word()}") for i in range(60)]
+    docs += [(200 + i, f"{word()} {word()} paid: {f'+1 {number()}' if i < 6 else '4111 1111 1111 1111' if i < 7 else f'10.0.0.{i}'} {word()}")
+             for i in range(20)] + [(300, f"{word()} {word()} paid: {number()} {word()}")]
+    out = {r["doc_id"]: r for r in pii.extract(spark.createDataFrame(docs, "doc_id long, text string"), ["doc_id"]).collect()}
+    assert all(out[i]["base"] == [] and [s["kind"] for s in out[i]["spans"]] == ["phone"] for i in range(60, 90))
+    assert all(out[i]["base"] == out[i]["spans"] for i in [*range(60), *range(100, 160), *range(200, 220), 300])

@@ -6,7 +6,10 @@ text) in up to three lexical patterns: the word before it, the two words before
 it, and the words on both sides. On the bipartite graph of patterns and
 instances scores go back and forth: a pattern's score for a kind is the share of
 its instances' scores, an instance's is the noisy-or of the patterns that
-qualify. Patterns with enough instances and a high score discover the
+qualify. Against a pattern count base matches of other kinds and instances whose
+look excludes the kind; an unknown one whose look allows it weighs as much as
+its current score, but a pattern needs scores of MIN_SHARE of all that may be of
+the kind, so a few seeds among many plain numbers find nothing. Patterns with enough instances and a high score discover the
 occurrences the rules missed, which the next round counts in. Found spans are
 added; base spans never change. All of it is built-in functions: spans come from
 ``split`` and ``regexp_extract_all``, rounds are joins and partial aggregates on
@@ -29,6 +32,7 @@ from tickloom.llm.common import staged, text_of
 KINDS = ("email", "ip", "card", "phone")
 MIN_SUPPORT = 5         # instances' scores a pattern must have for a kind
 MIN_SCORE = 0.8         # of a qualifying pattern, and of a found instance
+MIN_SHARE = 0.5         # scores a pattern must have per instance that may be of the kind
 ROUNDS = 3
 CONTEXT = 64            # characters looked at on each side for words
 _BLOCK = 256
@@ -151,7 +155,7 @@ def occurrences(docs: DataFrame, keep: list[str], text: str = "text") -> DataFra
 
 
 def discover(rows: DataFrame, rounds: int = ROUNDS, min_support: float = MIN_SUPPORT,
-             min_score: float = MIN_SCORE) -> DataFrame:
+             min_score: float = MIN_SCORE, min_share: float = MIN_SHARE) -> DataFrame:
     """``_f_row, start, end, kind`` of the occurrences that patterns find."""
     occ = rows.select("_f_row", F.explode("_f_occ").alias("o")).select("_f_row", "o.*")
     # the graph: an instance counts once per pattern
@@ -167,9 +171,14 @@ def discover(rows: DataFrame, rounds: int = ROUNDS, min_support: float = MIN_SUP
         given = edges if scores is None else edges.join(scores, "inst", "left")
         now = {k: F.greatest(F.col(f"seed_{k}"), F.coalesce(F.col(f"found_{k}"), F.lit(0.0)) if scores is not None
                              else F.lit(0.0)) for k in KINDS}
-        pats = given.groupBy("pat").agg(F.max("n").alias("n"), *(F.sum(now[k]).alias(f"sum_{k}") for k in KINDS))
-        good = {k: F.when((F.col(f"sum_{k}") >= min_support) & (F.col(f"sum_{k}") / (F.col("n") + 1) >= min_score),
-                          F.col(f"sum_{k}") / (F.col("n") + 1)).otherwise(0.0) for k in KINDS}
+        base = F.greatest(*(F.col(f"seed_{k}") for k in KINDS)) > 0
+        weight = {k: F.when(~base & (F.col(f"may_{k}") == 1), now[k]).otherwise(1.0) for k in KINDS}
+        pats = given.groupBy("pat").agg(*(F.sum(now[k]).alias(f"sum_{k}") for k in KINDS),
+                                        *(F.sum(weight[k]).alias(f"all_{k}") for k in KINDS),
+                                        *(F.sum(F.greatest(f"seed_{k}", f"may_{k}")).alias(f"like_{k}") for k in KINDS))
+        share = {k: F.col(f"sum_{k}") / (F.col(f"all_{k}") + 1) for k in KINDS}
+        good = {k: F.when((F.col(f"sum_{k}") >= min_support) & (F.col(f"sum_{k}") >= min_share * F.col(f"like_{k}"))
+                          & (share[k] >= min_score), share[k]).otherwise(0.0) for k in KINDS}
         pats = pats.select("pat", *(good[k].alias(f"pat_{k}") for k in KINDS))
         pats = staged(pats.where(" or ".join(f"pat_{k} > 0" for k in KINDS)), "pii-patterns")
         # noisy-or over the patterns, for unknown instances whose look allows the kind
