@@ -16,6 +16,10 @@ added; base spans never change. All of it is built-in functions: spans come from
 pairs of 64-bit hashes, and a pattern or instance with very many rows is
 aggregated before it is shuffled.
 
+Out of reach: what has none of the looks of ``_LOOSE`` (an at sign, 7 or more
+digits, hexadecimal groups with colons) is never an occurrence, so no context
+finds it, as "john [at] example [dot] com".
+
 Defined results: null text counts as empty. Null ids and repeated rows get their
 spans like any row; copies of a text add no evidence, because instances count
 once per pattern. A found span that overlaps a base span or an earlier found one
