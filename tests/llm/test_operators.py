@@ -327,6 +327,18 @@ def test_near_groups_with_repeated_and_missing_ids(messy):
     assert {c for _, c, _ in by_id[None]} >= {None}
 
 
+def test_near_dedup_keeps_one_row_of_a_group_without_or_with_repeated_ids(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(1, a), (1, a), (1, a + " end"), (None, a), (None, b), (None, b), (5, c), (5, c), (6, d), (7, d + " end"), (7, ""),
+            (8, "alone with its id"), (2, ""), (2, ""), (None, ""), (None, None)]
+    docs = spark.createDataFrame([(*r, "extra") for r in rows], "doc_id long, text string, kept string")
+    got = near.near_dedup(docs)
+    assert got.columns == docs.columns
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    got = sorted(((i, t and t[0]) for i, t in rows_of(got, "doc_id", "text")), key=key)
+    assert got == sorted([(1, "a"), (5, "c"), (6, "d"), (8, "a"), (7, ""), (2, ""), (2, ""), (None, ""), (None, None), (None, "b")], key=key)
+
+
 @pytest.mark.parametrize("block", [3, 4096])
 def test_chain_of_near_copies_is_one_component(spark, monkeypatch, block):
     """Neighbours are linked, the ends are not: the rounds must find every link."""

@@ -35,7 +35,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickloom.llm.common import bitmap, drop_ids, groups_of, in_bitmap, staged, text_of
+from tickloom.llm.common import WORD, bitmap, drop_ids, groups_of, in_bitmap, staged, text_of
 from tickloom.llm.components import components
 
 WORDS = 5
@@ -123,9 +123,15 @@ def equal_minima(a: str, b: str) -> Column:
     return F.lit(PERMS) - differ[0] - differ[1]
 
 
-def signatures(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    src = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text).cast("binary").alias("text"))
-    names = ["id", "n_shingles", "ck", *_PLANES, "bands"]
+def _text_key(text: str) -> Column:
+    return F.unhex(F.md5(text_of(text).cast("binary")))
+
+
+def signatures(docs: DataFrame, id_col: str = "doc_id", text: str = "text", keyed: bool = False) -> DataFrame:
+    """One row per input row; ``keyed`` adds ``th``, the key of its text."""
+    th = [_text_key(text).alias("th")] if keyed else []
+    src = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text).cast("binary").alias("text"), *th)
+    names = ["id", "n_shingles", "ck", *_PLANES, "bands", *(["th"] if keyed else [])]
 
     def run(batches):
         shingles = Shingles()
@@ -148,10 +154,11 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(ns, pa.int64()), pa.array(keys, pa.binary()),
                  *(pa.array(sig[:, i].copy()) for i in range(2 * LOW_BITS)),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=names)
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), *b.columns[2:]], names=names)
 
     planes = ", ".join(f"{p} long" for p in _PLANES)
-    return src.mapInArrow(run, f"id long, n_shingles long, ck binary, {planes}, bands array<long>")
+    return src.mapInArrow(run, f"id long, n_shingles long, ck binary, {planes}, bands array<long>"
+                          + (", th binary" if keyed else ""))
 
 
 def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -367,7 +374,13 @@ def _texts(docs: DataFrame, asked: DataFrame, id_col: str, text: str) -> DataFra
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: id, ``n_shingles``, ``component_id``, ``kept``."""
-    sigs = staged(signatures(docs, id_col, text), "near-signatures")
+    out = _groups(docs, id_col, text)
+    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", "kept")
+
+
+def _groups(docs: DataFrame, id_col: str, text: str, keyed: bool = False) -> DataFrame:
+    """``id, n_shingles, component_id, kept, ck`` per input row, and ``th`` if ``keyed``."""
+    sigs = staged(signatures(docs, id_col, text, keyed), "near-signatures")
     # classes of equal sets; the smallest id stands for the class
     best = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("rep"), *_PLANES, "bands")).alias("m")
     nodes = (sigs.where("n_shingles > 0").groupBy("ck").agg(best).where("m.rep is not null")
@@ -402,13 +415,35 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     reps = nodes.select("ck", "node", "rep").join(comps, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = reps.groupBy("label").agg(F.min("rep").alias("component_id"))
     reps = staged(reps.join(staged(least, "near-least"), "label").select("ck", "component_id"), "near-result")
-    out = sigs.select("id", "n_shingles", "ck").join(reps, "ck", "left")
+    out = sigs.select("id", "n_shingles", "ck", *(["th"] if keyed else [])).join(reps, "ck", "left")
     out = out.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")))
-    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id",
-                      F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The columns of ``docs``: of each group the document with the smallest id."""
-    out = near_groups(docs.select(id_col, text), id_col, text)
-    return drop_ids(docs, staged(out.where(~F.col("kept")).select(F.col(id_col).alias("_drop")).distinct(), "near-drop"), id_col)
+    """The columns of ``docs``: of each group one row, of the smallest id. A row
+    without an id goes where its set is in a group with an id; of equal sets
+    without any id one row stays. Rows without words are in no group and stay."""
+    out = staged(_groups(docs.select(id_col, text), id_col, text, keyed=True), "near-decided")
+    dropped = staged(out.where(~F.col("kept") & F.col("id").isNotNull()).select(F.col("id").alias("_drop")).distinct(), "near-drop")
+    repeated = staged(out.where("id is not null").groupBy(F.col("id").alias("_drop")).agg(F.count(F.lit(1)).alias("n"))
+                      .where("n > 1").select("_drop"), "near-repeated")
+    # rows that an id tells apart
+    single = drop_ids(docs.where(F.col(id_col).isNotNull()), staged(dropped.union(repeated).distinct(), "near-drop"), id_col)
+    # the others: the text of each group's row is chosen, then one row of that text
+    again = repeated.select(F.col("_drop").alias("id"))
+    kept = out.where("kept and n_shingles > 0")
+    kept = kept.where("id is null").unionByName(kept.join(again, "id", "left_semi").select(*kept.columns))
+    chosen = (kept.groupBy("component_id", F.when(F.col("id").isNull(), F.col("ck")).alias("set"))
+              .agg(F.min("th").alias("_n_th")).select(F.col("component_id").alias("_n_id"), "_n_th"))
+    chosen = staged(chosen, "near-chosen")
+    cols, key = docs.columns, F.xxhash64(F.col(id_col))
+    rows = in_bitmap(docs, key, bitmap(repeated, F.xxhash64("_drop")), "_maybe")
+    same = rows.where("_maybe").join(repeated, rows[id_col] == repeated["_drop"], "left_semi").select(*cols)
+    rows = same.unionByName(docs.where(F.col(id_col).isNull()))
+    wordy = text_of(text).rlike(WORD)
+    one = rows.where(wordy).withColumn("_n_key", _text_key(text))
+    one = one.join(chosen, one[id_col].eqNullSafe(chosen["_n_id"]) & (one["_n_key"] == chosen["_n_th"]), "left_semi")
+    whole = F.struct(*cols)
+    one = one.groupBy(id_col, "_n_key").agg(F.min_by(whole, F.xxhash64(whole)).alias("_n_row")).select("_n_row.*")
+    return single.unionByName(rows.where(~wordy)).unionByName(one)
