@@ -125,3 +125,69 @@ def smallest_capacity(sizes, shards):
     for _ in range(shards):
         best = [min([best[n]] + [max(best[k], ends[n] - ends[k]) for k in range(n)]) for n in range(len(sizes) + 1)]
     return best[-1]
+
+
+def library_tokens(path, texts):
+    """Token counts by the tokenizers library itself."""
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(path)
+    return [len(t.encode(x or "", add_special_tokens=False).ids) for x in texts]
+
+
+def trie(rows):
+    """Nodes of the rebuilt conversations, from (conv_id, turn, role, text)."""
+    import hashlib
+    import zlib
+    from collections import defaultdict
+    convs = defaultdict(list)
+    for c, t, role, text in rows:
+        if c is not None:
+            convs[c].append((t is not None, t or 0, role or "", text or ""))
+    own = {c: [x[2:] for x in sorted(v, key=lambda x: x[:2])] for c, v in convs.items()}
+    rebuilt = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        rebuilt[c] = own.get(int(c / 100) * 100, [])[:h] + turns[h:]
+    members, kids = defaultdict(list), defaultdict(list)
+    for c, turns in rebuilt.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    for k in members:
+        if k:
+            kids[k[:-1]].append(k)
+    leaves, saved, out = {}, {}, []
+    for k in sorted(members, key=len, reverse=True):
+        below = kids[k] if k in kids else []
+        leaves[k] = sum(leaves[c] for c in below) if below else 1
+        saved[k] = sum(saved[c] for c in below) + ((len(members[k]) - 1) * len(k[-1][1]) if k else 0)
+        ended = ",".join(str(c) for c in sorted(members[k]) if len(rebuilt[c]) == len(k))
+        out.append((min(members[k]), len(k), min(members[k[:-1]]) if k else None, len(members[k]), len(below), leaves[k],
+                    saved[k], hashlib.sha256(ended.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def lexical_search(docs, items, top=20):
+    """(item_id, rank, doc_id, score) from (id, text) rows; a null id comes last."""
+    import math
+    import re
+    from collections import Counter
+    term = re.compile("[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+    def bag(text):
+        return Counter(x.translate(low) for x in term.findall(text or ""))
+
+    bags = [(d, b) for d, b in ((d, bag(t)) for d, t in docs) if b]
+    n_docs, n_terms = len(bags), sum(sum(b.values()) for _, b in bags)
+    df = Counter(t for _, b in bags for t in b)
+    out = []
+    for item, text in dict.fromkeys((i, t or "") for i, t in items):
+        scores = []
+        for d, b in bags:
+            m = 75 + 25 * sum(b.values()) * n_docs // n_terms
+            s = sum(r * math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[x] + 1)))
+                    * ((1_000_000_000 * b[x]) // (1000 * b[x] + 12 * m)) for x, r in bag(text).items() if x in b)
+            if s > 0:
+                scores.append((-s, d is None, d or 0, d))
+        out += [(item, k + 1, x[3], -x[0]) for k, x in enumerate(sorted(scores, key=lambda x: x[:3])[:top])]
+    return sorted(out, key=str)

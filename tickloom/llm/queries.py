@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.llm import (
-    chat, exact, mixing, near, packing, pii, quality, rules, shards, substrings)
+    chat, exact, mixing, near, packing, pii, quality, rules, search, shards, substrings, tokencount, trie)
 from tickloom.llm.common import table, text_of
 
 
@@ -87,13 +87,87 @@ def op10_suffix_blockwise(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"))
 
 
+def op11_token_counts_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokencount.token_counts(docs, tokenizer_path())
+
+
+def op12_trie_truncation_peeling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_search_bag_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pii_bootstrap, op2_pack_best_two_fit, op3_mix_entropy, op4_shard_minimax, op5_quality_ftrl, op6_chat_prefix_targets,
-    op7_exact_dedup, op8_near_dedup_bbit, op9_rules_risk_controlled, op10_suffix_blockwise)}
+    op7_exact_dedup, op8_near_dedup_bbit, op9_rules_risk_controlled, op10_suffix_blockwise, op11_token_counts_ranks,
+    op12_trie_truncation_peeling, op13_search_bag_dedup)}
 
 SQL: dict[str, str] = {
     "op7_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+    # the unsigned CRC-32 of the id's digits, bit by bit; a node's subtree by pairs of prefixes
+    "op12_trie_truncation_peeling": """
+        WITH src AS (
+          SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                 row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+          FROM conversations WHERE conv_id IS NOT NULL),
+        crc AS (
+          SELECT conv_id, conv_id - conv_id % 100 AS base,
+                 list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''),
+                                                                             lambda c: ascii(c)::BIGINT)),
+                   lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                     lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END)) AS raw
+          FROM (SELECT DISTINCT conv_id FROM src)),
+        ids AS (SELECT conv_id, base, xor(raw, 4294967295) % 6 AS h FROM crc),
+        rebuilt AS (
+          SELECT i.conv_id, pos, role, text FROM ids i JOIN src s ON s.conv_id = i.conv_id
+          WHERE pos > h OR i.conv_id = base
+          UNION ALL
+          SELECT i.conv_id, pos, role, text FROM ids i JOIN src s ON s.conv_id = base
+          WHERE pos <= h AND i.conv_id <> base),
+        chain AS (
+          SELECT conv_id, row_number() OVER w AS depth, length(text) AS chars,
+                 sha256(string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER w) AS node
+          FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY pos)
+          UNION ALL SELECT conv_id, 0, 0, '' FROM ids),
+        member AS (
+          SELECT *, lag(node) OVER w AS parent, depth = max(depth) OVER (PARTITION BY conv_id) AS last
+          FROM chain WINDOW w AS (PARTITION BY conv_id ORDER BY depth)),
+        nodes AS (
+          SELECT node, depth, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n, any_value(chars) AS chars,
+                 string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE last) AS ended
+          FROM member GROUP BY node, depth),
+        kids AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY parent),
+        under AS (
+          SELECT DISTINCT a.node, b.node AS below FROM member a JOIN member b ON a.conv_id = b.conv_id AND a.depth <= b.depth),
+        sums AS (
+          SELECT u.node, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves, sum((n - 1) * chars)::BIGINT AS saved_tokens
+          FROM under u JOIN nodes b ON b.node = u.below LEFT JOIN kids k ON k.node = u.below GROUP BY u.node)
+        SELECT x.conv_id, x.depth, p.conv_id AS parent_conv_id, x.n AS n_convs, coalesce(n_children, 0) AS n_children,
+               n_leaves, saved_tokens, sha256(coalesce(x.ended, '')) AS ends_sha256
+        FROM nodes x JOIN sums s ON s.node = x.node LEFT JOIN kids k ON k.node = x.node
+        LEFT JOIN nodes p ON p.node = x.parent AND x.depth > 0""",
+    "op13_search_bag_dedup": r"""
+        WITH words AS (
+          SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+        tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+        len AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+        total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM len),
+        norm AS (SELECT doc_id, 75 + (25 * n * docs) // terms AS m FROM len, total),
+        weight AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+                   FROM tf, total GROUP BY term, docs),
+        asked AS (
+          SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+        scored AS (
+          SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+          FROM asked JOIN tf USING (term) JOIN weight USING (term) JOIN norm USING (doc_id) GROUP BY ALL)
+        SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+        FROM scored WHERE score > 0 QUALIFY rank <= 20""",
 }
