@@ -101,7 +101,7 @@ def test_trie_of_one_deep_conversation_and_of_nothing(spark):
 
 
 def test_trie_is_deterministic_for_ties(spark):
-    rows = [(1, 0, "user", x) for x in ("b", "a", "c", "a")]
+    rows = [(100, 0, "user", x) for x in ("b", "a", "c", "a")]
     df = spark.createDataFrame(rows, TURNS.split(", depth")[0])
     a = sorted(map(str, trie.trie(df.repartition(4)).collect()))
     assert a == sorted(map(str, trie.trie(df.repartition(2)).collect())) and len(a) == 5
