@@ -255,3 +255,30 @@ named as (
   from landed)
 select source, source || '/' || strftime(first_ts, '%Y-%m-%dT%H-%M-%S') || '.json' as object_key, ingest_ts from named
 """
+
+# Objects: the records of each flush under its name, both feeds.
+OBJECTS = f"""{FX}, {KU}, {BI},
+landed as (
+  select *, ts as ingest_ts from ku
+  union all
+  select *, max(ts) over (partition by ms // 3600000) as ingest_ts from bi),
+named as (
+  select *, min(ingest_ts) over (partition by source, epoch_us(ingest_ts) // {Q.OBJECT_SECONDS}000000) as first_ts
+  from landed),
+objects as (
+  select *, source || '/' || strftime(first_ts, '%Y-%m-%dT%H-%M-%S') || '.json' as object_key from named)"""
+
+SQL["object_scan"] = f"""
+with {OBJECTS}
+select object_key, symbol, price, time from objects
+where {QUOTED}
+  and date_trunc('second', first_ts) between timestamp '{Q.REPLAY_START}' and timestamp '{Q.REPLAY_END}'
+"""
+
+SQL["object_manifest"] = f"""
+with {OBJECTS}
+select object_key, count(*) as rows, min(ms) as first_event_ms, max(ms) as last_event_ms, true as whole
+from objects group by object_key
+"""
+
+SQL["object_manifest_replay"] = SQL["replay_event_range"]

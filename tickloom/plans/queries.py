@@ -23,8 +23,11 @@ from tickloom.session import scratch_path
 from tickloom.sinks import files as FS
 from tickloom.sinks import kafka as KS
 from tickloom.sinks import landing as LZ
+from tickloom.sinks import objects as OS
 from tickloom.sources import feeds
+from tickloom.sources import files as FF
 from tickloom.sources import landing as RP
+from tickloom.sources import objects as OB
 from tickloom.streaming import jobs as J
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +39,7 @@ SOURCE_BATCH_SIZE, SOURCE_BATCH_TIMEOUT_MS = 12, 3600 * 1000  # one key per feed
 TIME_ONLY_SIZE, TIME_ONLY_TIMEOUT_MS = 99_999_999, 60_000
 ALIGNED_WINDOW, ALIGNED_SIZE = "12 hours", 4
 FLUSH_SECONDS = 3600
+OBJECT_SECONDS = 6 * 3600                                     # a flush that becomes one object
 REPLAY_START, REPLAY_END = "2024-01-10 06:30:00", "2024-01-14 18:45:30"
 
 
@@ -334,6 +338,69 @@ def replay_event_range(spark, sf_dir):
     return C.tick_out(RP.replay_event(spark, root, REPLAY_START, REPLAY_END))
 
 
+def _objects(spark, sf_dir) -> str:
+    """Both feeds' records as objects under their public names, with a manifest."""
+    cols = ("seq", "pos", "event_ms")
+    k = C.kucoin_records(spark, sf_dir).withColumnRenamed("ms", "event_ms")
+    b = C.binance_records(spark, sf_dir).withColumnRenamed("ms", "event_ms")
+    env = E.envelope(k, E.kucoin_record_json(), "kucoin", "ingest_ts", keep=cols).unionByName(
+        E.envelope(b, E.binance_record_json(), "binance", "ingest_ts", keep=cols))
+    root = scratch_path(spark, "objects")
+    OS.write_objects(LZ.flush_groups(env, OBJECT_SECONDS), root, ("ingest_ts", "event_ms", "seq", "pos"))
+    return root
+
+
+@register
+def object_scan(spark, sf_dir):
+    """Objects written under their public names, listed by name, and
+    read by the range of their names. The bounds are names that exist, so both
+    ends must be inclusive; files that are no object's lie among them."""
+    root = _objects(spark, sf_dir)
+    first = OB.listed(spark, root, ["kucoin"]).agg(F.min("object_key")).first()[0]
+    if first:
+        text = FF.read_small(spark, f"{root}/{first}")
+        for name in ("note.txt", "2024-13-07T00-00-00.json", "2024-01-12T00-00-00.json.bak", "latest.json"):
+            FF.write_new(spark, f"{root}/kucoin/{name}", text)
+    ticks = []
+    for source, spec, check in (("kucoin", N.KUCOIN, D.validate_kucoin), ("binance", N.BINANCE, D.validate_binance)):
+        inside = RP.list_objects(spark, root, source, REPLAY_START, REPLAY_END)
+        low, high = inside.agg(F.min("file_time"), F.max("file_time")).first()
+        if low is None:
+            continue
+        rows = RP.read_objects(spark, root, source, low, high)
+        key = F.concat(F.lit(f"{source}/"), F.col("object_name"))
+        ticks.append(N.normalize(check(rows).valid.withColumn("object_key", key), spec, keep=("object_key",)))
+    if not ticks:
+        return spark.createDataFrame([], "object_key string, symbol string, price double, time timestamp_ntz")
+    found = N.split_ticks(N.unify(*ticks)).valid
+    return found.select("object_key", "symbol", "price", C.ntz("time").alias("time"))
+
+
+@register
+def object_manifest(spark, sf_dir):
+    """What the manifest says of every object: its records, their span of
+    event time, and whether the object is as long as it says."""
+    root = _objects(spark, sf_dir)
+    there = OB.listed(spark, root, ["kucoin", "binance"]).select("object_key", "length")
+    return OB.read_manifest(spark, root).join(there, "object_key", "full").select(
+        "object_key", "rows", "first_event_ms", "last_event_ms", (F.col("bytes") == F.col("length")).alias("whole"))
+
+
+@register
+def object_manifest_replay(spark, sf_dir):
+    """Replay by event time through the manifest; only objects whose
+    span touches the range are opened."""
+    root = _objects(spark, sf_dir)
+    ticks = []
+    for source, spec, check in (("kucoin", N.KUCOIN, D.validate_kucoin), ("binance", N.BINANCE, D.validate_binance)):
+        rows = OB.replay_objects(spark, root, source, REPLAY_START, REPLAY_END)
+        if rows is not None:
+            ticks.append(N.normalize(check(rows).valid, spec))
+    if not ticks:
+        return spark.createDataFrame([], "symbol string, price double, time timestamp_ntz, source string")
+    return C.tick_out(N.split_ticks(N.unify(*ticks)).valid)
+
+
 # ---------------------------------------------------------------- streaming twins
 
 @register

@@ -27,6 +27,8 @@ TIE_EVERY, HOUR_MS = 5, 3_600_000
 # Users whose id is divisible by this trade a base with a hyphen of its own.
 HYPHEN_EVERY = 7
 BINANCE_FRAME_MS = HOUR_MS
+# About how many tickers a Binance message carries.
+FRAME_ELEMENTS = 64
 
 
 def _base(ev: DataFrame) -> Column:
@@ -107,10 +109,13 @@ def kucoin_frames(events: DataFrame, control_types=CONTROL_EVENT_TYPES,
     )
 
 
-def binance_frames(events: DataFrame, frame_ms: int = BINANCE_FRAME_MS) -> DataFrame:
-    """Binance text frames: one JSON array per ``frame_ms`` of event time (the
-    exchange pushes lists of tickers), elements ordered by ``(ms, event_id)``.
-    The group is bounded by the feed rate per frame.
+def binance_frames(events: DataFrame, frame_ms: int = BINANCE_FRAME_MS,
+                   elements: int = FRAME_ELEMENTS) -> DataFrame:
+    """Binance text frames: the tickers of each ``frame_ms`` of event time (the
+    exchange pushes lists of them), in messages of about ``elements`` each, which
+    arrive together. A frame's messages are cut along the event ids into equal
+    ranges, as many as its count asks for, so a message does not grow with the
+    table; elements are ordered by ``(ms, event_id)``, messages by their first id.
     """
     t = fixture_ticks(events)
     element = F.struct(
@@ -127,12 +132,15 @@ def binance_frames(events: DataFrame, frame_ms: int = BINANCE_FRAME_MS) -> DataF
     keyed = t.select(
         F.floor(t["ms"] / frame_ms).alias("frame"),
         F.struct(t["ms"].alias("ms"), t["event_id"].alias("id"), element.alias("el")).alias("k"),
-        "ingest_ts",
         "event_id",
     )
-    frames = keyed.groupBy("frame").agg(
+    # one row per frame of time, whatever the table's size
+    spans = t.groupBy(F.floor(t["ms"] / frame_ms).alias("frame")).agg(
+        F.max("ingest_ts").alias("ingest_ts"), F.min("event_id").alias("_low"),
+        F.ceil((F.max("event_id") - F.min("event_id") + 1) * elements / F.count(F.lit(1))).alias("_width"))
+    part = F.floor((F.col("event_id") - F.col("_low")) / F.col("_width"))
+    frames = keyed.join(spans, "frame").groupBy("frame", "ingest_ts", part.alias("_part")).agg(
         F.array_sort(F.collect_list("k")).alias("ks"),
-        F.max("ingest_ts").alias("ingest_ts"),
         F.min("event_id").alias("seq"),
     )
     return frames.select(

@@ -48,3 +48,30 @@ def write_new(spark: SparkSession, path: str, text: str) -> bool:
     finally:
         stream.close()
     return True
+
+
+def list_files(spark: SparkSession, glob: str) -> list[tuple[str, int]]:
+    """(path, length) of the files that match a pattern; names and sizes only."""
+    p, fs = hadoop_path(spark, glob)
+    return [(s.getPath().toString(), s.getLen()) for s in (fs.globStatus(p) or []) if s.isFile()]
+
+
+def publish(spark: SparkSession, src: str, dst: str) -> None:
+    """Rename a finished file to its public name, replacing what has that name
+    in one step where the store can (as HDFS and local file systems do)."""
+    a, fs = hadoop_path(spark, src)
+    b, _ = hadoop_path(spark, dst)
+    if not fs.exists(b):
+        if fs.rename(a, b):
+            return
+        if not fs.exists(b):
+            raise OSError(f"{src} could not be renamed to {dst}")
+    jvm = spark._jvm
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(a.toUri(), spark._jsc.hadoopConfiguration()).rename(a, b, overwrite)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    p, fs = hadoop_path(spark, path)
+    fs.mkdirs(p)

@@ -117,7 +117,7 @@ def read_objects(spark: SparkSession, root: str, source: str, start=None, end=No
     outside the range are not opened; names that do not match or do not parse
     are skipped (F9, F10)."""
     from tickloom.operators import decode as D
-    files = spark.read.option("wholetext", True).text(f"{root.rstrip('/')}/{source}/")
+    files = spark.read.text(f"{root.rstrip('/')}/{source}/", wholetext=True)
     t = key_time(F.col("_metadata.file_name"))
     cond = t.isNotNull() & (t <= F.lit(_ts(end)))
     if start is not None:
