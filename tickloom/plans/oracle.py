@@ -282,3 +282,113 @@ from objects group by object_key
 """
 
 SQL["object_manifest_replay"] = SQL["replay_event_range"]
+
+# What is left of the feeds after their outages, and the silences in it.
+GAPS = f"""{FX}, {KU}, {BI}, {TICKS},
+partial as (
+  select source, symbol, ms from ticks
+  where not ({" or ".join(f"(source = '{s}' and time between timestamp '{a}' and timestamp '{b}')"
+                          for s, (a, b) in Q.OUTAGES.items())})
+    and time between timestamp '{Q.SPAN[0]}' and timestamp '{Q.SPAN[1]}'),
+marks as (
+  select * from partial
+  union all
+  select distinct source, symbol, epoch_us(timestamp '{Q.SPAN[0]}') // 1000 - 1 from partial
+  union all
+  select distinct source, symbol, epoch_us(timestamp '{Q.SPAN[1]}') // 1000 + 1 from partial),
+gaps as (
+  select source, symbol, after_ms, ms as before_ms, ms - after_ms as silence_ms
+  from (select *, lag(ms) over (partition by source, symbol order by ms) as after_ms from marks)
+  where ms - after_ms > {Q.TOLERATED_MS})"""
+
+SQL["gap_intervals"] = f"""
+with {GAPS}
+select source, symbol, after_ms, before_ms, silence_ms from gaps
+"""
+
+SQL["gap_ranges"] = f"""
+with {GAPS},
+i as (
+  select *, sum(case when after_ms > reach then 1 else 0 end) over (partition by source order by after_ms, before_ms, symbol
+                rows unbounded preceding) as island
+  from (select *, max(before_ms) over (partition by source order by after_ms, before_ms, symbol
+                  rows between unbounded preceding and 1 preceding) as reach from gaps))
+select source, min(after_ms) as after_ms, max(before_ms) as before_ms, count(*) as gaps from i group by source, island
+"""
+
+SQL["gap_fill"] = SQL["unified_feed"]
+SQL["gap_fill_current"] = SQL["current_price"]
+
+MESSAGES = f"""{FX},
+e as (
+  select *, event_id // {Q.MESSAGE_RECORDS} as message, replace(hyphenated || '-' || quote, '-', '') as symbol,
+         row_number() over (partition by event_id // {Q.MESSAGE_RECORDS} order by event_id) - 1 as pos,
+         case when event_id % 61 = 7 or event_id % 67 = 3 then 'not an object'
+              when value >= 101 and value < 102 then 'missing:data.bestAsk'
+              when event_id % 89 = 0 then 'missing:data.time' end as bad
+  from fx),
+m as (
+  select message, message // 8 as poll,
+         case when message % 37 = 5 then 'not an array' when message % 41 = 6 then 'malformed'
+              when message % 43 = 7 then null else arg_min(bad, pos) filter (where bad is not null) end as reason,
+         case when message % 37 = 5 or message % 41 = 6 or message % 43 = 7 then null
+              else min(pos) filter (where bad is not null) end as bad_pos,
+         case when message % 43 = 7 then 0 else count(*) end as n
+  from e group by message)"""
+
+SQL["atomic_messages"] = f"""
+with {MESSAGES}
+select message, case when reason is null then n end as records, bad_pos::integer as bad_pos, reason from m
+"""
+
+SQL["atomic_ticks"] = f"""
+with {MESSAGES}
+select symbol, value as price, make_timestamp(ms * 1000) as time, 'kucoin' as source
+from e join m using (message) where reason is null and n > 0 and {QUOTED}
+"""
+
+SQL["atomic_polls"] = f"""
+with {MESSAGES},
+p as (select *, bool_or(reason is not null) over (partition by poll) as hit from m)
+select message, poll, case when not hit then n end as records,
+       case when reason is null and hit then 'poll' else reason end as reason
+from p
+"""
+
+ROUTED = f"""{FX}, {BI},
+r as (
+  select 'kucoin' as feed, event_id, replace(hyphenated || '-' || quote, '-', '') as symbol, value,
+         value < 1 or value >= 200 or (value >= 100 and value < 101) as dirty from fx
+  union all
+  select 'binance', event_id, symbol, price, false from bi),
+o as (
+  select *, case when event_id % 50 = 3 then 'kraken' when event_id % 50 = 4 then null else feed end as source,
+         event_id % 53 = 9 as cut, {QUOTED} as quoted
+  from r),
+routed as (
+  select feed, event_id, source, symbol, value, cut, quoted, dirty,
+         case when source is null or source = 'kraken' then 'unknown' when cut then 'reject' when not quoted then 'other'
+              when dirty then 'reject' else 'tick' end as outcome
+  from o)"""
+ROUTED_OUT = """feed, event_id, outcome, source,
+       case when outcome in ('tick', 'other') then symbol end as symbol,
+       case when outcome in ('tick', 'other') and not dirty then value end as price,
+       case when outcome = 'unknown' then 'unknown source: ' || coalesce(source, 'null')
+            when outcome = 'reject' then case when cut then 'malformed' else 'bad:price' end end as reason"""
+
+SQL["dead_letter_routing"] = f"""
+with {ROUTED}
+select {ROUTED_OUT} from routed
+"""
+
+# The second pass knows kraken's records (they are laid out like Kucoin's).
+SQL["stream_dead_letter"] = f"""
+with {ROUTED},
+again as (
+  select * replace (case when source is null then 'unknown' when cut then 'reject' when not quoted then 'other'
+                         when dirty then 'reject' else 'tick' end as outcome)
+  from routed where outcome = 'unknown' and feed = 'kucoin')
+select 1 as pass, {ROUTED_OUT} from routed
+union all
+select 2 as pass, {ROUTED_OUT} from again
+"""

@@ -5,6 +5,7 @@ the feature (replay)."""
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +16,15 @@ from tickloom.functions import scalar as S
 from tickloom.operators import batching as B
 from tickloom.operators import decode as D
 from tickloom.operators import envelope as E
+from tickloom.operators import gaps as G
 from tickloom.operators import latest as L
+from tickloom.operators import messages as M
 from tickloom.operators import normalize as N
+from tickloom.operators import routing as RT
 from tickloom.operators.flatten import flatten_ticker as _flatten
 from tickloom.plans import common as C
 from tickloom.session import scratch_path
+from tickloom.sinks import current as CUR
 from tickloom.sinks import files as FS
 from tickloom.sinks import kafka as KS
 from tickloom.sinks import landing as LZ
@@ -42,6 +47,11 @@ FLUSH_SECONDS = 3600
 OBJECT_SECONDS = 6 * 3600                                     # a flush that becomes one object
 REPLAY_START, REPLAY_END = "2024-01-10 06:30:00", "2024-01-14 18:45:30"
 
+# What each feed lost, the span it should cover, and the silence that is no gap.
+OUTAGES = {"kucoin": (REPLAY_START, REPLAY_END), "binance": ("2024-01-26 03:00:00", "2024-02-01 00:00:00")}
+SPAN, TOLERATED_MS = ("2024-01-01 00:00:00", "2024-01-31 00:00:00"), 6 * 3600 * 1000
+MESSAGE_RECORDS = 8
+
 
 def register(fn):
     QUERIES[fn.__name__] = fn
@@ -401,8 +411,145 @@ def object_manifest_replay(spark, sf_dir):
     return C.tick_out(N.split_ticks(N.unify(*ticks)).valid)
 
 
+# ---------------------------------------------------------------- gaps
+
+def _ms(text: str) -> int:
+    return int(RP._ts(text).replace(tzinfo=datetime.timezone.utc).timestamp() * 1000)
+
+
+def _outage(spark, sf_dir):
+    """The whole feed, and what is left of it with each source's outage."""
+    ticks = C.unified_ticks(spark, sf_dir)
+    lost = F.lit(False)
+    for source, (start, end) in OUTAGES.items():
+        lost = lost | ((F.col("source") == source) & F.col("time").between(
+            F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")))
+    return ticks, ticks.where(~lost)
+
+
+def _gaps(partial):
+    return G.find_gaps(partial.withColumn("ms", F.unix_millis("time")), ["source", "symbol"], "ms", TOLERATED_MS,
+                       (_ms(SPAN[0]), _ms(SPAN[1])))
+
+
+@register
+def gap_intervals(spark, sf_dir):
+    """Silences per source and symbol longer than tolerated, in a feed that
+    lost a middle part (Kucoin) and its end (Binance)."""
+    return _gaps(_outage(spark, sf_dir)[1]).select("source", "symbol", "after_ms", "before_ms", "silence_ms")
+
+
+@register
+def gap_ranges(spark, sf_dir):
+    """The gaps of all symbols of a source merged into ranges to replay."""
+    return G.merge_ranges(_gaps(_outage(spark, sf_dir)[1]), ["source"])
+
+
+def _filled(spark, sf_dir):
+    """The partial feed and what a replay of its gaps alone brings back."""
+    root = scratch_path(spark, "gap-fill")
+    whole, partial = _outage(spark, sf_dir)
+    LZ.write_ticks(whole, f"{root}/lake")
+    partial.write.parquet(f"{root}/partial")
+    partial = spark.read.schema(partial.schema).parquet(f"{root}/partial")
+    gaps = _gaps(partial)
+    gaps.write.parquet(f"{root}/gaps")
+    found = G.replay_gaps(spark, f"{root}/lake", spark.read.schema(gaps.schema).parquet(f"{root}/gaps"))
+    return root, partial, found
+
+
+@register
+def gap_fill(spark, sf_dir):
+    """The feed with its gaps filled is the whole feed, each tick once."""
+    _, partial, found = _filled(spark, sf_dir)
+    rows = C.tick_out(partial)
+    return rows if found is None else rows.unionByName(C.tick_out(found))
+
+
+@register
+def gap_fill_current(spark, sf_dir):
+    """T8 + K7: the current-price table of the partial feed, after the gaps' ticks
+    are folded in, is that of the whole feed."""
+    root, partial, found = _filled(spark, sf_dir)
+    CUR.fold_ticks(partial, f"{root}/snapshot")
+    if found is not None:
+        CUR.fold_ticks(found.select(*partial.columns), f"{root}/snapshot")
+    snap = CUR.read_snapshot(spark, f"{root}/snapshot")
+    return snap.select("source", "symbol", "price", C.ntz("time").alias("time"))
+
+
+# ---------------------------------------------------------------- whole messages, dead letters
+
+def _raw_messages(spark, sf_dir):
+    """Kucoin messages of MESSAGE_RECORDS events, with faults of every kind."""
+    t = feeds.kucoin_frames(C.events(spark, sf_dir), control_types=(), best_ask=_missing_ask, time=_bad_time)
+    number = F.regexp_replace("value", F.lit('"time":"([0-9]+)"'), F.lit('"time":$1'))
+    element = F.when(F.col("seq") % 61 == 7, F.lit("7")).when(F.col("seq") % 67 == 3, F.lit("null")).otherwise(number)
+    by = F.floor(F.col("seq") / MESSAGE_RECORDS).alias("message")
+    rows = t.groupBy(by).agg(F.array_sort(F.collect_list(F.struct("seq", element.alias("text")))).alias("_e"))
+    inner = F.array_join(F.transform("_e", lambda e: e["text"]), ", ")
+    n = F.col("message")
+    value = (F.when(n % 37 == 5, F.concat(F.lit('{"records": ['), inner, F.lit("]}")))
+             .when(n % 41 == 6, F.concat(F.lit("["), inner)).when(n % 43 == 7, F.lit("[]"))
+             .otherwise(F.concat(F.lit("["), inner, F.lit("]"))))
+    return rows.select("message", F.floor(n / 8).alias("poll"), S.utf8_encode(value).alias("value"))
+
+
+@register
+def atomic_messages(spark, sf_dir):
+    """Messages as a consumer gets them (bytes): each is valid with all its
+    records, or rejected for its first bad element."""
+    rows = M.check_messages(_raw_messages(spark, sf_dir))
+    return rows.select("message", F.size("texts").cast("long").alias("records"), "bad_pos", "reason")
+
+
+@register
+def atomic_ticks(spark, sf_dir):
+    """The ticks of the valid messages, and of no others."""
+    valid = M.split_messages(M.check_messages(_raw_messages(spark, sf_dir))).valid
+    return C.tick_out(N.split_ticks(N.normalize(valid, N.KUCOIN)).valid)
+
+
+@register
+def atomic_polls(spark, sf_dir):
+    """One bad message rejects the whole poll it came in."""
+    rows = M.reject_polls(M.check_messages(_raw_messages(spark, sf_dir)), ["poll"])
+    return rows.select("message", "poll", F.size("texts").cast("long").alias("records"), "reason")
+
+
+def _mixed_envelopes(spark, sf_dir):
+    """Landed records of both feeds; some name a source without a rule or none,
+    some are cut off."""
+    ev = C.events(spark, sf_dir)
+    k = D.keep_messages(D.parse_kucoin(feeds.kucoin_frames(ev, price=_dirty_price)))
+    b = C.binance_records(spark, sf_dir).withColumn("seq", F.col("el.quote_volume").cast("long"))
+    env = E.envelope(k, E.kucoin_record_json(), "kucoin", "ingest_ts", keep=("seq",)).unionByName(
+        E.envelope(b, E.binance_record_json(), "binance", "ingest_ts", keep=("seq",)))
+    seq = F.col("seq")
+    source = (F.when(seq % 50 == 3, F.lit("kraken")).when(seq % 50 == 4, F.lit(None).cast("string"))
+              .otherwise(F.col("source")))
+    data = F.when(seq % 53 == 9, F.substring("data", 1, 20)).otherwise(F.col("data"))
+    return env.select("seq", "ingest_ts", F.col("source").alias("feed"), source.alias("source"), data.alias("data"))
+
+
+@register
+def dead_letter_routing(spark, sf_dir):
+    """Every landed record's outcome in one pass; an unknown source is a dead
+    letter, not a failed job."""
+    rows = RT.route(_mixed_envelopes(spark, sf_dir))
+    return rows.select("feed", F.col("seq").alias("event_id"), "outcome", "source", "symbol", "price", "reason")
+
+
 # ---------------------------------------------------------------- streaming twins
 
+@register
+def stream_dead_letter(spark, sf_dir):
+    """P6 on a stream: one query writes every outcome to a folder of its own; the
+    dead letters are routed again once their source has a rule."""
+    from tickloom.plans import streams
+    return streams.stream_dead_letter(spark, sf_dir)
+
+
 @register
 def stream_normalize(spark, sf_dir):
     """Structured Streaming: both feeds, file source -> transforms -> Parquet sink."""

@@ -205,3 +205,26 @@ def stream_micro_batch(spark: SparkSession, sf_dir: str, size: int, timeout_ms:
               .select("subject", "batch_id", "n", "first_ms", "last_ms"))
     open_ = open_batches(spark, f"{root}/ckpt", ["subject"])
     return closed.unionByName(open_)
+
+
+def stream_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed records in two slices of arrival through the routing job; then the
+    dead letters of one unknown source are routed again under a new rule."""
+    from tickloom.operators import routing as RT
+    from tickloom.plans.queries import _mixed_envelopes
+    root = scratch_path(spark, "stream-routes")
+    env = _mixed_envelopes(spark, sf_dir)
+    late = F.col("ingest_ts") >= F.lit("2024-01-20").cast("timestamp")
+    for part in (~late, late):
+        env.where(part).write.mode("append").parquet(f"{root}/env")
+        stream = spark.readStream.schema(env.schema).parquet(f"{root}/env")
+        q = J.start_routing(stream, f"{root}/routes", f"{root}/ckpt", trigger={"availableNow": True})
+        try:
+            q.awaitTermination()
+        finally:
+            q.stop()
+    routed = spark.read.schema(RT.route(env).schema).parquet(f"{root}/routes")
+    letters = routed.where(F.col("outcome") == RT.UNKNOWN)
+    again = RT.route(letters.where(F.col("feed") == "kucoin"), {**RT.ROUTES, "kraken": RT.ROUTES["kucoin"]})
+    cols = ["feed", F.col("seq").alias("event_id"), "outcome", "source", "symbol", "price", "reason"]
+    return routed.select(F.lit(1).alias("pass"), *cols).unionByName(again.select(F.lit(2).alias("pass"), *cols))

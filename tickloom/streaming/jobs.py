@@ -202,6 +202,13 @@ def start_landing(envelopes: DataFrame, landing_root: str, checkpoint: str, flus
             .foreachBatch(land).start())
 
 
+def start_routing(envelopes: DataFrame, root: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Landed records to one folder per outcome (``tick``, ``other``,
+    ``reject``, ``unknown``), in one query; an unknown source does not stop it."""
+    from tickloom.operators.routing import route
+    return start(route(envelopes), checkpoint, path=root, trigger=trigger, partition_by=("outcome",))
+
+
 def tick_arrays(source: str, frames: DataFrame) -> DataFrame:
     """Raw messages -> ``ticks``, the array of each message's valid ticks."""
     frames = D.as_text(frames)
