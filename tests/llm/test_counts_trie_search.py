@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from tests.llm import brute
-from tickloom.llm import search, tokencount, trie
+from tickloom.llm import packing, search, tokencount, trie
 from tickloom.llm.queries import QUERIES, tokenizer_path
 
 SF = "/root/testdata/sf0.001"
@@ -42,10 +42,22 @@ def test_token_counts_equal_the_library(counter, limit):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(max_size=40), max_size=5))
 def test_token_counts_of_any_text(texts):
-    counter = tokencount._counter(tokenizer_path())
+    counter = tokencount.word_counter(tokenizer_path())
     assert _counts(counter, texts) == brute.library_tokens(tokenizer_path(), texts)
 
 
+@pytest.mark.parametrize("limit", [tokencount.CHUNK_BYTES, 40])
+def test_token_ids_equal_the_library(counter, limit):
+    from tokenizers import Tokenizer
+    r = random.Random(2)
+    texts = ["".join(r.choice(ODD) for _ in range(r.randint(0, 60))) for _ in range(500)]
+    texts += [t[:9] + "<|endoftext|>" + t[9:] + "<|startoftext|><|endoftext|>" for t in texts[:100]] + ["", "aaaa" * 500]
+    tok = Tokenizer.from_file(tokenizer_path())
+    got = packing.whole_ids(pa.array([t.encode() for t in texts], pa.binary()), counter, limit)
+    for (row, ids), (i, t) in zip(got, enumerate(texts), strict=True):
+        assert row == i and np.frombuffer(ids, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
+
+
 def test_merging_is_rank_synchronous_and_left_to_right(counter):
     table = counter.table
     lens = np.array([1, 5, 2])

@@ -175,13 +175,15 @@ def test_pack(messy, empty):
     assert packing.pack(empty, tokenizer_path(), ["doc_id"]).count() == 0
 
 
-def test_word_ids_survive_a_small_cache(messy):
+@pytest.mark.parametrize("limit", [100, 1 << 22])
+def test_ids_of_messy_texts_equal_the_library(messy, limit):
+    import pyarrow as pa
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(tokenizer_path())
     texts = [t or "" for t, in rows_of(messy, "text")]
-    small = packing.WordIds(tokenizer_path(), cache_words=20)
-    for t in texts:
-        assert small.encode([t.encode()])[0] == np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    column = pa.array([t.encode() for t in texts], pa.binary())
+    for t, (_, ids) in zip(texts, packing.whole_ids(column, packing.word_counter(tokenizer_path()), limit), strict=True):
+        assert ids == np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 @settings(max_examples=100, deadline=None)

@@ -17,7 +17,6 @@ gives an empty result. Extra columns named in ``keep`` are carried along unless
 
 from __future__ import annotations
 
-import re
 import zlib
 from bisect import bisect_right
 
@@ -27,89 +26,28 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tickloom.llm.common import staged, text_of
+from tickloom.llm.tokencount import CHUNK_BYTES, WordCounter, token_ids, word_counter
 
 SEQ_LEN = 2048
 END_ID = 0
-CACHE_WORDS = 200_000       # words per generation of a worker's cache; two are kept
-_CHUNK_DOCS = 256           # documents whose unseen words are tokenised in one call
-
-
-#: A word of Latin-1 letters and ASCII marks behind them: normalising, lower
-#: casing and splitting leave the letters as one piece and the marks as another.
-_PLAIN = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-/:-@\[-`{-~]*)\Z")
-
-
-def byte_letters() -> dict[int, int]:
-    """Byte-level alphabet: visible Latin-1 characters stand for themselves, the
-    other bytes, in order, for the characters from 256 on."""
-    hidden = [b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b)]
-    return {b: 256 + i for i, b in enumerate(hidden)}
-
-
-class WordIds:
-    """Token ids of texts, as little-endian 32-bit bytes. No token of the
-    tokenizer spans ASCII white space, so a text's ids are its words' ids in
-    turn; the words seen lately are remembered, in two generations. Words that
-    are plainly one piece of letters and one of marks go to the model directly;
-    all others pass through the whole tokenizer."""
-
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
-        import os
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.model, self.letters = self.tokenizer.model, byte_letters()
-        self.limit, self.young, self.old, self.marks = cache_words, {}, {}, {b"": b""}
-
-    def _piece(self, piece: bytes) -> bytes:
-        ids = [t.id for t in self.model.tokenize(piece.decode("latin-1").translate(self.letters))]
-        return np.array(ids, dtype="<u4").tobytes()
-
-    def _plain(self, letters: str, marks: bytes) -> bytes:
-        stem = letters.lower().encode()
-        ids = self.young.get(stem) or self.old.get(stem) or self._piece(stem)
-        tail = self.marks.get(marks)
-        if tail is None:
-            if len(self.marks) > 10_000:
-                self.marks = {b"": b""}
-            tail = self.marks[marks] = self._piece(marks)
-        return ids + tail
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        young, old = self.young, self.old
-        missing = set().union(*split).difference(young)
-        if len(young) + len(missing) > self.limit:
-            # words in use move on with the new generation
-            used = set().union(*split)
-            old = self.old = young
-            young = self.young = {}
-            missing = used
-        fresh = []
-        for w in missing:
-            ids = old.get(w)
-            if ids is None:
-                word = w.decode()
-                plain = _PLAIN.match(word)
-                if plain is None:
-                    fresh.append(word)
-                    continue
-                ids = self._plain(plain[1], plain[2].encode())
-            young[w] = ids
-        if fresh:
-            for w, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-                young[w.encode()] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join(map(young.__getitem__, words)) for words in split]
-
-
-_CODERS: dict[str, WordIds] = {}
-
-
-def coder(path: str) -> WordIds:
-    """The worker process's coder: loaded once, its cache outlives the task."""
-    if path not in _CODERS:
-        _CODERS[path] = WordIds(path)
-    return _CODERS[path]
+_ROWS = 1024                # pieces in one batch of results
+
+
+def whole_ids(texts: pa.Array, counter: WordCounter, limit: int = CHUNK_BYTES):
+    """(row, little-endian 32-bit token ids) of every text of a binary column, in
+    turn. Distinct words of a chunk are tokenised once, as ragged arrays."""
+    row, held = 0, []
+    for rows, counts, ids in token_ids(texts, counter, limit):
+        data, begin = ids.astype("<u4").tobytes(), 0
+        for r, end in zip(rows.tolist(), (np.cumsum(counts) * 4).tolist()):
+            while row < r:
+                yield row, b"".join(held)
+                row, held = row + 1, []
+            held.append(data[begin:end])
+            begin = end
+    while row < len(texts):
+        yield row, b"".join(held)
+        row, held = row + 1, []
 
 
 def _pieces(tokenizer: str, seq_len: int, end_id: int, keep_ids: bool, keep: list[str], schema: pa.Schema):
@@ -117,28 +55,32 @@ def _pieces(tokenizer: str, seq_len: int, end_id: int, keep_ids: bool, keep: lis
     step = 4 * seq_len
 
     def run(batches):
-        words, seen = coder(tokenizer), [0] * (seq_len + 1)
+        counter, seen = word_counter(tokenizer), [0] * (seq_len + 1)
         part = TaskContext.get().partitionId()
         for batch in batches:
-            for at in range(0, batch.num_rows, _CHUNK_DOCS):
-                chunk = batch.slice(at, _CHUNK_DOCS)
-                texts = chunk.column(chunk.num_columns - 1).to_pylist()
-                row, piece, start, length, crc, rank, ids = [], [], [], [], [], [], []
-                for i, data in enumerate(words.encode(texts)):
-                    data += end
-                    for k, b in enumerate(range(0, len(data), step)):
-                        part_ids = data[b:b + step]
-                        n = len(part_ids) // 4
-                        row.append(i), piece.append(k), start.append(b // 4), length.append(n)
-                        crc.append(zlib.crc32(part_ids)), rank.append(seen[n])
-                        seen[n] += 1
-                        if keep_ids:
-                            ids.append(part_ids)
-                kept = [chunk.column(j).take(pa.array(row, pa.int32())) for j in range(len(keep))]
+            def results():
+                kept = [batch.column(j).take(pa.array(row, pa.int32())) for j in range(len(keep))]
                 cols = [pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc)),
                         pa.array([part] * len(row), pa.int32()), pa.array(rank, pa.int64())]
-                yield pa.RecordBatch.from_arrays(
+                return pa.RecordBatch.from_arrays(
                     kept + cols + ([pa.array(ids, pa.binary())] if keep_ids else []), names=schema)
+
+            row, piece, start, length, crc, rank, ids = [], [], [], [], [], [], []
+            for i, data in whole_ids(batch.column(batch.num_columns - 1), counter):
+                data += end
+                for k, b in enumerate(range(0, len(data), step)):
+                    part_ids = data[b:b + step]
+                    n = len(part_ids) // 4
+                    row.append(i), piece.append(k), start.append(b // 4), length.append(n)
+                    crc.append(zlib.crc32(part_ids)), rank.append(seen[n])
+                    seen[n] += 1
+                    if keep_ids:
+                        ids.append(part_ids)
+                if len(row) >= _ROWS:
+                    yield results()
+                    row, piece, start, length, crc, rank, ids = [], [], [], [], [], [], []
+            if row:
+                yield results()
     return run
 
 

@@ -103,8 +103,27 @@ class RankTable:
         """Symbols left of each sequence after merging; ``data`` holds the bytes
         of all sequences (none empty), ``lens`` how many each has."""
         out = np.zeros(len(lens), np.int64)
+        for ids, left, _ in self._rounds(data, lens):
+            out[ids] = left
+        return out
+
+    def merge(self, data: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols left, of all sequences in turn, and how many each has."""
+        out, done = np.zeros(len(lens), np.int64), []
+        for ids, left, sym in self._rounds(data, lens):
+            out[ids] = left
+            done.append((ids, left, sym))
+        starts = np.cumsum(out) - out
+        flat = np.zeros(int(out.sum()), np.int32)
+        for ids, left, sym in done:
+            flat[np.repeat(starts[ids] - (np.cumsum(left) - left), left) + np.arange(len(sym))] = sym
+        return flat, out
+
+    def _rounds(self, data: np.ndarray, lens: np.ndarray):
+        """Merge in rounds; yields sequences without a mergeable pair as they
+        leave: their places, lengths and symbols."""
         if not len(lens):
-            return out
+            return
         sym, ends = self.inside[data], np.cumsum(lens) - 1
         sym[ends] = self.last[data[ends]]
         rank = np.full(len(sym), _NONE, np.int32)
@@ -115,11 +134,11 @@ class RankTable:
             low = np.minimum.reduceat(rank, np.cumsum(lens) - lens)
             live = low < _NONE
             if not live.all():
-                out[ids[~live]] = lens[~live]
                 stay = np.repeat(live, lens)
+                yield ids[~live], lens[~live], sym[~stay]
                 sym, rank, ids, lens, low = sym[stay], rank[stay], ids[live], lens[live], low[live]
             if not len(ids):
-                return out
+                return
             at = np.flatnonzero(rank == np.repeat(low, lens))
             # a run of neighbours is one symbol repeated: every other pair merges, from the left
             first = np.flatnonzero(np.diff(at, prepend=-2) != 1)
@@ -138,6 +157,13 @@ class RankTable:
             rank[ends] = _NONE
 
 
+def ragged_take(flat: np.ndarray, lens: np.ndarray, take: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows ``take`` of a ragged array, in turn, and their lengths."""
+    got = lens[take]
+    starts = (np.cumsum(lens) - lens)[take]
+    return flat[np.repeat(starts - (np.cumsum(got) - got), got) + np.arange(int(got.sum()))], got
+
+
 class WordCounter:
     """Token counts of white-space separated words."""
 
@@ -147,7 +173,8 @@ class WordCounter:
         from tokenizers import Tokenizer
         self.library, self.table = Tokenizer.from_file(path), RankTable(path)
         self.bytes_of = {ord(c): b for b, c in byte_letters().items()}
-        special = sorted((t.content for t in self.library.get_added_tokens_decoder().values()), key=len, reverse=True)
+        self.special_ids = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
+        special = sorted(self.special_ids, key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
 
     def _other(self, word: str) -> list[bytes]:
@@ -155,40 +182,73 @@ class WordCounter:
         pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(word))
         return [p.translate(self.bytes_of).encode("latin-1") for p, _ in pieces]
 
-    def count(self, words: list[str]) -> np.ndarray:
-        n = len(words)
-        found = np.zeros(n, np.int64)
-        plain, pieces, owner = [], [], []
+    def _split(self, words: list[str]) -> tuple[pa.DictionaryArray, np.ndarray, list[int]]:
+        """Pre-tokens of all words as a dictionary array, each one's word, and the
+        special tokens met (a special string stands as an empty pre-token)."""
+        plain, pieces, owner, special = [], [], [], []
         for i, w in enumerate(words):
             if "<|" in w and self.special.search(w):
-                found[i] = len(self.special.findall(w))
-                for part in self.special.split(w):
-                    got = self._other(part)
+                at = 0
+                for hit in self.special.finditer(w):
+                    got = [*self._other(w[at:hit.start()]), b""]
                     pieces += got
                     owner += [i] * len(got)
+                    special.append(self.special_ids[hit[0]])
+                    at = hit.end()
+                got = self._other(w[at:])
             elif _PLAIN.fullmatch(w):
                 plain.append(i)
+                continue
             else:
                 got = self._other(w)
-                pieces += got
-                owner += [i] * len(got)
+            pieces += got
+            owner += [i] * len(got)
         split = _PLAIN_SPLIT.findall("\n".join([words[i] for i in plain]).lower())
         marks = np.fromiter((p == "\n" for p in split), bool, len(split))
         ours = np.array(plain, np.int64)[np.cumsum(marks)[~marks]] if plain else np.zeros(0, np.int64)
         tokens = pa.concat_arrays([pa.array([p for p in split if p != "\n"], pa.string()).cast(pa.binary()),
                                    pa.array(pieces, pa.binary())]).dictionary_encode()
-        distinct = tokens.dictionary
-        lens = pc.binary_length(distinct).to_numpy(zero_copy_only=False)
-        data = np.frombuffer(b"".join(distinct.to_pylist()), np.uint8)
-        each = self.table.count(data, lens)[tokens.indices.to_numpy()] if len(distinct) else np.zeros(0, np.int64)
-        np.add.at(found, np.concatenate([ours, np.array(owner, np.int64)]), each)
+        return tokens, np.concatenate([ours, np.array(owner, np.int64)]), special
+
+    def _merged(self, distinct: pa.Array, merge):
+        """``merge`` over the distinct pre-tokens that have bytes, and which have."""
+        lens = pc.binary_length(distinct).to_numpy(zero_copy_only=False).astype(np.int64)
+        some = lens > 0
+        return merge(np.frombuffer(b"".join(distinct.to_pylist()), np.uint8), lens[some]), some
+
+    def count(self, words: list[str]) -> np.ndarray:
+        """How many tokens each word has."""
+        tokens, owner, _ = self._split(words)
+        found = np.zeros(len(words), np.int64)
+        if len(tokens):
+            got, some = self._merged(tokens.dictionary, self.table.count)
+            each = np.ones(len(some), np.int64)                 # a special string is one token
+            each[some] = got
+            np.add.at(found, owner, each[tokens.indices.to_numpy()])
         return found
 
+    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The words' token ids in turn, and how many each word has."""
+        tokens, owner, special = self._split(words)
+        found = np.zeros(len(words), np.int64)
+        if not len(tokens):
+            return np.zeros(0, np.int32), found
+        (flat, got), some = self._merged(tokens.dictionary, self.table.merge)
+        lens = np.ones(len(some), np.int64)
+        lens[some] = got
+        if not some.all():                                      # room for the special token
+            flat = np.insert(flat, (np.cumsum(lens) - lens)[~some], -1)
+        order = np.argsort(owner, kind="stable")
+        flat, each = ragged_take(flat, lens, tokens.indices.to_numpy()[order])
+        np.add.at(found, owner[order], each)
+        flat[flat < 0] = special            # words with special strings keep their order
+        return flat, found
+
 
 _COUNTERS: dict[str, WordCounter] = {}
 
 
-def _counter(path: str) -> WordCounter:
+def word_counter(path: str) -> WordCounter:
     """Loaded once per worker process; it holds the file's tables and no texts."""
     if path not in _COUNTERS:
         _COUNTERS[path] = WordCounter(path)
@@ -219,21 +279,37 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES):
         yield held
 
 
+def _words(held: list[tuple[int, bytes]]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The white-space separated words of a chunk, dictionary-encoded, and their rows."""
+    words = pc.ascii_split_whitespace(pa.array([d for _, d in held], pa.large_binary()).cast(pa.large_string()))
+    flat = words.flatten()
+    rows = np.repeat(np.array([r for r, _ in held], np.int64), np.diff(words.offsets.to_numpy()))
+    some = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0           # white space at an end
+    return flat.filter(pa.array(some)).dictionary_encode(), rows[some]
+
+
 def count_tokens(texts: pa.Array, counter: WordCounter, limit: int = CHUNK_BYTES) -> np.ndarray:
     """Tokens of each text of a binary column."""
     out = np.zeros(len(texts), np.int64)
     for held in chunks(texts, limit):
-        words = pc.ascii_split_whitespace(pa.array([d for _, d in held], pa.large_binary()).cast(pa.large_string()))
-        per = np.diff(words.offsets.to_numpy())
-        flat = words.flatten()
-        rows = np.repeat(np.array([r for r, _ in held], np.int64), per)
-        some = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0       # white space at an end
-        flat, rows = flat.filter(pa.array(some)).dictionary_encode(), rows[some]
+        words, rows = _words(held)
         if len(rows):
-            np.add.at(out, rows, counter.count(flat.dictionary.to_pylist())[flat.indices.to_numpy()])
+            np.add.at(out, rows, counter.count(words.dictionary.to_pylist())[words.indices.to_numpy()])
     return out
 
 
+def token_ids(texts: pa.Array, counter: WordCounter, limit: int = CHUNK_BYTES):
+    """Chunk by chunk: (rows, counts, ids) - the tokens of some rows in turn; a
+    text longer than a chunk comes in several."""
+    for held in chunks(texts, limit):
+        words, rows = _words(held)
+        if len(rows):
+            flat, lens = counter.ids(words.dictionary.to_pylist())
+            ids, each = ragged_take(flat, lens, words.indices.to_numpy())
+            first = np.flatnonzero(np.diff(rows, prepend=-1))
+            yield rows[first], np.add.reduceat(each, first), ids
+
+
 def token_counts(docs: DataFrame, tokenizer: str, text: str = "text", limit: int = LIMIT) -> DataFrame:
     """``docs`` without its text, plus ``n_bytes, n_tokens`` (long) and
     ``over_limit``: more than ``limit`` tokens."""
@@ -245,7 +321,7 @@ def token_counts(docs: DataFrame, tokenizer: str, text: str = "text", limit: int
     names = [f.name for f in schema]
 
     def run(batches):
-        counter = _counter(tokenizer)
+        counter = word_counter(tokenizer)
         for batch in batches:
             texts = batch.column(batch.num_columns - 2)
             kept = [batch.column(i) for i in range(batch.num_columns - 2)]
