@@ -15,7 +15,21 @@ BITMAP_BITS = 1 << 23
 _PAGE = 32768       # bits in one value of bitmap_construct_agg
 
 
+#: Texts handed to a Python worker at once; Spark's own bound is 64 MB, of which
+#: the worker then holds copies.
+BATCH_BYTES = 8 << 20
+_DEFAULT_BATCH = "67108864b"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the bytes of an Arrow batch, where the session says nothing else."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == _DEFAULT_BATCH:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

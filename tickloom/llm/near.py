@@ -44,7 +44,7 @@ PERMS, ROWS, LOW_BITS = 128, 4, 4
 ESTIMATE = 0.58
 BLOCK, SET_BLOCK = 4096, 1024
 BUCKET_BITS = 1 << 25   # bitmap of shared buckets: 4 MB
-_CACHE = 400_000
+_CACHE = 100_000
 _PLANES = [f"s{i}" for i in range(2 * LOW_BITS)]
 
 _rng = np.random.default_rng(20240601)

@@ -33,7 +33,7 @@ ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-3
 FOLD = 3                # ids whose crc32 mod FOLD is HELD_OUT are never learnt from
 HELD_OUT = 1
 _WORD = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
-_CACHE = 400_000
+_CACHE = 100_000
 
 
 class Features:
