@@ -392,3 +392,4 @@ select 1 as pass, {ROUTED_OUT} from routed
 union all
 select 2 as pass, {ROUTED_OUT} from again
 """
+SQL["stream_micro_batch_hot"] = SQL["micro_batch_source"]

@@ -593,3 +593,11 @@ def stream_landing(spark, sf_dir):
     twice; records per source as read back from the zone."""
     from tickloom.plans import streams
     return streams.stream_landing(spark, sf_dir, FLUSH_SECONDS)
+
+
+@register
+def stream_micro_batch_hot(spark, sf_dir):
+    """A1/A2 on a stream with two hot keys: no task folds a key whole, and a
+    trigger that runs again changes nothing."""
+    from tickloom.plans import streams
+    return streams.stream_micro_batch_hot(spark, sf_dir, SOURCE_BATCH_SIZE, SOURCE_BATCH_TIMEOUT_MS)

@@ -228,3 +228,27 @@ def stream_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = RT.route(letters.where(F.col("feed") == "kucoin"), {**RT.ROUTES, "kraken": RT.ROUTES["kucoin"]})
     cols = ["feed", F.col("seq").alias("event_id"), "outcome", "source", "symbol", "price", "reason"]
     return routed.select(F.lit(1).alias("pass"), *cols).unionByName(again.select(F.lit(2).alias("pass"), *cols))
+
+
+def stream_micro_batch_hot(spark: SparkSession, sf_dir: str, size: int, timeout_ms: int) -> DataFrame:
+    """Both feeds, one key each, in three slices of time; the last trigger is then
+    folded again, as after a crash before the commit."""
+    from tickloom.streaming import hot_batcher as HB
+    root = scratch_path(spark, "stream-hot")
+    cols = ["source", "ms", "seq", "pos"]
+    recs = C.kucoin_records(spark, sf_dir).select(*cols).unionByName(C.binance_records(spark, sf_dir).select(*cols))
+    cuts = [F.unix_millis(F.lit(t).cast("timestamp")) for t in ("2024-01-09 12:00:00", "2024-01-21 07:30:00")]
+    ms, keys, order = F.col("ms"), ["source"], ["seq", "pos"]
+    slices = [ms < cuts[0], (ms >= cuts[0]) & (ms < cuts[1]), ms >= cuts[1]]
+    for part in slices:
+        recs.where(part).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(recs.schema).parquet(f"{root}/in")
+        q = HB.start_hot_batches(stream, f"{root}/out", f"{root}/ckpt", keys, "ms", order, size, timeout_ms,
+                                 trigger={"availableNow": True})
+        try:
+            q.awaitTermination()
+        finally:
+            q.stop()
+    again = spark.read.schema(recs.schema).parquet(f"{root}/in").where(slices[-1])
+    HB.fold_trigger(again, len(slices) - 1, f"{root}/out", keys, "ms", order, size, timeout_ms)
+    return HB.closed_batches(spark, f"{root}/out").unionByName(HB.open_batches(spark, f"{root}/out", keys, "ms"))
