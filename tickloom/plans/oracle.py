@@ -393,3 +393,20 @@ union all
 select 2 as pass, {ROUTED_OUT} from again
 """
 SQL["stream_micro_batch_hot"] = SQL["micro_batch_source"]
+
+POINTS = f"""{FX}, {KU}, {BI}, {TICKS},
+points as (
+  select source, symbol, time, arg_max(price, event_id) as price from ticks group by source, symbol, time)"""
+
+SQL["price_at_instants"] = f"""
+with {POINTS}
+select instant, source, symbol, arg_max(price, time) as price, max(time) as time
+from points, (values {", ".join(f"(timestamp '{t}')" for t in Q.INSTANTS)}) i(instant)
+where time <= instant group by instant, source, symbol
+"""
+
+SQL["price_intervals"] = f"""
+with {POINTS}
+select source, symbol, price, time as valid_from, lead(time) over (partition by source, symbol order by time) as valid_to
+from points
+"""

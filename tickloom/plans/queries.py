@@ -26,6 +26,7 @@ from tickloom.plans import common as C
 from tickloom.session import scratch_path
 from tickloom.sinks import current as CUR
 from tickloom.sinks import files as FS
+from tickloom.sinks import history as HI
 from tickloom.sinks import kafka as KS
 from tickloom.sinks import landing as LZ
 from tickloom.sinks import objects as OS
@@ -51,6 +52,7 @@ REPLAY_START, REPLAY_END = "2024-01-10 06:30:00", "2024-01-14 18:45:30"
 OUTAGES = {"kucoin": (REPLAY_START, REPLAY_END), "binance": ("2024-01-26 03:00:00", "2024-02-01 00:00:00")}
 SPAN, TOLERATED_MS = ("2024-01-01 00:00:00", "2024-01-31 00:00:00"), 6 * 3600 * 1000
 MESSAGE_RECORDS = 8
+INSTANTS = ("2024-01-01 00:30:00", REPLAY_START, "2024-01-17 12:00:00.5", "2024-01-20 00:00:00", "2024-02-10 00:00:00")
 
 
 def register(fn):
@@ -478,6 +480,33 @@ def gap_fill_current(spark, sf_dir):
     return snap.select("source", "symbol", "price", C.ntz("time").alias("time"))
 
 
+# ---------------------------------------------------------------- history
+
+def _history(spark, sf_dir) -> str:
+    """The unified feed merged into the history in three parts that know no order."""
+    root = scratch_path(spark, "history")
+    ticks = C.unified_ticks(spark, sf_dir)
+    for part in range(3):
+        HI.merge_history(ticks.where(F.pmod(F.xxhash64("symbol", "time", "seq", "pos"), F.lit(3)) == part), root)
+    return root
+
+
+@register
+def price_at_instants(spark, sf_dir):
+    """Every symbol's price at given instants, from a history that was
+    merged out of order."""
+    at = spark.sql("select explode(array(" + ", ".join(f"timestamp'{t}'" for t in INSTANTS) + ")) as at")
+    rows = HI.price_at(spark, _history(spark, sf_dir), at)
+    return rows.select(C.ntz("at").alias("instant"), "source", "symbol", "price", C.ntz("time").alias("time"))
+
+
+@register
+def price_intervals(spark, sf_dir):
+    """The intervals in which each price held."""
+    rows = HI.intervals(spark, _history(spark, sf_dir))
+    return rows.select("source", "symbol", "price", C.ntz("valid_from").alias("valid_from"), C.ntz("valid_to").alias("valid_to"))
+
+
 # ---------------------------------------------------------------- whole messages, dead letters
 
 def _raw_messages(spark, sf_dir):
