@@ -410,3 +410,34 @@ with {POINTS}
 select source, symbol, price, time as valid_from, lead(time) over (partition by source, symbol order by time) as valid_to
 from points
 """
+
+SQL["stream_price_state"] = SQL["current_price"]
+SQL["stream_produce_once"] = SQL["kucoin_normalize"]
+
+# A1 + A6 by recursion over each key's rows in order of arrival. A batch that
+# neither size nor time closed was closed by silence, unless the clock (the last
+# arrival of all) is not past the key's limit.
+SQL["stream_idle_flush"] = f"""
+with recursive {FX}, {KU},
+o as (
+  select subject as k, epoch_us(ts) // 1000 as ms,
+         row_number() over (partition by subject order by epoch_us(ts) // 1000, event_id) as rn
+  from ku),
+f as (
+  select k, rn, ms, ms as st, 1 as n, 0::bigint as b from o where rn = 1
+  union all
+  select o.k, o.rn, o.ms, case when x.fresh then o.ms else f.st end,
+         case when x.fresh then 1 else f.n + 1 end, case when x.fresh then f.b + 1 else f.b end
+  from f join o on o.k = f.k and o.rn = f.rn + 1,
+       lateral (select f.n >= {Q.BATCH_SIZE} or f.ms - f.st >= {Q.BATCH_TIMEOUT_MS}
+                       or o.ms - f.ms > {Q.IDLE_MS} as fresh) x),
+g as (
+  select k as subject, b as batch_id, count(*) as n, min(ms) as first_ms, max(ms) as last_ms,
+         b = max(b) over (partition by k) as newest
+  from f group by k, b)
+select subject, batch_id, n, first_ms, last_ms,
+       case when n >= {Q.BATCH_SIZE} then 'size'
+            when last_ms - first_ms >= {Q.BATCH_TIMEOUT_MS} then 'time'
+            when not newest or (select max(ms) from o) - last_ms > {Q.IDLE_MS} then 'idle' end as closed_by
+from g
+"""

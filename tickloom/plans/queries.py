@@ -42,6 +42,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # Sizes and timeouts are such that both close many batches at sf0.01.
 BATCH_SIZE, BATCH_TIMEOUT_MS = 5, 10 * 3600 * 1000            # per-symbol batches (A10)
 SOURCE_BATCH_SIZE, SOURCE_BATCH_TIMEOUT_MS = 12, 3600 * 1000  # one key per feed (A2)
+IDLE_MS = 4 * 3600 * 1000                                      # a key's silence that closes its batch (A6)
 TIME_ONLY_SIZE, TIME_ONLY_TIMEOUT_MS = 99_999_999, 60_000
 ALIGNED_WINDOW, ALIGNED_SIZE = "12 hours", 4
 FLUSH_SECONDS = 3600
@@ -630,3 +631,25 @@ def stream_micro_batch_hot(spark, sf_dir):
     trigger that runs again changes nothing."""
     from tickloom.plans import streams
     return streams.stream_micro_batch_hot(spark, sf_dir, SOURCE_BATCH_SIZE, SOURCE_BATCH_TIMEOUT_MS)
+
+
+@register
+def stream_idle_flush(spark, sf_dir):
+    """A6 on a stream: batches that size, time or a key's silence closes, on the
+    clock of arrival."""
+    from tickloom.plans import streams
+    return streams.stream_idle_flush(spark, sf_dir, BATCH_SIZE, BATCH_TIMEOUT_MS, IDLE_MS)
+
+
+@register
+def stream_price_state(spark, sf_dir):
+    """K7 as keyed state: a trigger costs the keys it changes."""
+    from tickloom.plans import streams
+    return streams.stream_price_state(spark, sf_dir)
+
+
+@register
+def stream_produce_once(spark, sf_dir):
+    """T6 + K1: messages that a broken-off micro-batch sent twice are read once."""
+    from tickloom.plans import streams
+    return streams.stream_produce_once(spark, sf_dir)

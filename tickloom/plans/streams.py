@@ -7,6 +7,7 @@ queries use their own checkpoint folders under the session's checkpoint dir.
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -252,3 +253,84 @@ def stream_micro_batch_hot(spark: SparkSession, sf_dir: str, size: int, timeout_
     again = spark.read.schema(recs.schema).parquet(f"{root}/in").where(slices[-1])
     HB.fold_trigger(again, len(slices) - 1, f"{root}/out", keys, "ms", order, size, timeout_ms)
     return HB.closed_batches(spark, f"{root}/out").unionByName(HB.open_batches(spark, f"{root}/out", keys, "ms"))
+
+
+def stream_idle_flush(spark: SparkSession, sf_dir: str, size: int, timeout_ms: int, idle_ms: int) -> DataFrame:
+    """The Kucoin stream by week of arrival through the batcher whose clock is the
+    time of arrival; the batches still open at its end have no ``closed_by``."""
+    from tickloom.streaming import idle_batcher as IB
+    root = scratch_path(spark, "stream-idle")
+    frames = {"kucoin": feeds.kucoin_frames(C.events(spark, sf_dir))}
+    spark.createDataFrame([], FRAME_SCHEMA).write.mode("append").parquet(f"{root}/in/kucoin")
+    recs = J.kucoin_records(frames_stream(spark, f"{root}/in/kucoin", FRAME_SCHEMA))
+    batches = IB.idle_batches(recs, ["subject"], "ingest_ts", ["seq", "pos"], "record", size, timeout_ms, idle_ms)
+
+    def one_slice():
+        q = J.start(batches, f"{root}/ckpt", path=f"{root}/out", trigger={"availableNow": True})
+        try:
+            q.awaitTermination()
+        finally:
+            q.stop()
+
+    _feed_in_order(spark, root, frames, one_slice)
+    cols = ["subject", "batch_id", "n", "first_ms", "last_ms"]
+    closed = spark.read.schema(batches.schema).parquet(f"{root}/out").select(*cols, "closed_by")
+    still = IB.open_batches(spark, f"{root}/ckpt", ["subject"])
+    return closed.unionByName(still.select(*cols, F.lit(None).cast("string").alias("closed_by")))
+
+
+def stream_price_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both feeds by week of arrival into the keyed state; the table as read from it."""
+    from tickloom.streaming import price_state as PS
+    root = scratch_path(spark, "stream-price-state")
+    ev = C.events(spark, sf_dir)
+    frames = {"kucoin": feeds.kucoin_frames(ev), "binance": feeds.binance_frames(ev)}
+    weeks = _stage(spark, root, frames)
+    ticks = (J.kucoin_ticks(frames_stream(spark, f"{root}/in/kucoin", FRAME_SCHEMA))
+             .unionByName(J.binance_ticks(frames_stream(spark, f"{root}/in/binance", FRAME_SCHEMA))))
+    q = PS.start_price_state(ticks, f"{root}/ckpt", f"{root}/changes", trigger=TRIGGER)
+    try:
+        for week in weeks:
+            _arrive(spark, root, frames, week)
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    return PS.read_prices(spark, f"{root}/ckpt").select("source", "symbol", "price", C.ntz("time").alias("time"))
+
+
+def stream_produce_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kucoin frames as messages in two slices of arrival. The second slice's first
+    try breaks off after about half of its messages; the query is started again from
+    its checkpoint. What readers get is decoded to ticks."""
+    from tickloom.sinks import ledger as L
+    root = scratch_path(spark, "stream-produce")
+    frames = feeds.kucoin_frames(C.events(spark, sf_dir))
+
+    def send(rows: DataFrame) -> None:
+        rows.write.mode("append").parquet(f"{root}/topic")
+
+    def send_half(rows: DataFrame) -> None:
+        send(rows.where(F.pmod(F.xxhash64("value"), F.lit(2)) == 0))
+        raise _BrokenOff("producer lost")
+
+    late = F.col("ingest_ts") >= F.lit("2024-01-16").cast("timestamp")
+    for part, tries in ((~late, [send]), (late, [send_half, send])):
+        frames.where(part).select("value").write.mode("append").parquet(f"{root}/in")
+        for attempt in tries:
+            stream = spark.readStream.schema("value string").parquet(f"{root}/in")
+            q = L.start_producer(stream, "kucoin-raw", attempt, f"{root}/ledger", f"{root}/ckpt", trigger={"availableNow": True})
+            try:
+                q.awaitTermination()
+            except StreamingQueryException as e:
+                if _BrokenOff.__name__ not in str(e):
+                    raise
+            finally:
+                q.stop()
+    topic = spark.read.schema(L.MESSAGE_SCHEMA).parquet(f"{root}/topic")
+    once = L.read_once(topic, L.read_ledger(spark, f"{root}/ledger"))
+    arrived = once.select("value", F.lit(None).cast("timestamp").alias("ingest_ts"), F.lit(None).cast("long").alias("seq"))
+    return C.tick_out(J.kucoin_ticks(arrived))
+
+
+class _BrokenOff(RuntimeError):
+    """The failure that ``stream_produce_once`` makes."""
