@@ -408,6 +408,77 @@ def test_cutoffs_reject_what_labels_allow(spark):
     assert rules.is_safe(0, 3000, rules.ALPHA / 4, rules.DELTA / 20)
 
 
+def _holdout(spark, groups):
+    """Rows of (lang, number of rows, number of texts, symbols), all good."""
+    data, at = [], 0
+    for lang, n, texts, symbols in groups:
+        data += [(at + i, lang, 200, 1000, symbols, 0, 0, 10, False, at + i % texts) for i in range(n)]
+        at += n
+    schema = ("doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+              "n_repeat_words long, n_lines long, base_failed boolean, _r_th long")
+    rows = spark.createDataFrame(data, schema)
+    return rows, rows.select("doc_id", F.lit(1).alias("quality"))
+
+
+def test_copies_are_no_trials(spark):
+    rows, labels = _holdout(spark, [("en", 4000, 300, 2)])
+    assert rules.cutoffs(rows, labels) == {}
+    assert rules.cutoffs(rows.withColumn("_r_th", F.col("doc_id")), labels) != {}
+
+
+def test_small_strata_are_judged_together_but_not_against_their_holdout(spark):
+    rows, labels = _holdout(spark, [("de", 700, 700, 2), ("fr", 700, 700, 2), (None, 1, 1, 90)])
+    found = rules.cutoffs(rows, labels)
+    assert {s for s, _ in found} == {"de", "fr", "other"}
+    # the one other is within the limit of the pool, and all of its own stratum
+    assert found["de", "symbols"] < 0.09 <= found["other", "symbols"]
+    assert not any(s == "es" for s, _ in found)
+
+
+@given(st.dictionaries(st.sampled_from(["a", "b", "c", "d", "e"]), st.integers(0, 4000)))
+def test_families_can_pass(sizes):
+    own, pooled = rules.families(sizes, 0.005, 0.05, 4)
+    assert sorted(own + pooled) == sorted(sizes)
+    for s in own:
+        assert rules.is_safe(0, sizes[s], 0.005, 0.05 / (4 * (len(own) + bool(pooled))))
+
+
+def test_step_down_hands_finished_parts_on():
+    # n = 1,196 is the least that passes a twentieth, 875 a quarter of a chain's share
+    assert rules.step_down({i: (1000, [0, 0]) for i in range(20)}, 0.005, 0.05) == {}
+    chains = {0: (5000, [0, 0]), 1: (800, [0, 9]), 2: (50, [0])}
+    assert rules.is_safe(0, 800, 0.005, 0.05 / 2) and not rules.is_safe(0, 800, 0.005, 0.05 / 3)
+    assert rules.step_down(chains, 0.005, 0.05) == {0: 1, 1: 0}
+
+
+def test_false_rejection_is_controlled():
+    """A rule that rejects just over the limit is accepted with chance delta at most."""
+    rng, wrong, limit = np.random.default_rng(5), 0, 0.005
+    for _ in range(2000):
+        chains = {c: (1500, [int(rng.binomial(1500, limit * 1.02))]) for c in range(6)}
+        wrong += bool(rules.step_down(chains, limit, 0.05))
+    assert wrong <= 0.05 * 2000 + 3 * (0.05 * 0.95 * 2000) ** 0.5
+
+
+def test_judge_against_plain_python(spark):
+    """Counts by plain Python, cutoffs as found, every row's verdict."""
+    docs = spark.createDataFrame([(i, "en", " ".join(f"w{i}x{k}" for k in range(60)) + " #$" * (40 if i % 5 == 0 else 0))
+                                  for i in range(1500)], "doc_id long, lang string, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 5 != 0).cast("int").alias("quality"))
+    rows = rules.features(docs)
+    found = rules.cutoffs(rows, labels)
+    assert "symbols" in {r for _, r in found}
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in rules.judge(docs, labels).collect():
+        words = texts[r["doc_id"]].split()
+        ratios = {"symbols": sum(c in rules.SYMBOLS for w in words for c in w) / sum(map(len, words)),
+                  "word_length": sum(map(len, words)) / len(words), "dup_lines": 0.0,
+                  "repeats": r["n_repeat_words"] / len(words)}
+        bad = r["base_failed"] or any(ratios[rule] > c for (_, rule), c in found.items())
+        assert r["kept"] == (not bad)
+    assert "_r_th" not in rules.judge(docs, labels).columns
+
+
 # -- 10 -----------------------------------------------------------------------
 @pytest.mark.parametrize("bucket", [substrings.BUCKET, 1])
 def test_substrings(messy, empty, bucket):

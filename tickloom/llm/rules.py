@@ -1,22 +1,30 @@
 """Quality rules with risk-controlled thresholds.
 
 The rules compare ratios of a text's features with cutoffs. Labelled documents
-that pass the base rules are the holdout: per stratum and rule, the strictest
-cutoff of a fixed grid is taken whose false rejection of good documents is, by
-an exact (Clopper-Pearson) binomial upper bound, at most the rule's share of
-``ALPHA``. Cutoffs are tried from lax to strict and the search stops at the
-first that fails (fixed-sequence testing, which needs no correction along the
-grid); across rules and strata the error level ``DELTA`` is divided by their
-number (Bonferroni). So with probability 1 - DELTA no stratum loses more than
-ALPHA of its good documents; a rule without a safe cutoff rejects nothing.
+that pass the base rules are the holdout, each text once per stratum: copies are no
+independent trials. Per stratum and rule, the strictest cutoff of a fixed grid is
+taken whose false rejection of good documents is, by an exact (Clopper-Pearson)
+binomial upper bound, at most the rule's share of ``ALPHA``. Cutoffs are tried from
+lax to strict and the search stops at the first that fails (fixed-sequence testing,
+which needs no correction along the grid).
+
+Across the chains of strata and rules the error level ``DELTA`` is shared in equal
+parts, step down: a chain that is safe to its strictest cutoff hands its part to the
+others. Only chains that could ever pass take a part, which depends on the holdout's
+size alone and not on what is rejected in it. Strata too small for that are pooled
+and judged together. So with probability 1 - DELTA no stratum with cutoffs of its
+own loses more than ALPHA of its good documents, nor do the pooled ones taken
+together. A single one of them may, so a pooled cutoff is used in a stratum only as
+far as its own holdout rejects no larger share; without labels it rejects nothing.
+A rule without a safe cutoff rejects nothing.
 
 Strata are the listed languages and one for all others, nulls included, so the
 counts that reach the driver are bounded.
 
 Defined results: null text has no words and fails the base rules. Several
 labels of one id count as their majority (ties: good); labels without a value
-are ignored. Repeated rows are judged alike; each row of a labelled id counts in
-the holdout. An empty table gives an empty result; no labels, no cutoffs. Extra
+are ignored. Repeated rows are judged alike; equal texts count once in the holdout.
+An empty table gives an empty result; no labels, no cutoffs. Extra
 columns are carried along except the text and those replaced by name.
 """
 
@@ -37,7 +45,7 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
 ALPHA, DELTA = 0.02, 0.05
 STRATA = ("en", "de", "fr", "es")
-OTHER = "other"
+OTHER, POOLED = "other", "pooled"
 #: rule -> (numerator, denominator); larger is worse
 RATIOS = {"symbols": ("n_symbols", "word_chars"), "dup_lines": ("n_dup_lines", "n_lines"),
           "repeats": ("n_repeat_words", "n_words"), "word_length": ("word_chars", "n_words")}
@@ -81,10 +89,12 @@ def text_counts(text: str) -> tuple[int, ...]:
 
 
 def features(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` without its text plus ``COUNTS`` and ``base_failed``."""
+    """``docs`` without its text plus ``COUNTS``, ``base_failed`` and the text's
+    hash ``_r_th``."""
     docs = replacing(docs, *COUNTS, "base_failed", "kept")
     keep = [c for c in docs.columns if c != text]
-    src = docs.select(*keep, text_of(text).alias("_r_text"))
+    src = docs.select(*keep, F.xxhash64(text_of(text)).alias("_r_th"), text_of(text).alias("_r_text"))
+    keep = [*keep, "_r_th"]
     schema = T.StructType([*(src.schema[c] for c in keep), *(T.StructField(c, T.LongType()) for c in COUNTS)])
     names = [f.name for f in schema]
 
@@ -145,38 +155,87 @@ def ratio(rule: str) -> Column:
     return F.when(F.col(below) > 0, F.col(top) / F.col(below)).otherwise(F.lit(0.0))
 
 
+def families(sizes: dict[str, int], limit: float, delta: float, rules: int) -> tuple[list[str], list[str]]:
+    """Strata judged by themselves, and those that are pooled: as many of the
+    largest as could pass without any rejection at their part of ``delta``, with a
+    part for the pool."""
+    order = sorted(sizes, key=lambda s: (-sizes[s], s))
+    own = [s for k, s in enumerate(order, 1) if is_safe(0, sizes[s], limit, delta / (rules * (k + (k < len(order)))))]
+    return own, [s for s in order if s not in own]
+
+
+def step_down(chains: dict, limit: float, delta: float) -> dict:
+    """{chain: index of its strictest safe cutoff} for chains of (number of trials,
+    rejections per cutoff from lax to strict)."""
+    at = dict.fromkeys(chains, 0)
+    while True:
+        active = [c for c in chains if at[c] < len(chains[c][1])]
+        before = dict(at)
+        for c in active:
+            n, rejected = chains[c]
+            while at[c] < len(rejected) and is_safe(rejected[at[c]], n, limit, delta / len(active)):
+                at[c] += 1
+        # a finished chain's part goes to the others, which then go on
+        if all(at[c] < len(chains[c][1]) for c in active) or at == before:
+            return {c: i - 1 for c, i in at.items() if i}
+
+
 def cutoffs(rows: DataFrame, labels: DataFrame, id_col: str = "doc_id", lang: str = "lang",
             label_col: str = "quality", alpha: float = ALPHA, delta: float = DELTA) -> dict[tuple[str, str], float]:
-    """{(stratum, rule): cutoff} for the rules that may reject."""
+    """{(stratum, rule): cutoff} for the rules that may reject. Rows without the
+    hash of their text are told apart by id."""
     good = (labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("_r_id"))
             .agg(F.avg(label_col).alias("_r_q")).where("_r_q >= 0.5").select("_r_id"))
-    held = (rows.where(~F.col("base_failed")).join(good, F.col(id_col) == F.col("_r_id"))
-            .withColumn("_r_s", stratum(lang)))
+    held = rows.where(~F.col("base_failed")).join(good, F.col(id_col) == F.col("_r_id"))
+    if "_r_th" not in rows.columns:
+        held = held.withColumn("_r_th", F.col("_r_id"))
+
     # a document's step: how many cutoffs it fails, which are the strictest so many
     def failed(rule):
         value = ratio(rule)
         return F.size(F.filter(F.array(*map(F.lit, GRIDS[rule])), lambda c: value > c))
 
-    step = {r: failed(r) for r in RATIOS}
-    counts = (held.select("_r_s", F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), step[r].alias("step"))
-                                                      for r in RATIOS))).alias("e"))
+    trials = staged(held.select(stratum(lang).alias("_r_s"), "_r_th", *(failed(r).alias(r) for r in RATIOS)).distinct(),
+                    "rules-trials")
+    own_steps = _steps(trials)
+    sizes = {s: sum(per["symbols"].values()) for s, per in own_steps.items()}
+    limit = alpha / len(RATIOS)
+    own, pooled = families(sizes, limit, delta, len(RATIOS))
+    # a text of several pooled strata is one trial of the pool
+    pool = _steps(trials.where(F.col("_r_s").isin(pooled)).withColumn("_r_s", F.lit(POOLED)).distinct()) if pooled else {}
+    size = sum(pool[POOLED]["symbols"].values()) if pool else 0
+    if not is_safe(0, size, limit, delta / (len(RATIOS) * (len(own) + 1))):
+        pool = {}               # a pool that could not pass takes no part
+    tested = {**{s: own_steps[s] for s in own}, **pool}
+    found = step_down({(s, r): _rejections(per, r) for s, per in tested.items() for r in RATIOS}, limit, delta)
+    out = {(s, r): GRIDS[r][i] for (s, r), i in found.items() if s != POOLED}
+    for (_, r), i in ((c, i) for c, i in found.items() if c[0] == POOLED):
+        for s in pooled:        # no stricter than the stratum's own holdout bears
+            n, rejected = _rejections(own_steps[s], r)
+            borne = [k for k in range(i + 1) if rejected[k] <= limit * n]
+            if borne:
+                out[s, r] = GRIDS[r][borne[-1]]
+    return out
+
+
+def _steps(trials: DataFrame) -> dict[str, dict[str, dict[int, int]]]:
+    """{stratum: {rule: {step: number of trials}}}; at most as many numbers as there
+    are strata, rules and cutoffs."""
+    counts = (trials.select("_r_s", F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), F.col(r).alias("step"))
+                                                        for r in RATIOS))).alias("e"))
               .groupBy("_r_s", "e.rule", "e.step").agg(F.count(F.lit(1)).alias("n")).collect())
-    level = delta / (len(RATIOS) * (len(STRATA) + 1))
-    out = {}
-    for s in {r["_r_s"] for r in counts}:
-        for rule, grid in GRIDS.items():
-            per = {r["step"]: r["n"] for r in counts if r["_r_s"] == s and r["rule"] == rule}
-            n, best = sum(per.values()), None
-            for i, c in enumerate(grid):
-                rejected = sum(v for k, v in per.items() if k >= len(grid) - i)
-                if not is_safe(rejected, n, alpha / len(RATIOS), level):
-                    break
-                best = c
-            if best is not None:
-                out[s, rule] = best
+    out: dict = {}
+    for c in counts:
+        out.setdefault(c["_r_s"], {}).setdefault(c["rule"], {})[c["step"]] = c["n"]
     return out
 
 
+def _rejections(per: dict, rule: str) -> tuple[int, list[int]]:
+    """Trials of a rule, and how many each cutoff rejects, from lax to strict."""
+    steps, m = per[rule], len(GRIDS[rule])
+    return sum(steps.values()), [sum(n for k, n in steps.items() if k >= m - i) for i in range(m)]
+
+
 def judge(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id",
           lang: str = "lang") -> DataFrame:
     """One row per input row without its text: counts, ``base_failed``, ``kept``."""
@@ -184,4 +243,4 @@ def judge(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
     bad = F.lit(False)
     for (s, rule), c in sorted(cutoffs(rows, labels, id_col, lang).items()):
         bad = bad | ((F.col("_r_s") == s) & (ratio(rule) > c))
-    return rows.withColumn("_r_s", stratum(lang)).withColumn("kept", ~F.col("base_failed") & ~bad).drop("_r_s")
+    return rows.withColumn("_r_s", stratum(lang)).withColumn("kept", ~F.col("base_failed") & ~bad).drop("_r_s", "_r_th")
