@@ -1,6 +1,15 @@
 """A training corpus from ``documents``. Each stage takes (spark, docs, sf_dir),
 works on all that its predecessor kept, and is written and read again before
-the next; all but the last return the columns of ``documents``."""
+the next; all but the last return the columns of ``documents``.
+
+Defined results: a null text counts as empty in every stage. Empty texts score by
+the classifier's bias; those it accepts are equal, so one of them stays, and it has
+no shingles and no words. Without a usable label nothing is rejected. Of repeated
+rows (equal id and text) one stays in exact dedup; rows of equal id and different
+text are one group in near-dedup. A null id sorts below any other. A null source is
+a source, the last. An empty table gives empty stages. Extra columns pass through
+all stages but the last, whatever their names; the last has those of its pieces.
+"""
 
 from __future__ import annotations
 
