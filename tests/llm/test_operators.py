@@ -501,24 +501,48 @@ def test_difference_cover():
     assert len(d) == 9 and {(a - b) % substrings.COVER for a in d for b in d} == set(range(substrings.COVER))
 
 
-def test_buckets_sorted_or_compared_pairwise_agree():
-    r = np.random.default_rng(11)
-    core = r.integers(97, 101, 700, dtype=np.uint8)
-    strips = []
-    for _ in range(30):
-        s = core.copy()
-        for at in r.integers(0, 700, r.integers(0, 4)):
-            if not 300 <= at < 400:
-                s[at] = 65
-        strips.append(s.tobytes())
-    strips = list(dict.fromkeys(strips))
-    left = np.full(len(strips), 300)
-    first, last = substrings.repeated_starts(strips, left)
+def strips_of_buckets(seed, size, most):
+    """Strips around the anchors of made-up buckets, some cut short at an end of
+    their text, some periodic, with bytes 0 among them."""
+    r = np.random.default_rng(seed)
+    out = []
+    for bucket in range(size):
+        core = np.tile(r.integers(0, 3, int(r.choice([7, 73, 700])), dtype=np.uint8), 100)[:700]
+        for _ in range(r.integers(2, most)):
+            s = core.copy()
+            for at in r.integers(0, 700, r.integers(0, 4)):
+                if not 300 <= at < 400:
+                    s[at] = 65
+            left, right = int(r.choice([300, 300, 0, 211])), int(r.choice([400, 400, 100, 333]))
+            out.append((bucket, left, s[300 - left:300 + right].tobytes()))
+    out = sorted(set(out))
+    return [s for _, _, s in out], np.array([n for _, n, _ in out]), np.array([b for b, _, _ in out])
+
+
+@pytest.mark.parametrize("size, most", [(1, 40), (12, 6), (40, 3)])
+def test_repeated_starts_equal_brute_force(size, most):
+    strips, left, bucket = strips_of_buckets(size, size, most)
+    first, last = substrings.repeated_starts(strips, left, bucket)
+    at = [{300 - n + k: s[k:k + 400] for k in range(len(s) - 399)} for s, n in zip(strips, left.tolist())]
     for x in range(len(strips)):
-        starts = [i for i in range(301) if any(strips[x][i:i + 400] == strips[y][i:i + 400] for y in range(len(strips)) if y != x)]
+        starts = [i for i in at[x] if any(at[x][i] == at[y].get(i) for y in range(len(strips)) if y != x and bucket[x] == bucket[y])]
         assert (first[x], last[x]) == ((min(starts), max(starts)) if starts else (301, -1))
 
 
+def test_suffixes_are_in_byte_order():
+    strips, left, _ = strips_of_buckets(5, 6, 9)
+    rows = substrings._aligned(strips, left)[0]
+    suffix = lambda k, s: rows[k, s:].tobytes()
+    for c, rank in substrings.sample_ranks(rows).items():
+        names = sorted({suffix(k, c) for k in range(len(rows))})
+        assert [names[i] for i in rank] == [suffix(k, c) for k in range(len(rows))]
+    seen = []
+    for s, order in substrings.sorted_suffixes(rows):
+        seen.append(s)
+        assert [suffix(k, s) for k in order] == sorted(suffix(k, s) for k in range(len(rows)))
+    assert seen == list(range(300, -1, -1))
+
+
 def test_anchors_of_a_long_text_do_not_depend_on_chunks(monkeypatch):
     r = np.random.default_rng(2)
     text = bytes(r.integers(97, 123, 30_000, dtype=np.uint8)) + b"ab" * 2000

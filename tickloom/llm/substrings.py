@@ -1,25 +1,27 @@
-"""Removal of long repeated byte strings by anchored windows that are matched by
-equality of their hashes, bucket by bucket. No suffix is put in order.
+"""Removal of long repeated byte strings by a blockwise suffix sort with the ranks
+of a difference-cover sample.
 
 Every byte covered by a LENGTH-byte string that also starts anywhere else goes.
-A bucket holds the strings around one
+Spark tasks have no random access to the corpus, so suffixes travel as strips,
+dealt to buckets. A bucket holds the strings around one
 anchor: the GRAM-byte string with the smallest hash among those that lie in a
 LENGTH-byte window (the leftmost on ties), so equal windows have equal anchors
 at equal offsets and meet in the same bucket; anchors that occur once need no
-comparison at all. Spark tasks have no random access to the corpus, so an
-occurrence of an anchor travels as its strip, the bytes a window through it can
+comparison at all. An occurrence of an anchor travels as its strip, the bytes a
+window through it can
 reach (``LENGTH - GRAM`` to the left, LENGTH to the right). Equal strips are one
 class and travel once; in a bucket with a single class all windows repeat and
 no bytes travel at all.
 
-Inside a bucket, the hashes of the ``LENGTH - COVER + 1``-byte strings at the
-positions of a difference cover modulo COVER are numbered first. A window's key
-is made of the hash of the at most COVER - 1 bytes up to the next cover position,
-the number there, and the hash of the at most COVER - 1 bytes that remain; equal
-windows of one offset have equal keys. Windows are only compared at equal
-offsets, so any positions at most COVER - 1 apart would do as well. A
-bucket is at most BUCKET classes; a larger one is resolved window by window
-with a distributed count, which is exact as well.
+A task sorts its buckets one after the other, BLOCK strips or one bucket at a
+time. The suffixes at the positions of a difference cover modulo COVER are ranked
+first, by COVER bytes and, where these tie, by the rank COVER bytes further on. The
+suffixes at each other start follow from these ranks: by the bytes up to the next
+position of the sample, then by the rank there. Suffixes of one start lie at equal
+offsets from the anchor, so they meet the sample at equal shifts. Equal windows are
+neighbours in that order, and neighbours count by their bytes: nothing rests on a
+hash. A bucket of more than BUCKET classes is resolved window by window with a
+distributed count of 128-bit keys.
 
 Defined results: null text counts as empty; texts under LENGTH bytes lose
 nothing. Repeated rows and equal texts of LENGTH bytes or more are wholly
@@ -42,8 +44,8 @@ REACH = LENGTH - GRAM                       # windows of an anchor start up to t
 COVER = 73
 #: a difference cover: the powers of 2 modulo 73 differ by every residue
 COVER_SET = sorted({pow(2, k, COVER) for k in range(9)})
-PREFIX = LENGTH - COVER + 1
-BUCKET = 8192
+BUCKET = 8192                               # strips of a bucket that one task sorts
+BLOCK = 2048                                # strips of small buckets that are sorted together
 CHUNK = 1 << 19                             # bytes of a text worked on at once
 GRAM_BITS = 1 << 25
 _POS = 20                                   # low bits of an anchor's sort key: its place in a chunk
@@ -136,60 +138,95 @@ def _aligned(strips: list[bytes], left: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 _SPAN = REACH + LENGTH
-_UP = _powers(_BASE, _SPAN + 1)
-_SAMPLES = np.array([c for c in range(_SPAN - PREFIX + 1) if c % COVER in COVER_SET])
-_NEXT = _SAMPLES[np.searchsorted(_SAMPLES, np.arange(REACH + 1))]
-
-
-def window_keys(rows: np.ndarray) -> np.ndarray:
-    """(window start, row) keys that are equal for equal windows of one start:
-    the bytes up to the next cover position, the rank there, and the rest."""
-    p = np.zeros((_SPAN + 1, len(rows)), dtype=np.uint64)
-    np.cumsum((_BYTE[rows] * _UP[:_SPAN]).T, axis=0, out=p[1:])
-    # cover-sample ranks over the whole bucket, whatever the position
-    names = (p[_SAMPLES + PREFIX] - p[_SAMPLES]) * _UP[_SPAN - _SAMPLES][:, None]
-    rank = np.unique(names, return_inverse=True)[1].reshape(names.shape).astype(np.uint64)
-    start = np.arange(REACH + 1)
-    head = p[_NEXT] - p[start]
-    tail = p[start + LENGTH] - p[_NEXT + PREFIX]
-    return _mix(_mix(head) + rank[np.searchsorted(_SAMPLES, _NEXT)] * np.uint64(0x9E3779B97F4A7C15)) + _mix(tail)
-
-
-def repeated_starts(strips: list[bytes], left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+#: positions of the cover sample in a strip whose anchor stands at REACH
+_SAMPLES = [c for c in range(_SPAN) if c % COVER in COVER_SET]
+_FIRST = min(c for c in _SAMPLES if c >= REACH)
+
+
+def sample_ranks(rows: np.ndarray) -> dict[int, np.ndarray]:
+    """Ranks, in byte order, of the rows' suffixes at each position of the cover
+    sample. From the right: COVER bytes decide, and their ties the rank COVER
+    bytes further on, which is a position of the sample again."""
+    n, ranks = len(rows), {}
+    for c in reversed(_SAMPLES):
+        key = np.zeros((n, COVER + 4), dtype=np.uint8)
+        part = rows[:, c:c + COVER]
+        key[:, :part.shape[1]] = part
+        if c + COVER in ranks:
+            key[:, COVER:] = ranks[c + COVER].astype(">u4").view(np.uint8).reshape(n, 4)
+        key = key.view(f"S{COVER + 4}").ravel()
+        order = np.argsort(key)
+        key = key[order]
+        rank = np.zeros(n, dtype=np.uint32)
+        rank[order[1:]] = np.cumsum(key[1:] != key[:-1])
+        ranks[c] = rank
+    return ranks
+
+
+def sorted_suffixes(rows: np.ndarray):
+    """(start, the rows in byte order of their suffixes there), one suffix bucket
+    at a time, from the last start to the first: at a position of the sample by its
+    ranks, elsewhere by the first byte and then as the suffixes one further on."""
+    ranks, order = sample_ranks(rows), None
+    small = np.uint16 if len(rows) <= 1 << 16 else np.uint32
+    for s in range(_FIRST, -1, -1):
+        if s in ranks:
+            order = np.argsort(ranks[s].astype(small), kind="stable")
+        else:
+            order = order[np.argsort(rows[order, s], kind="stable")]
+        if s <= REACH:
+            yield s, order
+
+
+def _extend(rows, lo, hi, p, q, first, last, step=4096):
+    """Widen the rows' ranges by the windows that rows p and q have in common."""
+    for at in range(0, len(p), step):
+        x, y = p[at:at + step], q[at:at + step]
+        differ = rows[x] != rows[y]
+        before, after = differ[:, REACH - 1::-1], differ[:, REACH:]
+        a = np.where(before.any(axis=1), REACH - before.argmax(axis=1), 0)
+        z = np.where(after.any(axis=1), REACH + after.argmax(axis=1), _SPAN) - LENGTH
+        a = np.maximum(a, np.maximum(lo[x], lo[y]))
+        z = np.minimum(z, np.minimum(hi[x], hi[y]))
+        ok = a <= z
+        for r in (x[ok], y[ok]):
+            np.minimum.at(first, r, a[ok])
+            np.maximum.at(last, r, z[ok])
+
+
+def repeated_starts(strips: list[bytes], left: np.ndarray, bucket: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """First and last start of a window of each strip that repeats in another
-    one of the bucket (first > last: none)."""
+    one of its bucket (first > last: none). Equal windows are neighbours among the
+    sorted suffixes; neighbours count by their bytes."""
     rows, lo, hi = _aligned(strips, left)
-    first, last = np.full(len(rows), REACH + 1), np.full(len(rows), -1)
-    if len(rows) <= 6:
-        # few suffixes: each pair's common extension to both sides of the anchor
-        for x in range(len(rows)):
-            for y in range(x):
-                differ = np.flatnonzero(rows[x] != rows[y])
-                k = np.searchsorted(differ, REACH)
-                a = max(int(lo[x]), int(lo[y]), int(differ[k - 1]) + 1 if k else 0)
-                z = min(int(hi[x]), int(hi[y]), (int(differ[k]) if k < len(differ) else _SPAN) - LENGTH)
-                if a <= z:
-                    for r in (x, y):
-                        first[r], last[r] = min(first[r], a), max(last[r], z)
-        return first, last
-    keys = window_keys(rows)
-    start = np.arange(REACH + 1)[:, None]
-    inside = (start >= lo) & (start <= hi)
-    order = np.argsort(keys, axis=1, kind="stable")
-    ranked = np.take_along_axis(keys, order, axis=1)
-    # windows outside a text compare equal to nothing: keep them apart first
-    valid = np.take_along_axis(inside, order, axis=1)
-    again = np.zeros_like(valid)
-    for i in range(REACH + 1):
-        v = np.flatnonzero(valid[i])
-        same = np.flatnonzero(ranked[i, v[1:]] == ranked[i, v[:-1]])
-        again[i, v[same]] = True
-        again[i, v[same + 1]] = True
-    hit = np.zeros_like(again)
-    np.put_along_axis(hit, order, again, axis=1)
-    some = hit.any(axis=0)
-    first[some] = hit.argmax(axis=0)[some]
-    last[some] = REACH - hit[::-1].argmax(axis=0)[some]
+    n = len(rows)
+    bucket = np.zeros(n, dtype=np.int64) if bucket is None else bucket
+    first, last = np.full(n, REACH + 1), np.full(n, -1)
+    cols = np.ascontiguousarray(rows.T)
+    was, pairs, held = np.full(n, -1), [], 0
+
+    def settle():
+        both = np.unique(np.concatenate(pairs))
+        _extend(rows, lo, hi, both // n, both % n, first, last)
+
+    for s, order in sorted_suffixes(rows):
+        v = order[(lo[order] <= s) & (s <= hi[order])]
+        after = np.full(n, -1)
+        after[v[:-1]] = v[1:]
+        p = np.flatnonzero((after >= 0) & (after != was))
+        q, was = after[p], after
+        # cheap tests of a common window here before bytes are read; who fails is tested again at the next start
+        same = bucket[p] == bucket[q]
+        for k in (s, s + LENGTH // 4, s + LENGTH - 1):
+            same &= cols[k][p] == cols[k][q]
+        was[p[~same]] = -1
+        pairs.append(p[same] * n + q[same])
+        held += len(pairs[-1])
+        if held > 1 << 20:
+            settle()
+            pairs, held = [], 0
+    if held:
+        settle()
     return first, last
 
 
@@ -216,27 +253,29 @@ def _cut_strips(batches):
                                               pa.array(left, pa.int32()), pa.array(data, pa.binary())], names=names)
 
 
-def _sort_bucket(batches):
-    out: list = [[], [], [], []]
+def _sort_buckets(batches):
+    """Over strips sorted by bucket: whole buckets, as many as BLOCK strips take,
+    are sorted together. Held: a batch, a block and a bucket."""
+    held, size = [], 0
 
-    def flush():
+    def found():
+        g = pa.concat_tables(held)
+        gram = g.column("_b_gram").to_numpy()
+        first, last = repeated_starts(g.column("bytes").to_pylist(), g.column("left").to_numpy().astype(np.int64), gram)
+        some = first <= last
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(o)) for o in out[:2]] + [pa.array(np.concatenate(o).astype(np.int32)) for o in out[2:]],
+            [pa.array(gram[some]), pa.array(g.column("_b_strip").to_numpy()[some]),
+             pa.array(first[some].astype(np.int32)), pa.array(last[some].astype(np.int32))],
             names=["_b_gram", "_b_strip", "first", "last"])
 
     for g in groups_of(batches, 1):
-        left = g.column("left").to_numpy().astype(np.int64)
-        first, last = repeated_starts(g.column("bytes").to_pylist(), left)
-        some = first <= last
-        if some.any():
-            for o, col in zip(out, (g.column("_b_gram").to_numpy()[some], g.column("_b_strip").to_numpy()[some],
-                                    first[some], last[some])):
-                o.append(col)
-            if sum(map(len, out[0])) > 20_000:
-                yield flush()
-                out = [[], [], [], []]
-    if out[0]:
-        yield flush()
+        held.append(g)
+        size += g.num_rows
+        if size >= BLOCK:
+            yield found()
+            held, size = [], 0
+    if held:
+        yield found()
 
 
 def _each_window(batches):
@@ -246,10 +285,10 @@ def _each_window(batches):
             strips, left = part.column(3).to_pylist(), part.column(2).to_numpy().astype(np.int64)
             for gram, strip, s, n in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strips, left.tolist()):
                 starts = np.arange(REACH - n, REACH - n + len(s) - LENGTH + 1, dtype=np.int32)
-                keys = [xxhash.xxh3_64_intdigest(s[k:k + LENGTH]) for k in range(len(starts))]
+                keys = [xxhash.xxh3_128_digest(s[k:k + LENGTH]) for k in range(len(starts))]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([gram] * len(keys), pa.int64()), pa.array([strip] * len(keys), pa.int64()),
-                     pa.array(starts), pa.array(np.array(keys, dtype=np.uint64).view(np.int64))],
+                     pa.array(starts), pa.array(keys, pa.binary())],
                     names=["_b_gram", "_b_strip", "start", "key"])
 
 
@@ -257,9 +296,9 @@ def _ranges(strips: DataFrame, sizes: DataFrame, bucket: int) -> DataFrame:
     """Repeated window starts per class, bucket by bucket."""
     strips = strips.join(sizes, "_b_gram")
     small = strips.where(F.col("classes") <= bucket).select("_b_gram", "_b_strip", "left", "bytes")
-    out = small.repartition("_b_gram").sortWithinPartitions("_b_gram", "_b_strip").mapInArrow(_sort_bucket, _RANGE)
+    out = small.repartition("_b_gram").sortWithinPartitions("_b_gram", "_b_strip").mapInArrow(_sort_buckets, _RANGE)
     large = strips.where(F.col("classes") > bucket).select("_b_gram", "_b_strip", "left", "bytes")
-    each = large.mapInArrow(_each_window, "_b_gram long, _b_strip long, start int, key long")
+    each = staged(large.mapInArrow(_each_window, "_b_gram long, _b_strip long, start int, key binary"), "sub-windows")
     key = ["_b_gram", "start", "key"]
     twice = each.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     rest = each.join(twice, key).groupBy(*_CLASS).agg(F.min("start").alias("first"), F.max("start").alias("last"))
