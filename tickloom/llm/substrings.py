@@ -285,11 +285,14 @@ def _each_window(batches):
             strips, left = part.column(3).to_pylist(), part.column(2).to_numpy().astype(np.int64)
             for gram, strip, s, n in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strips, left.tolist()):
                 starts = np.arange(REACH - n, REACH - n + len(s) - LENGTH + 1, dtype=np.int32)
-                keys = [xxhash.xxh3_128_digest(s[k:k + LENGTH]) for k in range(len(starts))]
+                # a window lies in strips of several anchors: its key holds the bucket and the start
+                name = b"%d %%d " % gram
+                keys = b"".join([xxhash.xxh3_128_digest(name % v + s[k:k + LENGTH]) for k, v in enumerate(starts.tolist())])
+                keys = np.frombuffer(keys, dtype="<i8").reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([gram] * len(keys), pa.int64()), pa.array([strip] * len(keys), pa.int64()),
-                     pa.array(starts), pa.array(keys, pa.binary())],
-                    names=["_b_gram", "_b_strip", "start", "key"])
+                    [pa.array([gram] * len(starts), pa.int64()), pa.array([strip] * len(starts), pa.int64()),
+                     pa.array(starts), pa.array(keys[:, 0].copy()), pa.array(keys[:, 1].copy())],
+                    names=["_b_gram", "_b_strip", "start", "k1", "k2"])
 
 
 def _ranges(strips: DataFrame, sizes: DataFrame, bucket: int) -> DataFrame:
@@ -298,10 +301,10 @@ def _ranges(strips: DataFrame, sizes: DataFrame, bucket: int) -> DataFrame:
     small = strips.where(F.col("classes") <= bucket).select("_b_gram", "_b_strip", "left", "bytes")
     out = small.repartition("_b_gram").sortWithinPartitions("_b_gram", "_b_strip").mapInArrow(_sort_buckets, _RANGE)
     large = strips.where(F.col("classes") > bucket).select("_b_gram", "_b_strip", "left", "bytes")
-    each = staged(large.mapInArrow(_each_window, "_b_gram long, _b_strip long, start int, key binary"), "sub-windows")
-    key = ["_b_gram", "start", "key"]
-    twice = each.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    rest = each.join(twice, key).groupBy(*_CLASS).agg(F.min("start").alias("first"), F.max("start").alias("last"))
+    each = staged(large.mapInArrow(_each_window, "_b_gram long, _b_strip long, start int, k1 long, k2 long"), "sub-windows")
+    twice = staged(each.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "sub-twice")
+    rest = in_bitmap(each, F.col("k1"), bitmap(twice, F.col("k1")), "_in").where("_in").drop("_in")
+    rest = rest.join(twice, ["k1", "k2"]).groupBy(*_CLASS).agg(F.min("start").alias("first"), F.max("start").alias("last"))
     return out.unionByName(rest)
 
 
