@@ -296,6 +296,36 @@ def test_unanswered_turns_leave_in_bounded_rows(spark):
             chat.read_back(examples.withColumns(changed)).collect()
 
 
+def test_chat_examples_hold_their_whole_context(spark):
+    """Conversations of several blocks and of one; each example's rows give all turns before its reply."""
+    turns = [(c, n, "assistant" if n % 5 == 3 else "user", f"{n} " + "<s>x" * (15_000 if c == 1 else 10))
+             for c in (1, 2, None) for n in range(60 if c == 1 else 7)]
+    steps = chat.expand(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).cache()
+    examples = chat.whole(steps).cache()
+    got = {}
+    for r in sorted(examples.collect(), key=lambda r: (str(r["conv_id"]), r["example"], r["part"])):
+        got.setdefault((r["conv_id"], r["example"]), []).append(r)
+        assert len(r["context"]) < 3 * chat.PART
+    assert max(len(rows) for rows in got.values()) > 2
+    for c in (1, 2, None):
+        said = [t[2:] for t in turns if t[0] == c]
+        replies = [n for n, (role, _) in enumerate(said) if role == "assistant"]
+        assert sorted(e for k, e in got if k == c) == list(range(len(replies) + 1))
+        for e, n in enumerate([*replies, len(said) - 1]):
+            rows = got[c, e]
+            text = "".join(r["context"] for r in rows) + (rows[-1]["target"] or "")
+            assert chat.parse_turns(text) == said[:n + 1]
+            assert [r["final"] for r in rows] == [False] * (len(rows) - 1) + [True]
+            if e < len(replies):
+                assert chat.unescape(text[rows[-1]["loss_start"]:rows[-1]["loss_end"]]) == said[n][1]
+    # a word changed in an early turn, as one later example has it
+    hit = (F.col("conv_id") == 2) & (F.col("example") == 1)
+    bad = examples.withColumn("context", F.when(hit, F.replace("context", F.lit("0 <"), F.lit("9 <"))).otherwise(F.col("context")))
+    assert bad.exceptAll(examples).count() == 1
+    with pytest.raises(Exception, match="differs from its rows"):
+        chat.read_examples(bad).collect()
+
+
 def test_chat_of_no_turns(spark):
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.expand(none).count() == 0 and chat.read_back(chat.expand(none)).count() == 0
