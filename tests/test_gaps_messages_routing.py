@@ -179,3 +179,13 @@ def test_an_unknown_source_does_not_stop_the_stream(spark, tmp_dir):
     assert q.exception() is None
     got = spark.read.parquet(f"{tmp_dir}/out").select("id", "outcome").collect()
     assert sorted(map(tuple, got)) == [(i, o) for i, o, *_ in WANT]
+
+
+def test_routing_parses_a_record_once(spark):
+    """One parse for each source's rule, also below a filter on what the routing adds."""
+    env = spark.createDataFrame([("{}", "kucoin")], "data string, source string").withColumn("ingest_ts", F.current_timestamp())
+    routed = RT.route(env)
+    for df in (routed, routed.where(F.col("outcome") == RT.REJECT).select("reason", "price")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == len(RT.ROUTES)
+    assert [tuple(r) for r in routed.select("outcome", "reason").collect()] == [(RT.REJECT, "missing:topic")]

@@ -51,45 +51,56 @@ def _field(record: Column, path: str) -> Column:
     return record
 
 
-def _outcome(name: str, route: Route, data: Column) -> Column:
-    """A source's outcome of one record, as a struct."""
+def _read(name: str, route: Route, data: Column) -> Column:
+    """What a source's record gives, as a struct; null if it is no JSON object."""
     # under an array schema a lone object is one element, and text cut off is null
     record = F.get(F.from_json(data, T.ArrayType(route.schema)), F.lit(0))
     if name == "binance":
         record = record.cast(_named(S.BINANCE_NAMED))
+    return F.when(starts(data, "{"), record)
+
+
+def _fields(route: Route, record: Column) -> Column:
     symbol = _field(record, route.symbol)
-    symbol = strip_hyphens(symbol) if route.hyphenated else symbol
-    price, ms = parse_price(_field(record, route.price)), _field(record, route.millis)
-    reason = F.when(price.isNull(), F.lit("bad:price"))
-    quoted = has_quote(symbol)
-    outcome = F.when(~quoted, F.lit(OTHER)).when(reason.isNotNull(), F.lit(REJECT)).otherwise(F.lit(TICK))
-    reason = F.when(quoted, reason)
+    lacks = F.lit(None).cast("string")
     for path in reversed(route.required):
-        lacks = _field(record, path).isNull()
-        reason = F.when(lacks, F.lit(f"missing:{path}")).otherwise(reason)
-        outcome = F.when(lacks, F.lit(REJECT)).otherwise(outcome)
-    is_object = starts(data, "{") & record.isNotNull()
-    reason = F.when(~is_object, F.lit("malformed")).otherwise(reason)
-    outcome = F.when(~is_object, F.lit(REJECT)).otherwise(outcome)
-    kept = outcome.isin(TICK, OTHER)
-    return F.struct(outcome.alias("outcome"), F.when(kept, symbol).alias("symbol"), F.when(kept, price).alias("price"),
-                    F.when(kept, millis_to_ts(ms)).alias("time"), reason.alias("reason"))
+        lacks = F.when(_field(record, path).isNull(), F.lit(path)).otherwise(lacks)
+    return F.when(record.isNotNull(), F.struct(
+        (strip_hyphens(symbol) if route.hyphenated else symbol).alias("symbol"),
+        parse_price(_field(record, route.price)).alias("price"), _field(record, route.millis).alias("ms"),
+        lacks.alias("lacks")))
 
 
 def route(envelopes: DataFrame, routes: dict[str, Route] | None = None) -> DataFrame:
     """Envelope rows (``data, source`` and others) plus ``outcome, symbol, price,
     time, reason``; works on streams alike. ``data`` stays, so that a dead letter
-    can be routed again once its source has a rule."""
+    can be routed again once its source has a rule.
+
+    A record is parsed once, by its own source's rule: the parse stands inside a
+    generator (of one row each), so that no expression above it brings a copy."""
     routes = routes or ROUTES
-    why = F.concat(F.lit("unknown source: "), F.coalesce("source", F.lit("null")))
-    none = F.struct(F.lit(UNKNOWN).alias("outcome"), F.lit(None).cast("string").alias("symbol"),
-                    F.lit(None).cast("double").alias("price"), F.lit(None).cast("timestamp").alias("time"),
-                    why.alias("reason"))
-    out = none
-    for name, r in routes.items():
-        out = F.when(F.col("source") == name, _outcome(name, r, F.col("data"))).otherwise(out)
-    rows = envelopes.drop("outcome", "symbol", "price", "time", "reason").withColumn("_route", out)
-    return rows.select(*[c for c in rows.columns if c != "_route"], "_route.*")
+    rest = [c for c in envelopes.columns if c not in ("outcome", "symbol", "price", "time", "reason")]
+    known, source = F.lit(False), F.col("source")
+    records, fields = [], F.lit(None)
+    for i, (name, r) in enumerate(routes.items()):
+        mine = F.coalesce(source == name, F.lit(False))
+        records.append(_read(name, r, F.when(mine, F.col("data"))).alias(f"r{i}"))
+        fields = F.when(mine, _fields(r, F.col(f"_records.r{i}"))).otherwise(fields)
+        known = known | mine
+    rows = envelopes.select(*rest, F.explode_outer(F.array(F.struct(*records))).alias("_records"))
+    rows = rows.select(*rest, known.alias("_known"), F.explode_outer(F.array(fields)).alias("_f"))
+    symbol, price, lacks = F.col("_f.symbol"), F.col("_f.price"), F.col("_f.lacks")
+    broken = F.col("_f").isNull() | lacks.isNotNull()
+    quoted = has_quote(symbol)
+    outcome = (F.when(~F.col("_known"), F.lit(UNKNOWN)).when(broken, F.lit(REJECT)).when(~quoted, F.lit(OTHER))
+               .when(price.isNull(), F.lit(REJECT)).otherwise(F.lit(TICK)))
+    reason = (F.when(~F.col("_known"), F.concat(F.lit("unknown source: "), F.coalesce("source", F.lit("null"))))
+              .when(F.col("_f").isNull(), F.lit("malformed"))
+              .when(lacks.isNotNull(), F.concat(F.lit("missing:"), lacks))
+              .when(quoted & price.isNull(), F.lit("bad:price")))
+    kept = F.col("_known") & ~broken & (~quoted | price.isNotNull())
+    return rows.select(*rest, outcome.alias("outcome"), F.when(kept, symbol).alias("symbol"), F.when(kept, price).alias("price"),
+                       F.when(kept, millis_to_ts(F.col("_f.ms"))).alias("time"), reason.alias("reason"))
 
 
 def write_routes(routed: DataFrame, root: str) -> None:
