@@ -51,13 +51,26 @@ def _arrive(spark: SparkSession, root: str, names, week: int) -> None:
     """One weekly slice of each feed arrives in the stream inputs. The staged
     files are renamed, not written again."""
     for name in names:
-        src, fs = hadoop_path(spark, f"{root}/stage/{name}/_week={week}")
-        if fs.exists(src):
-            for status in fs.listStatus(src):
-                file = status.getPath()
-                if file.getName().startswith("part-"):
-                    to, _ = hadoop_path(spark, f"{root}/in/{name}/week-{week}-{file.getName()}")
-                    fs.rename(file, to)
+        _move_parts(spark, f"{root}/stage/{name}/_week={week}", f"{root}/in/{name}", f"week-{week}")
+
+
+def _move_parts(spark: SparkSession, folder: str, to: str, prefix: str) -> None:
+    src, fs = hadoop_path(spark, folder)
+    if fs.exists(src):
+        for status in fs.listStatus(src):
+            file = status.getPath()
+            if file.getName().startswith("part-"):
+                fs.rename(file, hadoop_path(spark, f"{to}/{prefix}-{file.getName()}")[0])
+
+
+def _in_slices(spark: SparkSession, root: str, rows: DataFrame, number, slices: int):
+    """Write ``rows`` once, in folders by the number of their slice, and let one
+    after the other arrive in ``root/in`` (renamed, not written again)."""
+    rows.withColumn("_slice", number).write.partitionBy("_slice").parquet(f"{root}/stage")
+    spark.createDataFrame([], rows.schema).write.parquet(f"{root}/in")
+    for i in range(slices):
+        _move_parts(spark, f"{root}/stage/_slice={i}", f"{root}/in", f"slice-{i}")
+        yield i
 
 
 def _feed_in_order(spark: SparkSession, root: str, frames: dict[str, DataFrame], each_slice) -> None:
@@ -216,9 +229,8 @@ def stream_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-routes")
     env = _mixed_envelopes(spark, sf_dir)
     late = F.col("ingest_ts") >= F.lit("2024-01-20").cast("timestamp")
-    for part in (~late, late):
-        env.where(part).write.mode("append").parquet(f"{root}/env")
-        stream = spark.readStream.schema(env.schema).parquet(f"{root}/env")
+    for _ in _in_slices(spark, root, env, late.cast("int"), 2):
+        stream = spark.readStream.schema(env.schema).parquet(f"{root}/in")
         q = J.start_routing(stream, f"{root}/routes", f"{root}/ckpt", trigger={"availableNow": True})
         try:
             q.awaitTermination()
