@@ -189,3 +189,17 @@ def test_routing_parses_a_record_once(spark):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("from_json(") == len(RT.ROUTES)
     assert [tuple(r) for r in routed.select("outcome", "reason").collect()] == [(RT.REJECT, "missing:topic")]
+
+
+def test_messages_and_their_elements_are_parsed_once(spark):
+    frames = spark.createDataFrame([("[{}, 7]",), (None,), ("{}",)], "value string")
+    checked = M.check_messages(frames)
+    split = M.split_messages(checked)
+    def parses(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("from_json(")
+
+    # the message as an array and as an object, and its elements; the records again where they are read
+    assert parses(checked) == parses(checked.where(F.col("reason").isNull())) == parses(split.rejects) == 3
+    assert parses(split.valid.where(F.col("msg.data.price").isNotNull()).select("msg.subject", "msg.data.price")) == 4
+    assert [tuple(r) for r in checked.select("bad_pos", "reason").collect()] == [
+        (0, "missing:topic"), (None, "malformed"), (None, "not an array")]

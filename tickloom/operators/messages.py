@@ -25,9 +25,7 @@ def starts(text: Column, mark: str) -> Column:
     return F.coalesce(F.ltrim(text, F.lit(" \t\r\n")).startswith(mark), F.lit(False))
 
 
-def _element_reason(text: Column, schema: T.StructType, required: Sequence[str]) -> Column:
-    record = F.from_json(text, schema)
-
+def _element_reason(text: Column, record: Column, required: Sequence[str]) -> Column:
     def field(path: str) -> Column:
         c = record
         for name in path.split("."):
@@ -41,21 +39,33 @@ def _element_reason(text: Column, schema: T.StructType, required: Sequence[str])
     return F.when(~is_object, F.lit("not an object")).when(record.isNull(), F.lit("malformed")).otherwise(reason)
 
 
+def _once(rows: DataFrame, keep: Sequence[str], **made: Column) -> DataFrame:
+    """``keep`` and the columns ``made``, each worked out once: inside a generator
+    of one row each, expressions and filters above bring no copy of them."""
+    one = F.struct(*[c.alias(name) for name, c in made.items()])
+    rows = rows.select(*keep, F.explode_outer(F.array(one)).alias("_made"))
+    return rows.select(*keep, *[F.col(f"_made.{name}").alias(name) for name in made])
+
+
 def check_messages(frames: DataFrame, schema: T.StructType = S.KUCOIN, required: Sequence[str] = S.KUCOIN_REQUIRED,
                    value: str = "value") -> DataFrame:
     """``frames`` with ``raw`` for its text, ``texts`` (the elements' JSON, null in
     a rejected message), ``bad_pos`` (from 0; null if the message itself is bad)
-    and ``reason`` (null: the message is valid)."""
+    and ``reason`` (null: the message is valid). A message and its elements are
+    parsed once each."""
     frames = as_text(frames, value)
     rest = [c for c in frames.columns if c != value]
-    text = F.col(value)
-    rows = frames.select(*rest, text.alias("raw"), F.from_json(text, "array<string>").alias("_texts"),
-                         starts(text, "[").alias("_array"),
-                         F.from_json(text, "map<string,string>").isNotNull().alias("_object"))
-    rows = rows.withColumn("_reasons", F.when(F.col("_array"), F.transform(
-        "_texts", lambda x: _element_reason(x, schema, required))))
+    rows = frames.select(*rest, F.col(value).alias("raw"))
+    kept, text = [*rest, "raw"], F.col("raw")
+    is_array = starts(text, "[")
+    rows = _once(rows, kept, _array=is_array, _texts=F.from_json(text, "array<string>"),
+                 _object=F.from_json(F.when(~is_array, text), "map<string,string>").isNotNull())
+    records = F.when(F.col("_array"), F.transform("_texts", lambda x: F.from_json(x, schema)))
+    kept += ["_array", "_texts", "_object"]
+    rows = _once(rows, kept, _records=records)
+    rows = _once(rows, kept, _reasons=F.zip_with("_texts", "_records", lambda x, r: _element_reason(x, r, required)))
     bad = F.array_position(F.transform("_reasons", lambda r: r.isNotNull()), True)
-    rows = rows.withColumn("_bad", F.nullif(bad, F.lit(0)).cast("int"))
+    rows = _once(rows, [*kept, "_reasons"], _bad=F.nullif(bad, F.lit(0)).cast("int"))
     reason = (F.when(~F.col("_array"), F.when(F.col("_object"), F.lit("not an array")).otherwise(F.lit("malformed")))
               .when(F.col("_texts").isNull(), F.lit("malformed"))
               .when(F.col("_bad").isNotNull(), F.try_element_at("_reasons", F.col("_bad"))))
@@ -69,8 +79,9 @@ def split_messages(checked: DataFrame, schema: T.StructType = S.KUCOIN, name: st
     rejected messages with position and reason."""
     rest = [c for c in checked.columns if c not in ("raw", "texts", "bad_pos", "reason")]
     good = checked.where(F.col("reason").isNull())
-    records = good.select(*rest, "raw", F.posexplode("texts").alias("pos", "_text"))
-    records = records.withColumn(name, F.from_json("_text", schema)).drop("_text")
+    # decoded inside the generator: filters on the record bring no copy of the parse
+    decoded = F.transform("texts", lambda x: F.from_json(x, schema))
+    records = good.select(*rest, "raw", F.posexplode(decoded).alias("pos", name))
     return Split(records, checked.where(F.col("reason").isNotNull()).drop("texts"))
 
 
