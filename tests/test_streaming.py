@@ -253,3 +253,24 @@ def test_property_stream_equals_batch(spark, pairs, size, timeout, n_chunks):
         expected[(k, bb)] = expected.get((k, bb), 0) + 1
     got = {(k, bb): n for k, bb, n in closed + open_}
     assert got == expected and len(closed) + len(open_) == len(expected)
+
+
+def test_slices_come_from_one_pass_over_their_source(spark, tmp_path):
+    """Each row arrives in its slice, is worked out once, and one without a number in none."""
+    from tickloom.plans.streams import _in_slices
+    seen = spark.sparkContext.accumulator(0)
+
+    def work(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = spark.range(100).mapInArrow(work, "id long")
+    number = F.when(F.col("id") > 0, (F.col("id") >= 30).cast("int") + (F.col("id") >= 70).cast("int"))
+    got, arrived = [], set()
+    for i in _in_slices(spark, str(tmp_path), rows, number, 3):
+        now = {r[0] for r in spark.read.schema("id long").parquet(f"{tmp_path}/in").collect()}
+        got.append((i, min(now - arrived), max(now - arrived), len(now)))
+        arrived = now
+    assert got == [(0, 1, 29, 29), (1, 30, 69, 69), (2, 70, 99, 99)]
+    assert seen.value == 100

@@ -252,9 +252,8 @@ def stream_micro_batch_hot(spark: SparkSession, sf_dir: str, size: int, timeout_
     recs = C.kucoin_records(spark, sf_dir).select(*cols).unionByName(C.binance_records(spark, sf_dir).select(*cols))
     cuts = [F.unix_millis(F.lit(t).cast("timestamp")) for t in ("2024-01-09 12:00:00", "2024-01-21 07:30:00")]
     ms, keys, order = F.col("ms"), ["source"], ["seq", "pos"]
-    slices = [ms < cuts[0], (ms >= cuts[0]) & (ms < cuts[1]), ms >= cuts[1]]
-    for part in slices:
-        recs.where(part).write.mode("append").parquet(f"{root}/in")
+    number = (ms >= cuts[0]).cast("int") + (ms >= cuts[1]).cast("int")
+    for last in _in_slices(spark, root, recs, number, 3):
         stream = spark.readStream.schema(recs.schema).parquet(f"{root}/in")
         q = HB.start_hot_batches(stream, f"{root}/out", f"{root}/ckpt", keys, "ms", order, size, timeout_ms,
                                  trigger={"availableNow": True})
@@ -262,8 +261,8 @@ def stream_micro_batch_hot(spark: SparkSession, sf_dir: str, size: int, timeout_
             q.awaitTermination()
         finally:
             q.stop()
-    again = spark.read.schema(recs.schema).parquet(f"{root}/in").where(slices[-1])
-    HB.fold_trigger(again, len(slices) - 1, f"{root}/out", keys, "ms", order, size, timeout_ms)
+    again = spark.read.schema(recs.schema).parquet(f"{root}/in").where(number == last)
+    HB.fold_trigger(again, last, f"{root}/out", keys, "ms", order, size, timeout_ms)
     return HB.closed_batches(spark, f"{root}/out").unionByName(HB.open_batches(spark, f"{root}/out", keys, "ms"))
 
 
