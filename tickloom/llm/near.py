@@ -35,7 +35,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickloom.llm.common import WORD, bitmap, drop_ids, groups_of, in_bitmap, staged, text_of
+from tickloom.llm.common import WORD, bitmap, drop_ids, giving_back, groups_of, in_bitmap, staged, text_of
 from tickloom.llm.components import components
 
 WORDS = 5
@@ -157,7 +157,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text: str = "text", keye
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), *b.columns[2:]], names=names)
 
     planes = ", ".join(f"{p} long" for p in _PLANES)
-    return src.mapInArrow(run, f"id long, n_shingles long, ck binary, {planes}, bands array<long>"
+    return src.mapInArrow(giving_back(run), f"id long, n_shingles long, ck binary, {planes}, bands array<long>"
                           + (", th binary" if keyed else ""))
 
 
@@ -197,7 +197,7 @@ def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, te
         if a_out:
             yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
 
-    return rows.repartition("a", "b").sortWithinPartitions("a", "b", "node").mapInArrow(run, "a long, b long")
+    return rows.repartition("a", "b").sortWithinPartitions("a", "b", "node").mapInArrow(giving_back(run), "a long, b long")
 
 
 _NAMES = ["bucket", "i", "j", "blk", "node", "comp", *_PLANES]
@@ -351,7 +351,7 @@ def _rest(members: DataFrame, nodes: DataFrame, comps: DataFrame, docs: DataFram
     mixed = staged(m.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                    .where("lo < hi"), "near-mixed")
     rows = _together(_in_blocks(m, mixed, BLOCK).join(nodes.select("node", *_PLANES), "node"))
-    hit = staged(rows.mapInArrow(_match, "bucket long, node long").distinct(), "near-hit")
+    hit = staged(rows.mapInArrow(giving_back(_match), "bucket long, node long").distinct(), "near-hit")
 
     # the texts of those members: a text travels better than its set
     asked = hit.select("node").distinct().join(nodes.select("node", "rep", "ck"), "node")
@@ -362,7 +362,7 @@ def _rest(members: DataFrame, nodes: DataFrame, comps: DataFrame, docs: DataFram
     rows = _in_blocks(hit.join(m, ["bucket", "node"]), sizes, SET_BLOCK)
     rows = rows.join(nodes.select("node", "bands", *_PLANES), "node").join(texts, "node")
     rows = _together(rows, "bands", "ck", "text")
-    return rows.mapInArrow(_confirm_in_buckets, "a long, b long").distinct()
+    return rows.mapInArrow(giving_back(_confirm_in_buckets), "a long, b long").distinct()
 
 
 def _texts(docs: DataFrame, asked: DataFrame, id_col: str, text: str) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tickloom.llm.common import staged, text_of
+from tickloom.llm.common import giving_back, staged, text_of
 from tickloom.llm.tokencount import CHUNK_BYTES, WordCounter, token_ids, word_counter
 
 SEQ_LEN = 2048
@@ -94,7 +94,8 @@ def tokenised(docs: DataFrame, tokenizer: str, keep: list[str], text: str = "tex
         T.StructField("_p_part", T.IntegerType()), T.StructField("_p_rank", T.LongType())]
     fields += [T.StructField("ids", T.BinaryType())] if keep_ids else []
     schema = T.StructType(fields)
-    return src.mapInArrow(_pieces(tokenizer, seq_len, end_id, keep_ids, keep, [f.name for f in fields]), schema)
+    run = _pieces(tokenizer, seq_len, end_id, keep_ids, keep, [f.name for f in fields])
+    return src.mapInArrow(giving_back(run), schema)
 
 
 def best_two_fit(counts: dict[int, int], seq_len: int = SEQ_LEN) -> list[tuple[int, dict[int, int]]]:
@@ -199,4 +200,4 @@ def pack(docs: DataFrame, tokenizer: str, keep: list[str], text: str = "text", s
                 [batch.column(j) for j in range(batch.num_columns - 1)]
                 + [pa.array(seg["seq"][at] + k // c), pa.array(seg["offset"][at] + (k % c) * n)], names=names)
 
-    return ranked.mapInArrow(place, schema)
+    return ranked.mapInArrow(giving_back(place), schema)

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tickloom.llm.common import replacing, text_of
+from tickloom.llm.common import giving_back, replacing, text_of
 
 MAX_TRAIN = 8192        # labelled documents learnt from, at most
 BITS = 18               # 2^18 weights
@@ -115,7 +115,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
         yield pa.RecordBatch.from_arrays([pa.array([ftrl(examples).tobytes()], pa.binary())], names=["weights"])
 
     one = texts.repartition(1).sortWithinPartitions("_q_h", "_q_id").select("_q_text", "_q_label")
-    got = one.mapInArrow(fit, "weights binary").collect()
+    got = one.mapInArrow(giving_back(fit), "weights binary").collect()
     return bytes(got[0][0]) if got else b""
 
 
@@ -139,7 +139,7 @@ def score(docs: DataFrame, weights: bytes, text: str = "text", score_col: str =
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(giving_back(run), schema)
 
 
 def keep_good(docs: DataFrame, weights: bytes, text: str = "text") -> DataFrame:
