@@ -90,3 +90,30 @@ def test_packing_stage(stages):
         ends = np.cumsum([n for _, n in sorted(places)])
         assert [o for o, _ in sorted(places)] == [0, *ends[:-1]] and ends[-1] <= 2048
     assert len(per) <= 1.02 * -(-sum(r["length"] for r in got) // 2048) + 1
+
+
+def test_workers_give_back_freed_memory(spark):
+    """After a task that took and freed much, an idle worker holds little more than before."""
+    from tickloom.llm.common import giving_back
+
+    def held():
+        with open("/proc/self/smaps_rollup") as f:
+            return sum(int(line.split()[1]) for line in f if line.startswith("Pss_Anon")) // 1024
+
+    def take(batches):
+        import sys
+        for b in batches:
+            freed = [bytes(2000) for _ in range(100_000)]
+            sys.kept_by_test = bytes(2000)      # outlives the task, above what is freed
+            del freed
+            yield b
+
+    def ask(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"mb": [held()]})
+
+    one = spark.range(1).repartition(1)
+    before = one.mapInArrow(ask, "mb long").first()[0]
+    one.mapInArrow(giving_back(take), "id long").collect()
+    assert one.mapInArrow(ask, "mb long").first()[0] < before + 60
