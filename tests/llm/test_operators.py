@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tests.llm import brute
 from tickloom.llm import chat, components, exact, mixing, near, packing, pii, quality, rules, shards, substrings
 from tickloom.llm.common import bitmap, in_bitmap
-from tickloom.llm.queries import tokenizer_path
+from tickloom.llm.queries import QUERIES, tokenizer_path
 
 
 def rows_of(df, *cols):
@@ -526,6 +526,21 @@ def test_substrings(messy, empty, bucket):
     assert rows.count() == 0 and spans.count() == 0 and substrings.kept_bytes(empty, spans, rows).count() == 0
 
 
+def test_planted_passages_go_from_400_bytes(spark, tmp_path):
+    """Passages of 51 to 75 words, each in two texts that share nothing else: those of at least 400
+    bytes go, to the byte, and shorter ones stay, as the contract has it."""
+    r = np.random.default_rng(10)
+    words = lambda n: " ".join("".join(map(chr, r.integers(97, 123, r.integers(2, 10)))) for _ in range(n))
+    passages = [words(n) for n in range(51, 76) for _ in range(2)] + [words(80)[:n] for n in (399, 400)]
+    size = [len(p) for p in passages]
+    texts = [t for p in passages for t in (f"{words(90)}\n{p}\n{words(90)}", f"{words(200)} {p} {words(30)}")]
+    assert sum(n < 400 for n in size) > 10 and sum(n >= 400 for n in size) > 10
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op10_suffix_blockwise"](spark, str(tmp_path)).orderBy("doc_id").collect()
+    assert [(x.n_removed, x.n_spans) for x in got] == [(n, 1) if n >= 400 else (0, 0) for n in size for _ in range(2)]
+    assert [(x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in got] == brute.without_repeats(texts)
+
+
 def test_difference_cover():
     d = substrings.COVER_SET
     assert len(d) == 9 and {(a - b) % substrings.COVER for a in d for b in d} == set(range(substrings.COVER))
