@@ -541,6 +541,53 @@ def test_planted_passages_go_from_400_bytes(spark, tmp_path):
     assert [(x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in got] == brute.without_repeats(texts)
 
 
+def near_copies(seed):
+    """Texts around one passage, changed in a few places, cut short at either end or periodic."""
+    r = np.random.default_rng(seed)
+    base, texts = r.integers(97, 123, 900, dtype=np.uint8), []
+    for k in range(60):
+        t = base.copy()
+        for at in r.integers(0, 900, r.integers(0, 4)):
+            t[at] = r.integers(97, 100)
+        start, end = int(r.choice([0, 0, 150, 313])), int(r.choice([900, 900, 800, 713]))
+        lead = "".join(map(chr, r.integers(97, 123, r.integers(0, 60)))) if start == 0 else ""
+        texts.append(lead + t[start:end].tobytes().decode())
+    return texts + ["a" * n for n in (399, 400, 401, 450, 700, 900)] + ["a" * 410 + "b" * k for k in (1, 2, 90)] + [
+        "b" * k + "a" * 410 for k in (1, 2, 90)]
+
+
+@pytest.mark.parametrize("bucket", [1, 6])
+def test_large_buckets_equal_brute_force(spark, bucket):
+    """Buckets too large to sort are cut into those of their parts, some of which are again too large."""
+    texts = near_copies(bucket)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows, spans = substrings.repeats(docs, ["doc_id"], bucket=bucket)
+    cut = substrings.kept_bytes(docs, spans, rows).withColumn("kept_sha256", F.sha2("kept", 256))
+    got = {r["doc_id"]: r for r in rows.select("doc_id", "_b_th", "n_bytes").join(cut, "_b_th").collect()}
+    for k, (n, removed, n_spans, kept) in enumerate(brute.without_repeats(texts)):
+        assert (k in got) == (removed > 0)
+        assert not removed or (got[k]["n_removed"], got[k]["n_spans"], got[k]["kept_sha256"]) == (removed, n_spans, kept)
+
+
+def test_a_large_bucket_is_not_written_window_by_window(spark, monkeypatch):
+    """One passage of 300 bytes in 60 texts that share nothing else: their strips are told apart by
+    at most 4 parts each, not by 301 windows, and no bytes are sent again."""
+    r = np.random.default_rng(12)
+    some = lambda n: "".join(map(chr, r.integers(97, 123, n)))
+    passage, wrote, staged = some(300), {}, substrings.staged
+
+    def spy(df, name):
+        wrote[name] = (out := staged(df, name)).count()
+        return out
+
+    monkeypatch.setattr(substrings, "staged", spy)
+    texts = [some(500) + passage + some(500) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    _, spans = substrings.repeats(docs, ["doc_id"], bucket=16)
+    assert spans.count() == 0 and wrote["sub-strips"] > 30
+    assert max(wrote.values()) <= 5 * wrote["sub-strips"] and "sub-part-strips" not in wrote
+
+
 def test_difference_cover():
     d = substrings.COVER_SET
     assert len(d) == 9 and {(a - b) % substrings.COVER for a in d for b in d} == set(range(substrings.COVER))
